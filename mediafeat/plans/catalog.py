@@ -203,3 +203,259 @@ def q_row_count(spark, d):
 def q_argmax_class(spark, d):
     s = X.fx_scores(spark, d)
     return s.select("id", "cls", V.argmax("scores").alias("pred"))
+
+
+# ---------------------------------------------------------------- splits, shards, limits
+from mediafeat.operators import split as P  # noqa: E402
+from mediafeat.sources import tables as TB  # noqa: E402
+from mediafeat.session import scratch_path  # noqa: E402
+
+SEED = 7
+EXCLUDED = ["train0003.rec", "train0007.rec", "train0011.rec"]
+
+
+@query("take_ordered")
+def q_take_ordered(spark, d):
+    return P.take_ordered(X.fx_video(spark, d), ["id"], 20).select("id", ints_str("labels").alias("labels"))
+
+
+@query("seeded_shuffle")
+def q_seeded_shuffle(spark, d):
+    return P.seeded_shuffle(X.fx_video(spark, d), "id", SEED).select("id", "shuffle_key")
+
+
+@query("holdout_split")
+def q_holdout_split(spark, d):
+    return P.split_holdout(X.fx_video(spark, d), "id", 0.2, SEED).select("id", "split")
+
+
+def _sharded_split(spark, d):
+    s = P.split_holdout(X.fx_sharded(spark, d), "id", 0.2, 11)
+    return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "dev").drop("split")
+
+
+@query("split_is_partition")
+def q_split_is_partition(spark, d):
+    train, dev = _sharded_split(spark, d)
+    return P.split_check(X.fx_sharded(spark, d), train, dev)
+
+
+@query("union_shards")
+def q_union_shards(spark, d):
+    train, dev = _sharded_split(spark, d)
+    return P.union_all([train, dev]).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("records_per_shard")
+def q_records_per_shard(spark, d):
+    return X.fx_sharded(spark, d).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("exclude_shards")
+def q_exclude_shards(spark, d):
+    return P.exclude_values(X.fx_sharded(spark, d), "shard", EXCLUDED).select("id", "shard")
+
+
+@query("limit_shards")
+def q_limit_shards(spark, d):
+    return P.limit_values(X.fx_sharded(spark, d), "shard", 5).select("id", "shard")
+
+
+@query("limit_per_shard")
+def q_limit_per_shard(spark, d):
+    return P.limit_per_group(X.fx_sharded(spark, d), "shard", ["id"], 100).select("id", "shard", "rn")
+
+
+@query("chunk_assignment")
+def q_chunk_assignment(spark, d):
+    return P.chunk_assignment(X.fx_sharded(spark, d), "shard", 4)
+
+
+@query("multi_source_scan")
+def q_multi_source_scan(spark, d):
+    base = scratch_path(spark, "multi_source")
+    sh = X.fx_sharded(spark, d)
+    sh.where(F.col("shard") < "train0010.rec").write.mode("overwrite").parquet(f"{base}/train")
+    sh.where(F.col("shard") >= "train0010.rec").write.mode("overwrite").parquet(f"{base}/validate")
+    both = TB.read_many(spark, [f"{base}/train", f"{base}/validate"])
+    return (both.withColumn("source", TB.source_dir("source_file"))
+                .groupBy("source", "shard").agg(F.count(F.lit(1)).alias("n")))
+
+
+QUARANTINE_RULES = [
+    ("missing_amount", "amount IS NULL"),
+    ("non_positive_amount", "amount <= 0"),
+    ("bad_shard_name", r"NOT shard RLIKE '^train[0-9]{4}\\.rec$'"),
+    ("outlier_amount", "amount > 450000"),
+]
+
+
+@query("quarantine_counts")
+def q_quarantine_counts(spark, d):
+    tagged = TB.tag_reason(X.fx_sharded(spark, d), QUARANTINE_RULES)
+    return tagged.groupBy("shard", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("shard_output_names")
+def q_shard_output_names(spark, d):
+    sh = X.fx_sharded(spark, d).withColumn("path", F.concat(F.lit("data/frame/"), F.col("shard")))
+    named = TB.output_names(sh, "path")
+    return named.groupBy("shard", "out_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- metrics and scoring
+from mediafeat.operators import metrics as M  # noqa: E402
+from mediafeat.functions import text as TX  # noqa: E402
+
+EPOCH_BUDGET = 200  # the source's largest epoch budget; a run has at most this many epochs
+
+
+def run_history(spark, d):
+    """Per run (id): epochs 1..budget in time order, value as the watched loss."""
+    h = P.limit_per_group(X.steps_source(spark, d), "id", ["ts", "event_id"], EPOCH_BUDGET, "epoch")
+    return h.select("id", "event_id", "epoch", F.col("value").alias("loss"))
+
+
+@query("topclass_accuracy")
+def q_topclass_accuracy(spark, d):
+    return M.class_accuracy(X.fx_scores(spark, d), "cls", "scores")
+
+
+@query("categorical_crossentropy")
+def q_categorical_crossentropy(spark, d):
+    return M.categorical_crossentropy(X.fx_scores(spark, d), "cls", "scores", by=["cls"])
+
+
+def linear_weights(k: int = 10, dim: int = 64) -> list[list[float]]:
+    """Deterministic weights for the scoring check (a rule, not data)."""
+    return [[((c * 7 + j * 3) % 11 - 5) / 10.0 for j in range(dim)] for c in range(k)]
+
+
+@query("score_linear")
+def q_score_linear(spark, d):
+    v = X.fx_video(spark, d).withColumn("x", V.fuse("mean_rgb", "mean_audio").cast("array<double>"))
+    s = v.withColumn("scores", V.matvec(linear_weights(), "x"))
+    return s.select("id", V.argmax("scores").alias("pred"), F.round(F.array_max("scores"), 6).alias("top"))
+
+
+@query("standardise_features")
+def q_standardise_features(spark, d):
+    from mediafeat.operators.train import feature_stats
+    return feature_stats(X.fx_video(spark, d), "mean_rgb").select(
+        "pos", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@query("speedup")
+def q_speedup(spark, d):
+    runs = X.steps_source(spark, d)
+    s = M.speedup(runs, "id", ["ts", "event_id"], "value")
+    return s.select("id", "event_id", F.round("speedup", 6).alias("speedup"))
+
+
+@query("parallel_efficiency")
+def q_parallel_efficiency(spark, d):
+    h = run_history(spark, d).withColumnRenamed("epoch", "nodes")
+    s = M.efficiency(M.speedup(h, "id", ["nodes"], "loss"), "speedup", "nodes")
+    return s.select("id", "nodes", F.round("efficiency", 6).alias("efficiency"))
+
+
+@query("early_stop_epoch")
+def q_early_stop_epoch(spark, d):
+    return M.early_stopping(run_history(spark, d), "id", "epoch", "loss", 3).select("id", "stop_epoch")
+
+
+@query("best_checkpoint")
+def q_best_checkpoint(spark, d):
+    es = M.early_stopping(run_history(spark, d), "id", "epoch", "loss", 3)
+    return es.select("id", "best_epoch", F.round("best_loss", 6).alias("best_loss"), "n_saved")
+
+
+@query("run_label")
+def q_run_label(spark, d):
+    st = X.steps_source(spark, d).groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.get_json_object("props", "$.k").cast("bigint")).alias("kmax"),
+        F.min("value").alias("vmin"), F.max("value").alias("vmax"))
+    return st.select("id", TX.run_label("lstm_%d_%d_%.2f_%.2f", "n", "kmax", "vmin", "vmax").alias("label"))
+
+
+@query("epoch_seconds")
+def q_epoch_seconds(spark, d):
+    return X.table(spark, d, "events").select("event_id", TX.epoch_seconds("ts").alias("secs"))
+
+
+# ---------------------------------------------------------------- text, json, bytes
+@query("tokenize_words")
+def q_tokenize_words(spark, d):
+    return TB.words(X.fx_text(spark, d), "text").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("query_term")
+def q_query_term(spark, d):
+    return X.table(spark, d, "part").select("p_partkey", TX.plus_term("p_name").alias("term"))
+
+
+@query("json_field")
+def q_json_field(spark, d):
+    return X.fx_json(spark, d).select("id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+
+
+@query("decode_u8")
+def q_decode_u8(spark, d):
+    u = X.fx_u8(spark, d).withColumn("raw", F.unhex("hex"))
+    return u.select("id", ints_str(V.decode_u8("raw")).alias("vals"))
+
+
+# ---------------------------------------------------------------- geo
+from mediafeat.operators import geo as G  # noqa: E402
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType  # noqa: E402
+
+
+def _biz(spark, d):
+    return G.search(X.fx_business(spark, d), term="food", attribute="hot_and_new")
+
+
+@query("geo_new_businesses")
+def q_geo_new_businesses(spark, d):
+    return G.radius_count(X.fx_places(spark, d), _biz(spark, d), 1000.0, cap=50).select(
+        "id", "lat", "lng", "new_businesses")
+
+
+@query("business_search")
+def q_business_search(spark, d):
+    r = G.nearby(X.fx_places(spark, d), _biz(spark, d), 1000.0, "id", "business_id", limit=50)
+    return r.select("id", "business_id", F.round("distance_m", 3).alias("distance_m"), "rank")
+
+
+@query("keyed_lookup")
+def q_keyed_lookup(spark, d):
+    j = G.keyed_lookup(X.fx_business(spark, d).select("business_id"), X.fx_reviews(spark, d), "business_id",
+                       [F.count("stars").alias("n_reviews"), F.avg("stars").alias("avg_stars")])
+    return j.select("business_id", F.coalesce("n_reviews", F.lit(0)).alias("n_reviews"),
+                    F.round("avg_stars", 4).alias("avg_stars"))
+
+
+GEO_SCHEMA = StructType([StructField("id", LongType()), StructField("lat", DoubleType()),
+                         StructField("lng", DoubleType()), StructField("new_businesses", LongType())])
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, d):
+    path = scratch_path(spark, "places_csv")
+    TB.write_csv(q_geo_new_businesses(spark, d), path)
+    return TB.read_csv(spark, path, GEO_SCHEMA)
+
+
+@query("json_sample")
+def q_json_sample(spark, d):
+    path = scratch_path(spark, "sample_json")
+    TB.write_json_sample(X.fx_sharded(spark, d), path, ["id"], 20)
+    schema = "id bigint, shard string, amount double"
+    back = spark.read.schema(schema).json(path)
+    return back.select("id", "shard", "amount", F.to_json(F.struct("id", "shard")).alias("line"))
+
+
+@query("training_table_roundtrip")
+def q_training_table_roundtrip(spark, d):
+    path = scratch_path(spark, "training_table")
+    training_table(spark, d).write.mode("overwrite").parquet(path)
+    return training_table_view(spark.read.parquet(path))

@@ -156,3 +156,152 @@ sql("row_count",
 
 sql("argmax_class",
     "SELECT id, cls, CAST(list_position(scores, list_max(scores)) - 1 AS INTEGER) AS pred FROM fx_scores")
+
+# ---------------------------------------------------------------- splits, shards, limits
+SEED = 7
+KEYED = "SELECT *, md5(concat(CAST(id AS VARCHAR), '#', '{seed}')) AS skey FROM {src}"
+SPLIT = ("SELECT *, CASE WHEN row_number() OVER (ORDER BY skey DESC) <= "
+         "(SELECT greatest(1, CAST(floor(count(*) * {ratio}::DOUBLE) AS BIGINT)) FROM {src}) "
+         "THEN 'dev' ELSE 'train' END AS split FROM (" + KEYED + ")")
+
+sql("take_ordered", f"SELECT id, {d_ints('labels')} AS labels FROM fx_video ORDER BY id LIMIT 20")
+
+sql("seeded_shuffle", f"SELECT id, md5(concat(id, '#', '{SEED}')) AS shuffle_key FROM fx_video")
+
+sql("holdout_split", "SELECT id, split FROM (" + SPLIT.format(seed=SEED, ratio=0.2, src="fx_video") + ")")
+
+_SH = SPLIT.format(seed=11, ratio=0.2, src="fx_sharded")
+sql("split_is_partition",
+    f"WITH s AS ({_SH}) "
+    "SELECT 'n_full' AS m, count(*) AS v FROM fx_sharded "
+    "UNION ALL SELECT 'n_train', count(*) FROM s WHERE split = 'train' "
+    "UNION ALL SELECT 'n_dev', count(*) FROM s WHERE split = 'dev' "
+    "UNION ALL SELECT 'n_both', (SELECT count(*) FROM (SELECT id, shard, amount FROM s WHERE split = 'train' "
+    "INTERSECT SELECT id, shard, amount FROM s WHERE split = 'dev')) "
+    "UNION ALL SELECT 'n_lost', (SELECT count(*) FROM (SELECT id, shard, amount FROM fx_sharded "
+    "EXCEPT ALL SELECT id, shard, amount FROM s)) "
+    "UNION ALL SELECT 'n_extra', (SELECT count(*) FROM (SELECT id, shard, amount FROM s "
+    "EXCEPT ALL SELECT id, shard, amount FROM fx_sharded))")
+
+sql("union_shards", "SELECT shard, count(*) AS n FROM fx_sharded GROUP BY shard")
+sql("records_per_shard", "SELECT shard, count(*) AS n FROM fx_sharded GROUP BY shard")
+sql("exclude_shards",
+    "SELECT id, shard FROM fx_sharded WHERE shard NOT IN ('train0003.rec', 'train0007.rec', 'train0011.rec')")
+sql("limit_shards",
+    "SELECT id, shard FROM fx_sharded WHERE shard IN (SELECT DISTINCT shard FROM fx_sharded ORDER BY shard LIMIT 5)")
+sql("limit_per_shard",
+    "SELECT id, shard, rn FROM (SELECT id, shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY id) AS INTEGER) AS rn "
+    "FROM fx_sharded) WHERE rn <= 100")
+sql("chunk_assignment",
+    "SELECT shard, CAST(floor((row_number() OVER (ORDER BY shard) - 1) / ceil(count(*) OVER () / 4.0::DOUBLE)) AS INTEGER) "
+    "AS chunk FROM (SELECT DISTINCT shard FROM fx_sharded)")
+sql("multi_source_scan",
+    "SELECT CASE WHEN shard < 'train0010.rec' THEN 'train' ELSE 'validate' END AS source, shard, count(*) AS n "
+    "FROM fx_sharded GROUP BY ALL")
+sql("quarantine_counts",
+    "SELECT shard, CASE WHEN amount IS NULL THEN 'missing_amount' WHEN amount <= 0 THEN 'non_positive_amount' "
+    "WHEN NOT regexp_matches(shard, '^train[0-9]{4}\\.rec$') THEN 'bad_shard_name' "
+    "WHEN amount > 450000 THEN 'outlier_amount' ELSE 'ok' END AS reason, count(*) AS n FROM fx_sharded GROUP BY ALL")
+sql("shard_output_names",
+    "SELECT shard, concat(string_split(concat('data/frame/', shard), '/')[-1], '-converted.tfrecord') AS out_name, "
+    "count(*) AS n FROM fx_sharded GROUP BY ALL")
+
+# ---------------------------------------------------------------- metrics and scoring
+HIST = ("SELECT user_id AS id, event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) "
+        "AS epoch, value AS loss FROM events QUALIFY epoch <= 200")
+ES = (f"WITH h AS ({HIST}), "
+      "b AS (SELECT *, min(loss) OVER (PARTITION BY id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
+      "AS best_before FROM h), "
+      "i AS (SELECT *, (best_before IS NULL OR loss < best_before) AS improved FROM b), "
+      "l AS (SELECT *, max(CASE WHEN improved THEN epoch END) OVER (PARTITION BY id ORDER BY epoch "
+      "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_imp FROM i), "
+      "s AS (SELECT id, coalesce(min(CASE WHEN epoch - last_imp >= 3 THEN epoch END), max(epoch)) AS stop_epoch "
+      "FROM l GROUP BY id), "
+      "k AS (SELECT l.*, s.stop_epoch FROM l JOIN s USING (id) WHERE l.epoch <= s.stop_epoch)")
+
+sql("topclass_accuracy",
+    "SELECT count(*) AS n, CAST(sum(CASE WHEN cls = list_position(scores, list_max(scores)) - 1 THEN 1 ELSE 0 END) AS BIGINT) "
+    "AS correct, round(avg(CASE WHEN cls = list_position(scores, list_max(scores)) - 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) "
+    "AS accuracy FROM fx_scores")
+
+sql("categorical_crossentropy",
+    "SELECT cls, count(*) AS n, round(avg(lse - CAST(scores[cls + 1] AS DOUBLE)), 6) AS loss FROM ("
+    "SELECT cls, scores, CAST(list_max(scores) AS DOUBLE) + ln(list_reduce(list_transform(scores, "
+    "lambda x: exp(CAST(x AS DOUBLE) - CAST(list_max(scores) AS DOUBLE))), lambda a, b: a + b)) AS lse "
+    "FROM fx_scores) GROUP BY cls")
+
+
+def _weights_sql() -> str:
+    rows = [[((c * 7 + j * 3) % 11 - 5) / 10.0 for j in range(64)] for c in range(10)]
+    return "[" + ", ".join("[" + ", ".join(f"{w!r}::DOUBLE" for w in r) + "]" for r in rows) + "]"
+
+
+_SCORES = ("list_transform(" + _weights_sql() + ", lambda w: list_reduce(list_transform(range(64), "
+           "lambda j: w[j + 1] * x[j + 1]), lambda a, b: a + b))")
+sql("score_linear",
+    f"SELECT id, CAST(list_position(sc, list_max(sc)) - 1 AS INTEGER) AS pred, round(list_max(sc), 6) AS top FROM ("
+    f"SELECT id, {_SCORES} AS sc FROM (SELECT id, CAST(list_concat(mean_rgb, mean_audio) AS DOUBLE[]) AS x FROM fx_video))")
+
+sql("standardise_features",
+    "SELECT CAST(pos AS INTEGER) AS pos, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std FROM ("
+    "SELECT unnest(range(len(mean_rgb))) AS pos, unnest(mean_rgb) AS v FROM fx_video) GROUP BY pos")
+
+sql("speedup",
+    "SELECT user_id AS id, event_id, round(first_value(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) "
+    "/ nullif(value, 0.0), 6) AS speedup FROM events")
+
+sql("parallel_efficiency",
+    f"WITH h AS ({HIST}) SELECT id, epoch AS nodes, round(first_value(loss) OVER (PARTITION BY id ORDER BY epoch) "
+    "/ nullif(loss, 0.0) / CAST(epoch AS DOUBLE), 6) AS efficiency FROM h")
+
+sql("early_stop_epoch", f"{ES} SELECT id, stop_epoch FROM s")
+
+sql("best_checkpoint",
+    f"{ES} SELECT id, min(epoch) FILTER (WHERE loss = best) AS best_epoch, round(min(best), 6) AS best_loss, "
+    "CAST(count_if(improved) AS BIGINT) AS n_saved FROM (SELECT *, min(loss) OVER (PARTITION BY id) AS best FROM k) "
+    "GROUP BY id")
+
+sql("run_label",
+    "SELECT user_id AS id, printf('lstm_%d_%d_%.2f_%.2f', count(*), max(CAST(json_extract_string(props, '$.k') AS BIGINT)), "
+    "min(value), max(value)) AS label FROM events GROUP BY user_id")
+
+sql("epoch_seconds", "SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS secs FROM events")
+
+# ---------------------------------------------------------------- text, json, bytes
+from mediafeat.functions.text import WHITESPACE_RUN  # noqa: E402
+
+sql("tokenize_words",
+    "SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text, '" + WHITESPACE_RUN + "')) AS word "
+    "FROM fx_text) WHERE word <> '' GROUP BY word")
+
+sql("query_term", "SELECT p_partkey, replace(p_name, ' ', '+') AS term FROM part")
+
+sql("json_field", "SELECT id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM fx_json")
+
+sql("decode_u8",
+    "SELECT id, " + d_ints("list_transform(range(16), lambda i: CAST(('0x' || substr(hex, CAST(2 * i + 1 AS INTEGER), 2)) AS INTEGER))")
+    + " AS vals FROM fx_u8")
+
+# ---------------------------------------------------------------- geo
+from mediafeat.functions.geo import haversine_sql  # noqa: E402
+
+_HAV = haversine_sql("p.lat", "p.lng", "b.lat", "b.lng")
+_BIZ = "b AS (SELECT * FROM fx_business WHERE term = 'food' AND attribute = 'hot_and_new')"
+GEO = (f"WITH {_BIZ} SELECT p.id, p.lat, p.lng, CAST(least(count(b.business_id), 50) AS BIGINT) AS new_businesses "
+       f"FROM fx_places p LEFT JOIN b ON {_HAV} <= 1000.0 GROUP BY p.id, p.lat, p.lng")
+sql("geo_new_businesses", GEO)
+sql("csv_roundtrip", GEO)
+
+sql("business_search",
+    f"WITH {_BIZ}, pr AS (SELECT p.id, b.business_id, {_HAV} AS d FROM fx_places p JOIN b ON {_HAV} <= 1000.0) "
+    "SELECT id, business_id, round(d, 3) AS distance_m, CAST(rk AS INTEGER) AS rank FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, business_id) AS rk FROM pr) WHERE rk <= 50")
+
+sql("keyed_lookup",
+    "SELECT b.business_id, count(r.stars) AS n_reviews, round(avg(r.stars), 4) AS avg_stars "
+    "FROM fx_business b LEFT JOIN fx_reviews r USING (business_id) GROUP BY b.business_id")
+
+sql("json_sample",
+    "SELECT id, shard, amount, CAST(to_json({'id': id, 'shard': shard}) AS VARCHAR) AS line FROM fx_sharded ORDER BY id LIMIT 20")
+
+sql("training_table_roundtrip", _SQL["training_table"])
