@@ -67,9 +67,9 @@ class LinearModel:
         return F.zip_with(raw, b, lambda s, c: F.lit(1.0) / (F.lit(1.0) + F.exp(-(s + c))))
 
 
-def _sgd_kernel(bw, lr: float, batch_size: int):
+def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int):
     def run(it):
-        w0 = np.asarray(bw.value, dtype=np.float64)
+        w0 = np.asarray(bw.value, dtype=np.float64).reshape(shape)
         w = w0.copy()
         n = 0
         loss = 0.0
@@ -113,7 +113,7 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
         for epoch in range(1, epochs + 1):
             bw = spark.sparkContext.broadcast(w.ravel())
             parts = (data.select("x", "y")
-                         .mapInPandas(_sgd_kernel(bw, lr, batch_size),
+                         .mapInPandas(_sgd_kernel(bw, (k, d + 1), lr, batch_size),
                                       "n long, delta array<double>, loss double, correct long")
                          .persist(StorageLevel.MEMORY_AND_DISK))
             avg = (parts.select("n", F.posexplode("delta").alias("pos", "v"))

@@ -459,3 +459,162 @@ def q_training_table_roundtrip(spark, d):
     path = scratch_path(spark, "training_table")
     training_table(spark, d).write.mode("overwrite").parquet(path)
     return training_table_view(spark.read.parquet(path))
+
+
+# ---------------------------------------------------------------- record files
+from mediafeat.sources import records as RC  # noqa: E402
+from pyspark.sql import types as TT  # noqa: E402
+
+VIDEO_SCHEMA = TT.StructType([
+    TT.StructField("id", TT.StringType()), TT.StructField("labels", TT.ArrayType(TT.LongType())),
+    TT.StructField("mean_rgb", TT.ArrayType(TT.FloatType())), TT.StructField("mean_audio", TT.ArrayType(TT.FloatType()))])
+
+
+def _long_form(df: DataFrame) -> DataFrame:
+    parts = []
+    for name, col in (("rgb", "mean_rgb"), ("audio", "mean_audio"), ("labels", "labels")):
+        parts.append(df.select("id", F.lit(name).alias("part"),
+                               F.posexplode(col).alias("pos", "val")).withColumn("val", F.col("val").cast("double")))
+    return P.union_all(parts)
+
+
+@query("record_example_roundtrip")
+def q_record_example_roundtrip(spark, d):
+    path = scratch_path(spark, "video_records")
+    RC.write_records(X.fx_video(spark, d).repartition(4, "id"), path, "Example")
+    back = RC.read_records(spark, path, VIDEO_SCHEMA, "Example")
+    return _long_form(RC.read_good(back))
+
+
+TRAINING_SCHEMA = TT.StructType([
+    TT.StructField("id", TT.LongType()), TT.StructField("name", TT.StringType()),
+    TT.StructField("n_steps", TT.LongType()), TT.StructField("true_len", TT.IntegerType()),
+    TT.StructField("frames", TT.ArrayType(TT.ArrayType(TT.DoubleType()))),
+    TT.StructField("labels", TT.ArrayType(TT.LongType())),
+    TT.StructField("labels_hot", TT.ArrayType(TT.DoubleType()))])
+
+
+@query("record_sequence_roundtrip")
+def q_record_sequence_roundtrip(spark, d):
+    path = scratch_path(spark, "training_records")
+    tt = training_table(spark, d).select(*[f.name for f in TRAINING_SCHEMA.fields])
+    RC.write_records(tt, path, "SequenceExample")
+    back = RC.read_good(RC.read_records(spark, path, TRAINING_SCHEMA, "SequenceExample"))
+    return training_table_view(back)
+
+
+TYPED_SCHEMA = TT.StructType([
+    TT.StructField("id", TT.IntegerType()), TT.StructField("IntegerCol", TT.IntegerType()),
+    TT.StructField("LongCol", TT.LongType()), TT.StructField("FloatCol", TT.FloatType()),
+    TT.StructField("DoubleCol", TT.DoubleType()), TT.StructField("VectorCol", TT.ArrayType(TT.DoubleType())),
+    TT.StructField("StringCol", TT.StringType())])
+
+
+@query("typed_roundtrip")
+def q_typed_roundtrip(spark, d):
+    o = X.table(spark, d, "orders")
+    typed = o.select(F.col("o_orderkey").cast("int").alias("id"), F.col("o_custkey").cast("int").alias("IntegerCol"),
+                     F.col("o_orderkey").alias("LongCol"), F.col("o_totalprice").cast("float").alias("FloatCol"),
+                     F.col("o_totalprice").alias("DoubleCol"),
+                     F.array(F.col("o_totalprice"), F.col("o_custkey").cast("double")).alias("VectorCol"),
+                     F.col("o_orderpriority").alias("StringCol"))
+    path = scratch_path(spark, "typed_records")
+    RC.write_records(typed, path, "Example")
+    back = RC.read_good(RC.read_records(spark, path, TYPED_SCHEMA, "Example"))
+    return back.select("id", "IntegerCol", "LongCol", "FloatCol", "DoubleCol",
+                       dec_str("VectorCol", 2).alias("VectorCol"), "StringCol")
+
+
+@query("quarantine_records")
+def q_quarantine_records(spark, d):
+    """Record shards with one truncated and one corrupted file: good rows kept,
+    each bad record reported with its shard and reason (S15)."""
+    from mediafeat.session import local_path
+    path = scratch_path(spark, "bad_records")
+    RC.write_records(X.fx_video(spark, d).repartition(4, "id"), path, "Example")
+    import glob as _glob
+    import os as _os
+    files = sorted(_glob.glob(_os.path.join(local_path(path), "part-*.tfrecord")))
+    with open(files[0], "r+b") as fh:  # cut the last record short
+        fh.truncate(_os.path.getsize(files[0]) - 5)
+    with open(files[1], "r+b") as fh:  # flip one payload byte of the first record
+        fh.seek(20)
+        b = fh.read(1)
+        fh.seek(20)
+        fh.write(bytes([b[0] ^ 0xFF]))
+    back = RC.read_records(spark, path, VIDEO_SCHEMA, "Example")
+    return (back.withColumn("shard", F.element_at(F.split("_file", "/"), -1))
+                .withColumn("reason", F.coalesce(F.regexp_replace("_error", " at byte [0-9]+$", ""), F.lit("ok")))
+                .groupBy("shard", "reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---------------------------------------------------------------- incremental ingest
+from mediafeat.streaming.ingest import ingest_once  # noqa: E402
+
+
+def ingest_transform(video_side: DataFrame):
+    def t(stream: DataFrame) -> DataFrame:
+        s = stream.select(F.col("event_id"), F.col("user_id").alias("id"),
+                          F.get_json_object("props", "$.k").cast("bigint").alias("k"), "value")
+        return s.join(video_side, "id", "inner")
+    return t
+
+
+@query("incremental_ingest")
+def q_incremental_ingest(spark, d):
+    base = scratch_path(spark, "ingest")
+    ev = X.table(spark, d, "events")
+    side = X.fx_video_side(spark, d)
+    tf = ingest_transform(side)
+    wave = F.pmod(F.col("event_id"), F.lit(2))
+    ev.where(wave == 0).write.parquet(f"{base}/landing/wave0")
+    ingest_once(spark, f"{base}/landing/*", ev.schema, tf, f"{base}/sink", f"{base}/ckpt")
+    ev.where(wave == 1).write.parquet(f"{base}/landing/wave1")
+    ingest_once(spark, f"{base}/landing/*", ev.schema, tf, f"{base}/sink", f"{base}/ckpt")
+    ingest_once(spark, f"{base}/landing/*", ev.schema, tf, f"{base}/sink", f"{base}/ckpt")  # no new files
+    return spark.read.parquet(f"{base}/sink").select("event_id", "id", "name", "k", "value")
+
+
+# ---------------------------------------------------------------- training (rows-only checks)
+from mediafeat.operators import train as TR  # noqa: E402
+
+
+def _video_xy(spark, d):
+    v = X.fx_video(spark, d)
+    v = v.withColumn("x", V.fuse("mean_rgb", "mean_audio").cast("array<double>"))
+    return L.encode_positional(v, K, out_col="y")
+
+
+@query("train_linear_avg")
+def q_train_linear_avg(spark, d):
+    data = P.split_holdout(_video_xy(spark, d), "id", 0.2, SEED)
+    model = TR.fit_multilabel(data.where("split = 'train'"), "x", "y", "id", epochs=10, batch_size=32, lr=0.5)
+    return TR.history_frame(spark, model)
+
+
+@query("train_mlp")
+def q_train_mlp(spark, d):
+    model, data = TR.train_mlp(_video_xy(spark, d), "x", "y", [64, 32, K], max_iter=100)
+    pred = model.transform(data)
+    return pred.agg(F.count(F.lit(1)).alias("n"),
+                    F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
+
+
+@query("train_sequence")
+def q_train_sequence(spark, d):
+    tt = S.pool_sequence(training_table(spark, d, short="pad"), "frames", 2)
+    tt = tt.withColumn("x", F.concat("pool_mean", "pool_max", "pool_first", "pool_last"))
+    tt = TR.standardise(tt, "x")
+    model = TR.fit_multilabel(tt, "x", "labels_hot", "id", epochs=5, batch_size=32, lr=0.5)
+    return TR.history_frame(spark, model)
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, d):
+    data = _video_xy(spark, d)
+    model = TR.fit_multilabel(data, "x", "y", "id", epochs=3, batch_size=32, lr=0.5)
+    path = scratch_path(spark, "model")
+    TR.save_weights(spark, model, path, epoch=3)
+    back = TR.load_weights(spark, path)
+    scored = data.withColumn("p", back.score_expr("x"))
+    return M.topclass_accuracy(scored, "y", "p")

@@ -305,3 +305,22 @@ sql("json_sample",
     "SELECT id, shard, amount, CAST(to_json({'id': id, 'shard': shard}) AS VARCHAR) AS line FROM fx_sharded ORDER BY id LIMIT 20")
 
 sql("training_table_roundtrip", _SQL["training_table"])
+
+# ---------------------------------------------------------------- record files, ingest
+sql("record_example_roundtrip",
+    " UNION ALL ".join(
+        f"SELECT id, '{name}' AS part, CAST(pos AS INTEGER) AS pos, CAST(v AS DOUBLE) AS val FROM ("
+        f"SELECT id, unnest(range(len({col}))) AS pos, unnest({col}) AS v FROM fx_video)"
+        for name, col in (("rgb", "mean_rgb"), ("audio", "mean_audio"), ("labels", "labels"))))
+
+sql("record_sequence_roundtrip", _SQL["training_table"])
+
+sql("typed_roundtrip",
+    "SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS INTEGER) AS IntegerCol, o_orderkey AS LongCol, "
+    "CAST(o_totalprice AS FLOAT) AS FloatCol, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS DoubleCol, "
+    + d_dec("[CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE), CAST(CAST(o_custkey AS FLOAT) AS DOUBLE)]", 2)
+    + " AS VectorCol, o_orderpriority AS StringCol FROM orders")
+
+sql("incremental_ingest",
+    "SELECT e.event_id, e.user_id AS id, v.name, CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS k, e.value "
+    "FROM events e JOIN fx_video_side v ON e.user_id = v.id")

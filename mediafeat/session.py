@@ -28,6 +28,7 @@ SCALE_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
