@@ -100,13 +100,13 @@ def q_frame_video_join(spark, d):
 
 @query("frames_without_video")
 def q_frames_without_video(spark, d):
-    lost = A.frames_without_video(X.fx_steps(spark, d), X.fx_video_side(spark, d))
+    lost = A.frames_without_video(X.steps_source(spark, d), X.fx_video_side(spark, d))
     return lost.groupBy("id").agg(F.count(F.lit(1)).alias("n_frames"))
 
 
 @query("steps_per_video")
 def q_steps_per_video(spark, d):
-    return S.steps_per_video(X.fx_steps(spark, d))
+    return S.steps_per_video(X.steps_source(spark, d))
 
 
 def _value_sequences(spark, d):
