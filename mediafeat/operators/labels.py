@@ -69,7 +69,7 @@ def encode_positional(df: DataFrame, k: int, labels_col: str = "labels", out_col
 
 
 def label_slot_join(df: DataFrame, vocab: DataFrame, id_col: str = "id", labels_col: str = "labels") -> DataFrame:
-    """id, slots array<int> (sorted), n_kept: slot lookup by a join.
+    """id, slots array<int> (sorted, distinct), n_kept: slot lookup by a join.
 
     The vocabulary side is bounded by K, so it is broadcast explicitly; rows
     with no labels survive through ``explode_outer``.
@@ -77,8 +77,8 @@ def label_slot_join(df: DataFrame, vocab: DataFrame, id_col: str = "id", labels_
     ex = df.select(id_col, F.explode_outer(labels_col).alias("label"))
     v = F.broadcast(vocab.select("label", "idx"))
     j = ex.join(v, "label", "left")
-    return j.groupBy(id_col).agg(F.array_sort(F.collect_list("idx")).alias("slots"),
-                                 F.count("idx").alias("n_kept"))
+    slots = j.groupBy(id_col).agg(F.array_sort(F.collect_set("idx")).alias("slots"))
+    return slots.withColumn("n_kept", F.size("slots").cast("bigint"))
 
 
 def label_coverage(df: DataFrame, hot_col: str, positional_col: str | None = None) -> DataFrame:

@@ -79,8 +79,8 @@ sql("label_slot_join",
     f"WITH vocab AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS idx "
     f"FROM ({VOCAB_ID.format(src='fx_bags')})), "
     f"ex AS (SELECT id, unnest(labels) AS label FROM fx_bags) "
-    f"SELECT ex.id, coalesce({d_ints('list_sort(list(idx) FILTER (WHERE idx IS NOT NULL))')}, '') AS slots, "
-    f"count(idx) AS n_kept FROM ex LEFT JOIN vocab USING (label) GROUP BY ex.id")
+    f"SELECT ex.id, coalesce({d_ints('list_sort(list(DISTINCT idx) FILTER (WHERE idx IS NOT NULL))')}, '') AS slots, "
+    f"count(DISTINCT idx) AS n_kept FROM ex LEFT JOIN vocab USING (label) GROUP BY ex.id")
 
 # ---------------------------------------------------------------- flagship + sequences
 STEPS = ("SELECT user_id AS id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn, value, "
