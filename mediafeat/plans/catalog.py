@@ -470,6 +470,11 @@ VIDEO_SCHEMA = TT.StructType([
     TT.StructField("mean_rgb", TT.ArrayType(TT.FloatType())), TT.StructField("mean_audio", TT.ArrayType(TT.FloatType()))])
 
 
+def _shards(spark) -> int:
+    """Output shard count: one per core of the cluster."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _long_form(df: DataFrame) -> DataFrame:
     parts = []
     for name, col in (("rgb", "mean_rgb"), ("audio", "mean_audio"), ("labels", "labels")):
@@ -481,7 +486,7 @@ def _long_form(df: DataFrame) -> DataFrame:
 @query("record_example_roundtrip")
 def q_record_example_roundtrip(spark, d):
     path = scratch_path(spark, "video_records")
-    RC.write_records(X.fx_video(spark, d).repartition(4, "id"), path, "Example")
+    RC.write_records(X.fx_video(spark, d), path, "Example", shards=_shards(spark))
     back = RC.read_records(spark, path, VIDEO_SCHEMA, "Example")
     return _long_form(RC.read_good(back))
 
@@ -498,7 +503,7 @@ TRAINING_SCHEMA = TT.StructType([
 def q_record_sequence_roundtrip(spark, d):
     path = scratch_path(spark, "training_records")
     tt = training_table(spark, d).select(*[f.name for f in TRAINING_SCHEMA.fields])
-    RC.write_records(tt, path, "SequenceExample")
+    RC.write_records(tt, path, "SequenceExample", shards=_shards(spark))
     back = RC.read_good(RC.read_records(spark, path, TRAINING_SCHEMA, "SequenceExample"))
     return training_table_view(back)
 
@@ -519,7 +524,7 @@ def q_typed_roundtrip(spark, d):
                      F.array(F.col("o_totalprice"), F.col("o_custkey").cast("double")).alias("VectorCol"),
                      F.col("o_orderpriority").alias("StringCol"))
     path = scratch_path(spark, "typed_records")
-    RC.write_records(typed, path, "Example")
+    RC.write_records(typed, path, "Example", shards=_shards(spark))
     back = RC.read_good(RC.read_records(spark, path, TYPED_SCHEMA, "Example"))
     return back.select("id", "IntegerCol", "LongCol", "FloatCol", "DoubleCol",
                        dec_str("VectorCol", 2).alias("VectorCol"), "StringCol")
@@ -531,7 +536,7 @@ def q_quarantine_records(spark, d):
     each bad record reported with its shard and reason (S15)."""
     from mediafeat.session import local_path
     path = scratch_path(spark, "bad_records")
-    RC.write_records(X.fx_video(spark, d).repartition(4, "id"), path, "Example")
+    RC.write_records(X.fx_video(spark, d), path, "Example", shards=_shards(spark))
     import glob as _glob
     import os as _os
     files = sorted(_glob.glob(_os.path.join(local_path(path), "part-*.tfrecord")))

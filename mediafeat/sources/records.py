@@ -204,11 +204,14 @@ def _is_sequence(field: T.StructField, sequence_cols: set[str]) -> bool:
     return (isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.ArrayType)) or field.name in sequence_cols
 
 
-def encode(rows: pd.DataFrame, schema: T.StructType, record_type: str, sequence_cols: set[str]) -> list[bytes]:
+def encode(rows, schema: T.StructType, record_type: str, sequence_cols: set[str]) -> list[bytes]:
+    """Serialise rows (a pandas frame or an iterable of tuples in schema order)."""
     Example, SequenceExample = message_classes()
     out = []
     fields = list(schema.fields)
-    for rec in rows.itertuples(index=False, name=None):
+    if isinstance(rows, pd.DataFrame):
+        rows = rows.itertuples(index=False, name=None)
+    for rec in rows:
         if record_type == "Example":
             m = Example()
             for fld, v in zip(fields, rec):
@@ -305,13 +308,13 @@ def read_good(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- writing (Python data source)
 def _register(spark: SparkSession) -> None:
-    from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+    from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
     class Commit(WriterCommitMessage):
         def __init__(self, path: str, n: int):
             self.path, self.n = path, n
 
-    class RecordWriter(DataSourceWriter):
+    class RecordWriter(DataSourceArrowWriter):
         def __init__(self, options, schema, overwrite):
             self.path = options["path"].rstrip("/")
             self.record_type = options.get("recordType", "Example")
@@ -332,21 +335,15 @@ def _register(spark: SparkSession) -> None:
             fs.create_dir(root, recursive=True)
             tmp = f"{root}/_tmp-{part:05d}-{attempt}-{uuid.uuid4().hex[:8]}"
             final = f"{root}/part-{part:05d}.tfrecord"
-            names = [f.name for f in self.schema.fields]
             n = 0
             with fs.open_output_stream(tmp) as out:
-                batch = []
-                for row in iterator:
-                    batch.append(tuple(row))
-                    if len(batch) >= 1024:
-                        out.write(frame(encode(pd.DataFrame(batch, columns=names), self.schema,
-                                               self.record_type, self.seq)))
-                        n += len(batch)
-                        batch = []
-                if batch:
-                    out.write(frame(encode(pd.DataFrame(batch, columns=names), self.schema,
-                                           self.record_type, self.seq)))
-                    n += len(batch)
+                for batch in iterator:  # Arrow record batches
+                    if batch.num_rows == 0:
+                        continue
+                    cols = batch.to_pydict()  # Python objects, None for nulls
+                    rows = zip(*[cols[f.name] for f in self.schema.fields])
+                    out.write(frame(encode(rows, self.schema, self.record_type, self.seq)))
+                    n += batch.num_rows
             fs.move(tmp, final)
             return Commit(final, n)
 
@@ -388,8 +385,13 @@ def _fs(path: str):
 
 
 def write_records(df: DataFrame, path: str, record_type: str = "Example", sequence_cols: list[str] | None = None,
-                  mode: str = "overwrite") -> None:
-    """Encode and write ``df`` as record shards, one per partition."""
+                  mode: str = "overwrite", shards: int | None = None) -> None:
+    """Encode and write ``df`` as record shards.
+
+    One shard per partition; ``shards`` fixes the count with an explicit
+    repartition (never coalesced by AQE), otherwise the input partitioning is kept."""
     _register(df.sparkSession)
+    if shards:
+        df = df.repartition(shards)
     (df.write.format(FORMAT).mode(mode).option("recordType", record_type)
        .option("sequenceCols", ",".join(sequence_cols or [])).save(path))

@@ -70,7 +70,8 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
 
 def words(df: DataFrame, text_col: str) -> DataFrame:
     """Text column -> one row per word (whole texts, no prefix)."""
-    return df.select(F.explode(tokens(text_col)).alias("word"))
+    from mediafeat.operators.parallel import spread
+    return spread(df.select(text_col)).select(F.explode(tokens(text_col)).alias("word"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
