@@ -32,10 +32,15 @@ def plus_term(term) -> Column:
 
 
 def quote_path(path) -> Column:
-    """Percent-encode like ``urllib.parse.quote`` for the common cases:
-    form encoding with '+' turned back to %20 and '/' kept (F10)."""
+    """Percent-encode like ``urllib.parse.quote`` (safe='/').
+
+    Built on form encoding (``url_encode``), whose differences are undone:
+    space is '+' there (a literal '+' is already %2B), '*' is kept there,
+    '~' is encoded there, and '/' is kept by ``quote``."""
     enc = F.url_encode(_col(path))
-    return F.replace(F.replace(enc, F.lit("+"), F.lit("%20")), F.lit("%2F"), F.lit("/"))
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        enc = F.replace(enc, F.lit(a), F.lit(b))
+    return enc
 
 
 def basename(path) -> Column:

@@ -4,9 +4,10 @@ Data-parallel fit with per-epoch averaging (M1 + A10)
 -----------------------------------------------------
 Each epoch: the current weights are broadcast; every partition runs mini-batch
 SGD from them in a ``mapInPandas`` kernel and emits ONE row
-``(n, delta, loss, correct)``; the deltas are averaged weighted by ``n`` with a
-distributed ``posexplode`` + ``groupBy(pos)`` (so no task ever holds all
-partition deltas); the driver receives the averaged weight vector only (the
+``(n, delta ++ [loss, correct])``; the deltas are averaged weighted by ``n``
+with a distributed ``posexplode`` + ``groupBy(pos)`` (so no task ever holds all
+partition deltas), the metric positions are summed in the same aggregate --
+one job per epoch; the driver receives the averaged weight vector only (the
 model, bounded by its size), never data.
 
 Repeatability: input rows are hash-partitioned by id into a fixed number of
@@ -88,8 +89,8 @@ def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int):
                 correct += int((p.argmax(1) == ys.argmax(1)).sum())
                 w -= lr * ((p - ys).T @ xs) / len(xs)
                 n += len(xs)
-        yield pd.DataFrame({"n": [n], "delta": [(w - w0).ravel().tolist()],
-                            "loss": [loss], "correct": [correct]})
+        # weight deltas first, then the two metric sums as extra positions
+        yield pd.DataFrame({"n": [n], "delta": [(w - w0).ravel().tolist() + [loss, float(correct)]]})
     return run
 
 
@@ -110,25 +111,27 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
             raise ValueError("model too large for driver-side averaging")
         w = np.zeros((k, d + 1))
         model = LinearModel(w)
+        size = k * (d + 1)
         for epoch in range(1, epochs + 1):
             bw = spark.sparkContext.broadcast(w.ravel())
-            parts = (data.select("x", "y")
-                         .mapInPandas(_sgd_kernel(bw, (k, d + 1), lr, batch_size),
-                                      "n long, delta array<double>, loss double, correct long")
-                         .persist(StorageLevel.MEMORY_AND_DISK))
-            avg = (parts.select("n", F.posexplode("delta").alias("pos", "v"))
-                        .groupBy("pos").agg((F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("v"))
-                        .orderBy("pos").collect())
-            m = parts.agg(F.sum("n").alias("n"), F.sum("loss").alias("loss"),
-                          F.sum("correct").alias("correct")).first()
-            parts.unpersist()
+            parts = data.select("x", "y").mapInPandas(_sgd_kernel(bw, (k, d + 1), lr, batch_size),
+                                                      "n long, delta array<double>")
+            # one job per epoch: n-weighted mean for weight positions, plain sums for metrics
+            agg = (parts.select("n", F.posexplode("delta").alias("pos", "v"))
+                        .groupBy("pos").agg(F.sum(F.col("n") * F.col("v")).alias("nv"),
+                                            F.sum("n").alias("n"), F.sum("v").alias("v"))
+                        .collect())
+            # sorted here, not with orderBy: a range sort would sample (= rerun) the epoch
+            agg.sort(key=lambda r: r["pos"])
             bw.destroy()
-            if avg:
-                w = w + np.array([r["v"] for r in avg]).reshape(k, d + 1)
-            n = int(m["n"] or 0)
-            model.history.append({"epoch": epoch, "n": n,
-                                  "loss": (m["loss"] or 0.0) / max(n * k, 1),
-                                  "accuracy": (m["correct"] or 0) / max(n, 1)})
+            if len(agg) != size + 2:
+                raise RuntimeError("incomplete epoch aggregate")
+            n = int(agg[0]["n"] or 0)
+            if n:
+                w = w + np.array([r["nv"] / r["n"] for r in agg[:size]]).reshape(k, d + 1)
+            loss, correct = agg[size]["v"], agg[size + 1]["v"]
+            model.history.append({"epoch": epoch, "n": n, "loss": loss / max(n * k, 1),
+                                  "accuracy": correct / max(n, 1)})
         model.weights = w
         return model
     finally:

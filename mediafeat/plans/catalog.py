@@ -391,7 +391,9 @@ def q_tokenize_words(spark, d):
 
 @query("query_term")
 def q_query_term(spark, d):
-    return X.table(spark, d, "part").select("p_partkey", TX.plus_term("p_name").alias("term"))
+    p = X.table(spark, d, "part")
+    return p.select("p_partkey", TX.plus_term("p_name").alias("term"),
+                    TX.quote_path(F.concat(F.lit("v3/businesses/"), F.col("p_name"), F.lit("/reviews"))).alias("quoted"))
 
 
 @query("json_field")

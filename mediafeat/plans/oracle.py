@@ -274,7 +274,8 @@ sql("tokenize_words",
     "SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text, '" + WHITESPACE_RUN + "')) AS word "
     "FROM fx_text) WHERE word <> '' GROUP BY word")
 
-sql("query_term", "SELECT p_partkey, replace(p_name, ' ', '+') AS term FROM part")
+sql("query_term", "SELECT p_partkey, replace(p_name, ' ', '+') AS term, "
+    "replace(url_encode(concat('v3/businesses/', p_name, '/reviews')), '%2F', '/') AS quoted FROM part")
 
 sql("json_field", "SELECT id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM fx_json")
 
