@@ -1,8 +1,8 @@
 """The flagship plan: frame steps -> fixed-length sequences -> join video side ->
 multi-hot labels = the training table (entry B of the source, as one plan).
 
-    steps (events) --first T per id (WindowGroupLimit)--> seq, n_steps
-                   --distinct props.k per id (partial agg)--> labels
+    steps (events) --first T per id (WindowGroupLimit)--> seq
+                   --count + distinct props.k per id (one partial agg)--> n_steps, labels
     seq ⋈ labels ⋈ video side (inner on id, J1) -> pad to T (Q10)
     vocabulary fitted once on the joined table (<= K-1 labels) -> multi-hot (F2)
 """
@@ -29,10 +29,12 @@ def step_vector(props: str = "props", value: str = "value"):
 def frame_sequences(spark: SparkSession, sf_dir: str, t: int = T_STEPS) -> DataFrame:
     """id, seq array<array<double>> (first t steps), n_steps, labels array<bigint>."""
     steps = steps_source(spark, sf_dir)
-    seq = assemble_sequences(steps, "id", ["ts", "event_id"], step_vector(), t, "frames")
-    labels = steps.groupBy("id").agg(
+    seq = assemble_sequences(steps, "id", ["ts", "event_id"], step_vector(), t, "frames", with_length=False)
+    # true length and label set in ONE partial aggregate (one scan, one shuffle)
+    per_video = steps.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_steps"),
         F.array_sort(F.collect_set(F.get_json_object("props", "$.k").cast("bigint"))).alias("labels"))
-    return seq.join(labels, "id")
+    return seq.join(per_video, "id")
 
 
 def training_table(spark: SparkSession, sf_dir: str, t: int = T_STEPS, k: int = K_LABELS,
