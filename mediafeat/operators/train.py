@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_MODEL = 50_000_000  # weights per model that may travel driver <-> executors
+INLINE_WEIGHTS = 20_000  # above this, score with a broadcast model instead of plan literals
 
 
 # ---------------------------------------------------------------- standardisation (M7)
@@ -59,13 +60,28 @@ class LinearModel:
     weights: np.ndarray                 # (k, d + 1), last column is the bias
     history: list[dict] = field(default_factory=list)
 
-    def score_expr(self, x_col: str):
-        """array<double>(k) of sigmoid scores, evaluated in the JVM (M4)."""
-        from mediafeat.functions.vectors import matvec
+    def score_expr(self, x_col: str, spark: SparkSession | None = None):
+        """array<double>(k) of sigmoid scores (M4).
+
+        Small models are inlined as literals and scored in the JVM; larger ones
+        (more than ``INLINE_WEIGHTS`` weights) are broadcast once and scored by
+        an Arrow-batched matrix product, so the plan never carries the model."""
         w = self.weights
-        raw = matvec(w[:, :-1].tolist(), F.col(x_col))
-        b = F.array(*[F.lit(float(v)) for v in w[:, -1]])
-        return F.zip_with(raw, b, lambda s, c: F.lit(1.0) / (F.lit(1.0) + F.exp(-(s + c))))
+        if w.size <= INLINE_WEIGHTS:
+            from mediafeat.functions.vectors import matvec
+            raw = matvec(w[:, :-1].tolist(), F.col(x_col))
+            b = F.array(*[F.lit(float(v)) for v in w[:, -1]])
+            return F.zip_with(raw, b, lambda s, c: F.lit(1.0) / (F.lit(1.0) + F.exp(-(s + c))))
+        spark = spark or SparkSession.getActiveSession()
+        bw = spark.sparkContext.broadcast(w)
+
+        @F.pandas_udf("array<double>")
+        def score(x: pd.Series) -> pd.Series:
+            wm = bw.value
+            xm = np.stack(x.to_numpy()).astype(np.float64)
+            p = 1.0 / (1.0 + np.exp(-(xm @ wm[:, :-1].T + wm[:, -1])))
+            return pd.Series(list(p))
+        return score(F.col(x_col))
 
 
 def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int):
@@ -95,9 +111,13 @@ def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int):
 
 
 def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str, epochs: int = 10,
-                   batch_size: int = 32, lr: float = 0.1, n_partitions: int = 8) -> LinearModel:
-    """Multi-label logistic model by synchronous data-parallel SGD with averaging."""
+                   batch_size: int = 32, lr: float = 0.1, n_partitions: int | None = None) -> LinearModel:
+    """Multi-label logistic model by synchronous data-parallel SGD with averaging.
+
+    ``n_partitions`` (default: the cluster's parallelism) is part of the
+    result: fix it to reproduce a model on a different cluster."""
     spark: SparkSession = df.sparkSession
+    n_partitions = n_partitions or spark.sparkContext.defaultParallelism
     data = (df.select(F.col(id_col).alias("_id"), F.col(features_col).cast("array<double>").alias("x"),
                       F.col(label_col).cast("array<double>").alias("y"))
               .repartition(n_partitions, "_id").sortWithinPartitions("_id")

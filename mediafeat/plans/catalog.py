@@ -474,7 +474,10 @@ VIDEO_SCHEMA = TT.StructType([
 
 def _shards(spark) -> int:
     """Output shard count: one per core of the cluster."""
-    return spark.sparkContext.defaultParallelism
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # sessions without a SparkContext handle
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _long_form(df: DataFrame) -> DataFrame:
@@ -536,19 +539,9 @@ def q_typed_roundtrip(spark, d):
 def q_quarantine_records(spark, d):
     """Record shards with one truncated and one corrupted file: good rows kept,
     each bad record reported with its shard and reason (S15)."""
-    from mediafeat.session import local_path
     path = scratch_path(spark, "bad_records")
     RC.write_records(X.fx_video(spark, d), path, "Example", shards=_shards(spark))
-    import glob as _glob
-    import os as _os
-    files = sorted(_glob.glob(_os.path.join(local_path(path), "part-*.tfrecord")))
-    with open(files[0], "r+b") as fh:  # cut the last record short
-        fh.truncate(_os.path.getsize(files[0]) - 5)
-    with open(files[1], "r+b") as fh:  # flip one payload byte of the first record
-        fh.seek(20)
-        b = fh.read(1)
-        fh.seek(20)
-        fh.write(bytes([b[0] ^ 0xFF]))
+    RC.damage_shards(path)
     back = RC.read_records(spark, path, VIDEO_SCHEMA, "Example")
     return (back.withColumn("shard", F.element_at(F.split("_file", "/"), -1))
                 .withColumn("reason", F.coalesce(F.regexp_replace("_error", " at byte [0-9]+$", ""), F.lit("ok")))

@@ -395,3 +395,25 @@ def write_records(df: DataFrame, path: str, record_type: str = "Example", sequen
         df = df.repartition(shards)
     (df.write.format(FORMAT).mode(mode).option("recordType", record_type)
        .option("sequenceCols", ",".join(sequence_cols or [])).save(path))
+
+
+def damage_shards(path: str) -> list[str]:
+    """Test helper: cut the last record of the first shard short and flip a
+    payload byte of the first record of the second (through ``pyarrow.fs``,
+    so it works on any file system the writer supports)."""
+    from pyarrow import fs as pafs
+    fs, root = _fs(path.rstrip("/"))
+    files = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(root))
+                   if i.base_name.startswith("part-"))
+    if len(files) < 2:
+        raise ValueError("need at least two shards")
+    with fs.open_input_stream(files[0]) as f:
+        a = f.read()
+    with fs.open_output_stream(files[0]) as f:
+        f.write(a[:-5])
+    with fs.open_input_stream(files[1]) as f:
+        b = bytearray(f.read())
+    b[20] ^= 0xFF
+    with fs.open_output_stream(files[1]) as f:
+        f.write(bytes(b))
+    return files[:2]
