@@ -133,12 +133,32 @@ def search(points: DataFrame, term: str | None = None, attribute: str | None = N
 
 def nearby(places: DataFrame, points: DataFrame, radius_m: float, place_id: str, point_id: str,
            limit: int | None = 50, lat: str = "lat", lng: str = "lng") -> DataFrame:
-    """Search results per place: nearest first, at most ``limit`` (the page size)."""
-    pairs = radius_pairs(places, points, radius_m, place_id, point_id, lat, lng)
+    """Search results per place: nearest first (ties by point id), at most
+    ``limit`` (the page size) -- exact, with two bounds on the work:
+
+    * points sharing one coordinate are equally far from every place, so only
+      the first ``limit`` of them by id can appear on any page: the rest are
+      dropped before the join (``WindowGroupLimit`` per coordinate);
+    * each distinct place coordinate is searched once and its page joined back
+      to the places there.
+    """
     if limit is None:
-        return pairs
-    w = Window.partitionBy(place_id).orderBy("distance_m", point_id)
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+        return radius_pairs(places, points, radius_m, place_id, point_id, lat, lng)
+    pts = points.select(point_id, lat, lng)
+    w_loc = Window.partitionBy(lat, lng).orderBy(point_id)
+    pts = pts.withColumn("_r", F.row_number().over(w_loc)).where(F.col("_r") <= limit).drop("_r")
+    locs = (places.where(F.col(lat).isNotNull() & F.col(lng).isNotNull())
+                  .select(F.col(lat).alias("_qlat"), F.col(lng).alias("_qlng")).distinct()
+                  .withColumn("_loc", F.struct("_qlat", "_qlng")))
+    pairs = radius_pairs(locs.withColumnRenamed("_qlat", lat).withColumnRenamed("_qlng", lng),
+                         pts, radius_m, "_loc", point_id, lat, lng)
+    w = Window.partitionBy("_loc").orderBy("distance_m", point_id)
+    page = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    page = page.select(F.col("_loc._qlat").alias("_qlat"), F.col("_loc._qlng").alias("_qlng"),
+                       point_id, "distance_m", "rank")
+    j = places.select(place_id, lat, lng).join(
+        page, (F.col(lat) == F.col("_qlat")) & (F.col(lng) == F.col("_qlng")))
+    return j.select(place_id, point_id, "distance_m", "rank")
 
 
 def keyed_lookup(left: DataFrame, right: DataFrame, key: str, aggs: list[Column]) -> DataFrame:

@@ -3,12 +3,12 @@
 Data-parallel fit with per-epoch averaging (M1 + A10)
 -----------------------------------------------------
 Each epoch: the current weights are broadcast; every partition runs mini-batch
-SGD from them in a ``mapInPandas`` kernel and emits ONE row
-``(n, delta ++ [loss, correct])``; the deltas are averaged weighted by ``n``
-with a distributed ``posexplode`` + ``groupBy(pos)`` (so no task ever holds all
-partition deltas), the metric positions are summed in the same aggregate --
-one job per epoch; the driver receives the averaged weight vector only (the
-model, bounded by its size), never data.
+SGD from them in a ``mapInPandas`` kernel and emits its ``n``-weighted delta
+as fixed-size chunks (one row per chunk, plus one metrics row); a
+``groupBy(chunk)`` sums each chunk element-wise over the partitions, so the
+work is spread over the chunks and no task holds more than one chunk per
+partition -- one job per epoch; the driver receives the averaged weight vector
+only (the model, bounded by its size), never data.
 
 Repeatability: input rows are hash-partitioned by id into a fixed number of
 partitions and sorted inside each, so a rerun -- or a recomputation after an
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 MAX_MODEL = 50_000_000  # weights per model that may travel driver <-> executors
 INLINE_WEIGHTS = 20_000  # above this, score with a broadcast model instead of plan literals
+CHUNK = 4096             # weights per row when partition deltas are summed
 
 
 # ---------------------------------------------------------------- standardisation (M7)
@@ -84,7 +85,7 @@ class LinearModel:
         return score(F.col(x_col))
 
 
-def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int):
+def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int, chunk: int):
     def run(it):
         w0 = np.asarray(bw.value, dtype=np.float64).reshape(shape)
         w = w0.copy()
@@ -105,13 +106,17 @@ def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int):
                 correct += int((p.argmax(1) == ys.argmax(1)).sum())
                 w -= lr * ((p - ys).T @ xs) / len(xs)
                 n += len(xs)
-        # weight deltas first, then the two metric sums as extra positions
-        yield pd.DataFrame({"n": [n], "delta": [(w - w0).ravel().tolist() + [loss, float(correct)]]})
+        # n-weighted deltas in fixed-size chunks (one row per chunk), metrics as chunk -1
+        flat = ((w - w0) * n).ravel()
+        starts = list(range(0, flat.size, chunk))
+        yield pd.DataFrame({"chunk": [-1] + [c // chunk for c in starts], "n": [n] * (len(starts) + 1),
+                            "v": [[loss, float(correct)]] + [flat[c:c + chunk].tolist() for c in starts]})
     return run
 
 
 def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str, epochs: int = 10,
-                   batch_size: int = 32, lr: float = 0.1, n_partitions: int | None = None) -> LinearModel:
+                   batch_size: int = 32, lr: float = 0.1, n_partitions: int | None = None,
+                   chunk: int = CHUNK) -> LinearModel:
     """Multi-label logistic model by synchronous data-parallel SGD with averaging.
 
     ``n_partitions`` (default: the cluster's parallelism) is part of the
@@ -132,24 +137,29 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
         w = np.zeros((k, d + 1))
         model = LinearModel(w)
         size = k * (d + 1)
+        n_chunks = -(-size // chunk)
         for epoch in range(1, epochs + 1):
             bw = spark.sparkContext.broadcast(w.ravel())
-            parts = data.select("x", "y").mapInPandas(_sgd_kernel(bw, (k, d + 1), lr, batch_size),
-                                                      "n long, delta array<double>")
-            # one job per epoch: n-weighted mean for weight positions, plain sums for metrics
-            agg = (parts.select("n", F.posexplode("delta").alias("pos", "v"))
-                        .groupBy("pos").agg(F.sum(F.col("n") * F.col("v")).alias("nv"),
-                                            F.sum("n").alias("n"), F.sum("v").alias("v"))
-                        .collect())
+            parts = data.select("x", "y").mapInPandas(_sgd_kernel(bw, (k, d + 1), lr, batch_size, chunk),
+                                                      "chunk int, n long, v array<double>")
+            # one job per epoch: element-wise sum of each chunk over the partitions
+            # (a chunk group holds one array per partition: bounded by the partition count)
+            summed = (parts.groupBy("chunk")
+                           .agg(F.sum("n").alias("n"), F.collect_list("v").alias("vs"))
+                           .select("chunk", "n", F.aggregate(
+                               "vs", F.array_repeat(F.lit(0.0), F.size(F.element_at("vs", 1))),
+                               lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("v"))
+                           .collect())
             # sorted here, not with orderBy: a range sort would sample (= rerun) the epoch
-            agg.sort(key=lambda r: r["pos"])
+            summed.sort(key=lambda r: r["chunk"])
             bw.destroy()
-            if len(agg) != size + 2:
+            if len(summed) != n_chunks + 1:
                 raise RuntimeError("incomplete epoch aggregate")
-            n = int(agg[0]["n"] or 0)
+            n = int(summed[0]["n"] or 0)  # rows seen this epoch over all partitions
             if n:
-                w = w + np.array([r["nv"] / r["n"] for r in agg[:size]]).reshape(k, d + 1)
-            loss, correct = agg[size]["v"], agg[size + 1]["v"]
+                flat = np.concatenate([np.asarray(r["v"]) for r in summed[1:]])
+                w = w + (flat / n).reshape(k, d + 1)
+            loss, correct = summed[0]["v"]
             model.history.append({"epoch": epoch, "n": n, "loss": loss / max(n * k, 1),
                                   "accuracy": correct / max(n, 1)})
         model.weights = w

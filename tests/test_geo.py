@@ -70,3 +70,20 @@ def test_nearby_limit_and_order(spark):
     pt = spark.createDataFrame(points, "bid long, lat double, lng double")
     rows = G.nearby(pl, pt, 1000.0, "id", "bid", limit=50).orderBy("rank").collect()
     assert [r["bid"] for r in rows] == list(range(50))
+
+
+def test_nearby_hot_coordinates_exact(spark):
+    rnd = random.Random(2)
+    places = [(i, 37 + rnd.random() * 0.01, -122 - rnd.random() * 0.01) for i in range(40)]
+    places += [(100 + i, places[0][1], places[0][2]) for i in range(30)]  # many places at one spot
+    points = [(i, 37 + rnd.random() * 0.01, -122 - rnd.random() * 0.01) for i in range(60)]
+    points += [(1000 + i, 37.005, -122.005) for i in range(200)]  # a hot point location
+    pl = spark.createDataFrame(places, "id long, lat double, lng double")
+    pt = spark.createDataFrame(points, "bid long, lat double, lng double")
+    got = {(r["id"], r["rank"]): r["bid"] for r in G.nearby(pl, pt, 800.0, "id", "bid", limit=25).collect()}
+    want = {}
+    for pid, la, lo in places:
+        cand = sorted((hav(la, lo, a, b), bid) for bid, a, b in points if hav(la, lo, a, b) <= 800.0)
+        for rk, (_, bid) in enumerate(cand[:25], start=1):
+            want[(pid, rk)] = bid
+    assert got == want
