@@ -9,7 +9,7 @@ the run key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mediafeat.functions.vectors import argmax
@@ -62,26 +62,31 @@ def efficiency(df: DataFrame, speedup_col: str, nodes_col: str, out: str = "effi
     return df.withColumn(out, F.try_divide(F.col(speedup_col), F.col(nodes_col).cast("double")))
 
 
-def early_stopping(hist: DataFrame, run: str, epoch: str, loss: str, patience: int = 3) -> DataFrame:
+def early_stopping(hist: DataFrame, run: str, epoch: str, loss: str, patience: int = 3,
+                   hot_rows: int | None = None, blocks: int | None = None) -> DataFrame:
     """Per run: stop_epoch, best_epoch, best_loss, n_saved.
 
     Keras semantics with min_delta 0: an epoch improves when its loss is below
     every earlier loss; training stops at the first epoch that is ``patience``
     epochs past the last improvement (else it runs to the last epoch); the
     checkpoint kept is the best epoch up to the stop.
-    Epoch histories are bounded by the epoch budget, so per-run windows are small.
+
+    Both running statistics (best loss before each epoch, last improving
+    epoch) are skew-safe prefix scans (:mod:`mediafeat.operators.ordering`):
+    a run holding a third of all rows is split into blocks, not one task.
     """
-    w_prev = Window.partitionBy(run).orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
-    w_run = Window.partitionBy(run).orderBy(epoch).rowsBetween(Window.unboundedPreceding, 0)
-    h = hist.withColumn("_best_before", F.min(loss).over(w_prev))
+    from mediafeat.operators import ordering as O
+    h, hot = O.with_blocks(hist, [run], [epoch], hot_rows or O.HOT_ROWS, blocks or O.BLOCKS)
+    h = O.running(h, [run], [epoch], loss, "min", "_best_before", exclusive=True, blocked=hot)
     h = h.withColumn("_improved", F.col("_best_before").isNull() | (F.col(loss) < F.col("_best_before")))
-    h = h.withColumn("_last_imp", F.max(F.when(F.col("_improved"), F.col(epoch))).over(w_run))
+    h = O.running(h, [run], [epoch], F.when(F.col("_improved"), F.col(epoch)), "max", "_last_imp",
+                  exclusive=False, blocked=hot)
     h = h.withColumn("_trigger", (F.col(epoch) - F.col("_last_imp")) >= patience)
     stop = h.groupBy(run).agg(
         F.coalesce(F.min(F.when(F.col("_trigger"), F.col(epoch))), F.max(epoch)).alias("stop_epoch"))
     hs = h.join(stop, run).where(F.col(epoch) <= F.col("stop_epoch"))
     return hs.groupBy(run).agg(
-        F.first("stop_epoch").alias("stop_epoch"),
+        F.max("stop_epoch").alias("stop_epoch"),
         F.min_by(F.col(epoch), F.struct(F.col(loss), F.col(epoch))).alias("best_epoch"),
         F.min(loss).alias("best_loss"),
         F.count_if(F.col("_improved")).alias("n_saved"))

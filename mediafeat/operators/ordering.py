@@ -1,8 +1,8 @@
-"""Exact per-group row numbers that stay balanced when one group is huge.
+"""Exact per-group order statistics that stay balanced when one group is huge.
 
-``row_number() OVER (PARTITION BY g ORDER BY o)`` puts every row of a group in
-one task; a video holding a third of all frames would make that task a third
-of the job.  Instead:
+``row_number()`` or a running ``min`` over ``PARTITION BY g ORDER BY o`` puts
+every row of a group in one task; a video or run holding a third of all rows
+would make that task a third of the job.  Instead:
 
 1. rows per group -- a partial aggregate; groups above ``hot_rows`` are hot
    (at most ``total / hot_rows`` of them, checked before anything is broadcast);
@@ -12,31 +12,32 @@ of the job.  Instead:
 3. every row gets a block number = cut points <= its key: value-based, so any
    recomputation (retries, executor loss) gives the same blocks; rows with an
    equal leading key always share a block, so the order is preserved;
-4. row number inside (group, block) by a window -- the shuffle is on
+4. the statistic inside (group, block) by a window -- the shuffle is on
    (group, block), spreading a hot group over ``blocks`` tasks;
-5. plus the number of rows of the same group in earlier blocks (a running sum
-   over at most ``blocks`` rows per group, joined back on (group, block); the
-   big side keeps its partitioning, only the small side moves).
+5. combined with the same statistic over the earlier blocks of the group (a
+   window over at most ``blocks`` summary rows per group, joined back on
+   (group, block); the big side keeps its partitioning, only the small side moves).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000   # a group above this many rows is split
 BLOCKS = 64            # sub-blocks per hot group
 MAX_HOT = 100_000      # hot groups whose cut points may be broadcast
+BLK = "_blk"
 
 
-def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "rn",
-                hot_rows: int = HOT_ROWS, blocks: int = BLOCKS) -> DataFrame:
-    """Append an exact 1-based row number per group following ``order``."""
+def with_blocks(df: DataFrame, group: list[str], order: list[str], hot_rows: int = HOT_ROWS,
+                blocks: int = BLOCKS) -> tuple[DataFrame, bool]:
+    """Append ``_blk`` (0 for ordinary groups); returns (frame, any_hot)."""
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > hot_rows).select(*group)
     n_hot = hot.count()
     if n_hot == 0:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        return df.withColumn(BLK, F.lit(0)), False
     if n_hot > MAX_HOT:
         raise ValueError(f"{n_hot} hot groups: raise hot_rows so the cut table stays bounded")
     lead = order[0]
@@ -45,11 +46,52 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "r
               .groupBy(*group).agg(F.percentile_approx(lead, fractions, 10_000).alias("_cuts")))
     blk = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
         F.size(F.filter("_cuts", lambda c: c <= F.col(lead))))
-    tagged = df.join(F.broadcast(cuts), group, "left").withColumn("_blk", blk).drop("_cuts")
-    local = tagged.withColumn("_lrn", F.row_number().over(
-        Window.partitionBy(*group, "_blk").orderBy(*order)))
-    sizes = tagged.groupBy(*group, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*group, "_blk", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    j = local.join(offsets, [*group, "_blk"])
-    return j.withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int")).drop("_blk", "_lrn", "_off")
+    return df.join(F.broadcast(cuts), group, "left").withColumn(BLK, blk).drop("_cuts"), True
+
+
+_AGG = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
+
+
+def _combine(fn: str, within: Column, prev: Column) -> Column:
+    if fn == "min":
+        return F.least(within, prev)        # least/greatest skip nulls
+    if fn == "max":
+        return F.greatest(within, prev)
+    both_null = within.isNull() & prev.isNull()
+    return F.when(both_null, F.lit(None)).otherwise(F.coalesce(within, F.lit(0)) + F.coalesce(prev, F.lit(0)))
+
+
+def running(df: DataFrame, group: list[str], order: list[str], value: str | Column, fn: str, out: str,
+            exclusive: bool = False, blocked: bool = True) -> DataFrame:
+    """Running ``fn`` (min, max, sum, count) of ``value`` over the rows before
+    (``exclusive``) or up to each row of its group.  ``df`` must carry ``_blk``
+    from :func:`with_blocks`; ``blocked=False`` (no hot group) uses the plain window."""
+    v = F.col(value) if isinstance(value, str) else value
+    agg = _AGG[fn]
+    end = -1 if exclusive else 0
+    if not blocked:
+        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+        return df.withColumn(out, agg(v).over(w))
+    w_in = Window.partitionBy(*group, BLK).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    t = df.withColumn("_within", agg(v).over(w_in))
+    summary = df.groupBy(*group, BLK).agg(agg(v).alias("_b"))
+    before = Window.partitionBy(*group).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    outer = _AGG["sum"] if fn == "count" else agg
+    summary = summary.select(*group, BLK, outer("_b").over(before).alias("_prev"))
+    j = t.join(summary, [*group, BLK])
+    return j.withColumn(out, _combine(fn, F.col("_within"), F.col("_prev"))).drop("_within", "_prev")
+
+
+def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "rn",
+                hot_rows: int = HOT_ROWS, blocks: int = BLOCKS) -> DataFrame:
+    """Append an exact 1-based row number per group following ``order`` (ties
+    must not exist)."""
+    t, hot = with_blocks(df, group, order, hot_rows, blocks)
+    if not hot:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    local = t.withColumn("_lrn", F.row_number().over(Window.partitionBy(*group, BLK).orderBy(*order)))
+    sizes = t.groupBy(*group, BLK).agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*group).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*group, BLK, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    j = local.join(offsets, [*group, BLK])
+    return j.withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int")).drop(BLK, "_lrn", "_off")

@@ -307,12 +307,12 @@ def q_shard_output_names(spark, d):
 from mediafeat.operators import metrics as M  # noqa: E402
 from mediafeat.functions import text as TX  # noqa: E402
 
-EPOCH_BUDGET = 200  # the source's largest epoch budget; a run has at most this many epochs
-
-
 def run_history(spark, d):
-    """Per run (id): epochs 1..budget in time order, value as the watched loss."""
-    h = P.limit_per_group(X.steps_source(spark, d), "id", ["ts", "event_id"], EPOCH_BUDGET, "epoch")
+    """Per run (id): every step in time order is an epoch, value the watched loss.
+
+    Epoch numbers come from the skew-safe ``number_rows`` (whole runs, no cap)."""
+    from mediafeat.operators.ordering import number_rows
+    h = number_rows(X.steps_source(spark, d), ["id"], ["ts", "event_id"], "epoch")
     return h.select("id", "event_id", "epoch", F.col("value").alias("loss"))
 
 

@@ -208,7 +208,7 @@ sql("shard_output_names",
 
 # ---------------------------------------------------------------- metrics and scoring
 HIST = ("SELECT user_id AS id, event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) "
-        "AS epoch, value AS loss FROM events QUALIFY epoch <= 200")
+        "AS epoch, value AS loss FROM events")
 ES = (f"WITH h AS ({HIST}), "
       "b AS (SELECT *, min(loss) OVER (PARTITION BY id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
       "AS best_before FROM h), "

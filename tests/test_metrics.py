@@ -43,3 +43,32 @@ def test_crossentropy_uniform(spark):
     df = spark.createDataFrame([(0, [1.0, 1.0, 1.0, 1.0])], "c int, s array<double>")
     r = M.categorical_crossentropy(df, "c", "s").first()
     assert abs(r["loss"] - 1.386294) < 1e-6
+
+
+def test_early_stopping_hot_run_matches_plain(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 40).cast("string")).alias("run"),
+        F.col("id").alias("t"), ((F.col("id") * 7919) % 1000 / 10.0 - F.col("id") / 600.0).alias("loss"))
+    h = rows.withColumn("epoch", F.row_number().over(Window.partitionBy("run").orderBy("t")))
+    plain = M.early_stopping(h, "run", "epoch", "loss", 3, hot_rows=10**9)
+    split = M.early_stopping(h, "run", "epoch", "loss", 3, hot_rows=500, blocks=8)
+    assert plain.count() == 41
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+def test_running_stats_blocked_equal_plain(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from mediafeat.operators import ordering as O
+    df = spark.range(3000).select((F.col("id") % 2).alias("g"), F.col("id").alias("o"),
+                                  ((F.col("id") * 31) % 97).alias("v"))
+    t, hot = O.with_blocks(df, ["g"], ["o"], hot_rows=100, blocks=6)
+    assert hot
+    for fn in ("min", "max", "sum", "count"):
+        for ex in (True, False):
+            a = O.running(t, ["g"], ["o"], "v", fn, "r", exclusive=ex, blocked=True).select("o", "r")
+            b = O.running(t, ["g"], ["o"], "v", fn, "r", exclusive=ex, blocked=False).select("o", "r")
+            assert a.exceptAll(b).count() == 0, (fn, ex)
