@@ -61,21 +61,42 @@ def fix_length(df: DataFrame, seq_col: str, t: int, short: str = "drop", zero: C
     raise ValueError("short must be 'drop', 'pad' or 'error'")
 
 
-def pool_sequence(df: DataFrame, seq_col: str, d: int, prefix: str = "pool") -> DataFrame:
-    """Per-dimension mean, max, first and last step of a sequence of d-vectors (M3).
+def pool_sequence(df: DataFrame, seq_col: str, d: int, prefix: str = "pool", decay: float = 0.5) -> DataFrame:
+    """Per-dimension summaries of a sequence of d-vectors (M3): mean, max,
+    first and last step, and decayed means -- ``fwd`` weights step t by
+    ``decay ** (T-1-t)`` (recent steps count most, like a forward recurrent
+    pass), ``bwd`` by ``decay ** t`` (early steps count most).
 
     Pure higher-order functions over the (bounded) sequence; returns one
     array<double>(d) column per statistic.
     """
     s = F.col(seq_col)
+    n = F.size(s)
     dims = F.sequence(F.lit(0), F.lit(d - 1))
 
     def over(j, init, fn):
         return F.aggregate(s, init, lambda acc, v: fn(acc, v[j].cast("double")))
 
-    mean = F.transform(dims, lambda j: over(j, F.lit(0.0), lambda a, x: a + x) / F.size(s))
+    def decayed(j, backward: bool):
+        # step weights in sequence order, then a weighted mean
+        w = F.transform(s, lambda v, t: F.pow(F.lit(decay), t if backward else n - 1 - t))
+        num = F.aggregate(F.zip_with(s, w, lambda v, wt: v[j].cast("double") * wt), F.lit(0.0),
+                          lambda a, x: a + x)
+        den = F.aggregate(w, F.lit(0.0), lambda a, x: a + x)
+        return num / den
+
+    mean = F.transform(dims, lambda j: over(j, F.lit(0.0), lambda a, x: a + x) / n)
     mx = F.transform(dims, lambda j: over(j, F.lit(float("-inf")), lambda a, x: F.greatest(a, x)))
     first = F.transform(dims, lambda j: s[0][j].cast("double"))
     last = F.transform(dims, lambda j: F.element_at(s, -1)[j].cast("double"))
+    fwd = F.transform(dims, lambda j: decayed(j, False))
+    bwd = F.transform(dims, lambda j: decayed(j, True))
     return df.select("*", mean.alias(f"{prefix}_mean"), mx.alias(f"{prefix}_max"),
-                     first.alias(f"{prefix}_first"), last.alias(f"{prefix}_last"))
+                     first.alias(f"{prefix}_first"), last.alias(f"{prefix}_last"),
+                     fwd.alias(f"{prefix}_fwd"), bwd.alias(f"{prefix}_bwd"))
+
+
+def step_count_mismatch(a: str, b: str) -> Column:
+    """Quarantine predicate (Q13): the modalities of one video disagree on the
+    number of steps (the source took the count from one and indexed the other)."""
+    return F.coalesce(F.size(F.col(a)) != F.size(F.col(b)), F.lit(False))

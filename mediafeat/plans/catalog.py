@@ -139,7 +139,8 @@ def q_flatten_sequence(spark, d):
 @query("sequence_pooling")
 def q_sequence_pooling(spark, d):
     pooled = S.pool_sequence(frame_sequences(spark, d, T), "frames", 2)
-    return pooled.select("id", *[dec_str(f"pool_{s}", 6).alias(s) for s in ("mean", "max", "first", "last")])
+    return pooled.select("id", *[dec_str(f"pool_{s}", 6).alias(s)
+                                 for s in ("mean", "max", "first", "last", "fwd", "bwd")])
 
 
 # ---------------------------------------------------------------- vectors, projections
@@ -603,7 +604,7 @@ def q_train_mlp(spark, d):
 @query("train_sequence")
 def q_train_sequence(spark, d):
     tt = S.pool_sequence(training_table(spark, d, short="pad"), "frames", 2)
-    tt = tt.withColumn("x", F.concat("pool_mean", "pool_max", "pool_first", "pool_last"))
+    tt = tt.withColumn("x", F.concat("pool_mean", "pool_max", "pool_first", "pool_last", "pool_fwd", "pool_bwd"))
     tt = TR.standardise(tt, "x")
     model = TR.fit_multilabel(tt, "x", "labels_hot", "id", epochs=5, batch_size=32, lr=0.5)
     return TR.history_frame(spark, model)

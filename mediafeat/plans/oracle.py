@@ -124,9 +124,20 @@ _MEAN = "list_transform(range(2), lambda j: list_reduce(list_transform(s, lambda
 _MAX = "list_transform(range(2), lambda j: list_max(list_transform(s, lambda v: v[j + 1])))"
 _FIRST = "list_transform(range(2), lambda j: s[1][j + 1])"
 _LAST = "list_transform(range(2), lambda j: s[len(s)][j + 1])"
+# DuckDB lambda indexes are 1-based: step t (0-based) = i - 1
+_W_FWD = "list_transform(s, lambda v, i: pow(0.5, len(s) - i))"
+_W_BWD = "list_transform(s, lambda v, i: pow(0.5, i - 1))"
+
+
+def _decayed(weights: str) -> str:
+    return (f"list_transform(range(2), lambda j: list_reduce(list_transform(s, lambda v, i: v[j + 1] * "
+            f"{weights}[i]), lambda a, b: a + b) / list_reduce({weights}, lambda a, b: a + b))")
+
+
 sql("sequence_pooling",
     f"{FRAMES} SELECT id, {d_dec(_MEAN, 6)} AS mean, {d_dec(_MAX, 6)} AS max, "
-    f"{d_dec(_FIRST, 6)} AS first, {d_dec(_LAST, 6)} AS last FROM seq")
+    f"{d_dec(_FIRST, 6)} AS first, {d_dec(_LAST, 6)} AS last, "
+    f"{d_dec(_decayed(_W_FWD), 6)} AS fwd, {d_dec(_decayed(_W_BWD), 6)} AS bwd FROM seq")
 
 # ---------------------------------------------------------------- vectors, projections
 sql("fuse_features",

@@ -33,10 +33,21 @@ def test_policies(spark):
         S.fix_length(seq, "seq", T, "error").collect()
 
 
-def test_step_count_mismatch_is_visible(spark):
-    df = spark.createDataFrame([(1, [[1.0]] * 3, [[2.0]] * 2)], "id long, rgb array<array<double>>, audio array<array<double>>")
-    bad = df.where(F.size("rgb") != F.size("audio")).count()
-    assert bad == 1
+def test_step_count_mismatch_goes_to_quarantine(spark):
+    from mediafeat.sources.tables import quarantine
+    df = spark.createDataFrame([(1, [[1.0]] * 3, [[2.0]] * 2), (2, [[1.0]] * 2, [[2.0]] * 2)],
+                               "id long, rgb array<array<double>>, audio array<array<double>>")
+    good, bad = quarantine(df, [("step_count_mismatch", S.step_count_mismatch("rgb", "audio"))])
+    assert [r["id"] for r in good.collect()] == [2]
+    assert [(r["id"], r["reason"]) for r in bad.collect()] == [(1, "step_count_mismatch")]
+
+
+def test_duplicate_video_ids_multiply_unless_deduplicated(spark):
+    from mediafeat.operators.assemble import frame_video_join
+    frames = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "id long, step int")
+    video = spark.createDataFrame([(1, "a"), (1, "a2"), (2, "b")], "id long, name string")
+    assert frame_video_join(frames, video).count() == 5          # Q9: multiplicity kept
+    assert frame_video_join(frames, video, dedup_video=True).count() == 3
 
 
 def test_pooling(spark):
@@ -46,6 +57,9 @@ def test_pooling(spark):
     assert list(r["pool_max"]) == [3.0, 4.0]
     assert list(r["pool_first"]) == [1.0, 4.0]
     assert list(r["pool_last"]) == [3.0, 2.0]
+    # fwd weights (0.5, 1) favour the last step; bwd weights (1, 0.5) the first
+    assert list(r["pool_fwd"]) == pytest.approx([(0.5 * 1 + 3) / 1.5, (0.5 * 4 + 2) / 1.5])
+    assert list(r["pool_bwd"]) == pytest.approx([(1 + 0.5 * 3) / 1.5, (4 + 0.5 * 2) / 1.5])
 
 
 def test_first_steps_uses_group_limit(spark):
