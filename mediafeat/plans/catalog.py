@@ -19,6 +19,17 @@ from mediafeat.operators import sequences as S
 from mediafeat.plans import fixtures as X
 from mediafeat.plans.compare import dec_str, ints_str, nested_dec_str
 from mediafeat.plans.training_table import K_LABELS, T_STEPS, frame_sequences, training_table
+from mediafeat.functions import text as TX
+from mediafeat.operators import geo as G
+from mediafeat.operators import metrics as M
+from mediafeat.operators import split as P
+from mediafeat.operators import train as TR
+from mediafeat.session import scratch_path
+from mediafeat.sources import records as RC
+from mediafeat.sources import tables as TB
+from mediafeat.streaming.ingest import ingest_once
+from pyspark.sql import types as TT
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -207,9 +218,6 @@ def q_argmax_class(spark, d):
 
 
 # ---------------------------------------------------------------- splits, shards, limits
-from mediafeat.operators import split as P  # noqa: E402
-from mediafeat.sources import tables as TB  # noqa: E402
-from mediafeat.session import scratch_path  # noqa: E402
 
 SEED = 7
 EXCLUDED = ["train0003.rec", "train0007.rec", "train0011.rec"]
@@ -305,8 +313,6 @@ def q_shard_output_names(spark, d):
 
 
 # ---------------------------------------------------------------- metrics and scoring
-from mediafeat.operators import metrics as M  # noqa: E402
-from mediafeat.functions import text as TX  # noqa: E402
 
 def run_history(spark, d):
     """Per run (id): every step in time order is an epoch, value the watched loss.
@@ -409,8 +415,6 @@ def q_decode_u8(spark, d):
 
 
 # ---------------------------------------------------------------- geo
-from mediafeat.operators import geo as G  # noqa: E402
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType  # noqa: E402
 
 
 def _biz(spark, d):
@@ -465,8 +469,6 @@ def q_training_table_roundtrip(spark, d):
 
 
 # ---------------------------------------------------------------- record files
-from mediafeat.sources import records as RC  # noqa: E402
-from pyspark.sql import types as TT  # noqa: E402
 
 VIDEO_SCHEMA = TT.StructType([
     TT.StructField("id", TT.StringType()), TT.StructField("labels", TT.ArrayType(TT.LongType())),
@@ -550,7 +552,6 @@ def q_quarantine_records(spark, d):
 
 
 # ---------------------------------------------------------------- incremental ingest
-from mediafeat.streaming.ingest import ingest_once  # noqa: E402
 
 
 def ingest_transform(video_side: DataFrame):
@@ -577,7 +578,6 @@ def q_incremental_ingest(spark, d):
 
 
 # ---------------------------------------------------------------- training (rows-only checks)
-from mediafeat.operators import train as TR  # noqa: E402
 
 
 def _video_xy(spark, d):
@@ -619,3 +619,52 @@ def q_model_roundtrip(spark, d):
     back = TR.load_weights(spark, path)
     scored = data.withColumn("p", back.score_expr("x"))
     return M.topclass_accuracy(scored, "y", "p")
+
+
+# ---------------------------------------------------------------- end-to-end plans (entries A and B)
+from mediafeat.plans import conversion as CV  # noqa: E402
+from mediafeat.plans import evaluation as EV  # noqa: E402
+
+CONVERTED_SCHEMA = TT.StructType([
+    TT.StructField("id", TT.StringType()), TT.StructField("split", TT.StringType()),
+    TT.StructField("n_steps", TT.LongType()), TT.StructField("true_len", TT.IntegerType()),
+    TT.StructField("frame_rgb", TT.ArrayType(TT.ArrayType(TT.DoubleType()))),
+    TT.StructField("frame_audio", TT.ArrayType(TT.ArrayType(TT.DoubleType()))),
+    TT.StructField("mean_rgb", TT.ArrayType(TT.DoubleType())),
+    TT.StructField("mean_audio", TT.ArrayType(TT.DoubleType())),
+    TT.StructField("labels", TT.ArrayType(TT.LongType())),
+    TT.StructField("labels_hot", TT.ArrayType(TT.DoubleType()))])
+
+
+@query("shard_conversion")
+def q_shard_conversion(spark, d):
+    """Video-level records + long-form frames -> converted sequence records per shard."""
+    base = scratch_path(spark, "conversion")
+    RC.write_records(X.fx_video(spark, d), f"{base}/video", "Example", shards=_shards(spark))
+    video = RC.read_good(RC.read_records(spark, f"{base}/video", VIDEO_SCHEMA, "Example"))
+    uid = X.steps_source(spark, d).withColumn("_u", F.col("id"))
+    frames = uid.select(
+        F.col("_u").cast("string").alias("id"), "ts", "event_id", "value", "props",
+        F.concat(F.lit("train"), F.lpad((F.col("_u") % 12).cast("string"), 4, "0"), F.lit(".rec")).alias("shard"))
+    k = F.get_json_object("props", "$.k").cast("double")
+    conv = CV.convert(frames, video, order=["ts", "event_id"], rgb=F.array(F.col("value"), k),
+                      audio=F.array(F.col("value") / F.lit(100.0)), label=k, t=T, k=K, ratio=0.2, seed=SEED,
+                      exclude=EXCLUDED)
+    CV.write_converted(conv, f"{base}/converted", shards=_shards(spark))
+    back = RC.read_good(RC.read_records(spark, f"{base}/converted", CONVERTED_SCHEMA, "SequenceExample"))
+    back = back.withColumn("shard", RC.partition_value("_file", "shard"))
+    return back.select("id", "shard", "split", "n_steps", "true_len",
+                       nested_dec_str("frame_rgb").alias("frame_rgb"),
+                       nested_dec_str("frame_audio").alias("frame_audio"),
+                       dec_str("mean_rgb", 6).alias("mean_rgb"), ints_str("labels_hot").alias("hot"))
+
+
+@query("video_train_eval")
+def q_video_train_eval(spark, d):
+    """Train on video-level record shards, evaluate on the held-out shards."""
+    base = scratch_path(spark, "video_eval")
+    v = P.split_holdout(X.fx_video(spark, d), "id", 0.2, SEED)
+    RC.write_records(v.where("split = 'train'").drop("split"), f"{base}/train", "Example", shards=_shards(spark))
+    RC.write_records(v.where("split = 'dev'").drop("split"), f"{base}/validate", "Example", shards=_shards(spark))
+    _, metrics = EV.train_and_evaluate(spark, f"{base}/train", f"{base}/validate", k=K, epochs=10, batch_size=32)
+    return metrics

@@ -336,3 +336,27 @@ sql("typed_roundtrip",
 sql("incremental_ingest",
     "SELECT e.event_id, e.user_id AS id, v.name, CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS k, e.value "
     "FROM events e JOIN fx_video_side v ON e.user_id = v.id")
+
+# ---------------------------------------------------------------- end-to-end conversion
+_F32 = "CAST(CAST({} AS FLOAT) AS DOUBLE)"
+_SHARD = "concat('train', lpad(CAST(user_id % 12 AS VARCHAR), 4, '0'), '.rec')"
+sql("shard_conversion",
+    "WITH st AS (SELECT CAST(user_id AS VARCHAR) AS id, " + _SHARD + " AS shard, "
+    "row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn, "
+    "[" + _F32.format("value") + ", " + _F32.format("CAST(json_extract_string(props, '$.k') AS DOUBLE)") + "] AS rgb, "
+    "[" + _F32.format("value / 100.0") + "] AS audio, "
+    "CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events "
+    "WHERE " + _SHARD + " NOT IN ('train0003.rec', 'train0007.rec', 'train0011.rec')), "
+    f"seq AS (SELECT id, min(shard) AS shard, list(rgb ORDER BY rn) FILTER (WHERE rn <= {T}) AS fr, "
+    f"list(audio ORDER BY rn) FILTER (WHERE rn <= {T}) AS fa, count(*) AS n_steps, "
+    "list_sort(list_distinct(list(k))) AS labels FROM st GROUP BY id), "
+    "j AS (SELECT seq.*, CAST(v.mean_rgb AS DOUBLE[]) AS mean_rgb FROM seq JOIN fx_video v ON seq.id = v.id), "
+    "s AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5(concat(id, '#', '7')) DESC) <= "
+    "(SELECT greatest(1, CAST(floor(count(*) * 0.2::DOUBLE) AS BIGINT)) FROM j) THEN 'dev' ELSE 'train' END AS split "
+    "FROM j), "
+    f"vocab AS ({VOCAB_LIST.format(src='(SELECT * FROM s WHERE split = ' + chr(39) + 'train' + chr(39) + ')')}) "
+    "SELECT id, shard, split, n_steps, CAST(len(fr) AS INTEGER) AS true_len, "
+    + d_nested_dec(f"list_concat(fr, list_transform(range({T} - len(fr)), lambda x: [0.0::DOUBLE, 0.0::DOUBLE]))")
+    + " AS frame_rgb, "
+    + d_nested_dec(f"list_concat(fa, list_transform(range({T} - len(fa)), lambda x: [0.0::DOUBLE]))")
+    + " AS frame_audio, " + d_dec("mean_rgb", 6) + " AS mean_rgb, " + d_ints(HOT) + " AS hot FROM s, vocab")

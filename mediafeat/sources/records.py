@@ -273,7 +273,7 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     seq = set(sequence_cols or [])
     out_schema = T.StructType(list(schema.fields) + [T.StructField("_file", T.StringType()),
                                                      T.StructField("_error", T.StringType())])
-    r = spark.read.format("binaryFile")
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     files = r.load(path if isinstance(path, list) else [path]).select("path", "content")
@@ -319,7 +319,10 @@ def _register(spark: SparkSession) -> None:
             self.path = options["path"].rstrip("/")
             self.record_type = options.get("recordType", "Example")
             self.seq = set(filter(None, options.get("sequenceCols", "").split(",")))
+            self.part_col = options.get("partitionCol") or None
             self.schema = schema
+            # the partition column names a directory and is not stored in the records
+            self.rec_schema = T.StructType([f for f in schema.fields if f.name != self.part_col])
             if overwrite:
                 fs, root = _fs(self.path)
                 from pyarrow import fs as pafs
@@ -333,25 +336,46 @@ def _register(spark: SparkSession) -> None:
             attempt = ctx.attemptNumber() if ctx else 0
             fs, root = _fs(self.path)
             fs.create_dir(root, recursive=True)
-            tmp = f"{root}/_tmp-{part:05d}-{attempt}-{uuid.uuid4().hex[:8]}"
-            final = f"{root}/part-{part:05d}.tfrecord"
-            n = 0
-            with fs.open_output_stream(tmp) as out:
-                for batch in iterator:  # Arrow record batches
-                    if batch.num_rows == 0:
-                        continue
-                    cols = batch.to_pydict()  # Python objects, None for nulls
-                    rows = zip(*[cols[f.name] for f in self.schema.fields])
-                    out.write(frame(encode(rows, self.schema, self.record_type, self.seq)))
-                    n += batch.num_rows
-            fs.move(tmp, final)
-            return Commit(final, n)
+            names = [f.name for f in self.rec_schema.fields]
+            written, n = [], 0
+            cur_key, out, tmp, final = object(), None, None, None
+
+            def close():
+                if out is not None:
+                    out.close()
+                    fs.move(tmp, final)
+                    written.append(final)
+
+            for batch in iterator:  # Arrow record batches, sorted by the partition column
+                if batch.num_rows == 0:
+                    continue
+                cols = batch.to_pydict()  # Python objects, None for nulls
+                keys = cols[self.part_col] if self.part_col else [None] * batch.num_rows
+                start = 0
+                while start < batch.num_rows:
+                    key = keys[start]
+                    end = start
+                    while end < batch.num_rows and keys[end] == key:
+                        end += 1
+                    if key != cur_key:
+                        close()
+                        d = root if self.part_col is None else f"{root}/{self.part_col}={key}"
+                        fs.create_dir(d, recursive=True)
+                        tmp = f"{d}/_tmp-{part:05d}-{attempt}-{uuid.uuid4().hex[:8]}"
+                        final = f"{d}/part-{part:05d}.tfrecord"
+                        out, cur_key = fs.open_output_stream(tmp), key
+                    rows = zip(*[cols[c][start:end] for c in names])
+                    out.write(frame(encode(rows, self.rec_schema, self.record_type, self.seq)))
+                    n += end - start
+                    start = end
+            close()
+            return Commit(written, n)
 
         def commit(self, messages):
             fs, root = _fs(self.path)
             fs.create_dir(root, recursive=True)
             from pyarrow import fs as pafs
-            for info in fs.get_file_info(pafs.FileSelector(root)):
+            for info in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
                 if info.base_name.startswith("_tmp-"):
                     fs.delete_file(info.path)
             with fs.open_output_stream(f"{root}/_SUCCESS"):
@@ -360,9 +384,9 @@ def _register(spark: SparkSession) -> None:
         def abort(self, messages):
             fs, _ = _fs(self.path)
             for m in messages or []:
-                if m is not None:
+                for f in (m.path if m is not None else []):
                     try:
-                        fs.delete_file(m.path)
+                        fs.delete_file(f)
                     except Exception:
                         pass
 
@@ -385,16 +409,28 @@ def _fs(path: str):
 
 
 def write_records(df: DataFrame, path: str, record_type: str = "Example", sequence_cols: list[str] | None = None,
-                  mode: str = "overwrite", shards: int | None = None) -> None:
-    """Encode and write ``df`` as record shards.
-
-    One shard per partition; ``shards`` fixes the count with an explicit
-    repartition (never coalesced by AQE), otherwise the input partitioning is kept."""
+                  mode: str = "overwrite", shards: int | None = None, partition_by: str | None = None) -> None:
+    """Encode and write ``df`` as record shards.
+
+    One file per partition; ``shards`` fixes the count with an explicit
+    repartition (never coalesced by AQE), otherwise the input partitioning is
+    kept.  ``partition_by`` writes one directory per value of that column
+    (``<col>=<value>/part-*.tfrecord``), so a shard named in the data keeps its
+    name on disk whatever task writes it; rows are sorted by it inside each
+    task so only one file is open at a time."""
     _register(df.sparkSession)
     if shards:
-        df = df.repartition(shards)
+        df = df.repartition(shards, partition_by) if partition_by else df.repartition(shards)
+    if partition_by:
+        df = df.sortWithinPartitions(partition_by)
     (df.write.format(FORMAT).mode(mode).option("recordType", record_type)
-       .option("sequenceCols", ",".join(sequence_cols or [])).save(path))
+       .option("sequenceCols", ",".join(sequence_cols or []))
+       .option("partitionCol", partition_by or "").save(path))
+
+
+def partition_value(path_col: str, name: str):
+    """The ``<name>=<value>`` directory value of a record file path."""
+    return F.regexp_extract(F.col(path_col), f"/{name}=([^/]+)/", 1)
 
 
 def damage_shards(path: str) -> list[str]:

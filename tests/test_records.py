@@ -86,3 +86,15 @@ def test_mask_matches_definition():
     c = 0x12345678
     rot = ((c >> 15) | (c << 17)) & 0xFFFFFFFF
     assert int(mask(c)) == (rot + 0xA282EAD8) & 0xFFFFFFFF
+
+
+def test_partitioned_write_names_shards(spark):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    df = spark.range(100).select("id", F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("shard"))
+    path = scratch_path(spark, "t_part")
+    RC.write_records(df, path, shards=4, partition_by="shard")
+    back = RC.read_records(spark, path, schema).withColumn("shard", RC.partition_value("_file", "shard"))
+    got = {(r["id"], r["shard"]) for r in back.collect()}
+    assert got == {(i, f"s{i % 3}") for i in range(100)}
+    dirs = sorted(d for d in os.listdir(local_path(path)) if not d.startswith("_"))
+    assert dirs == ["shard=s0", "shard=s1", "shard=s2"]
