@@ -34,29 +34,40 @@ def seeded_shuffle(df: DataFrame, id_col: str, seed: int) -> DataFrame:
     return df.withColumn("shuffle_key", shuffle_key(id_col, seed)).orderBy("shuffle_key", id_col)
 
 
-def kth_largest_key(df: DataFrame, key_col: str, k: int, direct_limit: int = DIRECT_LIMIT) -> str | None:
+def _histogram(cand: DataFrame, level: int) -> list[tuple[str, int]]:
+    rows = (cand.groupBy(F.substring("_k", level + 1, DIGITS).alias("_b"))
+                .agg(F.count(F.lit(1)).alias("_n")).collect())
+    return sorted(((r["_b"], r["_n"]) for r in rows), reverse=True)
+
+
+def kth_largest_key(df: DataFrame, key_col: str, k: int | None, direct_limit: int = DIRECT_LIMIT,
+                    k_of_n=None) -> str | None:
     """The k-th largest value of a lower-case hex key column (exact, distributed).
 
     Only bucket counts (<= 16**DIGITS rows) and one key ever reach the driver.
+    ``k_of_n`` derives k from the row count, which the first histogram gives
+    for free (no separate count pass).
     """
-    if k <= 0:
-        return None
     cand = df.select(F.col(key_col).alias("_k"))
+    hist = _histogram(cand, 0)
+    if k_of_n is not None:
+        k = k_of_n(sum(n for _, n in hist))
+    if not k or k <= 0:
+        return None
     prefix, remaining, width = "", k, None
     for level in range(0, 32, DIGITS):
         if width is not None and width <= direct_limit:
             break
-        hist = (cand.groupBy(F.substring("_k", level + 1, DIGITS).alias("_b"))
-                    .agg(F.count(F.lit(1)).alias("_n")).collect())
-        hist.sort(key=lambda r: r["_b"], reverse=True)
+        if level > 0:
+            hist = _histogram(cand, level)
         above = 0
-        for r in hist:
-            if above + r["_n"] >= remaining:
-                prefix += r["_b"]
+        for b, n in hist:
+            if above + n >= remaining:
+                prefix += b
                 remaining -= above
-                width = r["_n"]
+                width = n
                 break
-            above += r["_n"]
+            above += n
         else:
             return None  # fewer than k keys
         cand = cand.where(F.col("_k").startswith(prefix))
@@ -76,9 +87,8 @@ def split_holdout(df: DataFrame, id_col: str, ratio: float, seed: int, exact: bo
     if not exact:
         bucket = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(str(seed))), F.lit(1_000_000))
         return keyed.withColumn(split_col, F.when(bucket < int(ratio * 1_000_000), "dev").otherwise("train")).drop("_key")
-    n = df.count()
-    dev_n = max(1, int(math.floor(n * ratio))) if n else 0
-    cut = kth_largest_key(keyed, "_key", dev_n)
+    cut = kth_largest_key(keyed, "_key", None,
+                          k_of_n=lambda n: max(1, int(math.floor(n * ratio))) if n else 0)
     if cut is None:
         return keyed.withColumn(split_col, F.lit("train")).drop("_key")
     return keyed.withColumn(split_col, F.when(F.col("_key") >= F.lit(cut), "dev").otherwise("train")).drop("_key")
