@@ -62,6 +62,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - connect sessions
             root = None
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            # a machine-local folder is not shared by executors on a cluster
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="mediafeat-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
