@@ -87,3 +87,45 @@ def test_nearby_hot_coordinates_exact(spark):
         for rk, (_, bid) in enumerate(cand[:25], start=1):
             want[(pid, rk)] = bid
     assert got == want
+
+
+def _check_adaptive(spark, places, points, r, **kw):
+    pl = spark.createDataFrame(places, "id long, lat double, lng double")
+    pt = spark.createDataFrame(points, "bid long, lat double, lng double")
+    got = {row["id"]: row["n"] for row in G.radius_count_adaptive(pl, pt, r, out_col="n", **kw).collect()}
+    assert got == _brute(places, points, r)
+
+
+def test_adaptive_dense_area_matches_brute_force(spark):
+    rnd = random.Random(8)
+    places = [(i, 37 + rnd.random() * 0.03, -122 - rnd.random() * 0.03) for i in range(120)]
+    # a dense cluster of distinct points (a third of all points in a few hundred metres)
+    points = [(i, 37.01 + rnd.random() * 0.004, -122.01 - rnd.random() * 0.004) for i in range(600)]
+    points += [(1000 + i, 37 + rnd.random() * 0.03, -122 - rnd.random() * 0.03) for i in range(1200)]
+    _check_adaptive(spark, places, points, 1000.0, levels=6, pair_limit=8)
+    _check_adaptive(spark, places, points, 1000.0)  # defaults
+
+
+def test_adaptive_edges_and_poles(spark):
+    rnd = random.Random(13)
+    places, points = [], []
+    for i, (la, lo) in enumerate([(0, 179.999), (0, -179.999), (89.995, 10), (-89.999, -50), (60, 0), (45, 90)]):
+        places.append((i, float(la), float(lo)))
+        for jj in range(80):
+            points.append((i * 100 + jj, float(max(-90, min(90, la + rnd.uniform(-0.02, 0.02)))),
+                           ((lo + rnd.uniform(-0.05, 0.05) + 180) % 360) - 180))
+    _check_adaptive(spark, places, points, 1000.0, levels=5, pair_limit=4)
+
+
+def test_auto_switches_on_budget(spark):
+    rnd = random.Random(21)
+    places = [(i, 37 + rnd.random() * 0.02, -122 - rnd.random() * 0.02) for i in range(60)]
+    points = [(i, 37.005 + rnd.random() * 0.002, -122.005 - rnd.random() * 0.002) for i in range(400)]
+    pl = spark.createDataFrame(places, "id long, lat double, lng double")
+    pt = spark.createDataFrame(points, "bid long, lat double, lng double")
+    est = G.grid_pairs_estimate(pl, pt, 1000.0)
+    assert 0 < est <= 60 * 400
+    want = _brute(places, points, 1000.0)
+    for budget in (10**12, 1):  # grid, then forced adaptive
+        got = {r["id"]: r["n"] for r in G.radius_count(pl, pt, 1000.0, out_col="n", pair_budget=budget).collect()}
+        assert got == want
