@@ -112,12 +112,20 @@ def exclude_values(df: DataFrame, col: str, names: list[str]) -> DataFrame:
     return df.where(~F.col(col).isin(list(names)))
 
 
+INLINE_VALUES = 10_000  # value lists up to this size become a literal IN filter
+
+
 def limit_values(df: DataFrame, col: str, n: int) -> DataFrame:
     """Keep rows of the first n distinct values of ``col`` by name.
 
-    The distinct list is reduced to n rows (bounded), then broadcast into a
-    semi-join."""
+    The first n names (a bounded list, read from the column alone) become a
+    literal IN filter, so on a ``partitionBy(col)`` layout the other shards are
+    pruned at file listing and never read.  Beyond ``INLINE_VALUES`` names the
+    list stays distributed and is broadcast into a semi-join."""
     first = df.select(col).distinct().orderBy(col).limit(n)
+    if n <= INLINE_VALUES:
+        names = [r[0] for r in first.collect()]
+        return df.where(F.col(col).isin(names))
     return df.join(F.broadcast(first), col, "left_semi")
 
 

@@ -260,14 +260,22 @@ def q_records_per_shard(spark, d):
     return X.fx_sharded(spark, d).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
 
 
+def sharded_layout(spark, d) -> DataFrame:
+    """fx_sharded stored the way shards live on disk: one directory per shard."""
+    path = scratch_path(spark, "sharded")
+    TB.write_partitioned(X.fx_sharded(spark, d), path, ["shard"])
+    return spark.read.parquet(path)
+
+
 @query("exclude_shards")
 def q_exclude_shards(spark, d):
-    return P.exclude_values(X.fx_sharded(spark, d), "shard", EXCLUDED).select("id", "shard")
+    # the shard filter becomes a PartitionFilter: excluded shards are never listed
+    return P.exclude_values(sharded_layout(spark, d), "shard", EXCLUDED).select("id", "shard")
 
 
 @query("limit_shards")
 def q_limit_shards(spark, d):
-    return P.limit_values(X.fx_sharded(spark, d), "shard", 5).select("id", "shard")
+    return P.limit_values(sharded_layout(spark, d), "shard", 5).select("id", "shard")
 
 
 @query("limit_per_shard")

@@ -64,3 +64,17 @@ def test_limit_per_group_plan(spark):
     out = P.limit_per_group(df, "g", ["id"], 5)
     assert out.count() == 15
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shard_filters_prune_partitions(spark):
+    from mediafeat.session import scratch_path
+    path = scratch_path(spark, "t_layout")
+    spark.range(60).select("id", F.concat(F.lit("s"), (F.col("id") % 6).cast("string")).alias("shard")) \
+        .write.partitionBy("shard").parquet(path)
+    df = spark.read.parquet(path)
+    for out in (P.exclude_values(df, "shard", ["s1", "s2"]), P.limit_values(df, "shard", 2)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "shard" in filters and "IN" in filters.upper()
+    assert sorted({r["shard"] for r in P.limit_values(df, "shard", 2).collect()}) == ["s0", "s1"]
+    assert P.exclude_values(df, "shard", ["s1", "s2"]).count() == 40
