@@ -258,12 +258,12 @@ sql("standardise_features",
     "SELECT unnest(range(len(mean_rgb))) AS pos, unnest(mean_rgb) AS v FROM fx_video) GROUP BY pos")
 
 sql("speedup",
-    "SELECT user_id AS id, event_id, round(first_value(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) "
-    "/ nullif(value, 0.0), 6) AS speedup FROM events")
+    "SELECT user_id AS id, event_id, first_value(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) "
+    "/ nullif(value, 0.0) AS speedup FROM events")
 
 sql("parallel_efficiency",
-    f"WITH h AS ({HIST}) SELECT id, epoch AS nodes, round(first_value(loss) OVER (PARTITION BY id ORDER BY epoch) "
-    "/ nullif(loss, 0.0) / CAST(epoch AS DOUBLE), 6) AS efficiency FROM h")
+    f"WITH h AS ({HIST}) SELECT id, epoch AS nodes, first_value(loss) OVER (PARTITION BY id ORDER BY epoch) "
+    "/ nullif(loss, 0.0) / CAST(epoch AS DOUBLE) AS efficiency FROM h")
 
 sql("early_stop_epoch", f"{ES} SELECT id, stop_epoch FROM s")
 
