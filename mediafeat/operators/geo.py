@@ -85,7 +85,8 @@ def _place_keys(locs: DataFrame, grid: Grid, lat: str, lng: str) -> DataFrame:
     return locs.select("*", k).select("*", F.col("_k.band").alias("band"), F.col("_k.cell").alias("cell")).drop("_k")
 
 
-PAIRS_PER_CORE = 50_000_000  # candidate pairs the plain grid join may evaluate, per core
+PAIRS_PER_CORE = 50_000_000  # candidate pairs the plain grid join may evaluate, per core (counting)
+PAGE_PAIRS_PER_CORE = 5_000_000  # the same for search pages: each pair also goes through a per-place sort
 
 
 def grid_pairs_estimate(places: DataFrame, points: DataFrame, radius_m: float, lat: str = "lat",
@@ -163,7 +164,8 @@ def search(points: DataFrame, term: str | None = None, attribute: str | None = N
 
 
 def nearby(places: DataFrame, points: DataFrame, radius_m: float, place_id: str, point_id: str,
-           limit: int | None = 50, lat: str = "lat", lng: str = "lng") -> DataFrame:
+           limit: int | None = 50, lat: str = "lat", lng: str = "lng", method: str = "auto",
+           pair_budget: int | None = None) -> DataFrame:
     """Search results per place: nearest first (ties by point id), at most
     ``limit`` (the page size) -- exact, with two bounds on the work:
 
@@ -171,10 +173,17 @@ def nearby(places: DataFrame, points: DataFrame, radius_m: float, place_id: str,
       the first ``limit`` of them by id can appear on any page: the rest are
       dropped before the join (``WindowGroupLimit`` per coordinate);
     * each distinct place coordinate is searched once and its page joined back
-      to the places there.
+      to the places there;
+    * above a measured candidate-pair budget (as in :func:`radius_count`) the
+      rank-pruned hierarchy :func:`nearby_adaptive` runs instead.
     """
     if limit is None:
         return radius_pairs(places, points, radius_m, place_id, point_id, lat, lng)
+    if method == "auto":
+        budget = pair_budget or PAGE_PAIRS_PER_CORE * places.sparkSession.sparkContext.defaultParallelism
+        method = "grid" if grid_pairs_estimate(places, points, radius_m, lat, lng) <= budget else "adaptive"
+    if method == "adaptive":
+        return nearby_adaptive(places, points, radius_m, place_id, point_id, limit, lat, lng)
     pts = points.select(point_id, lat, lng)
     w_loc = Window.partitionBy(lat, lng).orderBy(point_id)
     pts = pts.withColumn("_r", F.row_number().over(w_loc)).where(F.col("_r") <= limit).drop("_r")
@@ -340,3 +349,82 @@ def radius_count_adaptive(places: DataFrame, points: DataFrame, radius_m: float,
     if cap is not None:
         n = F.least(n, F.lit(cap).cast("bigint"))
     return j.withColumn(out_col, n).drop("_qlat", "_qlng", "_n")
+
+
+def _bounds(h: Hierarchy, j: int, qlat: Column, qlng: Column, b: Column, c: Column):
+    """(lower bound, upper bound) of the distance from a place to any point of a
+    cell; (0, +inf) where the corner arguments do not hold (wide or polar cells)."""
+    la0, la1, lo0, lo1, w = h.rect(b, c, j)
+    corners = [haversine_m(qlat, qlng, la, lo) for la in (la0, la1) for lo in (lo0, lo1)]
+    cla, clo = (la0 + la1) / 2, (lo0 + lo1) / 2
+    circum = F.greatest(*[haversine_m(cla, clo, la, lo) for la in (la0, la1) for lo in (lo0, lo1)])
+    small = (w <= F.lit(90.0)) & (la0 > F.lit(-89.9)) & (la1 < F.lit(89.9))
+    lower = F.when(small, F.greatest(F.lit(0.0), (haversine_m(qlat, qlng, cla, clo) - circum) * F.lit(1 - 1e-9)))
+    upper = F.when(small, F.greatest(*corners) * F.lit(1 + 1e-9))
+    return F.coalesce(lower, F.lit(0.0)), F.coalesce(upper, F.lit(float("inf")))
+
+
+def nearby_adaptive(places: DataFrame, points: DataFrame, radius_m: float, place_id: str, point_id: str,
+                    limit: int = 50, lat: str = "lat", lng: str = "lng", levels: int = 8,
+                    pair_limit: int = 256) -> DataFrame:
+    """Exact search pages (nearest ``limit`` points within the radius, ties by
+    point id) that stay output-sensitive in dense areas.
+
+    Per place and grid level, every candidate cell gets distance bounds.  Cells
+    beyond the radius are dropped; sorting the place's cells by their upper
+    bound, the running point count gives a distance D that already holds
+    ``limit`` points, so cells whose lower bound exceeds D cannot reach the page
+    and are dropped too.  Sparse survivors are resolved point by point, dense
+    ones split into their four children.  A place in the middle of ten
+    thousand points looks at the cells around its nearest few dozen, not at the
+    ten thousand.
+    """
+    h = Hierarchy(radius_m, levels)
+    r = float(radius_m)
+    w_loc = Window.partitionBy(lat, lng).orderBy(point_id)
+    pts = (points.where(F.col(lat).isNotNull() & F.col(lng).isNotNull())
+                 .select(point_id, F.col(lat).alias("_plat"), F.col(lng).alias("_plng"))
+                 .withColumn("_r", F.row_number().over(Window.partitionBy("_plat", "_plng").orderBy(point_id)))
+                 .where(F.col("_r") <= limit).drop("_r"))
+    bm, cm = h.keys(F.col("_plat"), F.col("_plng"))
+    pts = pts.withColumn("_bm", bm).withColumn("_cm", cm)
+    locs = (places.where(F.col(lat).isNotNull() & F.col(lng).isNotNull())
+                  .select(F.col(lat).alias("_qlat"), F.col(lng).alias("_qlng")).distinct())
+    cand = (locs.select("*", F.explode(h.start_keys(F.col("_qlat"), F.col("_qlng"))).alias("_k"))
+                .select("_qlat", "_qlng", F.col("_k.b").alias("_b"), F.col("_k.c").alias("_c")))
+    loc_w = Window.partitionBy("_qlat", "_qlng")
+    found = []
+    for j in range(levels + 1):
+        shift = levels - j
+        keyed = pts.select(F.shiftright("_bm", shift).alias("_b"), F.shiftright("_cm", shift).alias("_c"),
+                           point_id, "_plat", "_plng")
+        counts = keyed.groupBy("_b", "_c").agg(F.count(F.lit(1)).alias("_cnt"))
+        lo, hi = _bounds(h, j, F.col("_qlat"), F.col("_qlng"), F.col("_b"), F.col("_c"))
+        c = (cand.join(counts, ["_b", "_c"]).withColumn("_lo", lo).withColumn("_hi", hi)
+                 .where(F.col("_lo") <= F.lit(r)))
+        run = F.sum("_cnt").over(loc_w.orderBy("_hi", "_b", "_c").rowsBetween(Window.unboundedPreceding, 0))
+        c = c.withColumn("_run", run)
+        c = c.withColumn("_D", F.min(F.when(F.col("_run") >= limit, F.col("_hi"))).over(loc_w))
+        c = c.where(F.col("_D").isNull() | (F.col("_lo") <= F.col("_D"))).drop("_run", "_D").checkpoint(eager=True)
+        resolve = c if j == levels else c.where(F.col("_cnt") <= pair_limit)
+        d = haversine_m(F.col("_qlat"), F.col("_qlng"), F.col("_plat"), F.col("_plng"))
+        found.append(resolve.select("_qlat", "_qlng", "_b", "_c").join(keyed, ["_b", "_c"])
+                            .withColumn("distance_m", d).where(F.col("distance_m") <= F.lit(r))
+                            .select("_qlat", "_qlng", point_id, "distance_m"))
+        if j == levels:
+            break
+        dense = c.where(F.col("_cnt") > pair_limit)
+        if dense.isEmpty():
+            break
+        kids = F.array(*[F.struct((F.col("_b") * 2 + db).alias("b"), (F.col("_c") * 2 + dc).alias("c"))
+                         for db in (0, 1) for dc in (0, 1)])
+        cand = (dense.select("_qlat", "_qlng", F.explode(kids).alias("_k"))
+                     .select("_qlat", "_qlng", F.col("_k.b").alias("_b"), F.col("_k.c").alias("_c")))
+    pairs = found[0]
+    for f in found[1:]:
+        pairs = pairs.unionByName(f)
+    page = (pairs.withColumn("rank", F.row_number().over(loc_w.orderBy("distance_m", point_id)))
+                 .where(F.col("rank") <= limit))
+    j = places.select(place_id, lat, lng).join(
+        page, (F.col(lat) == F.col("_qlat")) & (F.col(lng) == F.col("_qlng")))
+    return j.select(place_id, point_id, "distance_m", "rank")

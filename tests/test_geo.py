@@ -129,3 +129,30 @@ def test_auto_switches_on_budget(spark):
     for budget in (10**12, 1):  # grid, then forced adaptive
         got = {r["id"]: r["n"] for r in G.radius_count(pl, pt, 1000.0, out_col="n", pair_budget=budget).collect()}
         assert got == want
+
+
+def _page_brute(places, points, r, limit):
+    want = {}
+    for pid, la, lo in places:
+        cand = sorted((hav(la, lo, a, b), bid) for bid, a, b in points if hav(la, lo, a, b) <= r)
+        for rk, (_, bid) in enumerate(cand[:limit], start=1):
+            want[(pid, rk)] = bid
+    return want
+
+
+def test_nearby_adaptive_dense_matches_brute_force(spark):
+    rnd = random.Random(31)
+    places = [(i, 37 + rnd.random() * 0.02, -122 - rnd.random() * 0.02) for i in range(50)]
+    places += [(100 + i, places[0][1], places[0][2]) for i in range(5)]
+    points = [(i, 37.008 + rnd.random() * 0.004, -122.008 - rnd.random() * 0.004) for i in range(1500)]
+    points += [(5000 + i, 37 + rnd.random() * 0.02, -122 - rnd.random() * 0.02) for i in range(500)]
+    points += [(9000 + i, 37.01, -122.01) for i in range(40)]  # identical coordinates
+    pl = spark.createDataFrame(places, "id long, lat double, lng double")
+    pt = spark.createDataFrame(points, "bid long, lat double, lng double")
+    want = _page_brute(places, points, 900.0, 20)
+    for kw in ({"levels": 6, "pair_limit": 16}, {}):
+        got = {(r["id"], r["rank"]): r["bid"]
+               for r in G.nearby_adaptive(pl, pt, 900.0, "id", "bid", limit=20, **kw).collect()}
+        assert got == want
+    got = {(r["id"], r["rank"]): r["bid"] for r in G.nearby(pl, pt, 900.0, "id", "bid", limit=20, pair_budget=1).collect()}
+    assert got == want
