@@ -13,9 +13,15 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    """Round-robin over ``min_partitions`` (default: cluster parallelism) when a
+    narrow plan (scan + projections) has fewer partitions.  Plans that already
+    shuffle are left alone: their width is the shuffle's, and asking an
+    adaptive plan for its partitions would run its upstream stages."""
     try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if "Exchange" in df._jdf.queryExecution().sparkPlan().toString():
+            return df
         have = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - sessions without RDD access
+    except Exception:  # pragma: no cover - sessions without JVM/RDD access
         return df
     return df.repartition(want) if have < want else df
