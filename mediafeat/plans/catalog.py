@@ -550,13 +550,17 @@ def q_typed_roundtrip(spark, d):
 
 @query("quarantine_records")
 def q_quarantine_records(spark, d):
-    """Record shards with one truncated and one corrupted file: good rows kept,
-    each bad record reported with its shard and reason (S15)."""
+    """Record shards (one directory per shard, records in id order) with the
+    last record of the first shard cut short and one payload byte of the first
+    record of the second shard flipped: good rows are kept, each bad record is
+    reported with its shard and reason (S15, Q11)."""
     path = scratch_path(spark, "bad_records")
-    RC.write_records(X.fx_video(spark, d), path, "Example", shards=_shards(spark))
+    v = X.fx_video(spark, d).withColumn(
+        "shard", F.concat(F.lit("part"), (F.col("id").cast("bigint") % 8).cast("string")))
+    RC.write_records(v, path, "Example", shards=8, partition_by="shard", sort_by=["id"])
     RC.damage_shards(path)
     back = RC.read_records(spark, path, VIDEO_SCHEMA, "Example")
-    return (back.withColumn("shard", F.element_at(F.split("_file", "/"), -1))
+    return (back.withColumn("shard", RC.partition_value("_file", "shard"))
                 .withColumn("reason", F.coalesce(F.regexp_replace("_error", " at byte [0-9]+$", ""), F.lit("ok")))
                 .groupBy("shard", "reason").agg(F.count(F.lit(1)).alias("n")))
 

@@ -360,3 +360,10 @@ sql("shard_conversion",
     + " AS frame_rgb, "
     + d_nested_dec(f"list_concat(fa, list_transform(range({T} - len(fa)), lambda x: [0.0::DOUBLE]))")
     + " AS frame_audio, " + d_dec("mean_rgb", 6) + " AS mean_rgb, " + d_ints(HOT) + " AS hot FROM s, vocab")
+
+sql("quarantine_records",
+    "WITH v AS (SELECT id, 'part' || CAST(CAST(id AS BIGINT) % 8 AS VARCHAR) AS shard FROM fx_video), "
+    "bad AS (SELECT 'part0' AS shard, max(id) AS id, 'truncated record' AS reason FROM v WHERE shard = 'part0' "
+    "UNION ALL SELECT 'part1', min(id), 'payload checksum mismatch' FROM v WHERE shard = 'part1') "
+    "SELECT shard, 'ok' AS reason, count(*) AS n FROM v WHERE id NOT IN (SELECT id FROM bad) GROUP BY shard "
+    "UNION ALL SELECT shard, reason, CAST(1 AS BIGINT) AS n FROM bad")

@@ -412,7 +412,8 @@ def _fs(path: str):
 
 
 def write_records(df: DataFrame, path: str, record_type: str = "Example", sequence_cols: list[str] | None = None,
-                  mode: str = "overwrite", shards: int | None = None, partition_by: str | None = None) -> None:
+                  mode: str = "overwrite", shards: int | None = None, partition_by: str | None = None,
+                  sort_by: list[str] | None = None) -> None:
     """Encode and write ``df`` as record shards.
 
     One file per partition; ``shards`` fixes the count with an explicit
@@ -420,12 +421,14 @@ def write_records(df: DataFrame, path: str, record_type: str = "Example", sequen
     kept.  ``partition_by`` writes one directory per value of that column
     (``<col>=<value>/part-*.tfrecord``), so a shard named in the data keeps its
     name on disk whatever task writes it; rows are sorted by it inside each
-    task so only one file is open at a time."""
+    task so only one file is open at a time; ``sort_by`` fixes the record order
+    inside each file."""
     _register(df.sparkSession)
     if shards:
         df = df.repartition(shards, partition_by) if partition_by else df.repartition(shards)
-    if partition_by:
-        df = df.sortWithinPartitions(partition_by)
+    keys = ([partition_by] if partition_by else []) + list(sort_by or [])
+    if keys:
+        df = df.sortWithinPartitions(*keys)
     (df.write.format(FORMAT).mode(mode).option("recordType", record_type)
        .option("sequenceCols", ",".join(sequence_cols or []))
        .option("partitionCol", partition_by or "").save(path))
@@ -442,7 +445,7 @@ def damage_shards(path: str) -> list[str]:
     so it works on any file system the writer supports)."""
     from pyarrow import fs as pafs
     fs, root = _fs(path.rstrip("/"))
-    files = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(root))
+    files = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(root, recursive=True))
                    if i.base_name.startswith("part-"))
     if len(files) < 2:
         raise ValueError("need at least two shards")
