@@ -90,3 +90,42 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 8, executor_memory_gb: int = 32,
+                 target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a cluster job reading ``input_bytes`` (pass them to the
+    session builder or ``spark-submit --conf``).
+
+    * scan splits and shuffle partitions of ~``target_partition_mb`` so a task's
+      working set stays a small fraction of executor memory
+      (``executor_memory_gb / executor_cores`` per core) and sorts/aggregations
+      spill rarely; AQE starts from the upper bound and coalesces down to the
+      advisory size from measured map output;
+    * skewed join partitions (4x the median and above 1 GB) are split by AQE;
+    * broadcast joins only under a measured 64 MB;
+    * executor loss: decommissioning migrates shuffle and cached blocks of a
+      leaving executor, tasks are retried, stages re-attempted.
+    """
+    per_core_mb = executor_memory_gb * 1024 // max(1, executor_cores)
+    part_mb = max(32, min(target_partition_mb, per_core_mb // 4))
+    parts = int(min(200_000, max(200, input_bytes // (part_mb * 1024 * 1024))))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{part_mb}m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{part_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.storage.decommission.rddBlocks.enabled": "true",
+        "spark.task.maxFailures": "8",
+        "spark.stage.maxConsecutiveAttempts": "8",
+    }
