@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mediafeat import defaults as DF
 from mediafeat.functions import vectors as V
 from mediafeat.operators import assemble as A
 from mediafeat.operators import labels as L
@@ -235,7 +236,7 @@ def q_seeded_shuffle(spark, d):
 
 @query("holdout_split")
 def q_holdout_split(spark, d):
-    return P.split_holdout(X.fx_video(spark, d), "id", 0.2, SEED).select("id", "split")
+    return P.split_holdout(X.fx_video(spark, d), "id", DF.VALIDATION_RATIO, SEED).select("id", "split")
 
 
 def _sharded_split(spark, d):
@@ -378,12 +379,13 @@ def q_parallel_efficiency(spark, d):
 
 @query("early_stop_epoch")
 def q_early_stop_epoch(spark, d):
-    return M.early_stopping(run_history(spark, d), "id", "epoch", "loss", 3).select("id", "stop_epoch")
+    return M.early_stopping(run_history(spark, d), "id", "epoch", "loss", DF.EARLY_STOP_PATIENCE).select(
+        "id", "stop_epoch")
 
 
 @query("best_checkpoint")
 def q_best_checkpoint(spark, d):
-    es = M.early_stopping(run_history(spark, d), "id", "epoch", "loss", 3)
+    es = M.early_stopping(run_history(spark, d), "id", "epoch", "loss", DF.EARLY_STOP_PATIENCE)
     return es.select("id", "best_epoch", F.round("best_loss", 6).alias("best_loss"), "n_saved")
 
 
@@ -392,7 +394,7 @@ def q_run_label(spark, d):
     st = X.steps_source(spark, d).groupBy("id").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.get_json_object("props", "$.k").cast("bigint")).alias("kmax"),
         F.min("value").alias("vmin"), F.max("value").alias("vmax"))
-    return st.select("id", TX.run_label("lstm_%d_%d_%.2f_%.2f", "n", "kmax", "vmin", "vmax").alias("label"))
+    return st.select("id", TX.run_label(DF.RUN_LABEL_FORMAT, "n", "kmax", "vmin", "vmax").alias("label"))
 
 
 @query("epoch_seconds")
@@ -433,13 +435,14 @@ def _biz(spark, d):
 
 @query("geo_new_businesses")
 def q_geo_new_businesses(spark, d):
-    return G.radius_count(X.fx_places(spark, d), _biz(spark, d), 1000.0, cap=50).select(
+    return G.radius_count(X.fx_places(spark, d), _biz(spark, d), DF.SEARCH_RADIUS_M, cap=DF.SEARCH_PAGE_SIZE).select(
         "id", "lat", "lng", "new_businesses")
 
 
 @query("business_search")
 def q_business_search(spark, d):
-    r = G.nearby(X.fx_places(spark, d), _biz(spark, d), 1000.0, "id", "business_id", limit=50)
+    r = G.nearby(X.fx_places(spark, d), _biz(spark, d), DF.SEARCH_RADIUS_M, "id", "business_id",
+                 limit=DF.SEARCH_PAGE_SIZE)
     return r.select("id", "business_id", F.round("distance_m", 3).alias("distance_m"), "rank")
 
 
@@ -602,8 +605,9 @@ def _video_xy(spark, d):
 
 @query("train_linear_avg")
 def q_train_linear_avg(spark, d):
-    data = P.split_holdout(_video_xy(spark, d), "id", 0.2, SEED)
-    model = TR.fit_multilabel(data.where("split = 'train'"), "x", "y", "id", epochs=10, batch_size=32, lr=0.5)
+    data = P.split_holdout(_video_xy(spark, d), "id", DF.VALIDATION_RATIO, SEED)
+    model = TR.fit_multilabel(data.where("split = 'train'"), "x", "y", "id", epochs=DF.EPOCHS,
+                              batch_size=DF.BATCH_SIZE, lr=0.5)
     return TR.history_frame(spark, model)
 
 
@@ -677,8 +681,9 @@ def q_shard_conversion(spark, d):
 def q_video_train_eval(spark, d):
     """Train on video-level record shards, evaluate on the held-out shards."""
     base = scratch_path(spark, "video_eval")
-    v = P.split_holdout(X.fx_video(spark, d), "id", 0.2, SEED)
+    v = P.split_holdout(X.fx_video(spark, d), "id", DF.VALIDATION_RATIO, SEED)
     RC.write_records(v.where("split = 'train'").drop("split"), f"{base}/train", "Example", shards=_shards(spark))
     RC.write_records(v.where("split = 'dev'").drop("split"), f"{base}/validate", "Example", shards=_shards(spark))
-    _, metrics = EV.train_and_evaluate(spark, f"{base}/train", f"{base}/validate", k=K, epochs=10, batch_size=32)
+    _, metrics = EV.train_and_evaluate(spark, f"{base}/train", f"{base}/validate", k=K, epochs=DF.EPOCHS,
+                                       batch_size=DF.BATCH_SIZE)
     return metrics

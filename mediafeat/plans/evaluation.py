@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mediafeat.defaults import BATCH_SIZE, EPOCHS, LABEL_SLOTS
 from mediafeat.functions.labels import multihot_positional
 from mediafeat.operators.metrics import topclass_accuracy
 from mediafeat.operators.train import LinearModel, fit_multilabel
@@ -34,8 +35,8 @@ def load_pairs(spark: SparkSession, path: str, k: int) -> DataFrame:
                        multihot_positional("labels", k).alias("label"))
 
 
-def train_and_evaluate(spark: SparkSession, train_path: str, test_path: str, k: int = 10, epochs: int = 10,
-                       batch_size: int = 32, lr: float = 0.5,
+def train_and_evaluate(spark: SparkSession, train_path: str, test_path: str, k: int = LABEL_SLOTS,
+                       epochs: int = EPOCHS, batch_size: int = BATCH_SIZE, lr: float = 0.5,
                        n_partitions: int | None = None) -> tuple[LinearModel, DataFrame]:
     train = load_pairs(spark, train_path, k)
     model = fit_multilabel(train, "features", "label", "id", epochs=epochs, batch_size=batch_size, lr=lr,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from mediafeat.defaults import CONVERTED_SUFFIX, RUN_LABEL_FORMAT
 from mediafeat.plans.compare import d_dec, d_ints, d_nested_dec
 from mediafeat.plans.fixtures import DUCK
 
@@ -214,7 +215,7 @@ sql("quarantine_counts",
     "WHEN NOT regexp_matches(shard, '^train[0-9]{4}\\.rec$') THEN 'bad_shard_name' "
     "WHEN amount > 450000 THEN 'outlier_amount' ELSE 'ok' END AS reason, count(*) AS n FROM fx_sharded GROUP BY ALL")
 sql("shard_output_names",
-    "SELECT shard, concat(string_split(concat('data/frame/', shard), '/')[-1], '-converted.tfrecord') AS out_name, "
+    "SELECT shard, concat(string_split(concat('data/frame/', shard), '/')[-1], '" + CONVERTED_SUFFIX + "') AS out_name, "
     "count(*) AS n FROM fx_sharded GROUP BY ALL")
 
 # ---------------------------------------------------------------- metrics and scoring
@@ -273,7 +274,7 @@ sql("best_checkpoint",
     "GROUP BY id")
 
 sql("run_label",
-    "SELECT user_id AS id, printf('lstm_%d_%d_%.2f_%.2f', count(*), max(CAST(json_extract_string(props, '$.k') AS BIGINT)), "
+    "SELECT user_id AS id, printf('" + RUN_LABEL_FORMAT + "', count(*), max(CAST(json_extract_string(props, '$.k') AS BIGINT)), "
     "min(value), max(value)) AS label FROM events GROUP BY user_id")
 
 sql("epoch_seconds", "SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS secs FROM events")

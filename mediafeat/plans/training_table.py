@@ -12,13 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mediafeat.defaults import LABEL_SLOTS, SEQUENCE_STEPS
 from mediafeat.operators.assemble import frame_video_join
 from mediafeat.operators.labels import encode_labels, fit_label_vocab
 from mediafeat.operators.sequences import assemble_sequences, fix_length
 from mediafeat.plans.fixtures import fx_video_side, steps_source
 
-T_STEPS = 10   # sequence length in effect in the source
-K_LABELS = 10  # label vector width in effect in the source
+T_STEPS = SEQUENCE_STEPS
+K_LABELS = LABEL_SLOTS
 
 
 def step_vector(props: str = "props", value: str = "value"):

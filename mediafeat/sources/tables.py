@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from mediafeat.defaults import CONVERTED_SUFFIX
 from mediafeat.functions.text import basename, tokens
 
 
@@ -35,7 +36,7 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "over
     df.write.mode(mode).format(fmt).partitionBy(*by).save(path)
 
 
-def output_names(df: DataFrame, path_col: str, suffix: str = "-converted.tfrecord") -> DataFrame:
+def output_names(df: DataFrame, path_col: str, suffix: str = CONVERTED_SUFFIX) -> DataFrame:
     """Per-shard output name: base name of the source path + suffix."""
     return df.withColumn("out_name", F.concat(basename(F.col(path_col)), F.lit(suffix)))
 
