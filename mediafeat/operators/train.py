@@ -122,6 +122,8 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
     ``n_partitions`` (default: the cluster's parallelism) is part of the
     result: fix it to reproduce a model on a different cluster."""
     spark: SparkSession = df.sparkSession
+    from mediafeat.session import ship_package
+    ship_package(spark)
     n_partitions = n_partitions or spark.sparkContext.defaultParallelism
     data = (df.select(F.col(id_col).alias("_id"), F.col(features_col).cast("array<double>").alias("x"),
                       F.col(label_col).cast("array<double>").alias("y"))

@@ -47,6 +47,7 @@ def get_session(master: str | None = None, app: str = "mediafeat",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -129,3 +130,45 @@ def cluster_conf(input_bytes: int, executor_cores: int = 8, executor_memory_gb:
         "spark.task.maxFailures": "8",
         "spark.stage.maxConsecutiveAttempts": "8",
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``mediafeat`` importable in every Python worker of the application.
+
+    Operators with Python kernels (record codec data source, mapInPandas
+    training, Arrow UDFs) run in worker processes that do not see the driver's
+    ``sys.path``.  The package is zipped once per application into the shared
+    checkpoint folder (content-addressed) and registered with ``addPyFile``.
+    """
+    import hashlib
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in sorted(os.walk(pkg)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    data = buf.getvalue()
+    path = f"{checkpoint_root(spark)}/mediafeat-py/mediafeat-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    from pyarrow import fs as pafs
+    uri = path if "://" in path else ("file://" + path if path.startswith("/") else path)
+    fs, p = pafs.FileSystem.from_uri(uri)
+    if fs.get_file_info(p).type == pafs.FileType.NotFound:
+        fs.create_dir(os.path.dirname(p), recursive=True)
+        with fs.open_output_stream(p) as out:
+            out.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

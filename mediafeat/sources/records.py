@@ -273,6 +273,8 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     One shard is one input row of ``binaryFile`` (so shards must stay below
     2 GB); ``spark.sql.files.maxPartitionBytes`` packs small shards together.
     """
+    from mediafeat.session import ship_package
+    ship_package(spark)
     seq = set(sequence_cols or [])
     out_schema = T.StructType(list(schema.fields) + [T.StructField("_file", T.StringType()),
                                                      T.StructField("_error", T.StringType())])
@@ -423,6 +425,8 @@ def write_records(df: DataFrame, path: str, record_type: str = "Example", sequen
     name on disk whatever task writes it; rows are sorted by it inside each
     task so only one file is open at a time; ``sort_by`` fixes the record order
     inside each file."""
+    from mediafeat.session import ship_package
+    ship_package(df.sparkSession)
     _register(df.sparkSession)
     if shards:
         df = df.repartition(shards, partition_by) if partition_by else df.repartition(shards)
