@@ -594,6 +594,22 @@ def q_incremental_ingest(spark, d):
     return spark.read.parquet(f"{base}/sink").select("event_id", "id", "name", "k", "value")
 
 
+@query("incremental_record_ingest")
+def q_incremental_record_ingest(spark, d):
+    """Video-level record shards arriving in two waves, each decoded exactly once (G1 on records)."""
+    from mediafeat.streaming.ingest import ingest_records_once
+    base = scratch_path(spark, "record_ingest")
+    v = X.fx_video(spark, d)
+    wave = F.col("id").cast("bigint") % 2
+    RC.write_records(v.where(wave == 0), f"{base}/landing/wave0", "Example", shards=_shards(spark))
+    args = (spark, f"{base}/landing/*", VIDEO_SCHEMA, f"{base}/sink", f"{base}/ckpt")
+    ingest_records_once(*args)
+    RC.write_records(v.where(wave == 1), f"{base}/landing/wave1", "Example", shards=_shards(spark))
+    ingest_records_once(*args)
+    ingest_records_once(*args)  # nothing new
+    return _long_form(RC.read_good(spark.read.parquet(f"{base}/sink")).drop("_file"))
+
+
 # ---------------------------------------------------------------- training (rows-only checks)
 
 

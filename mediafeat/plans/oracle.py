@@ -368,3 +368,5 @@ sql("quarantine_records",
     "UNION ALL SELECT 'part1', min(id), 'payload checksum mismatch' FROM v WHERE shard = 'part1') "
     "SELECT shard, 'ok' AS reason, count(*) AS n FROM v WHERE id NOT IN (SELECT id FROM bad) GROUP BY shard "
     "UNION ALL SELECT shard, reason, CAST(1 AS BIGINT) AS n FROM bad")
+
+sql("incremental_record_ingest", _SQL["record_example_roundtrip"])

@@ -275,13 +275,37 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     """
     from mediafeat.session import ship_package
     ship_package(spark)
-    seq = set(sequence_cols or [])
-    out_schema = T.StructType(list(schema.fields) + [T.StructField("_file", T.StringType()),
-                                                     T.StructField("_error", T.StringType())])
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     files = r.load(path if isinstance(path, list) else [path]).select("path", "content")
+    return decode_files(files, schema, record_type, sequence_cols, verify_payload, batch_rows)
+
+
+def read_records_stream(spark: SparkSession, path: str, schema: T.StructType, record_type: str = "Example",
+                        sequence_cols: list[str] | None = None, verify_payload: bool = True,
+                        glob: str | None = "*.tfrecord", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming form of :func:`read_records`: each new shard in ``path`` is
+    decoded once (the file source tracks committed files in the checkpoint)."""
+    from mediafeat.session import ship_package
+    ship_package(spark)
+    r = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, "
+                                                        "length bigint, content binary"))
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    files = r.load(path).select("path", "content")
+    return decode_files(files, schema, record_type, sequence_cols, verify_payload)
+
+
+def decode_files(files: DataFrame, schema: T.StructType, record_type: str = "Example",
+                 sequence_cols: list[str] | None = None, verify_payload: bool = True,
+                 batch_rows: int = 1024) -> DataFrame:
+    """(path, content) rows -> decoded records + ``_file`` + ``_error``."""
+    seq = set(sequence_cols or [])
+    out_schema = T.StructType(list(schema.fields) + [T.StructField("_file", T.StringType()),
+                                                     T.StructField("_error", T.StringType())])
     names = [f.name for f in schema.fields]
 
     def kernel(it):

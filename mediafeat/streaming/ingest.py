@@ -21,11 +21,27 @@ from pyspark.sql.types import StructType
 def ingest_once(spark: SparkSession, landing: str, schema: StructType,
                 transform: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
                 max_files_per_trigger: int | None = None) -> int:
-    """Process every file in ``landing`` not seen before; returns batches run."""
+    """Process every parquet file in ``landing`` not seen before; returns batches run."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = transform(reader.parquet(landing))
+    return run_available(transform(reader.parquet(landing)), sink, checkpoint)
+
+
+def ingest_records_once(spark: SparkSession, landing: str, schema: StructType, sink: str, checkpoint: str,
+                        record_type: str = "Example", sequence_cols: list[str] | None = None,
+                        transform: Callable[[DataFrame], DataFrame] | None = None,
+                        max_files_per_trigger: int | None = None) -> int:
+    """Decode every record shard in ``landing`` not seen before (bad records
+    kept as ``_error`` rows), optionally transform, append to ``sink``."""
+    from mediafeat.sources.records import read_records_stream
+    stream = read_records_stream(spark, landing, schema, record_type, sequence_cols,
+                                 max_files_per_trigger=max_files_per_trigger)
+    return run_available(transform(stream) if transform else stream, sink, checkpoint)
+
+
+def run_available(stream: DataFrame, sink: str, checkpoint: str) -> int:
+    """Run a streaming plan over everything available now, as a bounded job."""
     q = (stream.writeStream.format("parquet").option("path", sink)
                .option("checkpointLocation", checkpoint).outputMode("append")
                .trigger(availableNow=True).start())
