@@ -15,7 +15,6 @@ sys.path.insert(0, ROOT)
 
 
 def run() -> dict:
-    import pandas as pd
     from pyspark.sql import SparkSession
     from pyspark.sql import types as T
 

@@ -1,7 +1,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
 
 from mediafeat.functions.geo import EARTH_RADIUS_M
 from mediafeat.operators import geo as G

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from mediafeat.operators import labels as L
 
