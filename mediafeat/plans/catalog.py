@@ -629,7 +629,8 @@ def q_train_linear_avg(spark, d):
 
 @query("train_mlp")
 def q_train_mlp(spark, d):
-    model, data = TR.train_mlp(_video_xy(spark, d), "x", "y", [64, 32, K], max_iter=100)
+    # one L-BFGS iteration is one pass over the data: the epoch budget of the source
+    model, data = TR.train_mlp(_video_xy(spark, d), "x", "y", [64, 32, K], max_iter=DF.EPOCHS)
     pred = model.transform(data)
     return pred.agg(F.count(F.lit(1)).alias("n"),
                     F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
