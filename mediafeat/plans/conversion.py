@@ -47,18 +47,19 @@ def convert(frames: DataFrame, video: DataFrame, *, order: list[str], rgb: Colum
     per_video = fr.groupBy(id_col).agg(
         F.min(shard_col).alias(shard_col), F.count(F.lit(1)).alias("n_steps"),
         F.array_sort(F.collect_set(label.cast("bigint"))).alias("labels"))
-    joined = frame_video_join(seq.join(per_video, id_col),
-                              video.select(id_col, F.col("mean_rgb").cast("array<double>").alias("mean_rgb"),
-                                           F.col("mean_audio").cast("array<double>").alias("mean_audio")),
-                              id_col)
+    vid = video.select(id_col, F.col("mean_rgb").cast("array<double>").alias("mean_rgb"),
+                       F.col("mean_audio").cast("array<double>").alias("mean_audio"))
+    # split and vocabulary are decided on the per-video rows alone (they have
+    # exactly the ids of the sequences): those passes never re-run the frames' window
+    videos = split_holdout(frame_video_join(per_video, vid, id_col), id_col, ratio, seed)
+    vocab = fit_label_vocab(videos.where(F.col("split") == "train"), k, order="id")
+    joined = seq.join(videos, id_col)
     dims_rgb = F.size(F.element_at("frame_rgb", 1))
     dims_audio = F.size(F.element_at("frame_audio", 1))
     fixed = fix_length(joined, "frame_rgb", t, short="pad", zero=F.array_repeat(F.lit(0.0), dims_rgb))
     fixed = fix_length(fixed, "frame_audio", t, short="pad", zero=F.array_repeat(F.lit(0.0), dims_audio),
                        len_col="_alen").drop("_alen")
-    split = split_holdout(fixed, id_col, ratio, seed)
-    vocab = fit_label_vocab(split.where(F.col("split") == "train"), k, order="id")
-    return encode_labels(split, vocab, k, "labels", "labels_hot").select(*TRAINING_COLUMNS)
+    return encode_labels(fixed, vocab, k, "labels", "labels_hot").select(*TRAINING_COLUMNS)
 
 
 def write_converted(df: DataFrame, path: str, shards: int | None = None) -> None:

@@ -27,22 +27,32 @@ def step_vector(props: str = "props", value: str = "value"):
     return F.array(F.col(value).cast("double"), F.get_json_object(props, "$.k").cast("double"))
 
 
+def video_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, n_steps, labels: true length and label set in ONE partial aggregate."""
+    steps = steps_source(spark, sf_dir)
+    return steps.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_steps"),
+        F.array_sort(F.collect_set(F.get_json_object("props", "$.k").cast("bigint"))).alias("labels"))
+
+
 def frame_sequences(spark: SparkSession, sf_dir: str, t: int = T_STEPS) -> DataFrame:
     """id, seq array<array<double>> (first t steps), n_steps, labels array<bigint>."""
     steps = steps_source(spark, sf_dir)
     seq = assemble_sequences(steps, "id", ["ts", "event_id"], step_vector(), t, "frames", with_length=False)
-    # true length and label set in ONE partial aggregate (one scan, one shuffle)
-    per_video = steps.groupBy("id").agg(
-        F.count(F.lit(1)).alias("n_steps"),
-        F.array_sort(F.collect_set(F.get_json_object("props", "$.k").cast("bigint"))).alias("labels"))
-    return seq.join(per_video, "id")
+    return seq.join(video_stats(spark, sf_dir), "id")
 
 
 def training_table(spark: SparkSession, sf_dir: str, t: int = T_STEPS, k: int = K_LABELS,
                    short: str = "pad") -> DataFrame:
     """id, name, n_steps, true_len, frames (t x 2, zero padded), labels, labels_hot (k)."""
+    side = fx_video_side(spark, sf_dir)
     seq = frame_sequences(spark, sf_dir, t)
-    joined = frame_video_join(seq, fx_video_side(spark, sf_dir), "id")
+    joined = frame_video_join(seq, side, "id")
     fixed = fix_length(joined, "frames", t, short=short, zero=F.array(F.lit(0.0), F.lit(0.0)))
-    vocab = fit_label_vocab(fixed, k, order="id")
+    if short == "drop":
+        vocab = fit_label_vocab(fixed, k, order="id")
+    else:
+        # the per-video aggregate has exactly the ids of the sequences, so the fit
+        # pass joins it with the video side and never re-runs the frames' window
+        vocab = fit_label_vocab(frame_video_join(video_stats(spark, sf_dir), side.select("id"), "id"), k, order="id")
     return encode_labels(fixed, vocab, k, "labels", "labels_hot")
