@@ -66,6 +66,17 @@ def decode_u8(b: pd.Series) -> pd.Series:
     return b.map(lambda x: None if x is None else np.frombuffer(x, dtype=np.uint8).astype(np.float32))
 
 
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.FloatType())))
+def decode_u8_steps(steps: pd.Series) -> pd.Series:
+    """array<binary> (one uint8 vector per step, as in frame-level records) ->
+    array<array<float>> (F3 applied to every step), Arrow-batched."""
+    def one(seq):
+        if seq is None:
+            return None
+        return [None if b is None else np.frombuffer(b, dtype=np.uint8).astype(np.float32) for b in seq]
+    return steps.map(one)
+
+
 def decode_u8_sql(b) -> Column:
     """Same as :func:`decode_u8` with built-ins only (hex pairs -> ints).
 

@@ -174,3 +174,10 @@ def test_hand_built_sequence_example_decodes(spark):
     back = RC.read_good(RC.read_records(spark, path, schema, "SequenceExample", sequence_cols=["rgb"]))
     r = back.select("id", "labels", decode_u8(F.element_at("rgb", 2)).alias("second")).first()
     assert (r["id"], r["labels"], list(r["second"])) == ("vid", [7], [250.0, 0.0, 9.0])
+
+
+def test_decode_u8_steps(spark):
+    from mediafeat.functions.vectors import decode_u8_steps
+    df = spark.createDataFrame([(1, [bytes([0, 255]), bytes([7, 8])]), (2, [])], "id long, rgb array<binary>")
+    got = {r["id"]: [list(v) for v in r["f"]] for r in df.select("id", decode_u8_steps("rgb").alias("f")).collect()}
+    assert got == {1: [[0.0, 255.0], [7.0, 8.0]], 2: []}
