@@ -24,8 +24,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # wide nested feature rows: keep Arrow batches small
+    # wide nested feature rows: keep Arrow batches small, by rows and by bytes
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -122,7 +123,10 @@ def cluster_conf(input_bytes: int, executor_cores: int = 8, executor_memory_gb:
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+        # Arrow batches to Python kernels: a row can be megabytes (T x 1024 frames),
+        # so batches are capped by bytes as well as rows
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
         "spark.decommission.enabled": "true",
         "spark.storage.decommission.enabled": "true",
         "spark.storage.decommission.shuffleBlocks.enabled": "true",
