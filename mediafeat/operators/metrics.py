@@ -66,7 +66,7 @@ def early_stopping(hist: DataFrame, run: str, epoch: str, loss: str, patience: i
                    hot_rows: int | None = None, blocks: int | None = None) -> DataFrame:
     """Per run: stop_epoch, best_epoch, best_loss, n_saved.
 
-    Keras semantics with min_delta 0: an epoch improves when its loss is below
+    Early-stopping semantics with a zero minimum delta: an epoch improves when its loss is below
     every earlier loss; training stops at the first epoch that is ``patience``
     epochs past the last improvement (else it runs to the last epoch); the
     checkpoint kept is the best epoch up to the stop.
