@@ -114,13 +114,37 @@ def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int, chunk: i
     return run
 
 
+def evaluate_linear(w: np.ndarray, df: DataFrame, features_col: str, label_col: str) -> dict:
+    """Mean binary cross-entropy and arg-max accuracy of weights ``w`` on a
+    table -- one aggregate on the executors (M6, A7)."""
+    model = LinearModel(w)
+    p = model.score_expr(features_col, df.sparkSession)
+    y = F.col(label_col).cast("array<double>")
+    eps = 1e-7
+    bce = F.aggregate(F.zip_with(y, p, lambda t, q: -(t * F.log(F.greatest(F.lit(eps), F.least(F.lit(1 - eps), q)))
+                                                      + (F.lit(1.0) - t) * F.log(F.greatest(F.lit(eps),
+                                                                                            F.lit(1.0) - q)))),
+                      F.lit(0.0), lambda a, b: a + b) / F.size(y)
+    from mediafeat.functions.vectors import argmax
+    r = df.select(bce.alias("l"), (argmax(y) == argmax(p)).cast("double").alias("a")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("l").alias("loss"), F.avg("a").alias("accuracy")).first()
+    return {"n": int(r["n"]), "loss": float(r["loss"] or 0.0), "accuracy": float(r["accuracy"] or 0.0)}
+
+
 def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str, epochs: int = 10,
                    batch_size: int = 32, lr: float = 0.1, n_partitions: int | None = None,
-                   chunk: int = CHUNK) -> LinearModel:
+                   chunk: int = CHUNK, validation: DataFrame | None = None, patience: int | None = None,
+                   keep_best: bool = False) -> LinearModel:
     """Multi-label logistic model by synchronous data-parallel SGD with averaging.
 
     ``n_partitions`` (default: the cluster's parallelism) is part of the
-    result: fix it to reproduce a model on a different cluster."""
+    result: fix it to reproduce a model on a different cluster.
+
+    With ``validation`` (same columns) every epoch is scored on it (``val_loss``,
+    ``val_accuracy`` in the history, computed on the executors); ``patience``
+    stops training that many epochs after the last improvement of
+    ``val_loss``; ``keep_best`` returns the weights of the best epoch (the
+    checkpoint that save-best-only keeps)."""
     spark: SparkSession = df.sparkSession
     from mediafeat.session import ship_package
     ship_package(spark)
@@ -140,6 +164,12 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
         model = LinearModel(w)
         size = k * (d + 1)
         n_chunks = -(-size // chunk)
+        val = None
+        if validation is not None:
+            val = validation.select(F.col(features_col).cast("array<double>").alias("x"),
+                                    F.col(label_col).cast("array<double>").alias("y")).persist(
+                StorageLevel.MEMORY_AND_DISK)
+        best_loss, best_epoch, best_w = None, 0, w
         for epoch in range(1, epochs + 1):
             bw = spark.sparkContext.broadcast(w.ravel())
             parts = data.select("x", "y").mapInPandas(_sgd_kernel(bw, (k, d + 1), lr, batch_size, chunk),
@@ -162,9 +192,18 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
                 flat = np.concatenate([np.asarray(r["v"]) for r in summed[1:]])
                 w = w + (flat / n).reshape(k, d + 1)
             loss, correct = summed[0]["v"]
-            model.history.append({"epoch": epoch, "n": n, "loss": loss / max(n * k, 1),
-                                  "accuracy": correct / max(n, 1)})
-        model.weights = w
+            row = {"epoch": epoch, "n": n, "loss": loss / max(n * k, 1), "accuracy": correct / max(n, 1)}
+            if val is not None:
+                m = evaluate_linear(w, val, "x", "y")
+                row.update(val_loss=m["loss"], val_accuracy=m["accuracy"])
+                if best_loss is None or m["loss"] < best_loss:
+                    best_loss, best_epoch, best_w = m["loss"], epoch, w
+            model.history.append(row)
+            if val is not None and patience is not None and epoch - best_epoch >= patience:
+                break
+        model.weights = best_w if (keep_best and val is not None) else w
+        if val is not None:
+            val.unpersist()
         return model
     finally:
         data.unpersist()

@@ -638,10 +638,10 @@ def q_train_mlp(spark, d):
 
 @query("train_sequence")
 def q_train_sequence(spark, d):
-    tt = S.pool_sequence(training_table(spark, d, short="pad"), "frames", 2)
-    tt = tt.withColumn("x", F.concat("pool_mean", "pool_max", "pool_first", "pool_last", "pool_fwd", "pool_bwd"))
-    tt = TR.standardise(tt, "x")
-    model = TR.fit_multilabel(tt, "x", "labels_hot", "id", epochs=5, batch_size=32, lr=0.5)
+    """Pooled sequence features -> fit with per-epoch validation, early stopping
+    (patience 3) and the best epoch kept; the per-epoch history is the result."""
+    from mediafeat.plans.sequence_training import train_sequence_model
+    model = train_sequence_model(training_table(spark, d, short="pad"), epochs=DF.EPOCHS, batch_size=DF.BATCH_SIZE)
     return TR.history_frame(spark, model)
 
 
