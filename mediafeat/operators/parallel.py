@@ -13,15 +13,29 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin over ``min_partitions`` (default: cluster parallelism) when a
-    narrow plan (scan + projections) has fewer partitions.  Plans that already
-    shuffle are left alone: their width is the shuffle's, and asking an
-    adaptive plan for its partitions would run its upstream stages."""
+    """Round-robin a narrow plan (scan + projections) over ``min_partitions``
+    (default: cluster parallelism) when its input is small for the cluster.
+
+    The partition count of a scan is not a safe signal: a file with one row
+    group is cut into several byte ranges of which only one holds rows.  So the
+    test is the input size estimate: below ``cores x maxPartitionBytes`` the
+    input is spread (a cheap shuffle of little data); above it, files come in
+    many real splits and nothing is added.  Plans that already shuffle are left
+    alone: their width is the shuffle's."""
     try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if "Exchange" in df._jdf.queryExecution().sparkPlan().toString():
+        spark = df.sparkSession
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        qe = df._jdf.queryExecution()
+        if "Exchange" in qe.sparkPlan().toString():
             return df
-        have = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - sessions without JVM/RDD access
+        size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
+        split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    except Exception:  # pragma: no cover - sessions without JVM access
         return df
-    return df.repartition(want) if have < want else df
+    return df.repartition(want) if size < want * split else df
+
+
+def _bytes(v: str) -> int:
+    v = v.strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(v)
