@@ -181,3 +181,13 @@ def test_decode_u8_steps(spark):
     df = spark.createDataFrame([(1, [bytes([0, 255]), bytes([7, 8])]), (2, [])], "id long, rgb array<binary>")
     got = {r["id"]: [list(v) for v in r["f"]] for r in df.select("id", decode_u8_steps("rgb").alias("f")).collect()}
     assert got == {1: [[0.0, 255.0], [7.0, 8.0]], 2: []}
+
+
+def test_decode_u8_sql_matches_arrow_kernel(spark):
+    from mediafeat.functions.vectors import decode_u8, decode_u8_sql
+    df = spark.createDataFrame([(1, bytes(range(256))), (2, b""), (3, None)], "id long, b binary")
+    got = {r["id"]: (None if r["a"] is None else list(r["a"]), None if r["s"] is None else list(r["s"]))
+           for r in df.select("id", decode_u8("b").alias("a"), decode_u8_sql("b").alias("s")).collect()}
+    assert got[1][0] == got[1][1] == [float(i) for i in range(256)]
+    assert got[2] == ([], [])
+    assert got[3] == (None, None)
