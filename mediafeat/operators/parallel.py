@@ -39,3 +39,25 @@ def _bytes(v: str) -> int:
     v = v.strip().lower().rstrip("b")
     mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
     return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(v)
+
+
+REUSE_CHECKPOINT_BYTES = 1 << 30  # inputs from this size on are written once before multi-pass reuse
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover
+        return 0
+
+
+def reuse(df: DataFrame, source: DataFrame | None = None, threshold: int = REUSE_CHECKPOINT_BYTES) -> DataFrame:
+    """``df`` will be read by several passes.  When the input it is computed
+    from (``source``, default ``df``) is large, write it once to the shared
+    checkpoint folder (reliable: cuts the lineage and survives executor loss);
+    small inputs are cheaper to recompute than to write."""
+    if estimated_bytes(source if source is not None else df) < threshold:
+        return df
+    from mediafeat.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -86,31 +86,49 @@ class LinearModel:
 
 
 def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int, chunk: int):
+    """Per partition: mini-batch SGD from the broadcast weights on training rows
+    (emits the n-weighted delta in chunks plus a metrics row, chunk -1); on
+    validation rows (``_val``) only scores the broadcast weights (chunk -2)."""
+    eps = 1e-7
+
     def run(it):
         w0 = np.asarray(bw.value, dtype=np.float64).reshape(shape)
         w = w0.copy()
         n = 0
         loss = 0.0
         correct = 0
+        vn, vloss, vcorrect = 0, 0.0, 0
         for pdf in it:
             if len(pdf) == 0:
                 continue
             x = np.stack(pdf["x"].to_numpy()).astype(np.float64)
             y = np.stack(pdf["y"].to_numpy()).astype(np.float64)
             xb = np.hstack([x, np.ones((len(x), 1))])
+            val = pdf["_val"].to_numpy().astype(bool) if "_val" in pdf else np.zeros(len(pdf), dtype=bool)
+            if val.any():
+                xv, yv = xb[val], y[val]
+                p = 1.0 / (1.0 + np.exp(-(xv @ w0.T)))
+                bce = -(yv * np.log(np.maximum(eps, np.minimum(1 - eps, p)))
+                        + (1 - yv) * np.log(np.maximum(eps, 1 - p)))
+                vloss += float(bce.mean(axis=1).sum())
+                vcorrect += int((p.argmax(1) == yv.argmax(1)).sum())
+                vn += int(val.sum())
+                xb, y = xb[~val], y[~val]
             for s in range(0, len(xb), batch_size):
                 xs, ys = xb[s:s + batch_size], y[s:s + batch_size]
                 p = 1.0 / (1.0 + np.exp(-(xs @ w.T)))
-                pc = np.clip(p, 1e-7, 1 - 1e-7)
+                pc = np.clip(p, eps, 1 - eps)
                 loss += float(-(ys * np.log(pc) + (1 - ys) * np.log(1 - pc)).sum())
                 correct += int((p.argmax(1) == ys.argmax(1)).sum())
                 w -= lr * ((p - ys).T @ xs) / len(xs)
                 n += len(xs)
-        # n-weighted deltas in fixed-size chunks (one row per chunk), metrics as chunk -1
+        # n-weighted deltas in fixed-size chunks (one row per chunk), metrics as chunks -1 / -2
         flat = ((w - w0) * n).ravel()
         starts = list(range(0, flat.size, chunk))
-        yield pd.DataFrame({"chunk": [-1] + [c // chunk for c in starts], "n": [n] * (len(starts) + 1),
-                            "v": [[loss, float(correct)]] + [flat[c:c + chunk].tolist() for c in starts]})
+        yield pd.DataFrame({"chunk": [-2, -1] + [c // chunk for c in starts],
+                            "n": [vn, n] + [n] * len(starts),
+                            "v": [[vloss, float(vcorrect)], [loss, float(correct)]]
+                                 + [flat[c:c + chunk].tolist() for c in starts]})
     return run
 
 
@@ -166,15 +184,30 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
         n_chunks = -(-size // chunk)
         val = None
         if validation is not None:
-            val = validation.select(F.col(features_col).cast("array<double>").alias("x"),
-                                    F.col(label_col).cast("array<double>").alias("y")).persist(
-                StorageLevel.MEMORY_AND_DISK)
+            val = (validation.select(F.col(features_col).cast("array<double>").alias("x"),
+                                     F.col(label_col).cast("array<double>").alias("y"))
+                             .withColumn("_val", F.lit(True)).persist(StorageLevel.MEMORY_AND_DISK))
+        train_part = data.select("x", "y").withColumn("_val", F.lit(False))
         best_loss, best_epoch, best_w = None, 0, w
+        stopped = False
+
+        def record_val(epoch: int, vn: int, vloss: float, vcorrect: float, weights) -> bool:
+            """Store validation metrics of ``epoch``; True when training must stop."""
+            nonlocal best_loss, best_epoch, best_w
+            vl = vloss / max(vn, 1)
+            model.history[epoch - 1].update(val_loss=vl, val_accuracy=vcorrect / max(vn, 1))
+            if best_loss is None or vl < best_loss:
+                best_loss, best_epoch, best_w = vl, epoch, weights
+            return patience is not None and epoch - best_epoch >= patience
+
         for epoch in range(1, epochs + 1):
             bw = spark.sparkContext.broadcast(w.ravel())
-            parts = data.select("x", "y").mapInPandas(_sgd_kernel(bw, (k, d + 1), lr, batch_size, chunk),
-                                                      "chunk int, n long, v array<double>")
-            # one job per epoch: element-wise sum of each chunk over the partitions
+            # one job: SGD on the training partitions and, from the same broadcast,
+            # the validation score of the previous epoch's weights
+            source = train_part.unionByName(val) if (val is not None and epoch > 1) else train_part
+            parts = source.mapInPandas(_sgd_kernel(bw, (k, d + 1), lr, batch_size, chunk),
+                                       "chunk int, n long, v array<double>")
+            # element-wise sum of each chunk over the partitions
             # (a chunk group holds one array per partition: bounded by the partition count)
             summed = (parts.groupBy("chunk")
                            .agg(F.sum("n").alias("n"), F.collect_list("v").alias("vs"))
@@ -185,22 +218,21 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
             # sorted here, not with orderBy: a range sort would sample (= rerun) the epoch
             summed.sort(key=lambda r: r["chunk"])
             bw.destroy()
-            if len(summed) != n_chunks + 1:
+            if len(summed) != n_chunks + 2:
                 raise RuntimeError("incomplete epoch aggregate")
-            n = int(summed[0]["n"] or 0)  # rows seen this epoch over all partitions
-            if n:
-                flat = np.concatenate([np.asarray(r["v"]) for r in summed[1:]])
-                w = w + (flat / n).reshape(k, d + 1)
-            loss, correct = summed[0]["v"]
-            row = {"epoch": epoch, "n": n, "loss": loss / max(n * k, 1), "accuracy": correct / max(n, 1)}
-            if val is not None:
-                m = evaluate_linear(w, val, "x", "y")
-                row.update(val_loss=m["loss"], val_accuracy=m["accuracy"])
-                if best_loss is None or m["loss"] < best_loss:
-                    best_loss, best_epoch, best_w = m["loss"], epoch, w
-            model.history.append(row)
-            if val is not None and patience is not None and epoch - best_epoch >= patience:
+            vrow, trow, chunks = summed[0], summed[1], summed[2:]
+            if val is not None and epoch > 1 and record_val(epoch - 1, int(vrow["n"] or 0), *vrow["v"], w):
+                stopped = True  # this job's training step is discarded
                 break
+            n = int(trow["n"] or 0)  # rows seen this epoch over all partitions
+            if n:
+                w = w + (np.concatenate([np.asarray(r["v"]) for r in chunks]) / n).reshape(k, d + 1)
+            loss, correct = trow["v"]
+            model.history.append({"epoch": epoch, "n": n, "loss": loss / max(n * k, 1),
+                                  "accuracy": correct / max(n, 1)})
+        if val is not None and not stopped and model.history:
+            m = evaluate_linear(w, val, "x", "y")  # the last epoch's weights
+            record_val(len(model.history), m["n"], m["loss"] * m["n"], m["accuracy"] * m["n"], w)
         model.weights = best_w if (keep_best and val is not None) else w
         if val is not None:
             val.unpersist()

@@ -25,6 +25,7 @@ from mediafeat.operators.assemble import frame_video_join
 from mediafeat.operators.labels import encode_labels, fit_label_vocab
 from mediafeat.operators.sequences import fix_length, first_steps
 from mediafeat.operators.split import exclude_values, split_holdout
+from mediafeat.operators.parallel import reuse
 from mediafeat.sources.records import write_records
 
 TRAINING_COLUMNS = ["id", "shard", "split", "n_steps", "true_len", "frame_rgb", "frame_audio",
@@ -49,11 +50,15 @@ def convert(frames: DataFrame, video: DataFrame, *, order: list[str], rgb: Colum
         F.array_sort(F.collect_set(label.cast("bigint"))).alias("labels"))
     vid = video.select(id_col, F.col("mean_rgb").cast("array<double>").alias("mean_rgb"),
                        F.col("mean_audio").cast("array<double>").alias("mean_audio"))
-    # split and vocabulary are decided on the per-video rows alone (they have
-    # exactly the ids of the sequences): those passes never re-run the frames' window
-    videos = split_holdout(frame_video_join(per_video, vid, id_col), id_col, ratio, seed)
+    # split and vocabulary are decided on narrow per-video rows (id, shard,
+    # n_steps, labels -- exactly the ids of the sequences), written once to the
+    # shared checkpoint folder when the frames are large: the split's passes and
+    # the fit never re-run the frames' aggregation or window, and the wide video
+    # vectors join at the end
+    matched = reuse(per_video.join(vid.select(id_col), id_col, "left_semi"), source=frames)
+    videos = split_holdout(matched, id_col, ratio, seed)
     vocab = fit_label_vocab(videos.where(F.col("split") == "train"), k, order="id")
-    joined = seq.join(videos, id_col)
+    joined = frame_video_join(seq.join(videos, id_col), vid, id_col)
     dims_rgb = F.size(F.element_at("frame_rgb", 1))
     dims_audio = F.size(F.element_at("frame_audio", 1))
     fixed = fix_length(joined, "frame_rgb", t, short="pad", zero=F.array_repeat(F.lit(0.0), dims_rgb))

@@ -23,6 +23,7 @@ from mediafeat.defaults import EARLY_STOP_PATIENCE, VALIDATION_RATIO
 from mediafeat.operators.sequences import pool_sequence
 from mediafeat.operators.split import limit_per_group, limit_values, split_holdout
 from mediafeat.operators.train import LinearModel, feature_stats, fit_multilabel, standardise
+from mediafeat.session import checkpoint_root
 
 POOLS = ("mean", "max", "first", "last", "fwd", "bwd")
 
@@ -44,7 +45,11 @@ def train_sequence_model(rows: DataFrame, *, id_col: str = "id", frames_col: str
         df = limit_values(df, shard_col, shards)
     if per_shard is not None:
         df = limit_per_group(df, shard_col, [id_col], per_shard).drop("rn")
-    df = sequence_features(df, frames_col, dims, extra)
+    # the prepared features are read by the split, the statistics and every
+    # epoch: write them once to the shared checkpoint folder (cuts the lineage,
+    # survives executor loss) instead of recomputing the upstream plan each time
+    checkpoint_root(rows.sparkSession)
+    df = sequence_features(df, frames_col, dims, extra).checkpoint(eager=True)
     df = split_holdout(df, id_col, ratio, seed)
     train, dev = df.where(F.col("split") == "train"), df.where(F.col("split") == "dev")
     stats = feature_stats(train, "x")                       # train statistics only

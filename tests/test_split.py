@@ -78,3 +78,13 @@ def test_shard_filters_prune_partitions(spark):
         assert "shard" in filters and "IN" in filters.upper()
     assert sorted({r["shard"] for r in P.limit_values(df, "shard", 2).collect()}) == ["s0", "s1"]
     assert P.exclude_values(df, "shard", ["s1", "s2"]).count() == 40
+
+
+def test_reuse_checkpoints_only_large_inputs(spark):
+    from mediafeat.operators.parallel import reuse
+    df = spark.range(1000)
+    assert reuse(df) is df                      # small: recompute
+    big = reuse(df, threshold=1)                # forced: written once, same rows
+    assert big is not df and big.count() == 1000
+    assert "ExistingRDD" in big._jdf.queryExecution().optimizedPlan().toString() or \
+        "LogicalRDD" in big._jdf.queryExecution().optimizedPlan().toString()
