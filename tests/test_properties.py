@@ -39,3 +39,42 @@ def test_vocab_and_multihot_match_rules(spark, rows, k, order):
             hot[k - 1] = 1.0
         assert enc[i] == hot
         assert pos[i] == [1.0 if j in labels else 0.0 for j in range(k)]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(n=st.integers(min_value=1, max_value=400), ratio=st.sampled_from([0.0, 0.05, 0.2, 0.5, 0.9]),
+       seed=st.integers(min_value=0, max_value=10**6))
+def test_split_size_and_keys(spark, n, ratio, seed):
+    import hashlib
+    import math
+
+    from mediafeat.operators import split as P
+    df = spark.createDataFrame([(str(i),) for i in range(n)], "id string")
+    dev = {r["id"] for r in P.split_holdout(df, "id", ratio, seed).where("split = 'dev'").collect()}
+    dev_n = max(1, math.floor(n * ratio))
+    keys = sorted(((hashlib.md5(f"{i}#{seed}".encode()).hexdigest(), str(i)) for i in range(n)), reverse=True)
+    assert dev == {i for _, i in keys[:dev_n]}
+
+
+steps = st.lists(st.tuples(st.integers(min_value=0, max_value=5), st.integers(min_value=0, max_value=1000),
+                           st.floats(min_value=-100, max_value=100, allow_nan=False)), min_size=1, max_size=60)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=steps, t=st.integers(min_value=1, max_value=6))
+def test_sequences_match_rules(spark, rows, t):
+    from mediafeat.operators import sequences as S
+    data = [(vid, ts, i, v) for i, (vid, ts, v) in enumerate(rows)]  # i breaks ts ties
+    df = spark.createDataFrame(data, "id long, ts long, ord long, v double")
+    seq = S.assemble_sequences(df, "id", ["ts", "ord"], "v", t, "seq")
+    got = {r["id"]: (list(r["seq"]), r["n_steps"]) for r in seq.collect()}
+    want = {}
+    for vid in {d[0] for d in data}:
+        ordered = [d[3] for d in sorted(d for d in data if d[0] == vid)]
+        want[vid] = (ordered[:t], len(ordered))
+    assert got == want
+    pad = {r["id"]: (list(r["seq"]), r["true_len"]) for r in S.fix_length(seq, "seq", t, "pad").collect()}
+    drop = {r["id"] for r in S.fix_length(seq, "seq", t, "drop").collect()}
+    for vid, (s, n) in want.items():
+        assert pad[vid] == (s + [0.0] * (t - len(s)), len(s))
+        assert (vid in drop) == (n >= t)
