@@ -512,6 +512,19 @@ def q_record_example_roundtrip(spark, d):
     return _long_form(RC.read_good(back))
 
 
+@query("record_split_scan")
+def q_record_split_scan(spark, d):
+    """Record shards read in byte ranges -- a quarter of the largest shard here,
+    so every range after the first starts mid-shard and re-synchronises on a
+    verified header; on a cluster the default 128 MB turns a large shard into
+    many tasks."""
+    path = scratch_path(spark, "video_records_split")
+    RC.write_records(X.fx_video(spark, d), path, "Example", shards=_shards(spark))
+    split = max(1024, max(RC.shard_sizes(path)) // 4)
+    back = RC.read_records_split(spark, path, VIDEO_SCHEMA, "Example", split_bytes=split)
+    return _long_form(RC.read_good(back).drop("_file"))
+
+
 TRAINING_SCHEMA = TT.StructType([
     TT.StructField("id", TT.LongType()), TT.StructField("name", TT.StringType()),
     TT.StructField("n_steps", TT.LongType()), TT.StructField("true_len", TT.IntegerType()),

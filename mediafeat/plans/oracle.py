@@ -370,3 +370,5 @@ sql("quarantine_records",
     "UNION ALL SELECT shard, reason, CAST(1 AS BIGINT) AS n FROM bad")
 
 sql("incremental_record_ingest", _SQL["record_example_roundtrip"])
+
+sql("record_split_scan", _SQL["record_example_roundtrip"])
