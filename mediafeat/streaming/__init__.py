@@ -1,0 +1 @@
+"""Structured Streaming: incremental ingest of parquet and record shards."""
