@@ -11,7 +11,9 @@ would make that task a third of the job.  Instead:
    ``percentile_approx`` (a bounded sketch per group, partial aggregation);
 3. every row gets a block number = cut points <= its key: value-based, so any
    recomputation (retries, executor loss) gives the same blocks; rows with an
-   equal leading key always share a block, so the order is preserved;
+   equal leading key always share a block, so the order is preserved (and a
+   hot group whose rows all share one leading value cannot be split: the
+   leading order key must vary within the group);
 4. the statistic inside (group, block) by a window -- the shuffle is on
    (group, block), spreading a hot group over ``blocks`` tasks;
 5. combined with the same statistic over the earlier blocks of the group (a

@@ -80,7 +80,8 @@ def split_holdout(df: DataFrame, id_col: str, ratio: float, seed: int, exact: bo
     """Add ``split`` = 'train' | 'dev'.
 
     ``exact=True``: dev holds exactly ``max(1, floor(n * ratio))`` rows, the
-    largest seeded keys (the source's size rule, Q6; reproducible, Q7).
+    largest seeded keys (the source's size rule, Q6; reproducible, Q7), when
+    ids are unique; rows sharing an id share a key and land on the same side.
     ``exact=False``: one pass, a hash bucket decides (size only in expectation).
     """
     keyed = df.withColumn("_key", shuffle_key(id_col, seed))
