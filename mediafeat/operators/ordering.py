@@ -11,9 +11,10 @@ would make that task a third of the job.  Instead:
    ``percentile_approx`` (a bounded sketch per group, partial aggregation);
 3. every row gets a block number = cut points <= its key: value-based, so any
    recomputation (retries, executor loss) gives the same blocks; rows with an
-   equal leading key always share a block, so the order is preserved (and a
-   hot group whose rows all share one leading value cannot be split: the
-   leading order key must vary within the group);
+   equal leading key always share a block, so the order is preserved; a block
+   still above ``hot_rows`` whose rows share ONE leading value is ordered by
+   the next key alone and is cut again on it (block = b1 * blocks + b2, still
+   ordered);
 4. the statistic inside (group, block) by a window -- the shuffle is on
    (group, block), spreading a hot group over ``blocks`` tasks;
 5. combined with the same statistic over the earlier blocks of the group (a
@@ -48,7 +49,24 @@ def with_blocks(df: DataFrame, group: list[str], order: list[str], hot_rows: int
               .groupBy(*group).agg(F.percentile_approx(lead, fractions, 10_000).alias("_cuts")))
     blk = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
         F.size(F.filter("_cuts", lambda c: c <= F.col(lead))))
-    return df.join(F.broadcast(cuts), group, "left").withColumn(BLK, blk).drop("_cuts"), True
+    out = df.join(F.broadcast(cuts), group, "left").withColumn(BLK, blk).drop("_cuts")
+    if len(order) < 2:
+        return out, True
+    # a block still above hot_rows whose rows share ONE leading value is ordered
+    # by the next key alone: cut it again on that key (order stays lexicographic)
+    nxt = order[1]
+    sizes = out.groupBy(*group, BLK).agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"),
+                                         F.max(lead).alias("_hi"))
+    flat = sizes.where((F.col("_n") > hot_rows) & (F.col("_lo") == F.col("_hi"))).select(*group, BLK)
+    if flat.count() == 0:
+        return out, True
+    cuts2 = (out.join(F.broadcast(flat), [*group, BLK], "left_semi")
+                .groupBy(*group, BLK).agg(F.percentile_approx(nxt, fractions, 10_000).alias("_cuts2")))
+    sub = F.when(F.col("_cuts2").isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("_cuts2", lambda c: c <= F.col(nxt))))
+    out = (out.join(F.broadcast(cuts2), [*group, BLK], "left")
+              .withColumn(BLK, F.col(BLK) * F.lit(blocks) + sub).drop("_cuts2"))
+    return out, True
 
 
 _AGG = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}

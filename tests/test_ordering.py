@@ -18,3 +18,17 @@ def test_equal_leading_keys_stay_ordered(spark):
     ref = df.select("tie", F.row_number().over(Window.partitionBy("g").orderBy("o", "tie")).alias("rn"))
     got = number_rows(df, ["g"], ["o", "tie"], "rn", hot_rows=100, blocks=16).select("tie", "rn")
     assert got.exceptAll(ref).count() == 0
+
+
+def test_hot_group_with_one_leading_value_is_split(spark):
+    from mediafeat.operators import ordering as O
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id") % 30).alias("g"),
+        F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id") % 97).alias("ts"),  # hot group: one ts
+        ((F.col("id") * 7919) % 6000).alias("tie"))
+    ref = df.select("tie", F.row_number().over(Window.partitionBy("g").orderBy("ts", "tie")).alias("rn"))
+    got = O.number_rows(df, ["g"], ["ts", "tie"], "rn", hot_rows=500, blocks=8).select("tie", "rn")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    t, hot = O.with_blocks(df, ["g"], ["ts", "tie"], hot_rows=500, blocks=8)
+    per_block = [r["count"] for r in t.where("g = -1").groupBy("_blk").count().collect()]
+    assert hot and len(per_block) >= 6 and max(per_block) < 3000 / 3
