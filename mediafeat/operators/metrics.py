@@ -76,7 +76,7 @@ def early_stopping(hist: DataFrame, run: str, epoch: str, loss: str, patience: i
     a run holding a third of all rows is split into blocks, not one task.
     """
     from mediafeat.operators import ordering as O
-    h, hot = O.with_blocks(hist, [run], [epoch], hot_rows or O.HOT_ROWS, blocks or O.BLOCKS)
+    h, hot = O.with_blocks(hist, [run], [epoch], hot_rows, blocks or O.BLOCKS)
     h = O.running(h, [run], [epoch], loss, "min", "_best_before", exclusive=True, blocked=hot)
     h = h.withColumn("_improved", F.col("_best_before").isNull() | (F.col(loss) < F.col("_best_before")))
     h = O.running(h, [run], [epoch], F.when(F.col("_improved"), F.col(epoch)), "max", "_last_imp",

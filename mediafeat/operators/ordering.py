@@ -27,15 +27,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000   # a group above this many rows is split
+HOT_ROWS = None        # a group above this many rows is split; None: from executor memory
+ROW_BYTES = 512        # working-set bytes assumed per row when deriving HOT_ROWS
 BLOCKS = 64            # sub-blocks per hot group
 MAX_HOT = 100_000      # hot groups whose cut points may be broadcast
 BLK = "_blk"
 
 
-def with_blocks(df: DataFrame, group: list[str], order: list[str], hot_rows: int = HOT_ROWS,
+def hot_rows_for(spark) -> int:
+    """Rows one window task may take: a quarter of a task slot's memory."""
+    if HOT_ROWS is not None:
+        return HOT_ROWS
+    from mediafeat.session import memory_per_core
+    return max(100_000, memory_per_core(spark) // 4 // ROW_BYTES)
+
+
+def with_blocks(df: DataFrame, group: list[str], order: list[str], hot_rows: int | None = None,
                 blocks: int = BLOCKS) -> tuple[DataFrame, bool]:
     """Append ``_blk`` (0 for ordinary groups); returns (frame, any_hot)."""
+    hot_rows = hot_rows or hot_rows_for(df.sparkSession)
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > hot_rows).select(*group)
     n_hot = hot.count()
@@ -103,7 +113,7 @@ def running(df: DataFrame, group: list[str], order: list[str], value: str | Colu
 
 
 def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "rn",
-                hot_rows: int = HOT_ROWS, blocks: int = BLOCKS) -> DataFrame:
+                hot_rows: int | None = None, blocks: int = BLOCKS) -> DataFrame:
     """Append an exact 1-based row number per group following ``order`` (ties
     must not exist)."""
     t, hot = with_blocks(df, group, order, hot_rows, blocks)

@@ -176,3 +176,18 @@ def ship_package(spark: SparkSession) -> None:
             out.write(data)
     sc.addPyFile(path)
     _SHIPPED.add(key)
+
+
+def _mem_bytes(v: str) -> int:
+    v = v.strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(float(v) * (1 << 20))
+
+
+def memory_per_core(spark: SparkSession) -> int:
+    """Bytes of executor memory per task slot (driver memory in local mode)."""
+    conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local")
+    mem = conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g")
+    cores = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
+    return _mem_bytes(mem) // max(1, cores)
