@@ -264,6 +264,11 @@ def decode(payload: bytes, schema: T.StructType, record_type: str, sequence_cols
     return row
 
 
+def as_schema(schema) -> T.StructType:
+    """A StructType, or a DDL string such as ``"id string, labels array<bigint>"``."""
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 # ---------------------------------------------------------------- reading
 def read_records(spark: SparkSession, path: str | list[str], schema: T.StructType, record_type: str = "Example",
                  sequence_cols: list[str] | None = None, verify_payload: bool = True,
@@ -275,6 +280,7 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     """
     from mediafeat.session import ship_package
     ship_package(spark)
+    schema = as_schema(schema)
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -289,6 +295,7 @@ def read_records_stream(spark: SparkSession, path: str, schema: T.StructType, re
     decoded once (the file source tracks committed files in the checkpoint)."""
     from mediafeat.session import ship_package
     ship_package(spark)
+    schema = as_schema(schema)
     r = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, "
                                                         "length bigint, content binary"))
     if glob:
@@ -656,6 +663,7 @@ def read_records_split(spark: SparkSession, path: str, schema: T.StructType, rec
     inside it.  No 2 GB limit per shard, and a large shard is many tasks."""
     from mediafeat.session import ship_package
     ship_package(spark)
+    schema = as_schema(schema)
     _register_reader(spark)
     full = T.StructType(list(schema.fields) + [T.StructField("_file", T.StringType()),
                                                T.StructField("_error", T.StringType())])

@@ -53,3 +53,12 @@ def test_shard_and_radius_aliases(spark):
     pl = spark.createDataFrame([(1, 10.0, 10.0)], "id long, lat double, lng double")
     pt = spark.createDataFrame([(1, 10.0, 10.001), (2, 11.0, 11.0)], "bid long, lat double, lng double")
     assert G.radius_join(pl, pt, 500.0, out_col="n").first()["n"] == 1
+
+
+def test_readers_take_ddl_schema(spark):
+    path = scratch_path(spark, "t_ddl")
+    RC.write_records(spark.range(5).select("id", F.array(F.col("id").cast("float")).alias("v")), path)
+    ddl = "id bigint, v array<float>"
+    a = sorted(tuple(r)[:2] for r in RC.read_good(RC.read_records(spark, path, ddl)).collect())
+    b = sorted(tuple(r)[:2] for r in RC.read_good(RC.read_records_split(spark, path, ddl)).collect())
+    assert a == b == [(i, [float(i)]) for i in range(5)]
