@@ -82,6 +82,10 @@ def early_stopping(hist: DataFrame, run: str, epoch: str, loss: str, patience: i
     h = O.running(h, [run], [epoch], F.when(F.col("_improved"), F.col(epoch)), "max", "_last_imp",
                   exclusive=False, blocked=hot)
     h = h.withColumn("_trigger", (F.col(epoch) - F.col("_last_imp")) >= patience)
+    # the windowed history feeds both the stop aggregate and the join back:
+    # written once when the input is large, instead of windowing twice
+    from mediafeat.operators.parallel import reuse
+    h = reuse(h, source=hist)
     stop = h.groupBy(run).agg(
         F.coalesce(F.min(F.when(F.col("_trigger"), F.col(epoch))), F.max(epoch)).alias("stop_epoch"))
     hs = h.join(stop, run).where(F.col(epoch) <= F.col("stop_epoch"))
