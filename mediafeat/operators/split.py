@@ -88,7 +88,11 @@ def split_holdout(df: DataFrame, id_col: str, ratio: float, seed: int, exact: bo
     if not exact:
         bucket = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(str(seed))), F.lit(1_000_000))
         return keyed.withColumn(split_col, F.when(bucket < int(ratio * 1_000_000), "dev").otherwise("train")).drop("_key")
-    cut = kth_largest_key(keyed, "_key", None,
+    # the cut search scans the key column several times: a narrow key table,
+    # written once when the input is large (not the whole input plan each pass)
+    from mediafeat.operators.parallel import reuse
+    keys = reuse(keyed.select("_key"), source=df)
+    cut = kth_largest_key(keys, "_key", None,
                           k_of_n=lambda n: max(1, int(math.floor(n * ratio))) if n else 0)
     if cut is None:
         return keyed.withColumn(split_col, F.lit("train")).drop("_key")
