@@ -455,7 +455,10 @@ def write_records(df: DataFrame, path: str, record_type: str = "Example", sequen
     (``<col>=<value>/part-*.tfrecord``), so a shard named in the data keeps its
     name on disk whatever task writes it; rows are sorted by it inside each
     task so only one file is open at a time; ``sort_by`` fixes the record order
-    inside each file."""
+    inside each file.  With both ``shards`` and ``partition_by`` every value
+    goes to one task (one file per value); when one value may hold a large share
+    of the rows, leave ``shards`` unset: each task then writes its own file per
+    value it holds, so a hot value is written by many tasks."""
     from mediafeat.session import ship_package
     ship_package(df.sparkSession)
     _register(df.sparkSession)
