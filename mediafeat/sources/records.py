@@ -517,51 +517,69 @@ def write_sequence_examples(df: DataFrame, path: str, sequence_cols=None, **kw)
 
 
 # ---------------------------------------------------------------- splittable reading
-def _sync(buf: bytes, base: int) -> int | None:
-    """First offset in ``buf`` where a record header verifies (length checksum,
-    then payload checksum when the payload is inside ``buf``); None if none.
-    Every offset is tested at once: all 8-byte windows (a zero-copy view) are
-    checksummed in 8 vectorised steps."""
+def _sync_candidates(buf: bytes):
+    """Offsets in ``buf`` whose 8 length bytes match the stored length checksum,
+    in order, each with its payload verdict: True/False when the payload lies
+    inside ``buf``, None when it must be read from the file.  Every offset is
+    tested at once: all 8-byte windows (a zero-copy view) are checksummed in 8
+    vectorised steps."""
     from numpy.lib.stride_tricks import sliding_window_view
 
     from mediafeat.sources.crc32c import crc32c_rows
     n = len(buf)
     if n < 12:
-        return None
+        return
     arr = np.frombuffer(buf, dtype=np.uint8)
     heads = sliding_window_view(arr, 8)[: n - 11]
-    stored_bytes = sliding_window_view(arr[8:], 4)[: n - 11].astype(np.uint32)
-    stored = (stored_bytes[:, 0] | (stored_bytes[:, 1] << 8) | (stored_bytes[:, 2] << 16)
-              | (stored_bytes[:, 3] << 24))
-    hits = np.nonzero(mask(crc32c_rows(heads)) == stored)[0]
-    for o in hits:
+    sb = sliding_window_view(arr[8:], 4)[: n - 11].astype(np.uint32)
+    stored = sb[:, 0] | (sb[:, 1] << 8) | (sb[:, 2] << 16) | (sb[:, 3] << 24)
+    for o in np.nonzero(mask(crc32c_rows(heads)) == stored)[0]:
+        o = int(o)
         ln = struct.unpack_from("<Q", buf, o)[0]
-        end = o + 12 + ln + 4
-        if end <= n:
+        if o + 12 + ln + 4 <= n:
             p = buf[o + 12:o + 12 + ln]
-            if int(mask(crc32c_many([p]))[0]) != struct.unpack_from("<I", buf, o + 12 + ln)[0]:
-                continue
-        return int(o)
-    return None
+            yield o, int(mask(crc32c_many([p]))[0]) == struct.unpack_from("<I", buf, o + 12 + ln)[0]
+        else:
+            yield o, None
+
+
+def _payload_ok(f, size: int, off: int) -> bool:
+    """Both checksums of the record whose header is at ``off`` verify."""
+    if off + 12 > size:
+        return False
+    f.seek(off)
+    head = f.read(12)
+    ln = struct.unpack_from("<Q", head)[0]
+    if off + 12 + ln + 4 > size:
+        return False
+    body = f.read(ln + 4)
+    return int(mask(crc32c_many([body[:ln]]))[0]) == struct.unpack_from("<I", body, ln)[0]
 
 
 def iter_split(f, size: int, start: int, end: int, window: int = 1 << 18):
     """Yield (offset, payload | None, error | None) for records whose header
-    starts in [start, end) of an open random-access file of ``size`` bytes."""
+    starts in [start, end) of an open random-access file of ``size`` bytes.
+    A range that starts mid-file re-synchronises on the first offset where the
+    length checksum and the payload checksum both verify."""
     pos = start
     if start > 0:
-        while True:
+        found = None
+        while found is None:
             f.seek(pos)
             chunk = f.read(min(window, size - pos))
             if len(chunk) < 12:
                 return
-            o = _sync(chunk, pos)
-            if o is not None:
-                pos += o
-                break
-            pos += len(chunk) - 11  # overlap so a header across the edge is seen
-            if pos >= end:
-                return
+            for o, ok in _sync_candidates(chunk):
+                if ok or (ok is None and _payload_ok(f, size, pos + o)):
+                    found = pos + o
+                    break
+            if found is None:
+                pos += len(chunk) - 11  # overlap so a header across the edge is seen
+                if pos >= end:
+                    return
+        pos = found
+        if pos >= end:
+            return
     while pos < end:
         f.seek(pos)
         head = f.read(12)

@@ -232,3 +232,13 @@ def test_crc_rows_matches_reference():
     rng = np.random.default_rng(5)
     rows = rng.integers(0, 256, (50, 8), dtype=np.uint8)
     assert list(map(int, crc32c_rows(rows))) == [crc32c_py(bytes(r)) for r in rows]
+
+
+def test_split_reader_records_larger_than_the_scan_window(spark):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("b", T.BinaryType())])
+    rows = [(i, bytes([i % 251]) * (300_000 + i)) for i in range(12)]  # each record > the 256 KB window
+    path = scratch_path(spark, "t_split_big")
+    RC.write_records(spark.createDataFrame(rows, schema), path, shards=2)
+    back = RC.read_records_split(spark, path, schema, split_bytes=100_000).collect()
+    assert all(r["_error"] is None for r in back)
+    assert sorted((r["id"], len(r["b"])) for r in back) == [(i, 300_000 + i) for i in range(12)]
