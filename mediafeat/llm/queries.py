@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediafeat.llm import fingerprint, mixing, quality_rules, sharding
+from mediafeat.llm import fingerprint, jaccard_join, mixing, quality_rules, sharding
 from mediafeat.llm.common import table
 
 
@@ -35,7 +35,27 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_mix_sources, op6_shard, op7_quality_rules, op8_fingerprint)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents that link at a 4-word shingle Jaccard of 0.85."""
+    return jaccard_join.link_classes(table(spark, sf_dir, "documents"), 4, 85, 100)
+
 
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op3_mix_sources, op6_shard, op7_quality_rules, op8_fingerprint, op10_jaccard_join)}
+
+#: every pair that shares a shingle, then reachability: for the small tables
+ORACLE: dict[str, str] = {"op10_jaccard_join": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS x FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(x) = 0 THEN [] WHEN len(x) < 4 THEN [array_to_string(x, ' ')]
+    ELSE list_transform(range(1, len(x) - 2), lambda i: array_to_string(x[i:i + 3], ' ')) END) AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+r AS (SELECT u, v FROM p UNION SELECT r.u, p.v FROM r JOIN p ON r.v = p.u)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles,
+       least(s.doc_id, coalesce((SELECT min(v) FROM r WHERE r.u = s.doc_id), s.doc_id)) AS component_id
+FROM s"""}
