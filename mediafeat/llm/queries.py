@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediafeat.llm import fingerprint, jaccard_join, mixing, quality_rules, sharding, suffix_dedup
+from mediafeat.llm import fingerprint, jaccard_join, lm_score, mixing, quality_rules, sharding, suffix_dedup
 from mediafeat.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"), 100)
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learned from those outside fold 1 of 5."""
+    return lm_score.score_documents(table(spark, sf_dir, "documents"), 5, 1)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the source targets over 16 output shards."""
     return mixing.mix_report(table(spark, sf_dir, "documents"), shards=16)
@@ -46,7 +51,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_suffix_dedup, op3_mix_sources, op6_shard, op7_quality_rules, op8_fingerprint, op10_jaccard_join)}
+    op1_suffix_dedup, op2_lm_score, op3_mix_sources, op6_shard, op7_quality_rules, op8_fingerprint, op10_jaccard_join)}
 
 #: every pair that shares a shingle, then reachability: for the small tables
 ORACLE: dict[str, str] = {"op10_jaccard_join": """
