@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediafeat.llm import kernels as K
-from mediafeat.llm.common import fold, input_bytes, scratch, text_of
+from mediafeat.llm.common import fold, input_bytes, text_of
 
 U = np.uint64
 BUCKETS = 24          # of context counts: 0, 1, 2-3, 4-7, ...
 GRID = 64             # steps of an estimate's logarithm in the estimation histogram
 STEP = 0.5            # of a step, in natural logarithms
 ROUNDS = 50           # of expectation-maximisation
-BLOCK_BYTES = 4 << 20     # of input file that make a block
+BLOCK_BYTES = 6 << 20     # of input files that make a block
 END, START = U(0x51ED270B76F9A4D3), U(0x2545F4914F6CDD1D)
 REPLY = "blk long, part int, single binary, double binary, tokens long, kinds long"
 
@@ -162,13 +162,18 @@ def _estimates(cw, cv, cvw, n, v):
     return p2, p1, 1.0 / (v + 1)
 
 
-def histogram(blocks: DataFrame, answered: DataFrame, n: int, v: int) -> DataFrame:
+def _numbers(reply) -> tuple[int, int]:
+    return int(reply.column("n_all")[0].as_py()), int(reply.column("v_all")[0].as_py())
+
+
+def histogram(blocks: DataFrame, answered: DataFrame) -> DataFrame:
     """Held-out statistics over all training tokens: how many fall in each cell of
     (context bucket, steps of p2 over uniform, steps of p1 over uniform)."""
     def count(table, reply):
         import pyarrow as pa
         cells: dict[int, int] = {}
         train = table.column("train").to_numpy(zero_copy_only=False).astype(bool)
+        n, v = _numbers(reply)
         for i, j, at, cw, cv, cvw in _counted(table, reply):
             on = np.repeat(train[i:j], np.diff(at))
             cw, cv, cvw = cw[on] - 1, cv[on] - 1, cvw[on] - 1       # the token itself deleted
@@ -216,10 +221,24 @@ def mixture(cells: dict[int, int], rounds: int = ROUNDS) -> np.ndarray:
     return out
 
 
-def scores(blocks: DataFrame, answered: DataFrame, weights: np.ndarray, n: int, v: int) -> DataFrame:
+def learned(cells: DataFrame) -> DataFrame:
+    """The mixture weights as one row; a histogram has BUCKETS * GRID**2 cells at most."""
+    def fit(batches):
+        import pyarrow as pa
+        found: dict[int, int] = {}
+        for b in batches:
+            for row in b.column(0).to_pylist():
+                found |= {c["cell"]: c["n"] for c in row or []}
+        yield pa.RecordBatch.from_arrays([pa.array([mixture(found).tobytes()], pa.binary())], ["weights"])
+    return cells.agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("cells")).mapInArrow(fit, "weights binary")
+
+
+def scores(blocks: DataFrame, answered: DataFrame) -> DataFrame:
     def score(table, reply):
         import pyarrow as pa
         out = [[], [], [], []]
+        n, v = _numbers(reply)
+        weights = np.frombuffer(reply.column("weights")[0].as_py()).reshape(BUCKETS, 3)
         for i, j, at, cw, cv, cvw in _counted(table, reply):
             p2, p1, p0 = _estimates(cw, cv, cvw, n, v)
             w = weights[_bucket(cv)]
@@ -243,13 +262,14 @@ def score_documents(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataF
     document, learning from those outside fold ``held_out``."""
     spark = docs.sparkSession
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    n_blocks = max(parts, input_bytes(docs.select("text")) // BLOCK_BYTES)
+    n_blocks = max(parts, input_bytes(docs) // BLOCK_BYTES)
     blocks = text_of(docs).select(
         "doc_id", "text", (fold("doc_id", folds) == held_out).alias("held_out"), F.col("doc_id").isNotNull().alias("known"),
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("blk"))
     blocks = blocks.select("blk", "doc_id", "text", "held_out", (F.col("known") & ~F.col("held_out")).alias("train"))
-    answered = scratch(replies(requests(blocks, parts), parts), "lm-counts")
-    total = answered.agg(F.sum("tokens").alias("n"), F.sum("kinds").alias("v")).first()
-    n, v = int(total.n or 0), int(total.v or 0)
-    cells = {r.cell: r.n for r in histogram(blocks, answered, n, v).collect()}     # BUCKETS * GRID**2 at most
-    return scores(blocks, answered, mixture(cells), n, v)
+    # one plan: the exchanges of the blocks and of the questions are made once and
+    # read by the answers, the estimation and the scores alike
+    answered = replies(requests(blocks, parts), parts)
+    counted = answered.withColumns({"n_all": answered.agg(F.coalesce(F.sum("tokens"), F.lit(0))).scalar(),
+                                    "v_all": answered.agg(F.coalesce(F.sum("kinds"), F.lit(0))).scalar()})
+    return scores(blocks, counted.withColumn("weights", learned(histogram(blocks, counted)).scalar()))
