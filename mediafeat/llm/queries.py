@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediafeat.llm import fingerprint, jaccard_join, lm_score, mixing, quality_rules, sharding, suffix_dedup
+from mediafeat.llm import (
+    fingerprint,
+    jaccard_join,
+    language_id,
+    lm_score,
+    mixing,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    toxicity,
+)
 from mediafeat.llm.common import table
 
 
@@ -27,6 +37,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those outside fold 2 of 4."""
+    return language_id.identify(table(spark, sf_dir, "documents"), 4, 2)
+
+
 def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents over 24 shards of nearly equal bytes."""
     out = sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
@@ -45,13 +60,19 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_report(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside fold 2 of 4."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), 4, 2)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents that link at a 4-word shingle Jaccard of 0.85."""
     return jaccard_join.link_classes(table(spark, sf_dir, "documents"), 4, 85, 100)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_lm_score, op3_mix_sources, op6_shard, op7_quality_rules, op8_fingerprint, op10_jaccard_join)}
+    op1_suffix_dedup, op2_lm_score, op3_mix_sources, op5_language_id, op6_shard,
+    op7_quality_rules, op8_fingerprint, op9_toxicity, op10_jaccard_join)}
 
 #: every pair that shares a shingle, then reachability: for the small tables
 ORACLE: dict[str, str] = {"op10_jaccard_join": """
