@@ -1,7 +1,7 @@
 """Toxicity scores by gradient-boosted trees over dense features, calibrated by
 isotonic regression.
 
-The lexicon is learned: stems (the first 4, 5 or 6 letters of a word, case folded and
+The lexicon is learned: stems (the first 4 to 7 letters of a word, case folded and
 common look-alike characters undone) that are far more frequent in toxic training
 documents than in others; their document counts come from every labelled training
 row.  Features of a whole text: counts and densities of lexicon words, how many
@@ -32,14 +32,14 @@ from mediafeat.llm.common import fold, let, scratch, text_of
 
 MAX_ROWS = 20_000         # labelled rows the trees are fitted on
 LEXICON = 400             # stems at most
-STEMS = (4, 5, 6)
-MIN_ODDS = 3.0            # log odds from which on a stem counts as toxic
-MIN_SHARE = 0.002         # of the toxic documents that must have the stem
+STEMS = (4, 5, 6, 7)
+MIN_ODDS, STRONG = 1.5, 4.0   # log odds of a mild and of a strong stem
+MIN_EVIDENCE = 18.0       # its log-likelihood ratio, so that chance words stay out
 THRESHOLD = 0.3
 LOOK_ALIKE = ("01345$@", "oieassa")
 #: second-person pronouns (fixed values)
 YOU = ["you", "your", "yours", "yourself", "ur", "du", "dich", "dir", "dein", "deine", "tu", "toi", "te", "ton", "ta", "tes", "vous", "votre", "ti", "tus", "usted"]
-FEATURES = ["lex_count", "lex_share", "lex_any", "near_you", "you_share", "upper_share", "shout_share", "exclaim_rate",
+FEATURES = ["lex_count", "lex_share", "mild_count", "mild_share", "near_you", "you_share", "upper_share", "shout_share", "exclaim_rate",
             "mark_rate", "symbol_words", "spaced_words", "log_words"]
 
 
@@ -49,8 +49,8 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(plain, F.lit(r"\p{L}+"), F.lit(0))
 
 
-def learn_lexicon(labelled: DataFrame, limit: int = LEXICON) -> list[str]:
-    """Stems by their log odds between toxic and other documents (``toxic``)."""
+def learn_lexicon(labelled: DataFrame, limit: int = LEXICON) -> dict[str, bool]:
+    """Stems and whether they are strong, by their log odds between toxic and other documents (``toxic``)."""
     stems = F.array_distinct(F.flatten(F.array(*[F.transform(F.filter(F.col("w"), lambda w: F.length(w) >= n), lambda w: F.left(w, F.lit(n)))
                                                  for n in STEMS])))
     # distinct words first: stems are taken of a document's vocabulary, not of its length
@@ -59,29 +59,35 @@ def learn_lexicon(labelled: DataFrame, limit: int = LEXICON) -> list[str]:
               .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")))
     sums = labelled.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).first()
     if not sums.t or not sums.c:
-        return []
+        return {}
     odds = F.log((F.col("t") + 0.5) / F.lit(sums.t + 1.0)) - F.log((F.col("c") + 0.5) / F.lit(sums.c + 1.0))
-    rows = (counts.where(F.col("t") >= max(2.0, MIN_SHARE * sums.t)).withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS)
-            .orderBy(F.desc("odds"), F.desc("t"), "stem").limit(limit).collect())
-    return [r.stem for r in rows]
+    rate, k = sums.t / (sums.t + sums.c), F.col("t") + F.col("c")
+    evidence = 2 * (F.col("t") * F.log(F.col("t") / (k * rate)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (k * (1 - rate)))).otherwise(0.0))
+    rows = (counts.where("t > 0").withColumns({"odds": odds, "evidence": evidence})
+            .where((F.col("odds") >= MIN_ODDS) & (F.col("evidence") >= MIN_EVIDENCE))
+            .orderBy(F.desc("evidence"), "stem").limit(limit).collect())
+    return {r.stem: r.odds >= STRONG for r in rows}
 
 
-def features(docs: DataFrame, lexicon: list[str], text: str = "text") -> DataFrame:
+def features(docs: DataFrame, lexicon: dict[str, bool], text: str = "text") -> DataFrame:
     """``docs`` with the columns of ``FEATURES`` as one array ``tox_x``."""
     t = F.col(text)
 
-    def toxic(w: Column) -> Column:
-        out = F.lit(False)
-        for n in STEMS:
-            own = [s for s in lexicon if len(s) == n]
-            if own:
-                out = out | F.left(w, F.lit(n)).isin(own)
+    def toxic(w: Column) -> Column:      # 2: a strong stem, 1: a mild one
+        out = F.lit(0)
+        for value in (False, True):
+            hit = F.lit(False)
+            for n in STEMS:
+                own = [s for s, strong in lexicon.items() if len(s) == n and strong == value]
+                if own:
+                    hit = hit | F.left(w, F.lit(n)).isin(own)
+            out = F.when(hit, F.lit(2 if value else 1)).otherwise(out)
         return out
 
     def counts(w: Column) -> Column:
-        hit = F.transform(w, lambda x: toxic(x).cast("int"))
+        hit = F.transform(w, toxic)
         return let(hit, lambda h: F.struct(
-            F.size(w).alias("n"), F.aggregate(h, F.lit(0), lambda a, x: a + x).alias("lex"),
+            F.size(w).alias("n"), F.size(F.filter(h, lambda x: x == 2)).alias("lex"), F.size(F.filter(h, lambda x: x == 1)).alias("mild"),
             F.size(F.filter(w, lambda x: x.isin(YOU))).alias("you"),
             F.when(F.exists(h, lambda x: x > 0), F.size(F.filter(
                 F.transform(w, lambda x, i: (F.get(h, i) > 0) & F.exists(F.slice(w, F.greatest(i - 2, F.lit(1)), F.lit(7)), lambda y: y.isin(YOU))),
@@ -93,7 +99,7 @@ def features(docs: DataFrame, lexicon: list[str], text: str = "text") -> DataFra
         F.regexp_count(t, F.lit(r"\b\p{L}(?:[ .\-_]\p{L}){3,}\b")).alias("spaced")))
     n, chars = F.greatest(F.col("_tox.w.n"), F.lit(1)), F.greatest(F.col("_tox.chars"), F.lit(1))
     lex = F.col("_tox.w.lex")
-    values = [F.least(lex, F.lit(50)), lex / n, (lex > 0).cast("int"), F.least(F.col("_tox.w.near"), F.lit(50)), F.col("_tox.w.you") / n,
+    values = [F.least(lex, F.lit(50)), lex / n, F.least(F.col("_tox.w.mild"), F.lit(50)), F.col("_tox.w.mild") / n, F.least(F.col("_tox.w.near"), F.lit(50)), F.col("_tox.w.you") / n,
               F.col("_tox.upper") / chars, F.col("_tox.shout") / n, F.col("_tox.exclaim") / n, F.col("_tox.marks") / n,
               F.col("_tox.odd") / n, F.col("_tox.spaced") / n, F.log1p(F.col("_tox.w.n"))]
     return raw.withColumn("tox_x", F.array(*[v.cast("double") for v in values])).drop("_tox")
@@ -102,7 +108,7 @@ def features(docs: DataFrame, lexicon: list[str], text: str = "text") -> DataFra
 class Scorer:
     """A lexicon, trees and a calibration; ``score`` adds a column."""
 
-    def __init__(self, lexicon: list[str], trees=None, steps: tuple[list[float], list[float]] = ([], []), prior: float = 0.0) -> None:
+    def __init__(self, lexicon: dict[str, bool], trees=None, steps: tuple[list[float], list[float]] = ([], []), prior: float = 0.0) -> None:
         self.lexicon, self.trees, self.steps, self.prior = lexicon, trees, steps, prior
 
     def margin(self, rows: DataFrame) -> DataFrame:
@@ -134,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, m
         .where("toxic in (0, 1) and doc_id is not null").where(fold("doc_id", folds) != held_out)
     n = marked.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).first()
     if not n.n or not n.t or n.t == n.n:
-        return Scorer([], prior=(n.t or 0) / max(n.n, 1))
+        return Scorer({}, prior=(n.t or 0) / max(n.n, 1))
     joined = docs.join(marked, "doc_id")
     lexicon = learn_lexicon(joined)
     keep = min(1.0, max_rows / n.n)
