@@ -350,3 +350,14 @@ def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) ->
     return (rows.select("doc_id", "size", "fp").join(alone, "fp", "left").join(member, "fp", "left")
             .select("doc_id", F.col("size").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "lowest", "doc_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` (all columns) that are the smallest id of their class; of
+    rows that repeat an id one stays.  Rows with a null id all stay."""
+    classes = scratch(link_classes(docs, n, num, den), "classes")
+    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    if classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))

@@ -14,6 +14,7 @@ from mediafeat.llm import (
     language_id,
     lm_score,
     mixing,
+    piece_sampling,
     quality_rules,
     sharding,
     suffix_dedup,
@@ -37,6 +38,12 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every whole text: size, checksum of the
+    ids, scores, and whether decoding gives the text back."""
+    return piece_sampling.encode(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from those outside fold 2 of 4."""
     return language_id.identify(table(spark, sf_dir, "documents"), 4, 2)
@@ -71,7 +78,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_lm_score, op3_mix_sources, op5_language_id, op6_shard,
+    op1_suffix_dedup, op2_lm_score, op3_mix_sources, op4_sentencepiece, op5_language_id, op6_shard,
     op7_quality_rules, op8_fingerprint, op9_toxicity, op10_jaccard_join)}
 
 #: every pair that shares a shingle, then reachability: for the small tables
