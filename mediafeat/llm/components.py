@@ -24,7 +24,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         low = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
                  .where("u != v").distinct())
-        large = scratch(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "large-star")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                                               F.struct(F.col("u"), F.col("m").alias("v")))).alias("x"))

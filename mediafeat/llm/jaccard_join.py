@@ -1,7 +1,7 @@
 """N-gram Jaccard self-join by rare-first prefix filtering.
 
 1. *Profile.*  One pass gives every document's set size, a fingerprint of its
-   shingle set, and a 64-bin count signature; equal sets collapse to one node.  The
+   shingle set, and a 256-bin count signature; equal sets collapse to one node.  The
    same pass counts document frequencies of shingles in a fixed-size table of
    hashed counters.  The table only orders shingles: any total order that all
    documents share gives right results, a rare-first one gives few candidates.
@@ -11,8 +11,8 @@
 3. *Rounds.*  A posting list of m nodes first links each node to the list's
    smallest and to its neighbour only: 2m pairs, which joins true groups of near
    copies.  After components are known, only lists that still span several of them
-   are expanded, between components: every pair that could still merge two
-   components is tested, and none inside a component needs to be.
+   are expanded, between components: first each node's likeliest partner, then every
+   pair that could still merge two components; none inside a component needs to be.
 4. *Verification*, once per pair: the suffix filter bounds the overlap by the
    signature, what is left is decided on the whole texts.
 
@@ -34,7 +34,7 @@ from mediafeat.llm.components import components
 U = np.uint64
 TABLE_BITS = 20       # hashed document-frequency counters: 2**20, whatever the input
 SLICES = 16           # the counter table travels in so many pieces
-SIGNATURE = 64        # bins of a set's signature
+SIGNATURE = 256       # bins of a set's signature
 FLUSH = 1 << 21       # postings a task gathers before it emits them
 
 
@@ -70,7 +70,7 @@ def profile(docs: DataFrame, n: int) -> DataFrame:
             for _, u in _sets(data, bounds, n):
                 size.append(len(u))
                 fp.append(_fingerprint(u) if len(u) else None)
-                sig.append(np.minimum(np.bincount(u >> U(58), minlength=SIGNATURE), 255).astype(np.uint8).tobytes())
+                sig.append(np.minimum(np.bincount((u >> U(56)).astype(np.int64), minlength=SIGNATURE), 255).astype(np.uint8).tobytes())
                 seen.append(u)
                 if len(seen) == 2048:
                     counts += np.bincount((np.concatenate(seen) & U((1 << TABLE_BITS) - 1)).astype(np.int64), minlength=1 << TABLE_BITS)
@@ -229,8 +229,8 @@ def meet(posts: DataFrame, num: int, den: int, parts: int) -> DataFrame:
         run, "kind int, a long, b long, h long, fps binary, sizes binary, spots binary")
 
 
-def _open_lists(lists: DataFrame, comps: DataFrame, parts: int) -> DataFrame:
-    """(h, fp, size, pos, root) of the lists that span several components."""
+def _members(lists: DataFrame) -> DataFrame:
+    """(h, fp, size, pos), one row per entry of a list."""
     def rows(batches):
         import pyarrow as pa
         for b in batches:
@@ -238,42 +238,75 @@ def _open_lists(lists: DataFrame, comps: DataFrame, parts: int) -> DataFrame:
                 fp, size, pos = (np.frombuffer(x, np.int64) for x in blobs)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), h)), pa.array(fp), pa.array(size), pa.array(pos)],
                                                  ["h", "fp", "size", "pos"])
-    members = lists.select("h", "fps", "sizes", "spots").mapInArrow(rows, "h long, fp long, size long, pos long")
-    named = members.join(comps.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
-        "h", "fp", "size", "pos", F.coalesce("root", "fp").alias("root"))
-    named = scratch(named, "lists")
+    return lists.select("h", "fps", "sizes", "spots").mapInArrow(rows, "h long, fp long, size long, pos long")
+
+
+def _open_lists(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """The entries of lists that span several components, with their ``root``."""
+    named = members.drop("root").join(comps.select(F.col("node").alias("fp"), "root"), "fp", "left")
+    named = scratch(named.withColumn("root", F.coalesce("root", "fp")), "lists")
     several = named.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("h")
-    return scratch(named.join(several, "h", "left_semi"), "open-lists")
+    return named.join(several, "h", "left_semi")
+
 
+def _apart(sa: np.ndarray, sb: np.ndarray) -> np.ndarray:
+    """A lower bound of the symmetric difference, from the signatures."""
+    return np.abs(sa.astype(np.int16) - sb).sum(1)
 
-def _across(open_lists: DataFrame, num: int, den: int, parts: int) -> DataFrame:
-    """Pairs (a, b) of one list and of two components that pass the filters."""
+
+def _across(open_lists: DataFrame, num: int, den: int, parts: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of one list and of two components that may link; with
+    ``nearest`` only each node's likeliest partner in the list.  A pair that
+    links has a first common shingle: all earlier ones differ, so its list is the
+    one where the strict positional filter holds; the suffix filter comes at once."""
     def run(batches):
         import pyarrow as pa
-        cols = [[] for _ in range(5)]
+        cols = [[] for _ in range(6)]
         for b in batches:
             for i in range(5):
                 cols[i].append(b.column(i).to_numpy(zero_copy_only=False))
+            cols[5].append(np.frombuffer(b"".join(b.column(5).to_pylist()), np.uint8).reshape(-1, SIGNATURE))
         if not cols[0]:
             return
-        h, fp, size, pos, root = (np.concatenate(c) for c in cols)
+        h, fp, size, pos, root, sig = (np.concatenate(c) for c in cols)
         order = np.lexsort((size, h))
-        h, fp, size, pos, root = h[order], fp[order], size[order], pos[order], root[order]
+        h, fp, size, pos, root, sig = h[order], fp[order], size[order], pos[order], root[order], sig[order]
+        coarse = sig.reshape(len(sig), 32, -1).sum(2, dtype=np.int16)
+        # sizes rise within a list: the length filter ends each row's range
         end = np.searchsorted(h, h, "right")
-        out, held = [], 0
-        for i in range(len(h)):      # sizes rise: the length filter ends each scan
-            stop = i + 1 + int(np.searchsorted(size[i + 1:end[i]], size[i] * den // num, "right"))
-            j = np.arange(i + 1, stop)
-            j = j[root[j] != root[i]]
-            j = j[_pass(size[i], size[j], pos[i], pos[j], num, den)]
-            if len(j):
-                out.append((np.full(len(j), fp[i]), fp[j]))
-                held += len(j)
-            if held > 1 << 20 or (i + 1 == len(h) and held):
-                a, b = _unique_pairs(*(np.concatenate(x) for x in zip(*out)))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-                out, held = [], 0
-    return open_lists.select("h", "fp", "size", "pos", "root").repartition(parts, "h").mapInArrow(run, "a long, b long")
+        span = np.full(len(h), 0, np.int64)
+        for lo in np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])).tolist():
+            i = slice(lo, end[lo])
+            span[i] = lo + np.searchsorted(size[i], size[i] * den // num, "right") - np.arange(lo, end[lo]) - 1
+        done = np.concatenate([[0], np.cumsum(span)])
+        out = [np.zeros(0, np.int64)] * 2
+        i = 0
+        while i < len(h):
+            k = max(i + 1, int(np.searchsorted(done, done[i] + (1 << 19), "right")) - 1)
+            left = np.repeat(np.arange(i, k), span[i:k])
+            right = left + 1 + np.arange(len(left)) - np.repeat(done[i:k] - done[i], span[i:k])
+            i = k
+            ok = root[left] != root[right]
+            left, right = left[ok], right[ok]
+            na, nb, ia, ib = size[left], size[right], pos[left], pos[right]
+            need = -(-num * (na + nb) // (num + den))
+            ok = (1 + np.minimum(na - ia - 1, nb - ib - 1) >= need) & (ia + ib <= na + nb - 2 * need)
+            left, right, room = left[ok], right[ok], (na + nb - 2 * need)[ok]
+            ok = _apart(coarse[left], coarse[right]) <= room
+            left, right, room = left[ok], right[ok], room[ok]
+            apart = _apart(sig[left], sig[right])
+            ok = apart <= room
+            left, right, apart = left[ok], right[ok], apart[ok]
+            if nearest:
+                node, pair = np.concatenate([left, right]), np.tile(np.arange(len(left)), 2)
+                order = np.lexsort((apart[pair], node))
+                node, pair = node[order], np.unique(pair[order][np.concatenate([[True], node[order][1:] != node[order][:-1]])[:len(order)]])
+                left, right = left[pair], right[pair]
+            if len(left):
+                out = _unique_pairs(np.concatenate([out[0], fp[left]]), np.concatenate([out[1], fp[right]]))
+        if len(out[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
+    return open_lists.select("h", "fp", "size", "pos", "root", "sig").repartition(parts, "h").mapInArrow(run, "a long, b long")
 
 
 def suffix_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -283,10 +316,9 @@ def suffix_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> Dat
         import pyarrow.compute as pc
         for b in batches:
             na, nb = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            sa, sb = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int64) for i in (4, 5))
-            apart = np.abs(sa - sb).sum(1)
+            sa, sb = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(-1, SIGNATURE) for i in (4, 5))
             need = -(-num * (na + nb) // (num + den))
-            ok = (na + nb - apart >= 2 * need) & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)
+            ok = (na + nb - _apart(sa, sb) >= 2 * need) & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)
             yield pa.RecordBatch.from_arrays([pc.filter(b.column(i), pa.array(ok)) for i in (0, 1, 6, 7)], ["a", "b", "doc_a", "doc_b"])
     x = nodes.select(F.col("fp").alias("a"), F.col("size").alias("na"), F.col("sig").alias("sa"), F.col("doc").alias("doc_a"))
     y = nodes.select(F.col("fp").alias("b"), F.col("size").alias("nb"), F.col("sig").alias("sb"), F.col("doc").alias("doc_b"))
@@ -335,13 +367,16 @@ def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) ->
     near = scratch(suffix_filter(pairs, nodes, num, den), "near")
     links = scratch(verify(near, docs, n, num, den), "links")
     comps = components(links)
-    open_lists = _open_lists(met.where("kind = 1"), comps, parts)
-    if not open_lists.isEmpty():
-        rest = _across(open_lists, num, den, parts).distinct().join(pairs, ["a", "b"], "left_anti")
-        near = scratch(suffix_filter(rest, nodes, num, den), "near-rest")
-        if not near.isEmpty():
-            more = scratch(verify(near, docs, n, num, den), "links-rest")
-            comps = components(links.union(more))
+    lists = _open_lists(_members(met.where("kind = 1")), comps).drop("root").join(nodes.select("fp", "sig"), "fp")
+    for nearest in (True, False):       # likely partners first: they leave few components to compare
+        lists = _open_lists(lists, comps)
+        rest = _across(lists, num, den, parts, nearest).distinct().join(pairs, ["a", "b"], "left_anti")
+        near = scratch(suffix_filter(rest, nodes, num, den), "near")
+        if near.isEmpty():
+            break
+        links = links.union(scratch(verify(near, docs, n, num, den), "links"))
+        comps = components(links)
+        pairs = pairs.union(near.select("a", "b"))
     comps = scratch(comps, "components")
     smallest = (nodes.select("fp", "doc").join(comps.select(F.col("node").alias("fp"), "root"), "fp")
                 .groupBy("root").agg(F.min("doc").alias("component_id")))
