@@ -207,7 +207,7 @@ def _emit(parts: int, runs_of, crowd: int | None):
     def marks(kind, e):
         b = _rows(kind, e)
         m = b.num_rows
-        return pa.RecordBatch.from_arrays([b.column(2), pa.nulls(m, pa.int32()), *[pa.nulls(m, pa.binary())] * 6,
+        return pa.RecordBatch.from_arrays([b.column(2), pa.array((e["kid"] % parts).astype(np.int32)), *[pa.nulls(m, pa.binary())] * 6,
                                            b.column(0), b.column(1), b.column(3), b.column(4)], names)
 
     def flush(entries):
@@ -253,11 +253,18 @@ def sampled(base: DataFrame, length: int, gram: int, parts: int) -> DataFrame:
 
 def scan(runs: DataFrame, parts: int, compare: bool) -> DataFrame:
     """The repeats (kind 1) among all runs and, with ``compare``, the entries whose
-    first bytes occur with several surroundings (kind 2)."""
+    first bytes occur with several surroundings (kind 2); what the tasks that made
+    the runs knew already passes through."""
     def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
         family = Family()
         for b in batches:
-            for row in zip(*(b.column(i).to_pylist() for i in range(1, 7))):
+            known = b.filter(pc.not_equal(b.column(0), 0))
+            if known.num_rows:
+                yield pa.RecordBatch.from_arrays([known.column(8), known.column(9), known.column(0), known.column(10), known.column(11)], NAMES)
+            b = b.filter(pc.equal(b.column(0), 0))
+            for row in zip(*(b.column(i).to_pylist() for i in range(2, 8))):
                 key, ctx, kid, tag, lo, n = (K.unpack(x) for x in row)
                 yield _rows(1, family.add(_full({"key": key, "ctx": ctx, "kid": kid.view(np.int64), "tag": tag.astype(np.int64),
                                                  "lo": lo.astype(np.int64), "n": n.astype(np.int64)})))
@@ -269,7 +276,7 @@ def scan(runs: DataFrame, parts: int, compare: bool) -> DataFrame:
             several[1:] |= same
             several[:-1] |= same
             yield _rows(2, _take(e, several))
-    return runs.where("kind = 0").select("part", "key", "ctx", "kid", "tag", "lo", "n").repartition(parts, "part").mapInArrow(run, MARK)
+    return runs.repartition(parts, "part").mapInArrow(run, MARK)
 
 
 def gathered(marks: DataFrame) -> DataFrame:
@@ -336,22 +343,15 @@ def compared(base: DataFrame, doubtful: DataFrame, length: int, parts: int) -> D
     return base.join(doubtful, ["kid", "tag"]).select("kid", "tag", "text", "starts", "ends").mapInArrow(run, OUT)
 
 
-def _marks(runs: DataFrame, kind: int) -> DataFrame:
-    return runs.where(F.col("kind") == kind).select(F.col("mkid").alias("kid"), F.col("mtag").alias("tag"), "kind",
-                                                    F.col("mlo").alias("lo"), F.col("mhi").alias("hi"))
-
-
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """kid, tag, text, starts, ends of every distinct document: runs [start, end) of
     starts of strings that also start earlier (null where there is none)."""
     spark = docs.sparkSession
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = keyed(docs)
-    runs = scratch(sampled(base, length, gram, parts), "suffix-runs")
-    found = scratch(scan(runs, parts, True), "suffix-found")
-    doubtful = gathered(found.where("kind = 2").union(_marks(runs, 2)))
-    again = scratch(compared(base, doubtful, length, parts), "string-runs")
-    marks = _marks(runs, 1).union(found.where("kind = 1")).union(_marks(again, 1)).union(scan(again, parts, False))
+    found = scratch(scan(sampled(base, length, gram, parts), parts, True), "repeats")
+    again = scan(compared(base, gathered(found.where("kind = 2")), length, parts), parts, False)
+    marks = found.where("kind = 1").union(again)
     return base.join(gathered(marks), ["kid", "tag"], "left").select("kid", "tag", "text", "starts", "ends")
 
 
