@@ -35,6 +35,7 @@ U = np.uint64
 BUCKETS = 24          # of context counts: 0, 1, 2-3, 4-7, ...
 GRID = 64             # steps of an estimate's logarithm in the estimation histogram
 STEP = 0.5            # of a step, in natural logarithms
+SLICES = 8            # the histogram travels in so many pieces
 ROUNDS = 50           # of expectation-maximisation
 BLOCK_BYTES = 6 << 20     # of input files that make a block
 END, START = U(0x51ED270B76F9A4D3), U(0x2545F4914F6CDD1D)
@@ -62,24 +63,24 @@ def _parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.searchsorted(keys, np.array([(p << 64) // parts for p in range(parts)], U)).tolist() + [len(keys)]
 
 
-def _block(table, learn: bool):
-    """Distinct sorted tokens, contexts and pairs of a block's documents, and how
-    often each occurs in those that are learned from."""
+def _block(table):
+    """A block's documents by number: bounds, distinct sorted tokens (with the start),
+    each token's and each context's place among them, distinct sorted pairs and each
+    pair's place."""
     data, bounds = K.texts(table.column("text"))
-    single, double, context = [], [], []
-    train = table.column("train").to_numpy(zero_copy_only=False).astype(bool) if learn else None
-    for i, j in K.runs(bounds, 1 << 22):
-        t, v, p, at = _tokens(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i])
-        w = np.repeat(train[i:j], np.diff(at)) if learn else np.zeros(len(t), bool)
-        single.append((t, w))
-        double.append((p, w))
-        first = at[:-1]
-        context.append((np.full(len(first), START, U), w[first]))
-    out = []
-    for parts in (single + context, double):
-        keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        out.append((keys, np.bincount(inverse, weights=np.concatenate([w for _, w in parts]), minlength=len(keys)).astype(np.int64)))
-    return out
+    ts, ps, ats = [np.zeros(0, U)], [np.zeros(0, U)], [np.zeros(1, np.int64)]
+    for i, j in K.runs(bounds, 1 << 21):
+        t, _, p, at = _tokens(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i])
+        ts.append(t)
+        ps.append(p)
+        ats.append(at[1:] + ats[-1][-1])
+    at = np.concatenate(ats)
+    single, ti = np.unique(np.append(np.concatenate(ts), START), return_inverse=True)
+    double, pi = np.unique(np.concatenate(ps), return_inverse=True)
+    vi = np.empty(len(ti) - 1, ti.dtype)
+    vi[1:] = ti[:-2]
+    vi[at[:-1]] = ti[-1]
+    return at, single, ti[:-1], vi, double, pi
 
 
 def requests(blocks: DataFrame, parts: int) -> DataFrame:
@@ -88,7 +89,11 @@ def requests(blocks: DataFrame, parts: int) -> DataFrame:
         import pyarrow as pa
         blk = table.column("blk")[0].as_py()
         cols = [[], [], [], [], []]
-        (s, sc), (d, dc) = _block(table, True)
+        at, s, ti, vi, d, pi = _block(table)
+        train = table.column("train").to_numpy(zero_copy_only=False).astype(bool)
+        on = np.repeat(train, np.diff(at))
+        sc, dc = np.bincount(ti[on], minlength=len(s)), np.bincount(pi[on], minlength=len(d))
+        sc[s == START] += int(train.sum())
         es, ed = _parts_of(s, parts), _parts_of(d, parts)
         for p in range(parts):
             a, b, x, y = es[p], es[p + 1], ed[p], ed[p + 1]
@@ -142,17 +147,13 @@ def _bucket(c: np.ndarray) -> np.ndarray:
 
 
 def _counted(table, reply):
-    """Per run of documents: (first, last, bounds, c(w), c(v), c(v, w))."""
+    """(bounds, c(w), c(v), c(v, w)) of a block's tokens."""
     order = np.argsort(reply.column("part").to_numpy())
     single = [K.unpack(x) for x in np.array(reply.column("single").to_pylist(), object)[order]]
     double = [K.unpack(x) for x in np.array(reply.column("double").to_pylist(), object)[order]]
-    (s, _), (d, _) = _block(table, False)
-    sc = np.concatenate(single).astype(np.int64) if single else np.zeros(0, np.int64)
-    dc = np.concatenate(double).astype(np.int64) if double else np.zeros(0, np.int64)
-    data, bounds = K.texts(table.column("text"))
-    for i, j in K.runs(bounds, 1 << 22):
-        t, v, p, at = _tokens(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i])
-        yield i, j, at, sc[np.searchsorted(s, t)], sc[np.searchsorted(s, v)], dc[np.searchsorted(d, p)]
+    at, _, ti, vi, _, pi = _block(table)
+    sc, dc = (np.concatenate(x).astype(np.int64) for x in (single, double))
+    return at, sc[ti], sc[vi], dc[pi]
 
 
 def _estimates(cw, cv, cvw, n, v):
@@ -168,24 +169,49 @@ def _numbers(reply) -> tuple[int, int]:
 
 def histogram(blocks: DataFrame, answered: DataFrame) -> DataFrame:
     """Held-out statistics over all training tokens: how many fall in each cell of
-    (context bucket, steps of p2 over uniform, steps of p1 over uniform)."""
+    (context bucket, steps of p2 over uniform, steps of p1 over uniform), as packed
+    arrays in SLICES rows."""
+    names, schema = ["slice", "cell", "n"], "slice int, cell binary, n binary"
+
+    def rows(kind, k, c):
+        of = [k % SLICES == x for x in range(SLICES)]
+        return kind.from_arrays([pa_ints(range(SLICES)), pa_blobs([K.pack(k[o], True) for o in of]), pa_blobs([K.pack(c[o]) for o in of])], names)
+
     def count(table, reply):
         import pyarrow as pa
-        cells: dict[int, int] = {}
         train = table.column("train").to_numpy(zero_copy_only=False).astype(bool)
         n, v = _numbers(reply)
-        for i, j, at, cw, cv, cvw in _counted(table, reply):
-            on = np.repeat(train[i:j], np.diff(at))
-            cw, cv, cvw = cw[on] - 1, cv[on] - 1, cvw[on] - 1       # the token itself deleted
-            p2, p1, p0 = _estimates(cw, cv, cvw, n - 1, v)
-            q2, q1 = (np.where(p > 0, np.clip(np.floor(np.log(np.maximum(p, 1e-300) / p0) / STEP) + 16, 1, GRID - 1), 0).astype(np.int64)
-                      for p in (p2, p1))
-            k, c = np.unique((_bucket(cv) * GRID + q2) * GRID + q1, return_counts=True)
-            for a, b in zip(k.tolist(), c.tolist()):
-                cells[a] = cells.get(a, 0) + b
-        return pa.Table.from_arrays([pa.array(list(cells), pa.int64()), pa.array(list(cells.values()), pa.int64())], ["cell", "n"])
-    return (blocks.groupBy("blk").cogroup(answered.groupBy("blk")).applyInArrow(count, "cell long, n long")
-            .groupBy("cell").agg(F.sum("n").alias("n")))
+        at, cw, cv, cvw = _counted(table, reply)
+        on = np.repeat(train, np.diff(at))
+        cw, cv, cvw = cw[on] - 1, cv[on] - 1, cvw[on] - 1       # the token itself deleted
+        p2, p1, p0 = _estimates(cw, cv, cvw, n - 1, v)
+        q2, q1 = (np.where(p > 0, np.clip(np.floor(np.log(np.maximum(p, 1e-300) / p0) / STEP) + 16, 1, GRID - 1), 0).astype(np.int64)
+                  for p in (p2, p1))
+        c = np.bincount((_bucket(cv) * GRID + q2) * GRID + q1, minlength=1)
+        k = np.flatnonzero(c)
+        return rows(pa.Table, k, c[k])
+
+    def total(batches):
+        import pyarrow as pa
+        sums = np.zeros(BUCKETS * GRID * GRID, np.int64)
+        for b in batches:
+            for k, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                sums[K.unpack(k).astype(np.int64)] += K.unpack(c).astype(np.int64)
+        k = np.flatnonzero(sums)
+        if len(k):
+            yield rows(pa.RecordBatch, k, sums[k])
+    return (blocks.groupBy("blk").cogroup(answered.groupBy("blk")).applyInArrow(count, schema)
+            .repartition(SLICES, "slice").mapInArrow(total, schema))
+
+
+def pa_ints(values):
+    import pyarrow as pa
+    return pa.array(list(values), pa.int32())
+
+
+def pa_blobs(values):
+    import pyarrow as pa
+    return pa.array(values, pa.binary())
 
 
 def mixture(cells: dict[int, int], rounds: int = ROUNDS) -> np.ndarray:
@@ -228,27 +254,25 @@ def learned(cells: DataFrame) -> DataFrame:
         found: dict[int, int] = {}
         for b in batches:
             for row in b.column(0).to_pylist():
-                found |= {c["cell"]: c["n"] for c in row or []}
+                for x in row or []:
+                    for k, n in zip(K.unpack(x["cell"]).tolist(), K.unpack(x["n"]).tolist()):
+                        found[k] = found.get(k, 0) + n
         yield pa.RecordBatch.from_arrays([pa.array([mixture(found).tobytes()], pa.binary())], ["weights"])
-    return cells.agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("cells")).mapInArrow(fit, "weights binary")
+    return cells.agg(F.collect_list(F.struct("cell", "n")).alias("cells")).mapInArrow(fit, "weights binary")
 
 
 def scores(blocks: DataFrame, answered: DataFrame) -> DataFrame:
     def score(table, reply):
         import pyarrow as pa
-        out = [[], [], [], []]
         n, v = _numbers(reply)
         weights = np.frombuffer(reply.column("weights")[0].as_py()).reshape(BUCKETS, 3)
-        for i, j, at, cw, cv, cvw in _counted(table, reply):
-            p2, p1, p0 = _estimates(cw, cv, cvw, n, v)
-            w = weights[_bucket(cv)]
-            p = np.log10(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] * p0)
-            base = np.log10((cw + 0.5) / (n + 0.5 * (v + 1)))
-            first = at[:-1]
-            for o, x in zip(out, (np.diff(at), np.add.reduceat((cw > 0).astype(np.int64), first), np.add.reduceat(base, first),
-                                  np.add.reduceat(p, first))):
-                o.append(x)
-        c = [np.concatenate(x) if x else np.zeros(0) for x in out]
+        at, cw, cv, cvw = _counted(table, reply)
+        p2, p1, p0 = _estimates(cw, cv, cvw, n, v)
+        w = weights[_bucket(cv)]
+        p = np.log10(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] * p0)
+        base = np.log10((cw + 0.5) / (n + 0.5 * (v + 1)))
+        first = at[:-1]
+        c = [np.diff(at), np.add.reduceat((cw > 0).astype(np.int64), first), np.add.reduceat(base, first), np.add.reduceat(p, first)]
         return pa.Table.from_arrays(
             [table.column("doc_id"), table.column("held_out"), pa.array(c[0].astype(np.int64)), pa.array(c[1].astype(np.int64)),
              pa.array(np.full(len(c[0]), n, np.int64)), pa.array(c[2].astype(float)), pa.array(c[3].astype(float))],
