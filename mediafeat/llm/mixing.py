@@ -2,8 +2,8 @@
 
 A source's documents fall into up to ``blocks`` disjoint blocks by a seeded hash.
 Its target (words) becomes an exact quota of blocks: whole epochs, then blocks in
-a second seeded order until the target is reached, the last of them cut between
-documents.  A binary tree over the output shards splits each node's quotas by a
+a second seeded order until the target is reached.  (Blocks of a source with fewer
+documents than blocks are mostly single documents.)  A binary tree over the output shards splits each node's quotas by a
 multivariate hypergeometric draw, so every shard gets an exact number of blocks
 and, per source, as many as a uniformly random deal would give it.  The shard's
 blocks are then a contiguous run of the source's permuted draw, and rows are
@@ -27,7 +27,7 @@ from mediafeat.llm.common import WORD, scratch
 
 WEIGHTS = (5, 2, 1)   # by source in code point order, repeating
 CEILING = 3           # a source gives at most so many times its size
-BLOCKS = 4096         # blocks of a source
+BLOCKS = 8192         # blocks of a source
 
 
 def n_words(text: Column) -> Column:
@@ -82,88 +82,71 @@ def _key(c: str) -> Column:
     return F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(c)))
 
 
-def plan(docs: DataFrame, shards: int = 16, blocks: int = BLOCKS, seed: int = 17,
-         weights=WEIGHTS, ceiling: int = CEILING) -> tuple[DataFrame, DataFrame]:
-    """(rows, draws).  rows: ``doc_id, source, skey, block, size, h, source_size,
-    target, copies`` where ``copies`` is how often the row is taken.  draws: one row per (source, epoch, block) drawn, with its shard."""
-    spark = docs.sparkSession
-    h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
-    rows = scratch(docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"),
-                               h.alias("h")).withColumns({"skey": _key("source"), "block": F.pmod("h", F.lit(blocks)).cast("int")}), "mix-rows")
+def _block(blocks: int, seed: int) -> Column:
+    """The block of a row within its source: a seeded hash of id and text."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))), F.lit(blocks)).cast("int")
+
+
+def plan(rows: DataFrame, shards: int = 16, seed: int = 17, weights=WEIGHTS, ceiling: int = CEILING) -> DataFrame:
+    """``rows``: skey, source, block, size.  One row per (source, block): skey, block,
+    source_size, target, shards (one output shard for each time the block is drawn).
+
+    A source draws all its blocks in whole epochs, then blocks in a seeded order
+    until the rest of its target is reached (a block whose middle lies within it).
+    The tree splits the numbers of drawn blocks among the shards; a source's draws,
+    in another seeded order, go to the shards by those numbers."""
+    spark = rows.sparkSession
     by_block = scratch(rows.groupBy("skey", "source", "block").agg(F.sum("size").alias("words")), "mix-blocks")
-    per = by_block.groupBy("skey", "source").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("n")).collect()
+    per = by_block.groupBy("skey", "source").agg(F.sum("words").alias("words")).collect()      # one row per source
     goal = targets([(r.source, r.words) for r in per], weights, ceiling)
-    src = []
+    sources = []
     for r in per:
         full = int(goal[r.source] // r.words) if r.words else 0
-        src.append((r.skey, r.words, float(goal[r.source]), full, goal[r.source] - full * r.words))
-    src_df = spark.createDataFrame(src, "skey string, source_size long, target double, epochs int, rest double")
-    # the last epoch: blocks in a second order, up to the one in which the rest ends
-    order = F.xxhash64(F.lit(seed + 1), F.col("skey"), F.col("block"))
-    w = Window.partitionBy("skey").orderBy("o", "block").rowsBetween(Window.unboundedPreceding, -1)  # <= BLOCKS rows a source
-    cut = (by_block.join(src_df, "skey").withColumn("o", order)
-           .withColumn("before", F.coalesce(F.sum("words").over(w), F.lit(0)))
-           .withColumn("room", F.col("rest") - F.col("before")))
-    cut = scratch(cut.select("skey", "block", "o", "words", "epochs", "room", "source_size", "target"), "mix-cut")
-    # inside the one block in which a source's rest ends: documents in a third order,
-    # whole, as long as the middle of the document lies within the rest
-    at = Window.partitionBy("skey", "block").orderBy(F.xxhash64(F.lit(seed + 2), F.col("h"))) \
-        .rangeBetween(Window.unboundedPreceding, -1)    # equal rows fare alike
-    edge = (F.col("room") > 0) & (F.col("room") < F.col("words"))
-    joined = rows.join(cut, ["skey", "block"])
-    whole = joined.where(~edge).select("doc_id", "source", "skey", "block", "size", "h", "source_size", "target", "epochs",
-                                       F.when((F.col("room") > 0), 1).otherwise(0).alias("more"))
-    part = joined.where(edge).withColumn("before", F.coalesce(F.sum("size").over(at), F.lit(0))).select(
-        "doc_id", "source", "skey", "block", "size", "h", "source_size", "target", "epochs",
-        F.when(F.col("before") + F.col("size") / 2 <= F.col("room"), 1).otherwise(0).alias("more"))
-    taken = whole.unionByName(part).withColumn("copies", F.col("epochs") + F.col("more")).drop("epochs", "more")
-    # exact quotas of blocks, split among the shards
-    draws = (cut.select("skey", "block", (F.col("epochs") + F.when(F.col("room") > 0, 1).otherwise(0)).alias("times"))
-             .where("times > 0").select("skey", "block", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("epoch")))
-    quota = {r.skey: r["count"] for r in draws.groupBy("skey").count().collect()}
+        sources.append((r.skey, r.words, float(goal[r.source]), full, goal[r.source] - full * r.words))
+    src = spark.createDataFrame(sources, "skey string, source_size long, target double, epochs int, rest double").coalesce(1)
+    order = Window.partitionBy("skey").orderBy(F.xxhash64(F.lit(seed + 1), F.col("block")), "block") \
+        .rowsBetween(Window.unboundedPreceding, -1)                                             # BLOCKS rows a source at most
+    before = F.coalesce(F.sum("words").over(order), F.lit(0))
+    drawn = scratch(by_block.join(src, "skey").withColumn("more", (before + F.col("words") / 2 <= F.col("rest")).cast("int"))
+                    .select("skey", "block", "source_size", "target", (F.col("epochs") + F.col("more")).alias("times")), "mix-drawn")
+    quota = {r.skey: r.q for r in drawn.groupBy("skey").agg(F.sum("times").alias("q")).collect()}
     keys = sorted(quota)
-    table = split_quotas([quota[k] for k in keys], shards, seed)
-    ends = np.cumsum(table, axis=0)
-    ends_df = spark.createDataFrame([(k, [int(x) for x in ends[:, i]]) for i, k in enumerate(keys)], "skey string, ends array<long>")
+    ends = np.cumsum(split_quotas([quota[k] for k in keys], shards, seed), axis=0)
+    ends = spark.createDataFrame([(k, [int(x) for x in ends[:, i]]) for i, k in enumerate(keys)], "skey string, ends array<long>").coalesce(1)
+    draws = drawn.where("times > 0").select("skey", "block", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("epoch"))
     rank = Window.partitionBy("skey").orderBy(F.xxhash64(F.lit(seed + 3), F.col("block"), F.col("epoch")), "block", "epoch")
-    draws = (draws.withColumn("r", F.row_number().over(rank)).join(ends_df, "skey")
-             .select("skey", "block", "epoch", F.size(F.filter("ends", lambda e: e < F.col("r"))).alias("shard")))
-    return taken, draws
+    placed = (draws.withColumn("r", F.row_number().over(rank)).join(ends, "skey")
+              .select("skey", "block", F.size(F.filter("ends", lambda e: e < F.col("r"))).alias("shard"))
+              .groupBy("skey", "block").agg(F.sort_array(F.collect_list("shard")).alias("shards")))   # CEILING entries at most
+    return scratch(drawn.join(placed, ["skey", "block"], "left").select(
+        "skey", "block", "source_size", "target", F.coalesce("shards", F.array().cast("array<int>")).alias("shards")), "mix-plan")
 
 
-def mix_report(docs: DataFrame, **options) -> DataFrame:
+def mix_report(docs: DataFrame, blocks: int = BLOCKS, seed: int = 17, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies, shards of every document."""
-    taken, draws = plan(docs, **options)
-    per_block = draws.groupBy("skey", "block").agg(F.transform(F.sort_array(F.collect_list(F.struct("epoch", "shard"))),
-                                                               lambda x: x["shard"]).alias("all"))  # at most CEILING draws
-    return (taken.join(per_block, ["skey", "block"], "left")
-            .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies",
-                    F.array_join(F.slice(F.coalesce("all", F.array().cast("array<int>")), 1, F.greatest("copies", F.lit(0))), ",").alias("shards")))
-
-
-def mix(docs: DataFrame, shard_column: str | None = None, **options) -> DataFrame:
-    """The mixed rows: every column of ``docs``, a row as often as the mix takes
-    it; with ``shard_column`` also its output shard.  A document with no words is
-    neutral and stays once."""
-    options.setdefault("seed", 17)
-    taken, draws = plan(docs, **options)
-    h = F.xxhash64(F.lit(options["seed"]), F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
-    copies = (taken.where("copies > 0 and size > 0").select("h", "skey", "block", "copies").distinct()
-              .select("h", "skey", "block", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("epoch"))
-              .join(draws, ["skey", "block", "epoch"]).select(F.col("h").alias("_mix_h"), F.col("skey").alias("_mix_s"),
-                                                             F.col("shard").alias("_mix_shard")))
-    none = taken.where("size = 0").select(F.col("h").alias("_mix_h"), F.col("skey").alias("_mix_s")).distinct() \
-        .withColumn("_mix_shard", F.pmod("_mix_h", F.lit(options.get("shards", 16))).cast("int"))
-    left = docs.withColumns({"_mix_h": h, "_mix_s": _key("source")})
-    out = left.join(copies.unionByName(none), ["_mix_h", "_mix_s"])
+    rows = scratch(docs.select("doc_id", F.col("source").cast("string").alias("source"), _key("source").alias("skey"),
+                               n_words(F.col("text")).alias("size"), _block(blocks, seed).alias("block")), "mix-rows")
+    return rows.join(plan(rows, seed=seed, **options), ["skey", "block"]).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), F.size("shards").alias("copies"),
+        F.array_join("shards", ",").alias("shards"))
+
+
+def mix(docs: DataFrame, shard_column: str | None = None, blocks: int = BLOCKS, seed: int = 17, **options) -> DataFrame:
+    """The mixed rows: every column of ``docs``, a row as often as the mix takes it;
+    with ``shard_column`` also its output shard.  A row without words is neutral: it
+    fares like its block."""
+    key, block = _key("source"), _block(blocks, seed)
+    rows = docs.select(F.col("source").cast("string").alias("source"), key.alias("skey"), n_words(F.col("text")).alias("size"), block.alias("block"))
+    draws = plan(rows, seed=seed, **options).select(F.col("skey").alias("_mix_s"), F.col("block").alias("_mix_b"), F.explode("shards").alias("_mix_shard"))
     extra = [F.col("_mix_shard").alias(shard_column)] if shard_column else []
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *extra)
-
+    return (docs.withColumns({"_mix_s": key, "_mix_b": block}).join(draws, ["_mix_s", "_mix_b"])
+            .select(*[F.col(f"`{c}`") for c in docs.columns], *extra))
 
-def write_shards(docs: DataFrame, path: str, shards: int = 16, **options) -> None:
-    """The mix as Parquet, one folder per output shard, rows shuffled inside it."""
-    mixed = mix(docs, "mix_shard", shards=shards, **options)
-    (mixed.withColumn("_mix_o", F.xxhash64(F.lit(options.get("seed", 17) + 4), F.col("doc_id"), F.rand(options.get("seed", 17))))
-     .repartition(shards * 4, "mix_shard", F.pmod("_mix_o", F.lit(4))).sortWithinPartitions("mix_shard", "_mix_o").drop("_mix_o")
-     .write.partitionBy("mix_shard").parquet(path))
 
+def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = 17, **options) -> None:
+    """The mix as Parquet, one folder per output shard, rows shuffled inside it by
+    a seeded hash."""
+    mixed = mix(docs, "mix_shard", seed=seed, shards=shards, **options)
+    order = F.xxhash64(F.lit(seed + 4), F.col("doc_id"), F.col("mix_shard"))
+    (mixed.withColumn("_mix_o", order).repartition(shards * 4, "mix_shard", F.pmod("_mix_o", F.lit(4)))
+     .sortWithinPartitions("mix_shard", "_mix_o").drop("_mix_o").write.partitionBy("mix_shard").parquet(path))
