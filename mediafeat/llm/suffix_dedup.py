@@ -35,7 +35,7 @@ U = np.uint64
 LENGTH = 100          # bytes of a string that may not repeat
 GRAM = 36             # bytes hashed to choose an anchor
 PIECE = 1 << 20       # bytes handled at a time; longer texts in overlapping pieces
-FLUSH = 3 << 18       # sampled suffixes in one sorted run
+FLUSH = 3 << 17       # sampled suffixes in one sorted run
 CROWD = 64            # surroundings of one gram in a run from which on it is not compared as a whole
 LAST = (1 << 63) - 1  # stands for a null id
 BLOB = "part int, key binary, ctx binary, kid binary, tag binary, lo binary, n binary"
