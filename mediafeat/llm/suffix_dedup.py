@@ -27,6 +27,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mediafeat.llm import kernels as K
 from mediafeat.llm.common import scratch
@@ -56,15 +57,15 @@ def keyed(docs: DataFrame) -> DataFrame:
             .select("kid", F.coalesce("tag", F.lit(0)).alias("tag"), "text"))
 
 
-def _pieces(data, bounds, length):
+def _pieces(data, bounds, length, piece):
     """(first document, last, bytes, bounds, offset in the first document)."""
-    for i, j in K.runs(bounds, PIECE):
+    for i, j in K.runs(bounds, piece):
         a, b = int(bounds[i]), int(bounds[j])
-        if b - a <= 2 * PIECE:
+        if b - a <= 2 * piece:
             yield i, j, data[a:b], bounds[i:j + 1] - a, 0
             continue
-        for s in range(0, b - a - length + 1, PIECE):
-            e = min(b - a, s + PIECE + length - 1)
+        for s in range(0, b - a - length + 1, piece):
+            e = min(b - a, s + piece + length - 1)
             yield i, i + 1, data[a + s:a + e], np.array([0, e - s], np.int64), s
 
 
@@ -235,14 +236,14 @@ def _emit(parts: int, runs_of, crowd: int | None):
         yield from flush(entries)
 
 
-def sampled(base: DataFrame, length: int, gram: int, parts: int) -> DataFrame:
+def sampled(base: DataFrame, length: int, gram: int, parts: int, piece: int) -> DataFrame:
     """First family's runs over all documents."""
     def run(batches):
         def entries():
             for batch in batches:
                 data, bounds = K.texts(batch.column(2))
                 kid, tag = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                for i, _, d, b, shift in _pieces(data, bounds, length):
+                for i, _, d, b, shift in _pieces(data, bounds, length, piece):
                     key, ctx, doc, lo, n = anchors(d, b, length, gram)
                     if len(key):
                         yield {"key": K.mix(key), "ctx": ctx, "kid": kid[i + doc], "tag": tag[i + doc].astype(np.int64),
@@ -313,7 +314,7 @@ def gathered(marks: DataFrame) -> DataFrame:
     return marks.select("kid", "tag", "lo", "hi").repartition("kid", "tag").mapInArrow(run, "kid long, tag int, starts binary, ends binary")
 
 
-def compared(base: DataFrame, doubtful: DataFrame, length: int, parts: int) -> DataFrame:
+def compared(base: DataFrame, doubtful: DataFrame, length: int, parts: int, piece: int) -> DataFrame:
     """Second family's runs: every string of the doubtful entries."""
     def run(batches):
         def entries():
@@ -321,11 +322,11 @@ def compared(base: DataFrame, doubtful: DataFrame, length: int, parts: int) -> D
                 data, bounds = K.texts(batch.column(2))
                 kid, tag = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
                 blobs = [batch.column(i).to_pylist() for i in (3, 4)]
-                for i, j, d, b, shift in _pieces(data, bounds, length):
+                for i, j, d, b, shift in _pieces(data, bounds, length, piece):
                     los, ns, docs = [], [], []
                     for k in range(i, j):
                         a, z = (np.frombuffer(x[k], np.int64) - shift for x in blobs)
-                        a, z = np.maximum(a, 0), np.minimum(z, min(b[k - i + 1] - b[k - i] - length + 1, PIECE if shift or len(bounds) else z))
+                        a, z = np.maximum(a, 0), np.minimum(z, b[k - i + 1] - b[k - i] - length + 1)
                         ok = z > a
                         los.append(a[ok])
                         ns.append((z - a)[ok])
@@ -343,14 +344,14 @@ def compared(base: DataFrame, doubtful: DataFrame, length: int, parts: int) -> D
     return base.join(doubtful, ["kid", "tag"]).select("kid", "tag", "text", "starts", "ends").mapInArrow(run, OUT)
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
     """kid, tag, text, starts, ends of every distinct document: runs [start, end) of
     starts of strings that also start earlier (null where there is none)."""
     spark = docs.sparkSession
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = keyed(docs)
-    found = scratch(scan(sampled(base, length, gram, parts), parts, True), "repeats")
-    again = scan(compared(base, gathered(found.where("kind = 2")), length, parts), parts, False)
+    found = scratch(scan(sampled(base, length, gram, parts, piece), parts, True), "repeats")
+    again = scan(compared(base, gathered(found.where("kind = 2")), length, parts, piece), parts, False)
     marks = found.where("kind = 1").union(again)
     return base.join(gathered(marks), ["kid", "tag"], "left").select("kid", "tag", "text", "starts", "ends")
 
@@ -377,7 +378,7 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
-def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def report(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     def run(batches):
         import pyarrow as pa
@@ -392,7 +393,7 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(),) * 4 + (pa.string(),))] if rows else
                                              [pa.array([], t) for t in (pa.int64(),) * 4 + (pa.string(),)],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return repeats(docs, length).select("kid", "text", "starts", "ends").mapInArrow(
+    return repeats(docs, length, piece=piece).select("kid", "text", "starts", "ends").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -433,7 +434,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_kid"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"))
     joined = rows.join(marked, ["_kid", "_t"], "left").select(F.col("_row.text").alias("_x"), "_s", "_e", "_row")
-    clean = joined.where("_s is not null").mapInArrow(run, f"_clean string, _row {rows.schema['_row'].dataType.simpleString()}")
+    clean = joined.where("_s is not null").mapInArrow(run, T.StructType([T.StructField("_clean", T.StringType()), rows.schema["_row"]]))
     new = {"text": F.col("_clean")} | ({"n_chars": F.length("_clean").cast(docs.schema["n_chars"].dataType)} if "n_chars" in cols else {})
     return joined.where("_s is null").select("_row.*").unionByName(
         clean.select(*[new.get(c, F.col("_row").getField(c)).alias(c) for c in cols]))
