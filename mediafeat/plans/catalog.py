@@ -543,25 +543,22 @@ def q_record_sequence_roundtrip(spark, d):
 
 
 TYPED_SCHEMA = TT.StructType([
-    TT.StructField("id", TT.IntegerType()), TT.StructField("IntegerCol", TT.IntegerType()),
-    TT.StructField("LongCol", TT.LongType()), TT.StructField("FloatCol", TT.FloatType()),
-    TT.StructField("DoubleCol", TT.DoubleType()), TT.StructField("VectorCol", TT.ArrayType(TT.DoubleType())),
-    TT.StructField("StringCol", TT.StringType())])
+    TT.StructField("order_no", TT.LongType()), TT.StructField("customer", TT.IntegerType()),
+    TT.StructField("priority", TT.StringType()), TT.StructField("price", TT.FloatType()),
+    TT.StructField("parts", TT.ArrayType(TT.DoubleType())), TT.StructField("price_wide", TT.DoubleType())])
 
 
 @query("typed_roundtrip")
 def q_typed_roundtrip(spark, d):
     o = X.table(spark, d, "orders")
-    typed = o.select(F.col("o_orderkey").cast("int").alias("id"), F.col("o_custkey").cast("int").alias("IntegerCol"),
-                     F.col("o_orderkey").alias("LongCol"), F.col("o_totalprice").cast("float").alias("FloatCol"),
-                     F.col("o_totalprice").alias("DoubleCol"),
-                     F.array(F.col("o_totalprice"), F.col("o_custkey").cast("double")).alias("VectorCol"),
-                     F.col("o_orderpriority").alias("StringCol"))
+    typed = o.select(F.col("o_orderkey").alias("order_no"), F.col("o_custkey").cast("int").alias("customer"),
+                     F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").cast("float").alias("price"),
+                     F.array(F.col("o_totalprice"), F.col("o_custkey").cast("double")).alias("parts"),
+                     F.col("o_totalprice").alias("price_wide"))
     path = scratch_path(spark, "typed_records")
     RC.write_records(typed, path, "Example", shards=_shards(spark))
     back = RC.read_good(RC.read_records(spark, path, TYPED_SCHEMA, "Example"))
-    return back.select("id", "IntegerCol", "LongCol", "FloatCol", "DoubleCol",
-                       dec_str("VectorCol", 2).alias("VectorCol"), "StringCol")
+    return back.select("order_no", "customer", "priority", "price", "price_wide", dec_str("parts", 2).alias("parts"))
 
 
 @query("quarantine_records")
@@ -573,7 +570,7 @@ def q_quarantine_records(spark, d):
     path = scratch_path(spark, "bad_records")
     v = X.fx_video(spark, d).withColumn(
         "shard", F.concat(F.lit("part"), (F.col("id").cast("bigint") % 8).cast("string")))
-    RC.write_records(v, path, "Example", shards=8, partition_by="shard", sort_by=["id"])
+    RC.write_records(v, path, "Example", shards=8, partition_by="shard", sort_by=["id"], tasks_per_value=1)
     RC.damage_shards(path)
     back = RC.read_records(spark, path, VIDEO_SCHEMA, "Example")
     return (back.withColumn("shard", RC.partition_value("_file", "shard"))

@@ -329,10 +329,9 @@ sql("record_example_roundtrip",
 sql("record_sequence_roundtrip", _SQL["training_table"])
 
 sql("typed_roundtrip",
-    "SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS INTEGER) AS IntegerCol, o_orderkey AS LongCol, "
-    "CAST(o_totalprice AS FLOAT) AS FloatCol, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS DoubleCol, "
-    + d_dec("[CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE), CAST(CAST(o_custkey AS FLOAT) AS DOUBLE)]", 2)
-    + " AS VectorCol, o_orderpriority AS StringCol FROM orders")
+    "SELECT o_orderkey AS order_no, CAST(o_custkey AS INTEGER) AS customer, o_orderpriority AS priority, "
+    "CAST(o_totalprice AS FLOAT) AS price, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS price_wide, "
+    + d_dec("[CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE), CAST(CAST(o_custkey AS FLOAT) AS DOUBLE)]", 2) + " AS parts FROM orders")
 
 sql("incremental_ingest",
     "SELECT e.event_id, e.user_id AS id, v.name, CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS k, e.value "

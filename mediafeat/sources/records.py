@@ -1,17 +1,18 @@
 """Record files of ``Example`` / ``SequenceExample`` messages.
 
-Reading: ``spark.read.format('binaryFile')`` lists and reads shards through the
-Hadoop file system (globs, object stores, ``ignoreCorruptFiles``); a
-``mapInPandas`` kernel splits each shard into records, checks both framing
-checksums and decodes the wanted fields only.  A broken record or a truncated
+Reading: Spark lists the shards (folders, globs, lists of them) and a
+``mapInPandas`` kernel reads them in byte ranges, checks both framing checksums and
+decodes the wanted fields only.  A broken record, a damaged length or a truncated
 tail becomes one row with ``_error`` set, so bad input is quarantined, not
-silently skipped (Q11), and the good records of the shard are kept.
+silently skipped (Q11), and all verified records of the shard are kept; the rows do
+not depend on how the shards are cut.
 
 Writing: a Python data source (``format('mediafeat_records')``).  Each task
-encodes its partition and writes one part file under a temporary name, then
-renames it to ``part-<partition>.tfrecord``: a retried task overwrites its own
-file, so a lost executor never leaves duplicates.  The driver commit writes
-``_SUCCESS`` and removes temporary leftovers.  Files go through
+encodes its partition and writes part files of at most ``maxFileBytes`` under
+temporary names.  The driver commit renames those of the successful attempts to
+``part-<partition>-<n>-<write id>.tfrecord``, so a lost executor never leaves
+duplicates and a failed write changes nothing; what an overwrite replaces is deleted
+last, when the new files are in place; then it writes ``_SUCCESS``.  Files go through
 ``pyarrow.fs`` (local, HDFS, S3 URIs).
 
 Column mapping (explicit schema, by name):
@@ -117,42 +118,31 @@ def frame(payloads: list[bytes]) -> bytes:
 
 def unframe(buf: bytes, verify_payload: bool = True):
     """Split a shard into payloads; returns (payloads, errors) where errors are
-    (offset, reason).  Stops at the first framing error (nothing after it can
-    be located reliably)."""
-    mv = memoryview(buf)
-    pos, n = 0, len(buf)
-    spans, errors = [], []
-    heads = []
-    while pos < n:
-        if n - pos < 12:
-            errors.append((pos, "truncated header"))
-            break
-        ln = struct.unpack_from("<Q", mv, pos)[0]
-        if pos + 12 + ln + 4 > n:
-            errors.append((pos, "truncated record"))
-            break
-        heads.append((pos, bytes(mv[pos:pos + 8]), struct.unpack_from("<I", mv, pos + 8)[0]))
-        spans.append((pos + 12, pos + 12 + ln, struct.unpack_from("<I", mv, pos + 12 + ln)[0]))
-        pos += 12 + ln + 4
-    if heads:
-        lc = mask(crc32c_many([h[1] for h in heads]))
-        bad = {heads[i][0] for i in range(len(heads)) if int(lc[i]) != heads[i][2]}
-        if bad:
-            first = min(bad)
-            errors.insert(0, (first, "length checksum mismatch"))
-            keep = [i for i, h in enumerate(heads) if h[0] < first]
-            heads, spans = [heads[i] for i in keep], [spans[i] for i in keep]
-    payloads = [bytes(mv[a:b]) for a, b, _ in spans]
-    if verify_payload and payloads:
-        dc = mask(crc32c_many(payloads))
-        ok = [int(dc[i]) == spans[i][2] for i in range(len(spans))]
-        for i, good in enumerate(ok):
-            if not good:
-                errors.append((heads[i][0], "payload checksum mismatch"))
-        payloads = [p if good else None for p, good in zip(payloads, ok)]
+    (offset, reason): one per damaged payload and one per gap (see :func:`iter_split`)."""
+    payloads, errors = [], []
+    for off, payload, why in iter_split(_Bytes(buf), len(buf), 0, len(buf), verify_payload=verify_payload):
+        if why is None:
+            payloads.append(payload)
+        else:
+            errors.append((off, why))
     return payloads, errors
 
 
+class _Bytes:
+    """A byte string with the two calls of an open file that the scanner uses."""
+
+    def __init__(self, buf: bytes):
+        self.buf, self.pos = memoryview(buf), 0
+
+    def seek(self, pos: int) -> None:
+        self.pos = pos
+
+    def read(self, n: int) -> bytes:
+        out = bytes(self.buf[self.pos:self.pos + n])
+        self.pos += len(out)
+        return out
+
+
 # ---------------------------------------------------------------- value mapping
 def _kind(dt: T.DataType) -> str:
     if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType)):
@@ -272,20 +262,54 @@ def as_schema(schema) -> T.StructType:
 # ---------------------------------------------------------------- reading
 def read_records(spark: SparkSession, path: str | list[str], schema: T.StructType, record_type: str = "Example",
                  sequence_cols: list[str] | None = None, verify_payload: bool = True,
-                 glob: str | None = "*.tfrecord", batch_rows: int = 1024) -> DataFrame:
+                 glob: str | None = "*.tfrecord", batch_rows: int = 1024, split_bytes: int = 128 << 20) -> DataFrame:
     """Decode record shards into ``schema`` + ``_file`` + ``_error``.
 
-    One shard is one input row of ``binaryFile`` (so shards must stay below
-    2 GB); ``spark.sql.files.maxPartitionBytes`` packs small shards together.
-    """
+    ``path``: a file, folder or glob, or a list of them, listed by Spark.  Shards
+    are read in byte ranges of ``split_bytes`` (see :func:`iter_split`): a large
+    shard is many tasks, small ones share a task."""
     from mediafeat.session import ship_package
     ship_package(spark)
     schema = as_schema(schema)
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    files = r.load(path if isinstance(path, list) else [path]).select("path", "content")
-    return decode_files(files, schema, record_type, sequence_cols, verify_payload, batch_rows)
+    files = r.load(path if isinstance(path, list) else [path]).select("path", "length")      # names only: no content is read
+    ranges = files.where("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
+    total = files.agg(F.coalesce(F.sum(F.ceil(F.col("length") / split_bytes)), F.lit(1)).alias("n"),
+                      F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+    # as many tasks as ranges, but no more than the cores for little data
+    tasks = max(1, min(int(total.n), max(spark.sparkContext.defaultParallelism, int(total.b) // split_bytes + 1)))
+    return _decode_ranges(ranges.repartition(tasks), schema, record_type, sequence_cols, verify_payload, batch_rows, split_bytes)
+
+
+def _decode_ranges(ranges: DataFrame, schema: T.StructType, record_type: str, sequence_cols: list[str] | None,
+                   verify_payload: bool, batch_rows: int, split_bytes: int) -> DataFrame:
+    seq = set(sequence_cols or [])
+    names = [f.name for f in schema.fields] + ["_file", "_error"]
+    out_schema = T.StructType(list(schema.fields) + [T.StructField("_file", T.StringType()), T.StructField("_error", T.StringType())])
+    blank = [None] * len(schema.fields)
+
+    def kernel(it):
+        rows = []
+        for pdf in it:
+            for p, length, start in zip(pdf["path"], pdf["length"], pdf["start"]):
+                fs, name = _fs(p)
+                with fs.open_input_file(name) as f:
+                    for off, payload, why in iter_split(f, int(length), int(start), min(int(start) + split_bytes, int(length)), verify_payload):
+                        if why is None:
+                            try:
+                                rows.append(decode(payload, schema, record_type, seq) + [p, None])
+                            except Exception as e:  # undecodable payload -> quarantine row
+                                rows.append(blank + [p, f"decode error: {type(e).__name__}"])
+                        else:
+                            rows.append(blank + [p, f"{why} at byte {off}"])
+                        if len(rows) >= batch_rows:
+                            yield pd.DataFrame(rows, columns=names)
+                            rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
+    return ranges.select("path", "length", "start").mapInPandas(kernel, out_schema)
 
 
 def read_records_stream(spark: SparkSession, path: str, schema: T.StructType, record_type: str = "Example",
@@ -321,8 +345,6 @@ def decode_files(files: DataFrame, schema: T.StructType, record_type: str = "Exa
                 payloads, errors = unframe(bytes(content), verify_payload)
                 rows = []
                 for pl in payloads:
-                    if pl is None:
-                        continue
                     try:
                         rows.append(decode(pl, schema, record_type, seq) + [p, None])
                     except Exception as e:  # undecodable payload -> quarantine row
@@ -359,11 +381,9 @@ def _register(spark: SparkSession) -> None:
             self.schema = schema
             # the partition column names a directory and is not stored in the records
             self.rec_schema = T.StructType([f for f in schema.fields if f.name != self.part_col])
-            if overwrite:
-                fs, root = _fs(self.path)
-                from pyarrow import fs as pafs
-                if fs.get_file_info(root).type != pafs.FileType.NotFound:
-                    fs.delete_dir_contents(root, missing_dir_ok=True)
+            self.overwrite = overwrite
+            self.max_bytes = int(options.get("maxFileBytes", str(512 << 20)))
+            self.write_id = uuid.uuid4().hex[:12]    # in every file name: appends never meet, commits know their files
 
         def write(self, iterator):
             from pyspark import TaskContext
@@ -374,13 +394,12 @@ def _register(spark: SparkSession) -> None:
             fs.create_dir(root, recursive=True)
             names = [f.name for f in self.rec_schema.fields]
             written, n = [], 0
-            cur_key, out, tmp, final = object(), None, None, None
+            cur_key, out, tmp, final, size = object(), None, None, None, 0
 
             def close():
                 if out is not None:
                     out.close()
-                    fs.move(tmp, final)
-                    written.append(final)
+                    written.append((tmp, final))     # the commit gives it its name
 
             for batch in iterator:  # Arrow record batches, sorted by the partition column
                 if batch.num_rows == 0:
@@ -391,17 +410,19 @@ def _register(spark: SparkSession) -> None:
                 while start < batch.num_rows:
                     key = keys[start]
                     end = start
-                    while end < batch.num_rows and keys[end] == key:
+                    while end < batch.num_rows and keys[end] == key and end - start < 512:
                         end += 1
-                    if key != cur_key:
+                    if key != cur_key or size >= self.max_bytes:
                         close()
-                        d = root if self.part_col is None else f"{root}/{self.part_col}={key}"
+                        d = root if self.part_col is None else f"{root}/{self.part_col}={partition_name(key)}"
                         fs.create_dir(d, recursive=True)
-                        tmp = f"{d}/_tmp-{part:05d}-{attempt}-{uuid.uuid4().hex[:8]}"
-                        final = f"{d}/part-{part:05d}.tfrecord"
-                        out, cur_key = fs.open_output_stream(tmp), key
+                        tmp = f"{d}/_tmp-{self.write_id}-{part:05d}-{attempt}-{uuid.uuid4().hex[:8]}"
+                        final = f"{d}/part-{part:05d}-{len(written):03d}-{self.write_id}.tfrecord"
+                        out, cur_key, size = fs.open_output_stream(tmp), key, 0
                     rows = zip(*[cols[c][start:end] for c in names])
-                    out.write(frame(encode(rows, self.rec_schema, self.record_type, self.seq)))
+                    data = frame(encode(rows, self.rec_schema, self.record_type, self.seq))
+                    out.write(data)
+                    size += len(data)
                     n += end - start
                     start = end
             close()
@@ -411,20 +432,28 @@ def _register(spark: SparkSession) -> None:
             fs, root = _fs(self.path)
             fs.create_dir(root, recursive=True)
             from pyarrow import fs as pafs
+            moves = [f for m in messages if m is not None for f in m.path]
+            new = {final for _, final in moves}
+            for tmp, final in moves:
+                fs.move(tmp, final)
             for info in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
-                if info.base_name.startswith("_tmp-"):
+                if info.type != pafs.FileType.File:
+                    continue
+                # what this write left behind; in overwrite mode, now that the new
+                # files are complete, also all that was there before
+                if (info.base_name.startswith(f"_tmp-{self.write_id}")
+                        or (self.write_id in info.base_name or self.overwrite) and info.path not in new):
                     fs.delete_file(info.path)
             with fs.open_output_stream(f"{root}/_SUCCESS"):
                 pass
 
         def abort(self, messages):
-            fs, _ = _fs(self.path)
-            for m in messages or []:
-                for f in (m.path if m is not None else []):
-                    try:
-                        fs.delete_file(f)
-                    except Exception:
-                        pass
+            from pyarrow import fs as pafs
+            fs, root = _fs(self.path)
+            if fs.get_file_info(root).type == pafs.FileType.Directory:
+                for info in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
+                    if info.base_name.startswith(f"_tmp-{self.write_id}"):
+                        fs.delete_file(info.path)
 
     class RecordSource(DataSource):
         @classmethod
@@ -437,16 +466,29 @@ def _register(spark: SparkSession) -> None:
     spark.dataSource.register(RecordSource)
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_name(value) -> str:
+    """A value as a directory name: percent-encoded, null under its usual name."""
+    from urllib.parse import quote
+    return NULL_PARTITION if value is None else quote(str(value), safe="")
+
+
 def _fs(path: str):
+    """(file system, path in it); ``path`` is taken literally, not percent-decoded."""
     from pyarrow import fs as pafs
-    if "://" not in path:
-        path = "file://" + path if path.startswith("/") else path
-    return pafs.FileSystem.from_uri(path)
+
+    from mediafeat.session import local_path
+    plain = local_path(path)
+    if plain.startswith("/"):
+        return pafs.LocalFileSystem(), plain
+    return pafs.FileSystem.from_uri(path.replace("%", "%25"))
 
 
 def write_records(df: DataFrame, path: str, record_type: str = "Example", sequence_cols: list[str] | None = None,
                   mode: str = "overwrite", shards: int | None = None, partition_by: str | None = None,
-                  sort_by: list[str] | None = None) -> None:
+                  sort_by: list[str] | None = None, max_file_bytes: int = 512 << 20, tasks_per_value: int = 4) -> None:
     """Encode and write ``df`` as record shards.
 
     One file per partition; ``shards`` fixes the count with an explicit
@@ -455,26 +497,32 @@ def write_records(df: DataFrame, path: str, record_type: str = "Example", sequen
     (``<col>=<value>/part-*.tfrecord``), so a shard named in the data keeps its
     name on disk whatever task writes it; rows are sorted by it inside each
     task so only one file is open at a time; ``sort_by`` fixes the record order
-    inside each file.  With both ``shards`` and ``partition_by`` every value
-    goes to one task (one file per value); when one value may hold a large share
-    of the rows, leave ``shards`` unset: each task then writes its own file per
-    value it holds, so a hot value is written by many tasks."""
+    inside each file.  With both ``shards`` and ``partition_by`` a value's rows go
+    to up to ``tasks_per_value`` tasks (a file each), so that one value with a
+    large share of the rows is not one task's work; 1 gives one file per value.
+    Files are closed at ``max_file_bytes``."""
     from mediafeat.session import ship_package
     ship_package(df.sparkSession)
     _register(df.sparkSession)
     if shards:
-        df = df.repartition(shards, partition_by) if partition_by else df.repartition(shards)
+        if partition_by and tasks_per_value > 1:
+            row = F.xxhash64(*[c for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)])
+            df = df.repartition(shards, F.col(partition_by), F.pmod(row, F.lit(tasks_per_value)))
+        else:
+            df = df.repartition(shards, partition_by) if partition_by else df.repartition(shards)
     keys = ([partition_by] if partition_by else []) + list(sort_by or [])
     if keys:
         df = df.sortWithinPartitions(*keys)
     (df.write.format(FORMAT).mode(mode).option("recordType", record_type)
        .option("sequenceCols", ",".join(sequence_cols or []))
-       .option("partitionCol", partition_by or "").save(path))
+       .option("partitionCol", partition_by or "").option("maxFileBytes", str(max_file_bytes)).save(path))
 
 
 def partition_value(path_col: str, name: str):
-    """The ``<name>=<value>`` directory value of a record file path."""
-    return F.regexp_extract(F.col(path_col), f"/{name}=([^/]+)/", 1)
+    """The ``<name>=<value>`` directory value of a record file path (null for the
+    null directory)."""
+    raw = F.regexp_extract(F.col(path_col), f"/{name}=([^/]+)/", 1)
+    return F.when(raw != NULL_PARTITION, F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
 
 
 def damage_shards(path: str) -> list[str]:
@@ -517,180 +565,131 @@ def write_sequence_examples(df: DataFrame, path: str, sequence_cols=None, **kw)
 
 
 # ---------------------------------------------------------------- splittable reading
-def _sync_candidates(buf: bytes):
-    """Offsets in ``buf`` whose 8 length bytes match the stored length checksum,
-    in order, each with its payload verdict: True/False when the payload lies
-    inside ``buf``, None when it must be read from the file.  Every offset is
-    tested at once: all 8-byte windows (a zero-copy view) are checksummed in 8
-    vectorised steps."""
-    from numpy.lib.stride_tricks import sliding_window_view
+BUFFER = 4 << 20     # bytes read and checksummed at a time
+WINDOW = 1 << 18     # bytes searched at a time when re-synchronising
 
-    from mediafeat.sources.crc32c import crc32c_rows
-    n = len(buf)
-    if n < 12:
-        return
-    arr = np.frombuffer(buf, dtype=np.uint8)
-    heads = sliding_window_view(arr, 8)[: n - 11]
-    sb = sliding_window_view(arr[8:], 4)[: n - 11].astype(np.uint32)
-    stored = sb[:, 0] | (sb[:, 1] << 8) | (sb[:, 2] << 16) | (sb[:, 3] << 24)
-    for o in np.nonzero(mask(crc32c_rows(heads)) == stored)[0]:
-        o = int(o)
-        ln = struct.unpack_from("<Q", buf, o)[0]
-        if o + 12 + ln + 4 <= n:
-            p = buf[o + 12:o + 12 + ln]
-            yield o, int(mask(crc32c_many([p]))[0]) == struct.unpack_from("<I", buf, o + 12 + ln)[0]
-        else:
-            yield o, None
+
+def _at(f, pos: int, n: int) -> bytes:
+    f.seek(pos)
+    return f.read(n)
 
 
-def _payload_ok(f, size: int, off: int) -> bool:
-    """Both checksums of the record whose header is at ``off`` verify."""
-    if off + 12 > size:
+def _head_ok(head: bytes) -> bool:
+    return len(head) == 12 and int(mask(crc32c_many([head[:8]]))[0]) == struct.unpack_from("<I", head, 8)[0]
+
+
+def _verified(f, size: int, pos: int) -> bool:
+    """A record starts at ``pos``: its length verifies, it lies inside the file, and
+    its payload verifies, or it is followed by a verified length or the end."""
+    head = _at(f, pos, 12)
+    if not _head_ok(head):
         return False
-    f.seek(off)
-    head = f.read(12)
     ln = struct.unpack_from("<Q", head)[0]
-    if off + 12 + ln + 4 > size:
+    end = pos + 16 + ln
+    if end > size:
         return False
-    body = f.read(ln + 4)
+    if end == size or _head_ok(_at(f, end, 12)):
+        return True
+    body = _at(f, pos + 12, ln + 4)
     return int(mask(crc32c_many([body[:ln]]))[0]) == struct.unpack_from("<I", body, ln)[0]
 
 
-def iter_split(f, size: int, start: int, end: int, window: int = 1 << 18):
-    """Yield (offset, payload | None, error | None) for records whose header
-    starts in [start, end) of an open random-access file of ``size`` bytes.
-    A range that starts mid-file re-synchronises on the first offset where the
-    length checksum and the payload checksum both verify."""
+def _resync(f, size: int, pos: int, limit: int) -> int | None:
+    """The first verified record start in [pos, limit).  All offsets of a window
+    are tested at once: its 8-byte windows (a zero-copy view) are checksummed in 8
+    vectorised steps."""
+    from numpy.lib.stride_tricks import sliding_window_view
+
+    from mediafeat.sources.crc32c import crc32c_rows
+    while pos < limit and size - pos >= 12:
+        buf = _at(f, pos, min(WINDOW, size - pos))
+        arr = np.frombuffer(buf, dtype=np.uint8)
+        n = len(arr) - 11
+        heads = sliding_window_view(arr, 8)[:n]
+        tail = sliding_window_view(arr[8:], 4)[:n].astype(np.uint32)
+        stored = tail[:, 0] | (tail[:, 1] << 8) | (tail[:, 2] << 16) | (tail[:, 3] << 24)
+        for o in np.nonzero(mask(crc32c_rows(heads)) == stored)[0]:
+            if pos + int(o) >= limit:
+                return None
+            if _verified(f, size, pos + int(o)):
+                return pos + int(o)
+        pos += n
+    return None
+
+
+def _why(f, size: int, pos: int) -> str:
+    head = _at(f, pos, 12)
+    if len(head) < 12:
+        return "truncated header"
+    if not _head_ok(head):
+        return "length checksum mismatch"
+    return "truncated record" if pos + 16 + struct.unpack_from("<Q", head)[0] > size else "payload checksum mismatch"
+
+
+def iter_split(f, size: int, start: int, end: int, verify_payload: bool = True):
+    """Yield (offset, payload | None, error | None) for a byte range of an open
+    random-access file of ``size`` bytes; the rows of all ranges of a file are the
+    same however it is cut.
+
+    A range owns the verified records that start in it.  Bytes between the end of
+    a record and the next verified one are a gap and give one error row, owned by
+    the range of the record before it (the first range, where there is none), so
+    a range that starts inside a record or a gap skips to the first verified
+    record without losing anything.  Records are read in buffers and their
+    checksums computed per buffer."""
     pos = start
     if start > 0:
-        found = None
-        while found is None:
-            f.seek(pos)
-            chunk = f.read(min(window, size - pos))
-            if len(chunk) < 12:
-                return
-            for o, ok in _sync_candidates(chunk):
-                if ok or (ok is None and _payload_ok(f, size, pos + o)):
-                    found = pos + o
+        pos = _resync(f, size, start, end)
+        if pos is None:
+            return
+    while pos < end and pos < size:
+        buf = _at(f, pos, min(BUFFER, size - pos))
+        heads, spans, p = [], [], 0
+        while pos + p < end and p + 12 <= len(buf):
+            ln = struct.unpack_from("<Q", buf, p)[0]
+            if pos + p + 16 + ln > size:
+                break
+            if p + 16 + ln > len(buf):
+                if not spans and _head_ok(buf[p:p + 12]):       # longer than the buffer
+                    buf = _at(f, pos, 16 + ln)
+                else:
                     break
-            if found is None:
-                pos += len(chunk) - 11  # overlap so a header across the edge is seen
-                if pos >= end:
+            heads.append(buf[p:p + 12])
+            spans.append((p + 12, p + 12 + ln))
+            p += 16 + ln
+        if heads:
+            good = mask(crc32c_many([h[:8] for h in heads])) == np.array([struct.unpack_from("<I", h, 8)[0] for h in heads], np.uint32)
+            n = len(heads) if good.all() else int(np.argmin(good))
+            payloads = [buf[a:b] for a, b in spans[:n]]
+            if verify_payload and payloads:
+                intact = [int(c) == struct.unpack_from("<I", buf, b)[0] for c, (_, b) in zip(mask(crc32c_many(payloads)), spans[:n])]
+            else:
+                intact = [True] * n
+            if n and not intact[-1] and not _verified(f, size, pos + spans[n - 1][0] - 12):
+                n -= 1                                              # part of a gap
+            for i in range(n):
+                off = pos + spans[i][0] - 12
+                yield (off, payloads[i], None) if intact[i] else (off, None, "payload checksum mismatch")
+            if n:
+                pos += spans[n - 1][1] + 4
+                if pos < size and (pos >= end or n < len(heads)) and not _verified(f, size, pos):
+                    pass
+                elif pos < size and n == len(heads) and pos < end:
+                    continue
+                else:
                     return
-        pos = found
-        if pos >= end:
-            return
-    while pos < end:
-        f.seek(pos)
-        head = f.read(12)
-        if len(head) < 12:
-            if head:
-                yield pos, None, "truncated header"
+        # no verified record at pos: a gap
+        yield pos, None, _why(f, size, pos)
+        pos = _resync(f, size, pos + 1, end)
+        if pos is None:
             return
-        ln = struct.unpack_from("<Q", head)[0]
-        if int(mask(crc32c_many([head[:8]]))[0]) != struct.unpack_from("<I", head, 8)[0]:
-            yield pos, None, "length checksum mismatch"
-            return
-        body = f.read(ln + 4)
-        if len(body) < ln + 4:
-            yield pos, None, "truncated record"
-            return
-        payload = body[:ln]
-        if int(mask(crc32c_many([payload]))[0]) != struct.unpack_from("<I", body, ln)[0]:
-            yield pos, None, "payload checksum mismatch"
-        else:
-            yield pos, payload, None
-        pos += 12 + ln + 4
-
 
-def _register_reader(spark: SparkSession) -> None:
-    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-    class Split(InputPartition):
-        def __init__(self, path: str, size: int, start: int, end: int):
-            self.path, self.size, self.start, self.end = path, size, start, end
-
-    class SplitReader(DataSourceReader):
-        def __init__(self, options, schema):
-            self.path = options["path"]
-            self.split = int(options.get("splitBytes", str(128 << 20)))
-            self.record_type = options.get("recordType", "Example")
-            self.seq = set(filter(None, options.get("sequenceCols", "").split(",")))
-            self.glob = options.get("glob", "*.tfrecord")
-            self.schema = schema
-
-        def partitions(self):
-            import fnmatch
-
-            from pyarrow import fs as pafs
-            fs, root = _fs(self.path.rstrip("/"))
-            info = fs.get_file_info(root)
-            files = [info] if info.type == pafs.FileType.File else [
-                i for i in fs.get_file_info(pafs.FileSelector(root, recursive=True))
-                if i.type == pafs.FileType.File and fnmatch.fnmatch(i.base_name, self.glob)]
-            out = []
-            for i in sorted(files, key=lambda x: x.path):
-                for s in range(0, max(i.size, 1), self.split):
-                    out.append(Split(i.path, i.size, s, min(s + self.split, i.size)))
-            return out
-
-        def read(self, partition):
-            import pyarrow as pa
-
-            from pyspark.sql.pandas.types import to_arrow_schema
-            fs, _ = _fs(self.path.rstrip("/"))
-            names = [f.name for f in self.schema.fields]
-            data_fields = T.StructType([f for f in self.schema.fields if f.name not in ("_file", "_error")])
-            arrow_schema = to_arrow_schema(self.schema)
-            rows = []
-            with fs.open_input_file(partition.path) as f:
-                for off, payload, err in iter_split(f, partition.size, partition.start, partition.end):
-                    if err is None:
-                        try:
-                            vals = decode(payload, data_fields, self.record_type, self.seq)
-                            rows.append(dict(zip(names, vals + [partition.path, None])))
-                        except Exception as e:
-                            rows.append(dict(zip(names, [None] * len(data_fields.fields)
-                                                 + [partition.path, f"decode error: {type(e).__name__}"])))
-                    else:
-                        rows.append(dict(zip(names, [None] * len(data_fields.fields)
-                                             + [partition.path, f"{err} at byte {off}"])))
-                    if len(rows) >= 1024:
-                        yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
-                        rows = []
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
-
-    class SplitSource(DataSource):
-        @classmethod
-        def name(cls):
-            return FORMAT + "_split"
-
-        def schema(self):
-            raise ValueError("an explicit schema is required")
-
-        def reader(self, schema):
-            return SplitReader(self.options, schema)
-
-    spark.dataSource.register(SplitSource)
-
-
-def read_records_split(spark: SparkSession, path: str, schema: T.StructType, record_type: str = "Example",
+def read_records_split(spark: SparkSession, path: str | list[str], schema: T.StructType, record_type: str = "Example",
                        sequence_cols: list[str] | None = None, split_bytes: int = 128 << 20,
                        glob: str = "*.tfrecord") -> DataFrame:
-    """Like :func:`read_records`, but shards are cut into ``split_bytes`` byte
-    ranges read in parallel: each range re-synchronises on the first header
-    whose length and payload checksums verify and owns the records that start
-    inside it.  No 2 GB limit per shard, and a large shard is many tasks."""
-    from mediafeat.session import ship_package
-    ship_package(spark)
-    schema = as_schema(schema)
-    _register_reader(spark)
-    full = T.StructType(list(schema.fields) + [T.StructField("_file", T.StringType()),
-                                               T.StructField("_error", T.StringType())])
-    return (spark.read.format(FORMAT + "_split").schema(full).option("recordType", record_type)
-                 .option("sequenceCols", ",".join(sequence_cols or [])).option("splitBytes", str(split_bytes))
-                 .option("glob", glob).load(path))
+    """:func:`read_records` with the range size first in mind."""
+    return read_records(spark, path, schema, record_type, sequence_cols, glob=glob, split_bytes=split_bytes)
 
 
 def shard_sizes(path: str, glob: str = "*.tfrecord") -> list[int]:

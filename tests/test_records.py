@@ -1,6 +1,8 @@
 import os
 import struct
 
+import pytest
+
 import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,13 +21,13 @@ def test_crc_known_and_random():
 
 def test_frame_unframe_and_corruption():
     payloads = [b"a" * 10, b"", b"xyz" * 100]
-    buf = frame(payloads) if False else RC.frame(payloads)
+    buf = RC.frame(payloads)
     got, errors = RC.unframe(buf)
     assert got == payloads and errors == []
     bad = bytearray(buf)
     bad[12] ^= 1
     got, errors = RC.unframe(bytes(bad))
-    assert got[0] is None and errors[0][1] == "payload checksum mismatch"
+    assert got == payloads[1:] and errors == [(0, "payload checksum mismatch")]
     got, errors = RC.unframe(buf[:-3])
     assert len(got) == 2 and errors == [(len(RC.frame(payloads[:2])), "truncated record")]
     got, errors = RC.unframe(struct.pack("<Q", 5) + b"\0\0\0\0" + b"hello" + b"\0\0\0\0")
@@ -33,20 +35,19 @@ def test_frame_unframe_and_corruption():
 
 
 TYPED = T.StructType([
-    T.StructField("id", T.IntegerType()), T.StructField("IntegerCol", T.IntegerType()),
-    T.StructField("LongCol", T.LongType()), T.StructField("FloatCol", T.FloatType()),
-    T.StructField("DoubleCol", T.DoubleType()), T.StructField("VectorCol", T.ArrayType(T.DoubleType())),
-    T.StructField("StringCol", T.StringType())])
+    T.StructField("key", T.IntegerType()), T.StructField("views", T.LongType()),
+    T.StructField("tag", T.StringType()), T.StructField("gain", T.FloatType()),
+    T.StructField("weights", T.ArrayType(T.DoubleType())), T.StructField("length", T.DoubleType())])
 
 
 def test_typed_example_roundtrip(spark):
-    rows = [(11, 1, 23, 10.0, 14.0, [1.0, 2.0], "r1"), (21, 2, 24, 12.0, 15.0, [2.0, 2.0], "r2")]
+    rows = [(-3, 1 << 40, "clip", 0.5, [0.25, -8.0, 3.5], 1024.0), (0, 0, "", -0.125, [], 7.75)]
     df = spark.createDataFrame(rows, TYPED)
     path = scratch_path(spark, "t_typed")
     RC.write_records(df, path)
     back = RC.read_records(spark, path, TYPED)
     got = sorted(tuple(r)[:-2] for r in back.collect())
-    assert got == [tuple(r[:5]) + (r[5], r[6]) for r in rows]
+    assert got == rows
     assert os.path.exists(os.path.join(local_path(path), "_SUCCESS"))
 
 
@@ -242,3 +243,97 @@ def test_split_reader_records_larger_than_the_scan_window(spark):
     back = RC.read_records_split(spark, path, schema, split_bytes=100_000).collect()
     assert all(r["_error"] is None for r in back)
     assert sorted((r["id"], len(r["b"])) for r in back) == [(i, 300_000 + i) for i in range(12)]
+
+
+def _one_shard(spark, name, n=60):
+    path = scratch_path(spark, name)
+    RC.write_records(spark.range(n).select("id", F.repeat(F.lit("x"), F.col("id").cast("int")).alias("s")).coalesce(1), path)
+    f = [p for p in os.listdir(local_path(path)) if p.endswith(".tfrecord")][0]
+    return path, os.path.join(local_path(path), f)
+
+
+def _starts(buf):
+    out, pos = [], 0
+    while pos < len(buf):
+        out.append(pos)
+        pos += 16 + struct.unpack_from("<Q", buf, pos)[0]
+    return out
+
+
+@pytest.mark.parametrize("damage", ["length", "huge length", "payload", "payload and next length", "first length", "truncated", "tail"])
+def test_rows_do_not_depend_on_how_a_damaged_shard_is_cut(spark, damage):
+    path, full = _one_shard(spark, "t_cut")
+    with open(full, "rb") as f:
+        buf = bytearray(f.read())
+    at = _starts(buf)
+    if damage == "length":
+        buf[at[20] + 1] ^= 0x01
+    elif damage == "huge length":
+        buf[at[20] + 6] ^= 0x7F
+    elif damage == "payload":
+        buf[at[20] + 13] ^= 0xFF
+    elif damage == "payload and next length":
+        buf[at[20] + 13] ^= 0xFF
+        buf[at[21]] ^= 0xFF
+    elif damage == "first length":
+        buf[0] ^= 0xFF
+    elif damage == "truncated":
+        del buf[-3:]
+    else:
+        buf += b"\0" * 5
+    with open(full, "wb") as f:
+        f.write(buf)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("s", T.StringType())])
+    # cuts everywhere, on and next to record starts
+    seen = [sorted(((r["id"], r["s"], r["_error"]) for r in RC.read_records(spark, path, schema, split_bytes=n).collect()), key=str)
+            for n in (1 << 20, at[20], at[20] + 1, at[21], 97)]
+    assert all(x == seen[0] for x in seen)
+    lost = {"length": {20}, "huge length": {20}, "payload": {20}, "payload and next length": {20, 21}, "first length": {0},
+            "truncated": {59}, "tail": set()}[damage]
+    assert {i for i, _, e in seen[0] if e is None} == set(range(60)) - lost
+    assert len([e for *_, e in seen[0] if e]) == 1
+
+
+def test_append_keeps_what_was_there(spark):
+    path = scratch_path(spark, "t_append")
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    RC.write_records(spark.range(10).coalesce(1), path)
+    RC.write_records(spark.range(10, 20).coalesce(1), path, mode="append")
+    assert sorted(r["id"] for r in RC.read_records(spark, path, schema).collect()) == list(range(20))
+    RC.write_records(spark.range(3), path)
+    assert sorted(r["id"] for r in RC.read_records(spark, path, schema).collect()) == [0, 1, 2]
+
+
+def test_failed_overwrite_keeps_the_old_rows(spark):
+    path = scratch_path(spark, "t_failed")
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    RC.write_records(spark.range(10).coalesce(1), path)
+    bad = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        RC.write_records(bad, path)
+    assert sorted(r["id"] for r in RC.read_records(spark, path, schema).collect()) == list(range(10))
+
+
+def test_partition_values_of_any_text(spark):
+    values = ["a/b", "x=y", "50%", "a b+c", None, "é"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, shard string")
+    path = scratch_path(spark, "t_names")
+    RC.write_records(df, path, partition_by="shard")
+    back = RC.read_records(spark, path, "id long").withColumn("shard", RC.partition_value("_file", "shard"))
+    assert sorted((r["id"], r["shard"]) for r in back.collect()) == list(enumerate(values))
+
+
+def test_files_are_cut_by_size(spark):
+    path = scratch_path(spark, "t_sized")
+    RC.write_records(spark.range(5000).coalesce(1), path, max_file_bytes=20_000)
+    files = [p for p in os.listdir(local_path(path)) if p.endswith(".tfrecord")]
+    assert len(files) > 3
+    assert RC.read_records(spark, f"{path}/part-*", "id long").count() == 5000
+    assert RC.read_records(spark, [f"{path}/{files[0]}", f"{path}/{files[1]}"], "id long").count() < 5000
+
+
+def test_a_hot_partition_value_is_written_by_several_tasks(spark):
+    path = scratch_path(spark, "t_hot_value")
+    df = spark.range(2000).select("id", F.when(F.col("id") < 1900, "hot").otherwise("cold").alias("shard"))
+    RC.write_records(df, path, shards=4, partition_by="shard")
+    assert len(os.listdir(local_path(f"{path}/shard=hot"))) > 1
