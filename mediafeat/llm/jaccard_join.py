@@ -234,10 +234,11 @@ def _members(lists: DataFrame) -> DataFrame:
     def rows(batches):
         import pyarrow as pa
         for b in batches:
-            for h, *blobs in zip(*(b.column(i).to_pylist() for i in range(4))):
-                fp, size, pos = (np.frombuffer(x, np.int64) for x in blobs)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), h)), pa.array(fp), pa.array(size), pa.array(pos)],
-                                                 ["h", "fp", "size", "pos"])
+            n = np.array([len(x) // 8 for x in b.column(1).to_pylist()], np.int64)
+            fp, size, pos = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.int64) for i in (1, 2, 3))
+            h = np.repeat(b.column(0).to_numpy(zero_copy_only=False), n)
+            for s in range(0, len(h), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(c[s:s + (1 << 16)]) for c in (h, fp, size, pos)], ["h", "fp", "size", "pos"])
     return lists.select("h", "fps", "sizes", "spots").mapInArrow(rows, "h long, fp long, size long, pos long")
 
 
@@ -374,8 +375,8 @@ def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) ->
         near = scratch(suffix_filter(rest, nodes, num, den), "near")
         if near.isEmpty():
             break
-        links = links.union(scratch(verify(near, docs, n, num, den), "links"))
-        comps = components(links)
+        more = scratch(verify(near, docs, n, num, den), "links")
+        comps = components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
         pairs = pairs.union(near.select("a", "b"))
     comps = scratch(comps, "components")
     smallest = (nodes.select("fp", "doc").join(comps.select(F.col("node").alias("fp"), "root"), "fp")
