@@ -54,8 +54,11 @@ def run_label(fmt: str, *cols) -> Column:
 
 
 def epoch_seconds(ts) -> Column:
-    """Whole seconds since 1970-01-01 of a wall-clock timestamp, session-TZ free."""
+    """Whole seconds since 1970-01-01 (F13): of an instant (``timestamp``) as it is,
+    of a wall-clock time (``timestamp_ntz``) as if in UTC; the session's time zone
+    plays no part in either."""
+    instant = F.unix_seconds(_col(ts).cast("timestamp"))
     c = _col(ts).cast("timestamp_ntz")
     days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return (days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
-            + F.floor(F.second(c)).cast("bigint")).cast("bigint")
+    wall = days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c)).cast("bigint")
+    return F.when(F.typeof(_col(ts)) == "timestamp", instant).otherwise(wall).cast("bigint")

@@ -152,14 +152,17 @@ def radius_pairs(places: DataFrame, points: DataFrame, radius_m: float, place_id
               .select(place_id, point_id, "distance_m"))
 
 
-def search(points: DataFrame, term: str | None = None, attribute: str | None = None,
-           term_col: str = "term", attribute_col: str = "attribute") -> DataFrame:
-    """The search predicate on term and attribute (P8); pushed to the scan."""
+def search(points: DataFrame, term: str | None = None, attribute: str | None = None, location: str | None = None,
+           term_col: str = "term", attribute_col: str = "attribute", location_col: str = "location") -> DataFrame:
+    """The search predicate on term, attribute and named location (P8; a search by
+    coordinates is :func:`nearby`); pushed to the scan."""
     p = points
     if term is not None:
         p = p.where(F.col(term_col) == term)
     if attribute is not None:
         p = p.where(F.col(attribute_col) == attribute)
+    if location is not None:
+        p = p.where(F.col(location_col) == location)
     return p
 
 

@@ -69,16 +69,20 @@ def encode_positional(df: DataFrame, k: int, labels_col: str = "labels", out_col
 
 
 def label_slot_join(df: DataFrame, vocab: DataFrame, id_col: str = "id", labels_col: str = "labels") -> DataFrame:
-    """id, slots array<int> (sorted, distinct), n_kept: slot lookup by a join.
+    """id, slots array<int> (sorted, distinct), n_kept: slot lookup by a join (J3),
+    one row per row of ``df`` (rows that share an id stay apart).
 
-    The vocabulary side is bounded by K, so it is broadcast explicitly; rows
-    with no labels survive through ``explode_outer``.
+    The vocabulary side is bounded by K, so it is broadcast explicitly; equal rows
+    are looked up once; rows with no labels survive through ``explode_outer``.
     """
-    ex = df.select(id_col, F.explode_outer(labels_col).alias("label"))
+    key = F.array_join(F.transform(labels_col, lambda x: F.coalesce(x.cast("string"), F.lit("?"))), ",")
+    rows = df.groupBy(id_col, key.alias("_key")).agg(F.count(F.lit(1)).alias("_times"), F.first(labels_col).alias("_labels"))
+    ex = rows.select(id_col, "_key", "_times", F.explode_outer("_labels").alias("label"))
     v = F.broadcast(vocab.select("label", "idx"))
     j = ex.join(v, "label", "left")
-    slots = j.groupBy(id_col).agg(F.array_sort(F.collect_set("idx")).alias("slots"))
-    return slots.withColumn("n_kept", F.size("slots").cast("bigint"))
+    slots = j.groupBy(id_col, "_key", "_times").agg(F.array_sort(F.collect_set("idx")).alias("slots"))
+    out = slots.select(id_col, "slots", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))).alias("_i")).drop("_i")
+    return out.withColumn("n_kept", F.size("slots").cast("bigint"))
 
 
 def label_coverage(df: DataFrame, hot_col: str, positional_col: str | None = None) -> DataFrame:

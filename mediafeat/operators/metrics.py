@@ -53,7 +53,8 @@ def speedup(runs: DataFrame, group: str, order: list[str], value: str, out: str
     """
     first = runs.groupBy(group).agg(
         F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_first"))
-    j = runs.join(first, group)
+    from mediafeat.operators.ordering import null_safe_join
+    j = null_safe_join(runs, first, [group])
     return j.withColumn(out, F.try_divide(F.col("_first"), F.nullif(F.col(value), F.lit(0.0)))).drop("_first")
 
 
@@ -88,7 +89,7 @@ def early_stopping(hist: DataFrame, run: str, epoch: str, loss: str, patience: i
     h = reuse(h, source=hist)
     stop = h.groupBy(run).agg(
         F.coalesce(F.min(F.when(F.col("_trigger"), F.col(epoch))), F.max(epoch)).alias("stop_epoch"))
-    hs = h.join(stop, run).where(F.col(epoch) <= F.col("stop_epoch"))
+    hs = O.null_safe_join(h, stop, [run]).where(F.col(epoch) <= F.col("stop_epoch"))
     return hs.groupBy(run).agg(
         F.max("stop_epoch").alias("stop_epoch"),
         F.min_by(F.col(epoch), F.struct(F.col(loss), F.col(epoch))).alias("best_epoch"),

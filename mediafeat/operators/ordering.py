@@ -4,11 +4,11 @@
 every row of a group in one task; a video or run holding a third of all rows
 would make that task a third of the job.  Instead:
 
-1. rows per group -- a partial aggregate; groups above ``hot_rows`` are hot
-   (at most ``total / hot_rows`` of them, checked before anything is broadcast);
-   with no hot group the plain window is used;
-2. for each hot group, ``blocks - 1`` cut points of the leading order key by
-   ``percentile_approx`` (a bounded sketch per group, partial aggregation);
+1. rows per group -- a partial aggregate; groups above ``hot_rows`` are hot (with
+   no hot group the plain window is used);
+2. for each hot group, ``blocks - 1`` cut points of the leading order key: the
+   evenly spaced values of a sorted sample, chosen by a hash of the order keys
+   (any orderable type; at most a few thousand values per group);
 3. every row gets a block number = cut points <= its key: value-based, so any
    recomputation (retries, executor loss) gives the same blocks; rows with an
    equal leading key always share a block, so the order is preserved; a block
@@ -20,6 +20,9 @@ would make that task a third of the job.  Instead:
 5. combined with the same statistic over the earlier blocks of the group (a
    window over at most ``blocks`` summary rows per group, joined back on
    (group, block); the big side keeps its partitioning, only the small side moves).
+
+Null groups are groups of their own on both paths: all joins are null-safe.  Null
+order keys come first, as Spark orders them.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = None        # a group above this many rows is split; None: from executor memory
 ROW_BYTES = 512        # working-set bytes assumed per row when deriving HOT_ROWS
 BLOCKS = 64            # sub-blocks per hot group
-MAX_HOT = 100_000      # hot groups whose cut points may be broadcast
+SAMPLE = 4096          # expected values sampled per hot group for its cut points
 BLK = "_blk"
 
 
@@ -42,41 +45,53 @@ def hot_rows_for(spark) -> int:
     return max(100_000, memory_per_core(spark) // 4 // ROW_BYTES)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with null equal to null; the keys come from the left side."""
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = None
+    for k in keys:
+        eq = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        on = eq if on is None else on & eq
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _cuts(rows: DataFrame, hot: DataFrame, keys: list[str], key: str, order: list[str], blocks: int, out: str) -> DataFrame:
+    """Cut points of ``key`` for each of the ``hot`` groups (with their size ``_n``)."""
+    slot = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(1 << 30))
+    picked = null_safe_join(rows, hot, keys).where(slot < F.lit(float(SAMPLE << 30)) / F.col("_n"))
+    values = picked.groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(key))).alias("_v"))   # nulls need no cut
+    at = F.sequence(F.lit(1), F.lit(blocks - 1))
+    return values.where(F.size("_v") > 0).select(*keys, F.array_distinct(F.transform(
+        at, lambda i: F.element_at("_v", (F.floor(i * F.size("_v") / blocks) + 1).cast("int")))).alias(out))
+
+
 def with_blocks(df: DataFrame, group: list[str], order: list[str], hot_rows: int | None = None,
                 blocks: int = BLOCKS) -> tuple[DataFrame, bool]:
     """Append ``_blk`` (0 for ordinary groups); returns (frame, any_hot)."""
     hot_rows = hot_rows or hot_rows_for(df.sparkSession)
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows).select(*group)
-    n_hot = hot.count()
-    if n_hot == 0:
+    hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    if hot.isEmpty():
         return df.withColumn(BLK, F.lit(0)), False
-    if n_hot > MAX_HOT:
-        raise ValueError(f"{n_hot} hot groups: raise hot_rows so the cut table stays bounded")
+
+    def block(cuts: str, key: str) -> Column:
+        return F.when(F.col(cuts).isNull() | F.col(key).isNull(), F.lit(0)).otherwise(
+            F.size(F.filter(cuts, lambda c: c <= F.col(key))))
     lead = order[0]
-    fractions = [i / blocks for i in range(1, blocks)]
-    cuts = (df.join(F.broadcast(hot), group, "left_semi")
-              .groupBy(*group).agg(F.percentile_approx(lead, fractions, 10_000).alias("_cuts")))
-    blk = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_cuts", lambda c: c <= F.col(lead))))
-    out = df.join(F.broadcast(cuts), group, "left").withColumn(BLK, blk).drop("_cuts")
+    out = null_safe_join(df, _cuts(df, hot, group, lead, order, blocks, "_cuts"), group, "left")
+    out = out.withColumn(BLK, block("_cuts", lead)).drop("_cuts")
     if len(order) < 2:
         return out, True
     # a block still above hot_rows whose rows share ONE leading value is ordered
     # by the next key alone: cut it again on that key (order stays lexicographic)
-    nxt = order[1]
-    sizes = out.groupBy(*group, BLK).agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"),
-                                         F.max(lead).alias("_hi"))
-    flat = sizes.where((F.col("_n") > hot_rows) & (F.col("_lo") == F.col("_hi"))).select(*group, BLK)
-    if flat.count() == 0:
+    flat = (out.groupBy(*group, BLK).agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"),
+                                         F.count(lead).alias("_set"))
+            .where((F.col("_n") > hot_rows) & (((F.col("_lo") == F.col("_hi")) & (F.col("_set") == F.col("_n"))) | (F.col("_set") == 0)))
+            .select(*group, BLK, "_n"))
+    if flat.isEmpty():
         return out, True
-    cuts2 = (out.join(F.broadcast(flat), [*group, BLK], "left_semi")
-                .groupBy(*group, BLK).agg(F.percentile_approx(nxt, fractions, 10_000).alias("_cuts2")))
-    sub = F.when(F.col("_cuts2").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_cuts2", lambda c: c <= F.col(nxt))))
-    out = (out.join(F.broadcast(cuts2), [*group, BLK], "left")
-              .withColumn(BLK, F.col(BLK) * F.lit(blocks) + sub).drop("_cuts2"))
-    return out, True
+    keys = [*group, BLK]
+    out = null_safe_join(out, _cuts(out, flat, keys, order[1], order, blocks, "_cuts2"), keys, "left")
+    return out.withColumn(BLK, F.col(BLK) * F.lit(blocks) + block("_cuts2", order[1])).drop("_cuts2"), True
 
 
 _AGG = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
@@ -108,10 +123,21 @@ def running(df: DataFrame, group: list[str], order: list[str], value: str | Colu
     before = Window.partitionBy(*group).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     outer = _AGG["sum"] if fn == "count" else agg
     summary = summary.select(*group, BLK, outer("_b").over(before).alias("_prev"))
-    j = t.join(summary, [*group, BLK])
+    j = null_safe_join(t, summary, [*group, BLK])
     return j.withColumn(out, _combine(fn, F.col("_within"), F.col("_prev"))).drop("_within", "_prev")
 
 
+def number_blocks(t: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
+    """Exact row numbers of rows that carry ``_blk`` (kept, so that later steps
+    need no second count of the groups)."""
+    local = t.withColumn("_lrn", F.row_number().over(Window.partitionBy(*group, BLK).orderBy(*order)))
+    sizes = t.groupBy(*group, BLK).agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*group).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*group, BLK, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    j = null_safe_join(local, offsets, [*group, BLK])
+    return j.withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int")).drop("_lrn", "_off")
+
+
 def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "rn",
                 hot_rows: int | None = None, blocks: int = BLOCKS) -> DataFrame:
     """Append an exact 1-based row number per group following ``order`` (ties
@@ -119,9 +145,4 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], out: str = "r
     t, hot = with_blocks(df, group, order, hot_rows, blocks)
     if not hot:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    local = t.withColumn("_lrn", F.row_number().over(Window.partitionBy(*group, BLK).orderBy(*order)))
-    sizes = t.groupBy(*group, BLK).agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*group).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*group, BLK, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    j = local.join(offsets, [*group, BLK])
-    return j.withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int")).drop(BLK, "_lrn", "_off")
+    return number_blocks(t, group, order, out).drop(BLK)

@@ -3,11 +3,12 @@
 
 Scale notes
 -----------
-* Only the first ``t`` steps of a video are ever gathered.  They are picked
+* Where a length is given, only the first ``t`` steps of a video are ever gathered.  They are picked
   with ``row_number() <= t`` which Spark plans as ``WindowGroupLimit`` on both
   sides of the shuffle: each map task forwards at most ``t`` rows per video, so
   a video holding a third of all frames still reaches its reducer as
-  ``t x map tasks`` rows and ``collect_list`` stays bounded by ``t``.
+  ``t x map tasks`` rows and ``collect_list`` stays bounded by ``t``.  Whole sequences
+  (``assemble_blocks``) come as numbered blocks of bounded length.
 * The true length comes from a partial ``count`` aggregate on the same key; it
   is joined 1:1 on the already hash-partitioned id (no extra exchange).
 """
@@ -42,6 +43,25 @@ def assemble_sequences(frames: DataFrame, id_col: str, order_cols: list[str], ve
     return seq.join(steps_per_video(frames, id_col), id_col)
 
 
+BLOCK_STEPS = 1024   # steps of a sequence that one row of an unlimited assembly holds
+
+
+def assemble_blocks(frames: DataFrame, id_col: str, order_cols: list[str], vec: Column | str,
+                    block_steps: int = BLOCK_STEPS, out_col: str = "seq") -> DataFrame:
+    """id, block, seq, n_steps: all steps of every sequence, in order.
+
+    A sequence is a run of blocks (0, 1, ...) of at most ``block_steps`` steps, so
+    no row and no task holds a whole long one; step numbers come from the
+    skew-safe ordering (:mod:`mediafeat.operators.ordering`)."""
+    from mediafeat.operators.ordering import null_safe_join, number_rows
+    vec = F.col(vec) if isinstance(vec, str) else vec
+    t = number_rows(frames.select(id_col, *order_cols, vec.alias("_v")), [id_col], order_cols, "_rn")
+    t = t.withColumn("block", F.floor((F.col("_rn") - 1) / block_steps).cast("int"))
+    seq = (t.groupBy(id_col, "block").agg(F.array_sort(F.collect_list(F.struct("_rn", "_v"))).alias("_s"))
+            .select(id_col, "block", F.transform("_s", lambda s: s["_v"]).alias(out_col)))
+    return null_safe_join(seq, steps_per_video(frames, id_col), [id_col])
+
+
 def fix_length(df: DataFrame, seq_col: str, t: int, short: str = "drop", zero: Column | None = None,
                len_col: str = "true_len") -> DataFrame:
     """Apply the short-sequence policy (Q10): 'drop', 'pad' (zero steps appended,

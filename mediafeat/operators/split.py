@@ -48,7 +48,7 @@ def kth_largest_key(df: DataFrame, key_col: str, k: int | None, direct_limit: in
     ``k_of_n`` derives k from the row count, which the first histogram gives
     for free (no separate count pass).
     """
-    cand = df.select(F.col(key_col).alias("_k"))
+    cand = df.where(F.col(key_col).isNotNull()).select(F.col(key_col).alias("_k"))
     hist = _histogram(cand, 0)
     if k_of_n is not None:
         k = k_of_n(sum(n for _, n in hist))
@@ -71,6 +71,8 @@ def kth_largest_key(df: DataFrame, key_col: str, k: int | None, direct_limit: in
         else:
             return None  # fewer than k keys
         cand = cand.where(F.col("_k").startswith(prefix))
+    if len(prefix) == 32:
+        return prefix        # many rows of one id: the key itself is known
     top = cand.orderBy(F.col("_k").desc()).limit(remaining).agg(F.min("_k").alias("cut")).first()
     return top["cut"]
 
@@ -82,6 +84,7 @@ def split_holdout(df: DataFrame, id_col: str, ratio: float, seed: int, exact: bo
     ``exact=True``: dev holds exactly ``max(1, floor(n * ratio))`` rows, the
     largest seeded keys (the source's size rule, Q6; reproducible, Q7), when
     ids are unique; rows sharing an id share a key and land on the same side.
+    Rows with a null id are always 'train' and do not count towards ``n``.
     ``exact=False``: one pass, a hash bucket decides (size only in expectation).
     """
     keyed = df.withColumn("_key", shuffle_key(id_col, seed))
@@ -104,17 +107,29 @@ def take_ordered(df: DataFrame, key: list[str], n: int) -> DataFrame:
     return df.orderBy(*key).limit(n)
 
 
+GROUP_LIMIT = 1000   # up to here the optimizer trims groups before the shuffle by itself
+
+
 def limit_per_group(df: DataFrame, group: str, order: list[str], n: int, rn_col: str = "rn") -> DataFrame:
     """At most n rows per group (S14, W5); ``row_number() <= n`` is planned as
-    WindowGroupLimit, which also trims each group before the shuffle."""
+    WindowGroupLimit, which also trims each group before the shuffle.  Beyond the
+    optimizer's threshold rows are numbered in blocks of bounded size instead, so a
+    hot group is never one task's work (null order keys first, as in the window)."""
+    if n > GROUP_LIMIT:
+        from mediafeat.operators.ordering import number_rows
+        return number_rows(df, [group], order, rn_col).where(F.col(rn_col) <= n)
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn(rn_col, F.row_number().over(w)).where(F.col(rn_col) <= n)
 
 
-def exclude_values(df: DataFrame, col: str, names: list[str]) -> DataFrame:
-    """Drop rows whose ``col`` is one of ``names`` (S12); a literal IN list,
-    pushed to the scan when ``col`` is a partition or data column."""
-    return df.where(~F.col(col).isin(list(names)))
+def exclude_values(df: DataFrame, col: str, names: list[str] | DataFrame) -> DataFrame:
+    """Drop rows whose ``col`` is one of ``names`` (S12); a null ``col`` is no name and
+    stays.  A list becomes a literal filter, pushed to the scan when ``col`` is a
+    partition or data column; a one-column frame (a list of any length) an anti-join."""
+    if isinstance(names, DataFrame):
+        gone = names.select(F.col(names.columns[0]).alias("_gone")).distinct()
+        return df.join(gone, F.col(col) == F.col("_gone"), "left_anti")
+    return df.where(F.col(col).isNull() | ~F.col(col).isin(list(names)))
 
 
 INLINE_VALUES = 10_000  # value lists up to this size become a literal IN filter
@@ -126,12 +141,12 @@ def limit_values(df: DataFrame, col: str, n: int) -> DataFrame:
     The first n names (a bounded list, read from the column alone) become a
     literal IN filter, so on a ``partitionBy(col)`` layout the other shards are
     pruned at file listing and never read.  Beyond ``INLINE_VALUES`` names the
-    list stays distributed and is broadcast into a semi-join."""
+    list stays distributed, in a semi-join that Spark plans by its size."""
     first = df.select(col).distinct().orderBy(col).limit(n)
     if n <= INLINE_VALUES:
         names = [r[0] for r in first.collect()]
         return df.where(F.col(col).isin(names))
-    return df.join(F.broadcast(first), col, "left_semi")
+    return df.join(first, col, "left_semi")
 
 
 def chunk_assignment(items: DataFrame, item_col: str, k: int) -> DataFrame:
@@ -147,20 +162,22 @@ def chunk_assignment(items: DataFrame, item_col: str, k: int) -> DataFrame:
 
 
 def split_check(full: DataFrame, train: DataFrame, dev: DataFrame) -> DataFrame:
-    """n_full, n_train, n_dev, n_both (intersect), n_lost (full minus union)."""
-    both = train.intersect(dev)
-    lost = full.exceptAll(train.unionByName(dev))
-    extra = train.unionByName(dev).exceptAll(full)
-    parts = [full.agg(F.count(F.lit(1)).alias("v")).select(F.lit("n_full").alias("m"), "v"),
-             train.agg(F.count(F.lit(1)).alias("v")).select(F.lit("n_train").alias("m"), "v"),
-             dev.agg(F.count(F.lit(1)).alias("v")).select(F.lit("n_dev").alias("m"), "v"),
-             both.agg(F.count(F.lit(1)).alias("v")).select(F.lit("n_both").alias("m"), "v"),
-             lost.agg(F.count(F.lit(1)).alias("v")).select(F.lit("n_lost").alias("m"), "v"),
-             extra.agg(F.count(F.lit(1)).alias("v")).select(F.lit("n_extra").alias("m"), "v")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """n_full, n_train, n_dev, n_both (distinct rows on both sides), n_lost (rows of
+    full on neither side) and n_extra (the opposite) (U2): one tagged union, one
+    aggregate per distinct row, one total."""
+    cols = full.columns
+    tags = ["_full", "_train", "_dev"]
+    tagged = None
+    for frame, own in zip((full, train, dev), tags):
+        part = frame.select(*cols, *[F.lit(int(own == t)).alias(t) for t in tags])
+        tagged = part if tagged is None else tagged.unionByName(part)
+    rows = tagged.groupBy(*cols).agg(*[F.sum(t).alias(t) for t in tags])
+    f, t, d = (F.col(c) for c in tags)
+    zero = F.lit(0).cast("bigint")
+    sums = rows.agg(*[F.coalesce(F.sum(c), zero).alias(n) for n, c in (
+        ("n_full", f), ("n_train", t), ("n_dev", d), ("n_both", ((t > 0) & (d > 0)).cast("bigint")),
+        ("n_lost", F.greatest(f - t - d, zero)), ("n_extra", F.greatest(t + d - f, zero)))])
+    return sums.unpivot([], ["n_full", "n_train", "n_dev", "n_both", "n_lost", "n_extra"], "m", "v")
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:

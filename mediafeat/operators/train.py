@@ -79,9 +79,13 @@ class LinearModel:
         @F.pandas_udf("array<double>")
         def score(x: pd.Series) -> pd.Series:
             wm = bw.value
-            xm = np.stack(x.to_numpy()).astype(np.float64)
-            p = 1.0 / (1.0 + np.exp(-(xm @ wm[:, :-1].T + wm[:, -1])))
-            return pd.Series(list(p))
+            good = x.notna().to_numpy()      # a null row scores null, as in the JVM form
+            out = pd.Series([None] * len(x), dtype=object)
+            if good.any():
+                xm = np.stack(x[good].to_numpy()).astype(np.float64)
+                p = 1.0 / (1.0 + np.exp(-(xm @ wm[:, :-1].T + wm[:, -1])))
+                out[good] = list(p)
+            return out
         return score(F.col(x_col))
 
 

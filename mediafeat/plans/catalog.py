@@ -99,6 +99,13 @@ def training_table_view(df: DataFrame) -> DataFrame:
                      ints_str("labels_hot").alias("hot"))
 
 
+@query("label_slots_shared_ids")
+def q_label_slots_shared_ids(spark, d):
+    """Rows that share an id keep their own labels."""
+    bags = X.fx_bags(spark, d).withColumn("id", F.col("id") % 100)
+    return L.label_slot_join(bags, L.fit_label_vocab(X.fx_bags(spark, d), K)).select("id", ints_str("slots").alias("slots"), "n_kept")
+
+
 @query("training_table")
 def q_training_table(spark, d):
     return training_table_view(training_table(spark, d))
@@ -127,7 +134,9 @@ def _value_sequences(spark, d):
 
 @query("sequence_assembly")
 def q_sequence_assembly(spark, d):
-    return _value_sequences(spark, d).select("id", "n_steps", dec_str("seq").alias("seq"))
+    """All steps of every sequence, in blocks (32 steps here, so that there are several)."""
+    seq = S.assemble_blocks(X.steps_source(spark, d), "id", ["ts", "event_id"], "value", 32)
+    return seq.select("id", "block", "n_steps", dec_str("seq").alias("seq"))
 
 
 @query("truncate_sequence")
@@ -144,8 +153,9 @@ def q_pad_sequence(spark, d):
 
 @query("flatten_sequence")
 def q_flatten_sequence(spark, d):
-    seq = frame_sequences(spark, d, T)
-    return seq.select("id", dec_str(V.flatten("frames")).alias("flat"))
+    step = F.array(F.col("value"), F.get_json_object("props", "$.k").cast("double"))
+    seq = S.assemble_blocks(X.steps_source(spark, d), "id", ["ts", "event_id"], step, 32, "frames")
+    return seq.select("id", "block", dec_str(V.flatten("frames")).alias("flat"))
 
 
 @query("sequence_pooling")
@@ -244,6 +254,27 @@ def _sharded_split(spark, d):
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "dev").drop("split")
 
 
+def _keyed_rows(spark, d):
+    """Events with a nullable group and a text order key."""
+    return X.table(spark, d, "events").select(
+        F.nullif(F.col("user_id") % 10, F.lit(3).cast("bigint")).alias("g"),
+        F.concat(F.lit("s"), F.lpad(F.col("event_id").cast("string"), 9, "0")).alias("o"), "event_id", "value")
+
+
+@query("row_numbers_plain")
+def q_row_numbers_plain(spark, d):
+    """Row numbers below the hot threshold: the plain window."""
+    from mediafeat.operators.ordering import number_rows
+    return number_rows(_keyed_rows(spark, d), ["g"], ["o", "event_id"], "rn").select("event_id", "g", "rn")
+
+
+@query("row_numbers_hot")
+def q_row_numbers_hot(spark, d):
+    """The same with every group above the threshold: blocks."""
+    from mediafeat.operators.ordering import number_rows
+    return number_rows(_keyed_rows(spark, d), ["g"], ["o", "event_id"], "rn", hot_rows=50, blocks=8).select("event_id", "g", "rn")
+
+
 @query("split_is_partition")
 def q_split_is_partition(spark, d):
     train, dev = _sharded_split(spark, d)
@@ -274,6 +305,27 @@ def q_exclude_shards(spark, d):
     return P.exclude_values(sharded_layout(spark, d), "shard", EXCLUDED).select("id", "shard")
 
 
+@query("exclude_many")
+def q_exclude_many(spark, d):
+    """A long exclusion list (every customer with an urgent order) as an anti-join;
+    orders without a customer number stay."""
+    o = X.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.nullif(F.col("o_custkey") % 1000, F.lit(7).cast("bigint")).alias("customer"),
+                                           "o_orderpriority")
+    return P.exclude_values(o, "customer", o.where("o_orderpriority = '1-URGENT'").select("customer")).select("id", "customer")
+
+
+@query("exclude_with_nulls")
+def q_exclude_with_nulls(spark, d):
+    s = X.fx_sharded(spark, d).withColumn("shard", F.nullif("shard", F.lit("train0005.rec")))
+    return P.exclude_values(s, "shard", EXCLUDED).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("holdout_with_nulls")
+def q_holdout_with_nulls(spark, d):
+    v = X.fx_video(spark, d).withColumn("key", F.when(F.col("id").cast("bigint") % 5 != 0, F.col("id")))
+    return P.split_holdout(v, "key", DF.VALIDATION_RATIO, SEED).select("id", "split")
+
+
 @query("limit_shards")
 def q_limit_shards(spark, d):
     return P.limit_values(sharded_layout(spark, d), "shard", 5).select("id", "shard")
@@ -361,6 +413,12 @@ def q_standardise_features(spark, d):
         "pos", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
+@query("standardise_apply")
+def q_standardise_apply(spark, d):
+    z = TR.standardise(X.fx_video(spark, d), "mean_rgb", out_col="z")
+    return z.select("id", dec_str(F.transform("z", lambda x: F.round(x, 3)), 3).alias("z"))
+
+
 @query("speedup")
 def q_speedup(spark, d):
     runs = X.steps_source(spark, d)
@@ -397,6 +455,13 @@ def q_run_label(spark, d):
     return st.select("id", TX.run_label(DF.RUN_LABEL_FORMAT, "n", "kmax", "vmin", "vmax").alias("label"))
 
 
+@query("epoch_seconds_instant")
+def q_epoch_seconds_instant(spark, d):
+    """Seconds of instants, 5 hours off the wall clock they were read with."""
+    ts = F.to_utc_timestamp(F.col("ts").cast("timestamp"), "America/Bogota").cast("timestamp")
+    return X.table(spark, d, "events").select("event_id", TX.epoch_seconds(ts).alias("secs"))
+
+
 @query("epoch_seconds")
 def q_epoch_seconds(spark, d):
     return X.table(spark, d, "events").select("event_id", TX.epoch_seconds("ts").alias("secs"))
@@ -420,10 +485,17 @@ def q_json_field(spark, d):
     return X.fx_json(spark, d).select("id", F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
+@query("struct_field")
+def q_struct_field(spark, d):
+    """One field projected from an array of structs: the quantities of an order's lines."""
+    li = X.table(spark, d, "lineitem")
+    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity"))).alias("lines"))
+    return lines.select(F.col("l_orderkey").alias("id"), dec_str(F.transform("lines", lambda x: x["l_quantity"]), 2).alias("quantities"))
+
+
 @query("decode_u8")
 def q_decode_u8(spark, d):
-    u = X.fx_u8(spark, d).withColumn("raw", F.unhex("hex"))
-    return u.select("id", ints_str(V.decode_u8("raw")).alias("vals"))
+    return X.fx_u8(spark, d).select("id", ints_str(V.decode_u8("raw")).alias("vals"))
 
 
 # ---------------------------------------------------------------- geo
@@ -446,6 +518,11 @@ def q_business_search(spark, d):
     return r.select("id", "business_id", F.round("distance_m", 3).alias("distance_m"), "rank")
 
 
+@query("location_search")
+def q_location_search(spark, d):
+    return G.search(X.fx_business(spark, d), term="other", location="Brand#13").select("business_id", "term", "location")
+
+
 @query("keyed_lookup")
 def q_keyed_lookup(spark, d):
     j = G.keyed_lookup(X.fx_business(spark, d).select("business_id"), X.fx_reviews(spark, d), "business_id",

@@ -63,9 +63,9 @@ def fx_sharded(spark, sf_dir) -> DataFrame:
 
 
 def fx_u8(spark, sf_dir) -> DataFrame:
-    """id bigint, hex string (16 bytes as 32 hex digits)."""
+    """id bigint, raw binary: the bytes of each whole text."""
     d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("id"), F.md5("text").alias("hex"))
+    return d.select(F.col("doc_id").alias("id"), F.encode("text", "UTF-8").alias("raw"))
 
 
 def fx_text(spark, sf_dir) -> DataFrame:
@@ -74,10 +74,15 @@ def fx_text(spark, sf_dir) -> DataFrame:
 
 
 def fx_scores(spark, sf_dir) -> DataFrame:
-    """id bigint, cls int 0..9, scores array<float>(10)."""
+    """id bigint, cls int 0..9, scores array<double>(10): every tenth dimension of the
+    whole vector summed, from each of the first ten."""
     e = table(spark, sf_dir, "embeddings")
+
+    def total(c):
+        return F.aggregate(F.sequence(c, F.size("embedding") - 1, F.lit(10)), F.lit(0.0),
+                           lambda a, i: a + F.get("embedding", i).cast("double"))
     return e.select(F.col("vec_id").alias("id"), F.col("label").alias("cls"),
-                    F.slice("embedding", 1, 10).alias("scores"))
+                    F.transform(F.sequence(F.lit(0), F.lit(9)), total).alias("scores"))
 
 
 def fx_places(spark, sf_dir) -> DataFrame:
@@ -96,7 +101,7 @@ def fx_business(spark, sf_dir) -> DataFrame:
         F.when(k % 3 == 0, "food").otherwise("other").alias("term"),
         F.when(F.col("p_size") > 25, "hot_and_new").otherwise("none").alias("attribute"),
         (F.lit(37.0) + (k * 53) % 1000 / F.lit(5000.0)).alias("lat"),
-        (F.lit(-122.0) - (k * 29) % 1000 / F.lit(5000.0)).alias("lng"))
+        (F.lit(-122.0) - (k * 29) % 1000 / F.lit(5000.0)).alias("lng"), F.col("p_brand").alias("location"))
 
 
 def fx_reviews(spark, sf_dir) -> DataFrame:
@@ -121,15 +126,16 @@ DUCK = {
     "fx_video_side": "SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 7 <> 0",
     "fx_sharded": "SELECT o_orderkey AS id, concat('train', lpad(CAST(o_orderkey % 12 AS VARCHAR), 4, '0'), '.rec') AS shard, "
                   "o_totalprice AS amount FROM orders",
-    "fx_u8": "SELECT doc_id AS id, md5(text) AS hex FROM documents",
+    "fx_u8": "SELECT doc_id AS id, hex(encode(text)) AS hex FROM documents",
     "fx_text": "SELECT doc_id, text FROM documents",
-    "fx_scores": "SELECT vec_id AS id, \"label\" AS cls, embedding[1:10] AS scores FROM embeddings",
+    "fx_scores": "SELECT vec_id AS id, \"label\" AS cls, list_transform(range(10), lambda c: list_reduce(list_transform("
+                 "range(c, len(embedding), 10), lambda i: CAST(embedding[i + 1] AS DOUBLE)), lambda a, b: a + b)) AS scores FROM embeddings",
     "fx_places": "SELECT c_custkey AS id, 37.0::DOUBLE + (c_custkey * 37) % 1000 / 5000.0::DOUBLE AS lat, "
                  "-122.0::DOUBLE - (c_custkey * 91) % 1000 / 5000.0::DOUBLE AS lng FROM customer",
     "fx_business": "SELECT p_partkey AS business_id, CASE WHEN p_partkey % 3 = 0 THEN 'food' ELSE 'other' END AS term, "
                    "CASE WHEN p_size > 25 THEN 'hot_and_new' ELSE 'none' END AS attribute, "
                    "37.0::DOUBLE + (p_partkey * 53) % 1000 / 5000.0::DOUBLE AS lat, "
-                   "-122.0::DOUBLE - (p_partkey * 29) % 1000 / 5000.0::DOUBLE AS lng FROM part",
+                   "-122.0::DOUBLE - (p_partkey * 29) % 1000 / 5000.0::DOUBLE AS lng, p_brand AS location FROM part",
     "fx_reviews": "SELECT l_partkey AS business_id, l_linenumber AS stars FROM lineitem",
     "fx_json": "SELECT event_id AS id, props FROM events",
 }

@@ -111,7 +111,10 @@ sql("frames_without_video",
 
 sql("steps_per_video", "SELECT id, count(*) AS n_steps FROM fx_steps GROUP BY id")
 
-sql("sequence_assembly", f"{VSEQ} SELECT id, n_steps, {d_dec('s')} AS seq FROM seq")
+_STEP_BLOCKS = ("SELECT user_id AS id, CAST(floor((rn - 1) / 32) AS INTEGER) AS block, max(n) AS n_steps, {} AS s FROM ("
+                "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn, count(*) OVER (PARTITION BY user_id) AS n "
+                "FROM events) GROUP BY ALL")
+sql("sequence_assembly", f"SELECT id, block, n_steps, {d_dec('s')} AS seq FROM (" + _STEP_BLOCKS.format("list(value ORDER BY rn)") + ")")
 
 sql("truncate_sequence", f"{VSEQ} SELECT id, {d_dec('s')} AS seq FROM seq WHERE len(s) = {T}")
 
@@ -119,7 +122,8 @@ sql("pad_sequence",
     f"{VSEQ} SELECT id, CAST(len(s) AS INTEGER) AS true_len, "
     f"{d_dec(f'list_concat(s, list_transform(range({T} - len(s)), lambda x: 0.0::DOUBLE))')} AS seq FROM seq")
 
-sql("flatten_sequence", f"{FRAMES} SELECT id, {d_dec('flatten(s)')} AS flat FROM seq")
+sql("flatten_sequence", f"SELECT id, block, {d_dec('flatten(s)')} AS flat FROM (" + _STEP_BLOCKS.format(
+    "list([value, CAST(json_extract_string(props, '$.k') AS DOUBLE)] ORDER BY rn)") + ")")
 
 _MEAN = "list_transform(range(2), lambda j: list_reduce(list_transform(s, lambda v: v[j + 1]), lambda a, b: a + b) / len(s))"
 _MAX = "list_transform(range(2), lambda j: list_max(list_transform(s, lambda v: v[j + 1])))"
@@ -292,9 +296,48 @@ sql("query_term", "SELECT p_partkey, replace(p_name, ' ', '+') AS term, "
 sql("json_field", "SELECT id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM fx_json")
 
 sql("decode_u8",
-    "SELECT id, " + d_ints("list_transform(range(16), lambda i: CAST(('0x' || substr(hex, CAST(2 * i + 1 AS INTEGER), 2)) AS INTEGER))")
+    "SELECT id, " + d_ints("list_transform(regexp_extract_all(hex, '..'), lambda x: CAST(('0x' || x) AS INTEGER))")
     + " AS vals FROM fx_u8")
 
+sql("struct_field",
+    "SELECT l_orderkey AS id, " + d_dec("list(l_quantity ORDER BY l_linenumber, l_partkey, l_quantity)", 2) + " AS quantities FROM lineitem GROUP BY l_orderkey")
+
+sql("location_search", "SELECT business_id, term, location FROM fx_business WHERE term = 'other' AND location = 'Brand#13'")
+
+_CUST = "SELECT o_orderkey AS id, nullif(o_custkey % 1000, 7) AS customer, o_orderpriority FROM orders"
+sql("exclude_many",
+    f"WITH o AS ({_CUST}) SELECT id, customer FROM o WHERE NOT EXISTS (SELECT 1 FROM o AS u WHERE u.customer = o.customer "
+    "AND u.o_orderpriority = '1-URGENT')")
+
+sql("exclude_with_nulls",
+    "SELECT nullif(shard, 'train0005.rec') AS shard, count(*) AS n FROM fx_sharded "
+    "WHERE shard NOT IN ('train0003.rec', 'train0007.rec', 'train0011.rec') GROUP BY ALL")
+
+sql("holdout_with_nulls",
+    "WITH k AS (SELECT id, md5(concat(id, '#', '7')) AS skey FROM fx_video WHERE CAST(id AS BIGINT) % 5 <> 0), "
+    "r AS (SELECT id, row_number() OVER (ORDER BY skey DESC) AS rn FROM k) "
+    "SELECT v.id, CASE WHEN rn <= (SELECT greatest(1, CAST(floor(count(*) * 0.2::DOUBLE) AS BIGINT)) FROM k) THEN 'dev' ELSE 'train' END AS split "
+    "FROM fx_video v LEFT JOIN r ON v.id = r.id")
+
+_ROWNUM = ("SELECT event_id, nullif(user_id % 10, 3) AS g, CAST(row_number() OVER (PARTITION BY nullif(user_id % 10, 3) "
+           "ORDER BY event_id) AS INTEGER) AS rn FROM events")
+sql("row_numbers_plain", _ROWNUM)
+sql("row_numbers_hot", _ROWNUM)
+
+sql("standardise_apply",
+    "WITH x AS (SELECT id, unnest(range(len(mean_rgb))) AS pos, CAST(unnest(mean_rgb) AS DOUBLE) AS v FROM fx_video), "
+    "m AS (SELECT pos, avg(v) AS mu, stddev_samp(v) AS sd FROM x GROUP BY pos) "
+    "SELECT id, " + d_dec("list(CASE WHEN sd > 0 THEN round((v - mu) / sd, 3) ELSE 0.0 END ORDER BY pos)", 3) + " AS z "
+    "FROM x JOIN m USING (pos) GROUP BY id")
+
+sql("label_slots_shared_ids",
+    f"WITH vocab AS ({VOCAB_LIST.format(src='fx_bags')}) "
+    "SELECT id % 100 AS id, " + d_ints("list_filter(list_transform(range(len(v)), lambda i: CASE WHEN list_contains(labels, v[i + 1]) THEN i END), "
+                                     "lambda i: i IS NOT NULL)") + " AS slots, "
+    "CAST(len(list_intersect(labels, v)) AS BIGINT) AS n_kept FROM fx_bags, vocab")
+
+sql("epoch_seconds_instant", "SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) + 18000 AS secs FROM events")
+
 # ---------------------------------------------------------------- geo
 from mediafeat.functions.geo import haversine_sql  # noqa: E402
 
