@@ -42,7 +42,7 @@ def integrity_counts(df: DataFrame, id_col: str = "id", labels_col: str = "label
 def assert_integrity(df: DataFrame, id_col: str = "id", labels_col: str = "labels") -> None:
     r = integrity_counts(df, id_col, labels_col).first()
     if r["n_ids"] != r["n_labels"]:
-        raise AssertionError("The number of IDs does not match the number of labeled videos.")
+        raise AssertionError(f"{r['n_ids']} rows have an id but {r['n_labels']} have labels")
 
 
 def feature_label_pairs(df: DataFrame, features: str, label: str) -> DataFrame:

@@ -19,6 +19,7 @@ costs a recomputation from the source files.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 MAX_MODEL = 50_000_000  # weights per model that may travel driver <-> executors
 INLINE_WEIGHTS = 20_000  # above this, score with a broadcast model instead of plan literals
+PARTITION_BYTES = 256 << 20   # of training rows that one task holds
 CHUNK = 4096             # weights per row when partition deltas are summed
 
 
@@ -61,14 +63,15 @@ class LinearModel:
     weights: np.ndarray                 # (k, d + 1), last column is the bias
     history: list[dict] = field(default_factory=list)
 
-    def score_expr(self, x_col: str, spark: SparkSession | None = None):
+    def score_expr(self, x_col: str, spark: SparkSession | None = None, inline: bool | None = None):
         """array<double>(k) of sigmoid scores (M4).
 
         Small models are inlined as literals and scored in the JVM; larger ones
-        (more than ``INLINE_WEIGHTS`` weights) are broadcast once and scored by
-        an Arrow-batched matrix product, so the plan never carries the model."""
+        (more than ``INLINE_WEIGHTS`` weights, or ``inline=False``) are broadcast once
+        and scored by an Arrow-batched matrix product, so the plan never carries the
+        model.  Both give the same scores; a null vector scores null."""
         w = self.weights
-        if w.size <= INLINE_WEIGHTS:
+        if w.size <= INLINE_WEIGHTS if inline is None else inline:
             from mediafeat.functions.vectors import matvec
             raw = matvec(w[:, :-1].tolist(), F.col(x_col))
             b = F.array(*[F.lit(float(v)) for v in w[:, -1]])
@@ -80,12 +83,13 @@ class LinearModel:
         def score(x: pd.Series) -> pd.Series:
             wm = bw.value
             good = x.notna().to_numpy()      # a null row scores null, as in the JVM form
-            out = pd.Series([None] * len(x), dtype=object)
+            out = [None] * len(x)
             if good.any():
                 xm = np.stack(x[good].to_numpy()).astype(np.float64)
                 p = 1.0 / (1.0 + np.exp(-(xm @ wm[:, :-1].T + wm[:, -1])))
-                out[good] = list(p)
-            return out
+                for i, row in zip(np.flatnonzero(good), p):
+                    out[i] = row
+            return pd.Series(out, dtype=object)
         return score(F.col(x_col))
 
 
@@ -159,8 +163,10 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
                    keep_best: bool = False) -> LinearModel:
     """Multi-label logistic model by synchronous data-parallel SGD with averaging.
 
-    ``n_partitions`` (default: the cluster's parallelism) is part of the
-    result: fix it to reproduce a model on a different cluster.
+    ``n_partitions`` (default: the cluster's parallelism, or more for larger
+    inputs, so that a partition stays near ``PARTITION_BYTES``) is part of the
+    result: fix it to reproduce a model on a different cluster.  Rows with a null
+    vector or one of another length than the first row's are left out.
 
     With ``validation`` (same columns) every epoch is scored on it (``val_loss``,
     ``val_accuracy`` in the history, computed on the executors); ``patience``
@@ -170,10 +176,11 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
     spark: SparkSession = df.sparkSession
     from mediafeat.session import ship_package
     ship_package(spark)
-    n_partitions = n_partitions or spark.sparkContext.defaultParallelism
+    from mediafeat.operators.parallel import estimated_bytes
+    n_partitions = n_partitions or max(spark.sparkContext.defaultParallelism, estimated_bytes(df) // PARTITION_BYTES + 1)
     data = (df.select(F.col(id_col).alias("_id"), F.col(features_col).cast("array<double>").alias("x"),
                       F.col(label_col).cast("array<double>").alias("y"))
-              .repartition(n_partitions, "_id").sortWithinPartitions("_id")
+              .where(F.col("x").isNotNull() & F.col("y").isNotNull()).repartition(n_partitions, "_id").sortWithinPartitions("_id")
               .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         first = data.select(F.size("x").alias("d"), F.size("y").alias("k")).first()
@@ -191,7 +198,10 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
             val = (validation.select(F.col(features_col).cast("array<double>").alias("x"),
                                      F.col(label_col).cast("array<double>").alias("y"))
                              .withColumn("_val", F.lit(True)).persist(StorageLevel.MEMORY_AND_DISK))
-        train_part = data.select("x", "y").withColumn("_val", F.lit(False))
+        fits = (F.size("x") == d) & (F.size("y") == k)
+        train_part = data.where(fits).select("x", "y").withColumn("_val", F.lit(False))
+        val = val.where(fits) if val is not None else None
+        fan = max(1, math.isqrt(n_partitions))
         best_loss, best_epoch, best_w = None, 0, w
         stopped = False
 
@@ -211,14 +221,15 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
             source = train_part.unionByName(val) if (val is not None and epoch > 1) else train_part
             parts = source.mapInPandas(_sgd_kernel(bw, (k, d + 1), lr, batch_size, chunk),
                                        "chunk int, n long, v array<double>")
-            # element-wise sum of each chunk over the partitions
-            # (a chunk group holds one array per partition: bounded by the partition count)
-            summed = (parts.groupBy("chunk")
-                           .agg(F.sum("n").alias("n"), F.collect_list("v").alias("vs"))
-                           .select("chunk", "n", F.aggregate(
-                               "vs", F.array_repeat(F.lit(0.0), F.size(F.element_at("vs", 1))),
-                               lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("v"))
-                           .collect())
+            # element-wise sum of each chunk over the partitions, as a tree of two
+            # levels: no group holds more arrays than the square root of their number
+            def add(rows: DataFrame, *keys: str) -> DataFrame:
+                return (rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.collect_list("v").alias("vs"))
+                            .select(*keys, "n", F.aggregate(
+                                "vs", F.array_repeat(F.lit(0.0), F.size(F.element_at("vs", 1))),
+                                lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("v")))
+            parts = parts.withColumn("_fan", F.spark_partition_id() % fan)
+            summed = add(add(parts, "chunk", "_fan"), "chunk").collect()
             # sorted here, not with orderBy: a range sort would sample (= rerun) the epoch
             summed.sort(key=lambda r: r["chunk"])
             bw.destroy()
@@ -265,14 +276,19 @@ def load_weights(spark: SparkSession, path: str) -> LinearModel:
 
 
 # ---------------------------------------------------------------- dense classifier (M2)
-def train_mlp(df: DataFrame, features_col: str, label_col: str, layers: list[int], max_iter: int = 100,
-              seed: int = 42):
-    """Spark ML multilayer perceptron on the arg-max class of a multi-hot target."""
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
+def mlp_rows(df: DataFrame, features_col: str, label_col: str) -> DataFrame:
+    """features (vector) and label (arg-max class) as the classifier takes them."""
     from pyspark.ml.functions import array_to_vector
 
     from mediafeat.functions.vectors import argmax
-    data = df.select(array_to_vector(F.col(features_col).cast("array<double>")).alias("features"),
+    return df.select(array_to_vector(F.col(features_col).cast("array<double>")).alias("features"),
                      argmax(label_col).cast("double").alias("label"))
+
+
+def train_mlp(df: DataFrame, features_col: str, label_col: str, layers: list[int], max_iter: int = 100,
+              seed: int = 42):
+    """Spark ML multilayer perceptron on the arg-max class of a multi-hot target."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    data = mlp_rows(df, features_col, label_col)
     mlp = MultilayerPerceptronClassifier(layers=layers, maxIter=max_iter, seed=seed, blockSize=128)
     return mlp.fit(data), data

@@ -714,11 +714,42 @@ def q_train_linear_avg(spark, d):
     return TR.history_frame(spark, model)
 
 
+STEP_RATE = 0.5
+
+
+def _full_batch(spark, d):
+    return TR.fit_multilabel(_video_xy(spark, d), "x", "y", "id", epochs=1, batch_size=1 << 30, lr=STEP_RATE)
+
+
+@query("train_one_step")
+def q_train_one_step(spark, d):
+    """One full-batch step from zero weights: the weighted mean of the partitions'
+    steps is the step over all rows, which SQL can sum."""
+    path = scratch_path(spark, "one_step")
+    TR.save_weights(spark, _full_batch(spark, d), path, epoch=1)
+    w = spark.read.parquet(path).select("cls", F.posexplode("weights").alias("pos", "w"))
+    return w.select("cls", "pos", F.round("w", 6).alias("w"))
+
+
+@query("reloaded_scores")
+def q_reloaded_scores(spark, d):
+    """Rows scored with weights that were saved and loaded again, by both forms of
+    scoring (in the plan, and broadcast)."""
+    path = scratch_path(spark, "reloaded")
+    TR.save_weights(spark, _full_batch(spark, d), path, epoch=1)
+    model = TR.load_weights(spark, path)
+    rows = _video_xy(spark, d).select("id", "x")
+    return rows.select("id", F.round(F.array_max(model.score_expr("x", spark)), 6).alias("inline"),
+                       F.round(F.array_max(model.score_expr("x", spark, inline=False)), 6).alias("broadcast"))
+
+
 @query("train_mlp")
 def q_train_mlp(spark, d):
+    """Fitted on the train rows, scored on the held-out ones."""
+    rows = P.split_holdout(_video_xy(spark, d), "id", DF.VALIDATION_RATIO, SEED)
     # one L-BFGS iteration is one pass over the data: the epoch budget of the source
-    model, data = TR.train_mlp(_video_xy(spark, d), "x", "y", [64, 32, K], max_iter=DF.EPOCHS)
-    pred = model.transform(data)
+    model, _ = TR.train_mlp(rows.where("split = 'train'"), "x", "y", [64, 32, K], max_iter=DF.EPOCHS)
+    pred = model.transform(TR.mlp_rows(rows.where("split = 'dev'"), "x", "y"))
     return pred.agg(F.count(F.lit(1)).alias("n"),
                     F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
 
@@ -781,6 +812,47 @@ def q_shard_conversion(spark, d):
                        dec_str("mean_rgb", 6).alias("mean_rgb"), ints_str("labels_hot").alias("hot"))
 
 
+FRAME_SCHEMA = TT.StructType([
+    TT.StructField("id", TT.LongType()), TT.StructField("rgb", TT.ArrayType(TT.BinaryType())),
+    TT.StructField("audio", TT.ArrayType(TT.BinaryType()))])
+FRAME_OUT = TT.StructType([
+    TT.StructField("id", TT.LongType()), TT.StructField("name", TT.StringType()), TT.StructField("n_steps", TT.LongType()),
+    TT.StructField("true_len", TT.IntegerType()), TT.StructField("rgb", TT.ArrayType(TT.ArrayType(TT.FloatType()))),
+    TT.StructField("audio", TT.ArrayType(TT.ArrayType(TT.FloatType())))])
+
+
+@query("frame_record_conversion")
+def q_frame_record_conversion(spark, d):
+    """Frame-level records end to end: byte steps written and read back, decoded,
+    records whose audio lost a step quarantined, the rest joined with the video
+    side, written as sequence records under each shard's own output name and read
+    from there."""
+    base = scratch_path(spark, "frame_records")
+
+    def byte(c):
+        return F.unhex(F.lpad(F.hex(c % 256), 2, "0"))
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    step = F.struct("ts", "event_id", F.concat(byte(F.col("event_id")), byte(F.floor("value")), byte(k)).alias("rgb"),
+                    byte(F.col("event_id") + k).alias("audio"))
+    seq = X.steps_source(spark, d).groupBy("id").agg(F.array_sort(F.collect_list(step)).alias("s"))   # one record holds a whole video
+    lost = F.when(F.col("id") % 11 == 0, 1).otherwise(0)
+    frames = seq.select(
+        "id", F.transform("s", lambda x: x["rgb"]).alias("rgb"),
+        F.slice(F.transform("s", lambda x: x["audio"]), F.lit(1), F.size("s") - lost).alias("audio"),
+        F.concat(F.lit("train"), F.lpad((F.col("id") % 4).cast("string"), 4, "0")).alias("shard"))
+    RC.write_records(frames, f"{base}/frames", "SequenceExample", ["rgb", "audio"], shards=_shards(spark), partition_by="shard", plain_names=True)
+    back = RC.read_good(RC.read_records(spark, f"{base}/frames", FRAME_SCHEMA, "SequenceExample", ["rgb", "audio"]))
+    good, bad = CV.convert_frame_records(back, X.fx_video_side(spark, d), t=T)
+    CV.write_by_shard(good.select("id", "name", "n_steps", "true_len", "rgb", "audio", "out_name"), f"{base}/converted", shards=_shards(spark))
+    out = RC.read_good(RC.read_records(spark, f"{base}/converted", FRAME_OUT, "SequenceExample"))
+    out = out.withColumn("out_name", RC.folder_name("_file")).select(
+        "id", "out_name", "name", "n_steps", "true_len", F.array_join(F.transform("rgb", ints_str), ";").alias("rgb"),
+        F.array_join(F.transform("audio", ints_str), ";").alias("audio"), F.lit(None).cast("string").alias("reason"))
+    nothing = [F.lit(None).cast(kind).alias(c) for c, kind in (("name", "string"), ("n_steps", "bigint"), ("true_len", "int"),
+                                                              ("rgb", "string"), ("audio", "string"))]
+    return out.unionByName(bad.select("id", "out_name", *nothing, "reason"))
+
+
 @query("video_train_eval")
 def q_video_train_eval(spark, d):
     """Train on video-level record shards, evaluate on the held-out shards."""

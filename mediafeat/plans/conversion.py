@@ -67,6 +67,35 @@ def convert(frames: DataFrame, video: DataFrame, *, order: list[str], rgb: Colum
     return encode_labels(fixed, vocab, k, "labels", "labels_hot").select(*TRAINING_COLUMNS)
 
 
+STEP_MISMATCH = "step count mismatch"
+
+
+def convert_frame_records(records: DataFrame, video: DataFrame, *, t: int = 10, id_col: str = "id", rgb: str = "rgb",
+                          audio: str = "audio", path_col: str = "_file") -> tuple[DataFrame, DataFrame]:
+    """(converted, quarantined) from decoded frame-level records whose steps are
+    byte vectors: rows whose modalities disagree on the number of steps (Q13) are set
+    aside with the reason, the steps become float vectors (F3), are cut or padded
+    to ``t`` (F7) and joined with the video side (J1).  ``out_name`` is the name
+    under which a row's shard is written (S16)."""
+    from mediafeat.functions.vectors import decode_u8_steps
+    from mediafeat.operators.sequences import step_count_mismatch
+    from mediafeat.sources.tables import output_names, quarantine
+    shard = F.regexp_extract(F.col(path_col), "/([^/]+)/[^/]+$", 1)
+    rows = output_names(records.withColumn("_shard", shard), "_shard").drop("_shard")
+    good, bad = quarantine(rows, [(STEP_MISMATCH, step_count_mismatch(rgb, audio))])
+    good = good.withColumn("n_steps", F.size(rgb).cast("bigint"))
+    good = good.withColumn(rgb, decode_u8_steps(F.slice(rgb, 1, t))).withColumn(audio, decode_u8_steps(F.slice(audio, 1, t)))
+    for c, keep in ((rgb, "true_len"), (audio, "_alen")):
+        zero = F.array_repeat(F.lit(0.0).cast("float"), F.size(F.element_at(c, 1)))
+        good = fix_length(good, c, t, short="pad", zero=zero, len_col=keep)
+    return frame_video_join(good.drop("_alen", path_col), video, id_col), bad
+
+
+def write_by_shard(df: DataFrame, path: str, name_col: str = "out_name", shards: int | None = None) -> None:
+    """Sequence records under one folder per output name."""
+    write_records(df, path, "SequenceExample", shards=shards, partition_by=name_col, plain_names=True)
+
+
 def write_converted(df: DataFrame, path: str, shards: int | None = None) -> None:
     """Sequence records, one directory per source shard (``shard=<name>``)."""
     write_records(df, path, "SequenceExample", shards=shards, partition_by="shard")

@@ -404,6 +404,30 @@ sql("shard_conversion",
     + d_nested_dec(f"list_concat(fa, list_transform(range({T} - len(fa)), lambda x: [0.0::DOUBLE]))")
     + " AS frame_audio, " + d_dec("mean_rgb", 6) + " AS mean_rgb, " + d_ints(HOT) + " AS hot FROM s, vocab")
 
+_XY = ("xy AS (SELECT id, list_concat(list_transform(list_concat(mean_rgb, mean_audio), lambda v: CAST(v AS DOUBLE)), [1.0::DOUBLE]) AS x, "
+       f"{POS} AS y FROM fx_video)")
+_W = ("w AS (SELECT c, j, -0.5::DOUBLE * avg((0.5::DOUBLE - y[c + 1]) * x[j + 1]) AS w FROM xy, "
+      f"(SELECT unnest(range({K})) AS c) a, (SELECT unnest(range(65)) AS j) b GROUP BY c, j)")
+sql("train_one_step", f"WITH {_XY}, {_W} SELECT CAST(c AS INTEGER) AS cls, CAST(j AS INTEGER) AS pos, round(w, 6) AS w FROM w")
+
+_TOP = ("round(max(1.0::DOUBLE / (1.0::DOUBLE + exp(-s))), 6)")
+sql("reloaded_scores",
+    f"WITH {_XY}, {_W}, s AS (SELECT id, c, sum(w * x[j + 1]) AS s FROM xy, w GROUP BY id, c) "
+    f"SELECT id, {_TOP} AS inline, {_TOP} AS broadcast FROM s GROUP BY id")
+
+_FST = ("st AS (SELECT user_id AS id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn, "
+        "concat(event_id % 256, ',', CAST(floor(value) AS BIGINT) % 256, ',', CAST(json_extract_string(props, '$.k') AS BIGINT) % 256) AS rgb, "
+        "CAST((event_id + CAST(json_extract_string(props, '$.k') AS BIGINT)) % 256 AS VARCHAR) AS audio FROM events), "
+        f"sq AS (SELECT id, count(*) AS n, list(rgb ORDER BY rn) FILTER (WHERE rn <= {T}) AS rgb, "
+        f"list(audio ORDER BY rn) FILTER (WHERE rn <= {T}) AS audio, "
+        "concat('train', lpad(CAST(id % 4 AS VARCHAR), 4, '0'), '" + CONVERTED_SUFFIX + "') AS out_name FROM st GROUP BY id)")
+sql("frame_record_conversion",
+    f"WITH {_FST} SELECT sq.id, out_name, v.name, n AS n_steps, CAST(len(rgb) AS INTEGER) AS true_len, "
+    f"array_to_string(list_concat(rgb, list_transform(range({T} - len(rgb)), lambda x: '0,0,0')), ';') AS rgb, "
+    f"array_to_string(list_concat(audio, list_transform(range({T} - len(audio)), lambda x: '0')), ';') AS audio, "
+    "CAST(NULL AS VARCHAR) AS reason FROM sq JOIN fx_video_side v ON v.id = sq.id WHERE sq.id % 11 <> 0 "
+    "UNION ALL SELECT id, out_name, NULL, NULL, NULL, NULL, NULL, 'step count mismatch' FROM sq WHERE id % 11 = 0")
+
 sql("quarantine_records",
     "WITH v AS (SELECT id, 'part' || CAST(CAST(id AS BIGINT) % 8 AS VARCHAR) AS shard FROM fx_video), "
     "bad AS (SELECT 'part0' AS shard, max(id) AS id, 'truncated record' AS reason FROM v WHERE shard = 'part0' "

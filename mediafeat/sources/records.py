@@ -378,6 +378,7 @@ def _register(spark: SparkSession) -> None:
             self.record_type = options.get("recordType", "Example")
             self.seq = set(filter(None, options.get("sequenceCols", "").split(",")))
             self.part_col = options.get("partitionCol") or None
+            self.plain = options.get("plainNames") == "true"
             self.schema = schema
             # the partition column names a directory and is not stored in the records
             self.rec_schema = T.StructType([f for f in schema.fields if f.name != self.part_col])
@@ -414,7 +415,7 @@ def _register(spark: SparkSession) -> None:
                         end += 1
                     if key != cur_key or size >= self.max_bytes:
                         close()
-                        d = root if self.part_col is None else f"{root}/{self.part_col}={partition_name(key)}"
+                        d = root if self.part_col is None else f"{root}/{'' if self.plain else self.part_col + '='}{partition_name(key)}"
                         fs.create_dir(d, recursive=True)
                         tmp = f"{d}/_tmp-{self.write_id}-{part:05d}-{attempt}-{uuid.uuid4().hex[:8]}"
                         final = f"{d}/part-{part:05d}-{len(written):03d}-{self.write_id}.tfrecord"
@@ -488,7 +489,8 @@ def _fs(path: str):
 
 def write_records(df: DataFrame, path: str, record_type: str = "Example", sequence_cols: list[str] | None = None,
                   mode: str = "overwrite", shards: int | None = None, partition_by: str | None = None,
-                  sort_by: list[str] | None = None, max_file_bytes: int = 512 << 20, tasks_per_value: int = 4) -> None:
+                  sort_by: list[str] | None = None, max_file_bytes: int = 512 << 20, tasks_per_value: int = 4,
+                  plain_names: bool = False) -> None:
     """Encode and write ``df`` as record shards.
 
     One file per partition; ``shards`` fixes the count with an explicit
@@ -500,7 +502,8 @@ def write_records(df: DataFrame, path: str, record_type: str = "Example", sequen
     inside each file.  With both ``shards`` and ``partition_by`` a value's rows go
     to up to ``tasks_per_value`` tasks (a file each), so that one value with a
     large share of the rows is not one task's work; 1 gives one file per value.
-    Files are closed at ``max_file_bytes``."""
+    Files are closed at ``max_file_bytes``.  ``plain_names``: a value's folder is
+    named by the value alone (output per shard under its own name, S16)."""
     from mediafeat.session import ship_package
     ship_package(df.sparkSession)
     _register(df.sparkSession)
@@ -515,7 +518,8 @@ def write_records(df: DataFrame, path: str, record_type: str = "Example", sequen
         df = df.sortWithinPartitions(*keys)
     (df.write.format(FORMAT).mode(mode).option("recordType", record_type)
        .option("sequenceCols", ",".join(sequence_cols or []))
-       .option("partitionCol", partition_by or "").option("maxFileBytes", str(max_file_bytes)).save(path))
+       .option("partitionCol", partition_by or "").option("maxFileBytes", str(max_file_bytes))
+       .option("plainNames", str(plain_names).lower()).save(path))
 
 
 def partition_value(path_col: str, name: str):
@@ -525,6 +529,11 @@ def partition_value(path_col: str, name: str):
     return F.when(raw != NULL_PARTITION, F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
 
 
+def folder_name(path_col: str):
+    """The last folder of a record file path, as written with ``plain_names``."""
+    return F.url_decode(F.replace(F.regexp_extract(F.col(path_col), "/([^/]+)/[^/]+$", 1), F.lit("+"), F.lit("%2B")))
+
+
 def damage_shards(path: str) -> list[str]:
     """Test helper: cut the last record of the first shard short and flip a
     payload byte of the first record of the second (through ``pyarrow.fs``,

@@ -32,3 +32,20 @@ def test_hot_group_with_one_leading_value_is_split(spark):
     t, hot = O.with_blocks(df, ["g"], ["ts", "tie"], hot_rows=500, blocks=8)
     per_block = [r["count"] for r in t.where("g = -1").groupBy("_blk").count().collect()]
     assert hot and len(per_block) >= 6 and max(per_block) < 3000 / 3
+
+
+def test_null_groups_and_text_keys_on_both_sides_of_the_threshold(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 != 0, F.col("id") % 5).alias("g"),
+        F.concat(F.lit("s"), F.lpad((F.col("id") * 7919 % 3000).cast("string"), 5, "0")).alias("o"), F.col("id").alias("tie"))
+    ref = df.select("tie", F.row_number().over(Window.partitionBy("g").orderBy("o", "tie")).alias("rn"))
+    for hot_rows in (10_000, 200):
+        got = number_rows(df, ["g"], ["o", "tie"], "rn", hot_rows=hot_rows, blocks=8).select("tie", "rn")
+        assert got.exceptAll(ref).count() == 0 and got.count() == 3000
+
+
+def test_null_order_keys_come_first_in_a_hot_group(spark):
+    df = spark.range(2000).select(F.lit(1).alias("g"), F.when(F.col("id") % 4 != 0, F.col("id")).alias("o"), F.col("id").alias("tie"))
+    ref = df.select("tie", F.row_number().over(Window.partitionBy("g").orderBy("o", "tie")).alias("rn"))
+    got = number_rows(df, ["g"], ["o", "tie"], "rn", hot_rows=100, blocks=8).select("tie", "rn")
+    assert got.exceptAll(ref).count() == 0 and got.count() == 2000

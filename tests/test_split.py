@@ -88,3 +88,17 @@ def test_reuse_checkpoints_only_large_inputs(spark):
     assert big is not df and big.count() == 1000
     assert "ExistingRDD" in big._jdf.queryExecution().optimizedPlan().toString() or \
         "LogicalRDD" in big._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_null_ids_are_train_and_many_rows_of_one_id_need_no_top_k(spark):
+    df = spark.createDataFrame([(None,)] * 5 + [("a",)] * 300 + [("b",)], "id string")
+    got = {(r["id"], r["split"]): r["count"] for r in P.split_holdout(df, "id", 0.2, 3).groupBy("id", "split").count().collect()}
+    assert got[(None, "train")] == 5 and sum(got.values()) == 306
+    keys = df.where("id = 'a'").withColumn("k", P.shuffle_key("id", 3))
+    assert P.kth_largest_key(keys, "k", 150, direct_limit=10) == keys.first()["k"]
+
+
+def test_limit_per_group_beyond_the_optimizers_threshold(spark):
+    df = spark.range(6000).select((F.col("id") % 2).alias("g"), F.col("id").alias("o"))
+    out = P.limit_per_group(df, "g", ["o"], 1500)
+    assert out.count() == 3000 and out.agg(F.max("o")).first()[0] == 2999
