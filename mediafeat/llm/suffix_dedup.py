@@ -344,16 +344,16 @@ def compared(base: DataFrame, doubtful: DataFrame, length: int, parts: int, piec
     return base.join(doubtful, ["kid", "tag"]).select("kid", "tag", "text", "starts", "ends").mapInArrow(run, OUT)
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
-    """kid, tag, text, starts, ends of every distinct document: runs [start, end) of
-    starts of strings that also start earlier (null where there is none)."""
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
+    """(kid, tag, text) of every document, and (kid, tag, starts, ends) of those with
+    repeats: runs [start, end) of starts of strings that also start earlier."""
     spark = docs.sparkSession
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = keyed(docs)
     found = scratch(scan(sampled(base, length, gram, parts, piece), parts, True), "repeats")
     again = scan(compared(base, gathered(found.where("kind = 2")), length, parts, piece), parts, False)
     marks = found.where("kind = 1").union(again)
-    return base.join(gathered(marks), ["kid", "tag"], "left").select("kid", "tag", "text", "starts", "ends")
+    return base, gathered(marks)
 
 
 def _spans(starts: bytes | None, ends: bytes | None, length: int) -> list[tuple[int, int]]:
@@ -393,7 +393,8 @@ def report(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(),) * 4 + (pa.string(),))] if rows else
                                              [pa.array([], t) for t in (pa.int64(),) * 4 + (pa.string(),)],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return repeats(docs, length, piece=piece).select("kid", "text", "starts", "ends").mapInArrow(
+    base, marks = repeats(docs, length, piece=piece)
+    return base.join(marks, ["kid", "tag"], "left").select("kid", "text", "starts", "ends").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -429,8 +430,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             rest = [b.column(i).filter(mask) for i in range(3, b.num_columns)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()).filter(mask), *rest], ["_clean", *b.schema.names[3:]])
 
-    marked = repeats(docs, length).where("starts is not null").select(
-        F.col("kid").alias("_kid"), F.xxhash64("text").alias("_t"), F.col("starts").alias("_s"), F.col("ends").alias("_e")).distinct()
+    base, marks = repeats(docs, length)
+    marked = scratch(base.select("kid", "tag", F.xxhash64("text").alias("_t")).distinct().join(marks, ["kid", "tag"]).select(
+        F.col("kid").alias("_kid"), "_t", F.col("starts").alias("_s"), F.col("ends").alias("_e")), "repeat-marks")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_kid"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"))
     joined = rows.join(marked, ["_kid", "_t"], "left").select(F.col("_row.text").alias("_x"), "_s", "_e", "_row")
