@@ -8,7 +8,9 @@ rest of the job sees the same value.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -69,6 +71,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             # a machine-local folder is not shared by executors on a cluster
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="mediafeat-ckpt-")
+        atexit.register(shutil.rmtree, root, True)     # private to this process
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     else:
@@ -80,9 +83,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_RUN = uuid.uuid4().hex[:12]
+_MADE: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/mediafeat/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder, in one folder per
+    driver process that :func:`clear_scratch` removes (also at the process's end)."""
+    folder = f"{checkpoint_root(spark)}/mediafeat/run-{_RUN}"
+    if folder not in _MADE:
+        _MADE[folder] = spark
+        atexit.register(clear_scratch)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch() -> None:
+    """Delete the scratch folders of this process; results that still read them are
+    no longer valid."""
+    for folder, spark in list(_MADE.items()):
+        try:
+            jvm = spark._jvm
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # the session has ended before the process
+            local = local_path(folder)
+            if local.startswith("/"):
+                shutil.rmtree(local, ignore_errors=True)
+        _MADE.pop(folder, None)
 
 
 def local_path(path: str) -> str:
