@@ -106,20 +106,21 @@ def grid_pairs_estimate(places: DataFrame, points: DataFrame, radius_m: float, l
 
 def radius_count(places: DataFrame, points: DataFrame, radius_m: float, cap: int | None = None,
                  lat: str = "lat", lng: str = "lng", out_col: str = "new_businesses",
-                 method: str = "auto", pair_budget: int | None = None) -> DataFrame:
+                 method: str = "auto", pair_budget: int | None = None, full_col: str | None = None) -> DataFrame:
     """Each place with the number of points within ``radius_m`` metres.
 
     ``method='auto'`` measures the grid join's candidate pairs first
     (:func:`grid_pairs_estimate`); within ``pair_budget`` (default
     ``PAIRS_PER_CORE`` x cluster parallelism) the grid join runs, beyond it the
     output-sensitive :func:`radius_count_adaptive` -- so a dense area never
-    turns into (places x points) pairs.  Both are exact.
+    turns into (places x points) pairs.  Both are exact.  With ``cap`` (a page
+    size), ``full_col`` keeps the whole count beside the capped one.
     """
     if method == "auto":
         budget = pair_budget or PAIRS_PER_CORE * places.sparkSession.sparkContext.defaultParallelism
         method = "grid" if grid_pairs_estimate(places, points, radius_m, lat, lng) <= budget else "adaptive"
     if method == "adaptive":
-        return radius_count_adaptive(places, points, radius_m, cap, lat, lng, out_col)
+        return radius_count_adaptive(places, points, radius_m, cap, lat, lng, out_col, full_col=full_col)
     grid = Grid(radius_m)
     pts = (points.where(F.col(lat).isNotNull() & F.col(lng).isNotNull())
                  .groupBy(F.col(lat).alias("_plat"), F.col(lng).alias("_plng"))
@@ -133,6 +134,7 @@ def radius_count(places: DataFrame, points: DataFrame, radius_m: float, cap: int
     counts = pairs.groupBy("_qlat", "_qlng").agg(F.sum("_w").alias("_n"))
     j = places.join(counts, (places[lat] == counts["_qlat"]) & (places[lng] == counts["_qlng"]), "left")
     n = F.coalesce(F.col("_n"), F.lit(0)).cast("bigint")
+    j = j.withColumn(full_col, n) if full_col else j
     if cap is not None:
         n = F.least(n, F.lit(cap).cast("bigint"))
     return j.withColumn(out_col, n).drop("_qlat", "_qlng", "_n")
@@ -292,7 +294,7 @@ def _classify(h: Hierarchy, j: int, qlat: Column, qlng: Column, b: Column, c: Co
 
 def radius_count_adaptive(places: DataFrame, points: DataFrame, radius_m: float, cap: int | None = None,
                           lat: str = "lat", lng: str = "lng", out_col: str = "new_businesses",
-                          levels: int = 8, pair_limit: int = 256) -> DataFrame:
+                          levels: int = 8, pair_limit: int = 256, full_col: str | None = None) -> DataFrame:
     """Exact count of points within ``radius_m`` of each place, output-sensitive
     on dense areas (J2, P4).
 
@@ -349,6 +351,7 @@ def radius_count_adaptive(places: DataFrame, points: DataFrame, radius_m: float,
     counts = total.groupBy("_qlat", "_qlng").agg(F.sum("_n").alias("_n"))
     j = places.join(counts, (places[lat] == counts["_qlat"]) & (places[lng] == counts["_qlng"]), "left")
     n = F.coalesce(F.col("_n"), F.lit(0)).cast("bigint")
+    j = j.withColumn(full_col, n) if full_col else j
     if cap is not None:
         n = F.least(n, F.lit(cap).cast("bigint"))
     return j.withColumn(out_col, n).drop("_qlat", "_qlng", "_n")

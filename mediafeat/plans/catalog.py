@@ -507,8 +507,8 @@ def _biz(spark, d):
 
 @query("geo_new_businesses")
 def q_geo_new_businesses(spark, d):
-    return G.radius_count(X.fx_places(spark, d), _biz(spark, d), DF.SEARCH_RADIUS_M, cap=DF.SEARCH_PAGE_SIZE).select(
-        "id", "lat", "lng", "new_businesses")
+    return G.radius_count(X.fx_places(spark, d), _biz(spark, d), DF.SEARCH_RADIUS_M, cap=DF.SEARCH_PAGE_SIZE,
+                          full_col="n_within").select("id", "lat", "lng", "new_businesses", "n_within")
 
 
 @query("business_search")
@@ -532,7 +532,7 @@ def q_keyed_lookup(spark, d):
 
 
 GEO_SCHEMA = StructType([StructField("id", LongType()), StructField("lat", DoubleType()),
-                         StructField("lng", DoubleType()), StructField("new_businesses", LongType())])
+                         StructField("lng", DoubleType()), StructField("new_businesses", LongType()), StructField("n_within", LongType())])
 
 
 @query("csv_roundtrip")

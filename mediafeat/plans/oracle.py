@@ -343,8 +343,8 @@ from mediafeat.functions.geo import haversine_sql  # noqa: E402
 
 _HAV = haversine_sql("p.lat", "p.lng", "b.lat", "b.lng")
 _BIZ = "b AS (SELECT * FROM fx_business WHERE term = 'food' AND attribute = 'hot_and_new')"
-GEO = (f"WITH {_BIZ} SELECT p.id, p.lat, p.lng, CAST(least(count(b.business_id), 50) AS BIGINT) AS new_businesses "
-       f"FROM fx_places p LEFT JOIN b ON {_HAV} <= 1000.0 GROUP BY p.id, p.lat, p.lng")
+GEO = (f"WITH {_BIZ} SELECT p.id, p.lat, p.lng, CAST(least(count(b.business_id), 50) AS BIGINT) AS new_businesses, "
+       f"count(b.business_id) AS n_within FROM fx_places p LEFT JOIN b ON {_HAV} <= 1000.0 GROUP BY p.id, p.lat, p.lng")
 sql("geo_new_businesses", GEO)
 sql("csv_roundtrip", GEO)
 
