@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = None        # a group above this many rows is split; None: from executor memory
 ROW_BYTES = 512        # working-set bytes assumed per row when deriving HOT_ROWS
 BLOCKS = 64            # sub-blocks per hot group
+MAX_HOT = 10_000       # groups whose cut points are broadcast; more are joined by a shuffle (AQE splits skew)
 SAMPLE = 4096          # expected values sampled per hot group for its cut points
 BLK = "_blk"
 
@@ -47,7 +48,7 @@ def hot_rows_for(spark) -> int:
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on ``keys`` with null equal to null; the keys come from the left side."""
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])   # hints stay
     on = None
     for k in keys:
         eq = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
@@ -55,6 +56,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _small(df: DataFrame, n: int) -> DataFrame:
+    """``df`` has a row for each of ``n`` counted groups: broadcast if they are few."""
+    return F.broadcast(df) if n <= MAX_HOT else df
+
+
 def _cuts(rows: DataFrame, hot: DataFrame, keys: list[str], key: str, order: list[str], blocks: int, out: str) -> DataFrame:
     """Cut points of ``key`` for each of the ``hot`` groups (with their size ``_n``)."""
     slot = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(1 << 30))
@@ -70,14 +76,15 @@ def with_blocks(df: DataFrame, group: list[str], order: list[str], hot_rows: int
     """Append ``_blk`` (0 for ordinary groups); returns (frame, any_hot)."""
     hot_rows = hot_rows or hot_rows_for(df.sparkSession)
     hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if not n_hot:
         return df.withColumn(BLK, F.lit(0)), False
 
     def block(cuts: str, key: str) -> Column:
         return F.when(F.col(cuts).isNull() | F.col(key).isNull(), F.lit(0)).otherwise(
             F.size(F.filter(cuts, lambda c: c <= F.col(key))))
     lead = order[0]
-    out = null_safe_join(df, _cuts(df, hot, group, lead, order, blocks, "_cuts"), group, "left")
+    out = null_safe_join(df, _small(_cuts(df, _small(hot, n_hot), group, lead, order, blocks, "_cuts"), n_hot), group, "left")
     out = out.withColumn(BLK, block("_cuts", lead)).drop("_cuts")
     if len(order) < 2:
         return out, True
@@ -87,10 +94,11 @@ def with_blocks(df: DataFrame, group: list[str], order: list[str], hot_rows: int
                                          F.count(lead).alias("_set"))
             .where((F.col("_n") > hot_rows) & (((F.col("_lo") == F.col("_hi")) & (F.col("_set") == F.col("_n"))) | (F.col("_set") == 0)))
             .select(*group, BLK, "_n"))
-    if flat.isEmpty():
+    n_flat = flat.count()
+    if not n_flat:
         return out, True
     keys = [*group, BLK]
-    out = null_safe_join(out, _cuts(out, flat, keys, order[1], order, blocks, "_cuts2"), keys, "left")
+    out = null_safe_join(out, _small(_cuts(out, _small(flat, n_flat), keys, order[1], order, blocks, "_cuts2"), n_flat), keys, "left")
     return out.withColumn(BLK, F.col(BLK) * F.lit(blocks) + block("_cuts2", order[1])).drop("_cuts2"), True
 
 
