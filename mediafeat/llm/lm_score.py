@@ -37,7 +37,7 @@ GRID = 64             # steps of an estimate's logarithm in the estimation histo
 STEP = 0.5            # of a step, in natural logarithms
 SLICES = 8            # the histogram travels in so many pieces
 ROUNDS = 50           # of expectation-maximisation
-BLOCK_BYTES = 6 << 20     # of input files that make a block
+BLOCK_BYTES = 4 << 20     # of input files that make a block
 END, START = U(0x51ED270B76F9A4D3), U(0x2545F4914F6CDD1D)
 REPLY = "blk long, part int, single binary, double binary, tokens long, kinds long"
 
