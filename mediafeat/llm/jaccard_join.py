@@ -255,6 +255,15 @@ def _apart(sa: np.ndarray, sb: np.ndarray) -> np.ndarray:
     return np.abs(sa.astype(np.int16) - sb).sum(1)
 
 
+def _apart_at(sig: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The same for pairs of rows of ``sig``, some thousands at a time."""
+    out = np.empty(len(left), np.int64)
+    for s in range(0, len(left), 1 << 13):
+        x = slice(s, s + (1 << 13))
+        out[x] = _apart(sig[left[x]], sig[right[x]])
+    return out
+
+
 def _across(open_lists: DataFrame, num: int, den: int, parts: int, nearest: bool) -> DataFrame:
     """Pairs (a, b) of one list and of two components that may link; with
     ``nearest`` only each node's likeliest partner in the list.  A pair that
@@ -293,9 +302,9 @@ def _across(open_lists: DataFrame, num: int, den: int, parts: int, nearest: bool
             need = -(-num * (na + nb) // (num + den))
             ok = (1 + np.minimum(na - ia - 1, nb - ib - 1) >= need) & (ia + ib <= na + nb - 2 * need)
             left, right, room = left[ok], right[ok], (na + nb - 2 * need)[ok]
-            ok = _apart(coarse[left], coarse[right]) <= room
+            ok = _apart_at(coarse, left, right) <= room
             left, right, room = left[ok], right[ok], room[ok]
-            apart = _apart(sig[left], sig[right])
+            apart = _apart_at(sig, left, right)
             ok = apart <= room
             left, right, apart = left[ok], right[ok], apart[ok]
             if nearest:
