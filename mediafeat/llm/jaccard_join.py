@@ -382,8 +382,8 @@ def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) ->
         lists = _open_lists(lists, comps)
         rest = _across(lists, num, den, parts, nearest).distinct().join(pairs, ["a", "b"], "left_anti")
         near = scratch(suffix_filter(rest, nodes, num, den), "near")
-        if near.isEmpty():
-            break
+        if near.isEmpty():      # no new likely pair: others may still link
+            continue
         more = scratch(verify(near, docs, n, num, den), "links")
         comps = components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
         pairs = pairs.union(near.select("a", "b"))
