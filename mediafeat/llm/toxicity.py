@@ -3,14 +3,15 @@ isotonic regression.
 
 The lexicon is learned: stems (the first 4 to 7 letters of a word, case folded and
 common look-alike characters undone) that are far more frequent in toxic training
-documents than in others.  Features of a whole text: counts and densities of lexicon words, how many
+documents than in others; their document counts come from every labelled training
+row.  Features of a whole text: counts and densities of lexicon words, how many
 stand within three words of a second-person pronoun, shares of capitals and
 shouted words, punctuation and exclamation rates, and rates of obfuscated words
 (symbols or digits inside a word, letters set apart).
 
-The lexicon and the trees are fitted on a bounded sample of labelled rows (about
-``MAX_ROWS``, chosen by a hash of the id), the isotonic map on a part of it that the
-trees have not seen.
+The trees are fitted on a bounded sample of labelled rows (about ``MAX_ROWS``,
+chosen by a hash of the id), the isotonic map on a part of it that the trees have not
+seen.
 
 Nulls: a null text counts as empty, and an empty text is scored like any other; a
 null label or id teaches nothing.  With labels of fewer than two kinds every score is
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 
 from mediafeat.llm.common import fold, let, scratch, text_of
 
-MAX_ROWS = 20_000         # labelled rows the model is fitted on
+MAX_ROWS = 20_000         # labelled rows the trees are fitted on
+NARROW = 1 << 20          # labelled rows up to which their ids are broadcast; above, texts are joined by shuffle
 LEXICON = 400             # stems at most
 STEMS = (4, 5, 6, 7)
 MIN_ODDS, STRONG = 1.5, 4.0   # log odds of a mild and of a strong stem
@@ -141,10 +143,10 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, m
     n = marked.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).first()
     if not n.n or not n.t or n.t == n.n:
         return Scorer({}, prior=(n.t or 0) / max(n.n, 1))
+    lexicon = learn_lexicon(docs.join(F.broadcast(marked) if n.n <= NARROW else marked, "doc_id"))
     slot = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1 << 20))
     chosen = marked.where(slot < int(min(1.0, max_rows / n.n) * (1 << 20)))
     sample = scratch(docs.join(F.broadcast(chosen), "doc_id"), "tox-texts")      # about max_rows ids and labels
-    lexicon = learn_lexicon(sample)
     rows = features(sample.select("doc_id", "text", "toxic"), lexicon).select("toxic", "tox_x", (F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(4)) == 0).alias("late"))
     rows = scratch(rows, "tox-sample").coalesce(4)
     seen = rows.groupBy("late").agg(F.min("toxic").alias("a"), F.max("toxic").alias("b")).collect()

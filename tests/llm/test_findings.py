@@ -7,7 +7,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 
-from mediafeat.llm import jaccard_join
+from mediafeat.llm import jaccard_join, toxicity
 from mediafeat.llm import kernels as K
 
 
@@ -40,3 +40,15 @@ def test_jaccard_pairs_behind_likelier_ones_are_compared(spark):
     got = {r.doc_id: r.component_id for r in jaccard_join.link_classes(
         spark.createDataFrame(rows, "doc_id long, text string"), 1, 80, 100).collect()}
     assert got == {i: i for i, _ in rows} | {3: 1}
+
+
+def test_toxic_stems_are_counted_over_all_labelled_rows(spark):
+    def text(i):
+        insult = "grobzak" if i % 200 == 0 else "dummkopf"      # the first in 20 texts of 4,000
+        return f"some plain words number {i} " + (f"you {insult} go away" if i % 20 == 0 else "and nothing else here")
+    docs = spark.createDataFrame([(i, text(i)) for i in range(4000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(4000)], "doc_id long, toxic int")
+    lexicon = toxicity.fit(docs, labels, max_rows=400).lexicon
+    assert {"dumm", "grob", "grobzak"} <= lexicon.keys()
+    whole = toxicity.fit(docs, labels).lexicon
+    assert lexicon == whole
