@@ -164,6 +164,7 @@ class Family:
                 losers.append(_take(b, wins))
                 for k in ("kid", "tag", "lo"):
                     level[k][j[wins]] = a[k][wins]
+                level["many"][j] |= a["many"]
                 run = _take(run, ~hit)
         if len(run["full"]):
             self.levels.append(run)
@@ -179,11 +180,13 @@ def _full(e):
 
 
 def _blobs(e, parts: int):
-    """A sorted run cut by key range, packed."""
+    """A sorted run cut by key range, packed; the lowest bit of ``n`` marks the entry
+    that a crowded gram leaves in its run."""
     import pyarrow as pa
     e = _take(e, np.lexsort((e["ctx"], e["key"])))
     edge = np.searchsorted(e["key"], np.array([(p << 64) // parts for p in range(parts)], U)).tolist() + [len(e["key"])]
     rows = [(p, a, b) for p, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
+    e["n"] = 2 * e["n"] + e["many"]
     cols = [pa.array([p for p, _, _ in rows], pa.int32())]
     for name in ("key", "ctx", "kid", "tag", "lo", "n"):
         cols.append(pa.array([K.pack(e[name][a:b].astype(np.int64).view(U) if name == "kid" else e[name][a:b], name == "key")
@@ -214,6 +217,7 @@ def _emit(parts: int, runs_of, crowd: int | None):
     def flush(entries):
         e, late = _firsts(_full(_join(entries)))
         yield marks(1, late)
+        e["many"] = np.zeros(len(e["key"]), bool)
         if crowd:
             order = np.argsort(e["key"], kind="stable")
             e = _take(e, order)
@@ -221,6 +225,7 @@ def _emit(parts: int, runs_of, crowd: int | None):
             count = np.diff(np.concatenate([begin, [len(e["key"])]]))
             many = np.repeat(count > crowd, count)
             yield marks(2, _take(e, many))
+            e["many"] = many.copy()
             many[begin] = False          # one entry of a crowded gram still tells the others
             e = _take(e, ~many)
         yield runs(_blobs(e, parts))
@@ -254,8 +259,8 @@ def sampled(base: DataFrame, length: int, gram: int, parts: int, piece: int) ->
 
 def scan(runs: DataFrame, parts: int, compare: bool) -> DataFrame:
     """The repeats (kind 1) among all runs and, with ``compare``, the entries whose
-    first bytes occur with several surroundings (kind 2); what the tasks that made
-    the runs knew already passes through."""
+    first bytes occur with several surroundings or were crowded in a run (kind 2);
+    what the tasks that made the runs knew already passes through."""
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -268,7 +273,7 @@ def scan(runs: DataFrame, parts: int, compare: bool) -> DataFrame:
             for row in zip(*(b.column(i).to_pylist() for i in range(2, 8))):
                 key, ctx, kid, tag, lo, n = (K.unpack(x) for x in row)
                 yield _rows(1, family.add(_full({"key": key, "ctx": ctx, "kid": kid.view(np.int64), "tag": tag.astype(np.int64),
-                                                 "lo": lo.astype(np.int64), "n": n.astype(np.int64)})))
+                                                 "lo": lo.astype(np.int64), "n": (n >> U(1)).astype(np.int64), "many": (n & U(1)).astype(bool)})))
         if compare and family.levels:
             e = _join(family.levels)
             e = _take(e, np.argsort(e["key"], kind="stable"))
@@ -276,6 +281,8 @@ def scan(runs: DataFrame, parts: int, compare: bool) -> DataFrame:
             several = np.zeros(len(e["key"]), bool)
             several[1:] |= same
             several[:-1] |= same
+            # the others of a crowded gram are compared string by string: so is what is left of it
+            several |= np.isin(e["key"], e["key"][e["many"]])
             yield _rows(2, _take(e, several))
     return runs.repartition(parts, "part").mapInArrow(run, MARK)
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 
 import numpy as np
 import pyarrow as pa
 
-from mediafeat.llm import jaccard_join, toxicity
+from mediafeat.llm import jaccard_join, suffix_dedup, toxicity
 from mediafeat.llm import kernels as K
 
 
@@ -52,3 +53,30 @@ def test_toxic_stems_are_counted_over_all_labelled_rows(spark):
     assert {"dumm", "grob", "grobzak"} <= lexicon.keys()
     whole = toxicity.fit(docs, labels).lexicon
     assert lexicon == whole
+
+
+def test_suffix_strings_of_a_crowded_gram_meet_those_of_other_tasks(spark, monkeypatch):
+    """Four surroundings of one passage in a task, the last of them also, earlier, in another task."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", 2)
+    r = np.random.default_rng(5)
+
+    def some(n):
+        return "".join(r.choice(list("abcdefghijklmnopqrstuvwxyz "), n).tolist())
+    early, crowd = [], []
+    for g in range(24):
+        passage = some(140)
+        texts = [some(200) + passage + some(200) for _ in range(4)]
+        early.append((g, some(150) + texts[3][60:480] + some(150)))
+        crowd += [(100 + 10 * g + k, t) for k, t in enumerate(texts)]
+    two = spark.createDataFrame(spark.sparkContext.parallelize([early, crowd], 2).flatMap(lambda x: x), "doc_id long, text string")
+    got = {x.doc_id: (x.n_removed, x.kept_sha256) for x in suffix_dedup.report(two).collect()}
+    seen, want = set(), {}
+    for i, text in early + crowd:
+        gone = np.zeros(len(text), bool)
+        for at in range(len(text) - 99):
+            if text[at:at + 100] in seen:
+                gone[at:at + 100] = True
+            seen.add(text[at:at + 100])
+        kept = "".join(c for c, x in zip(text, gone) if not x)
+        want[i] = (int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest())
+    assert got == want
