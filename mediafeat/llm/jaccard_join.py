@@ -36,6 +36,10 @@ TABLE_BITS = 20       # hashed document-frequency counters: 2**20, whatever the
 SLICES = 16           # the counter table travels in so many pieces
 SIGNATURE = 256       # bins of a set's signature
 FLUSH = 1 << 21       # postings a task gathers before it emits them
+MOST = 1 << 16        # documents of a shingle from which on its list meets in several pieces
+BLOCK = 1 << 13       # entries of a list from which on its pairs are formed by pairs of blocks
+ROWS = 1 << 16        # entries a task gathers before it forms pairs
+LIST = (1 << 48) - 1  # the bits of a meeting key that name the list
 
 
 def _sets(data, bounds, n):
@@ -112,7 +116,19 @@ def frequency_classes(counters: DataFrame) -> np.ndarray:
     return out
 
 
-def postings(docs: DataFrame, classes, n: int, num: int, den: int, parts: int) -> DataFrame:
+def _meeting_keys(u: np.ndarray, rarity: np.ndarray, fp: int, most: int) -> np.ndarray:
+    """Where the postings of a set meet.  The low 48 bits name the list, the lowest
+    one says whether it meets in pieces; then the top bits differ from piece to piece."""
+    h = K.mix(u) & ~U(1)
+    pieces = np.ceil(2.0 ** ((rarity.astype(float) + 1) / 2) / most).astype(U)     # of so many documents at most
+    many = pieces > 1
+    if many.any():
+        piece = K.mix(h[many] ^ U(fp & K.MASK)) % pieces[many]
+        h[many] = ((h[many] & U(LIST)) | (K.mix(h[many] + piece * U(K.COEF[2])) & ~U(LIST))) | U(1)
+    return h
+
+
+def postings(docs: DataFrame, classes, n: int, num: int, den: int, parts: int, most: int = MOST) -> DataFrame:
     """The rarest shingles of every set, as packed arrays per task and part."""
     def run(batches):
         import pyarrow as pa
@@ -140,9 +156,10 @@ def postings(docs: DataFrame, classes, n: int, num: int, den: int, parts: int) -
                     continue
                 seen.add(fp)
                 first = m - (-(-num * m // den)) + 1
-                u = u[np.argsort(table[(u & U((1 << TABLE_BITS) - 1)).astype(np.int64)], kind="stable")[:first]]
+                rarity = table[(u & U((1 << TABLE_BITS) - 1)).astype(np.int64)]
+                order = np.argsort(rarity, kind="stable")[:first]
                 # meet by a mixed key: the parts are even whatever the hashes' order
-                hs.append(K.mix(u))
+                hs.append(_meeting_keys(u[order], rarity[order], fp, most))
                 fps.append(np.full(first, fp, np.int64))
                 ns.append(np.full(first, m, np.int64))
                 ps.append(np.arange(first))
@@ -175,7 +192,8 @@ def _unique_pairs(a, b):
 
 def meet(posts: DataFrame, num: int, den: int, parts: int) -> DataFrame:
     """kind 0: pairs (a, b) of a list's smallest node and of neighbours with each
-    node; kind 1: the lists of three nodes or more, for the second round."""
+    node; kind 1: the lists of three nodes or more, and all pieces of lists, for the
+    second round."""
     def run(batches):
         import pyarrow as pa
         cols: list[list] = [[], [], [], []]
@@ -190,7 +208,7 @@ def meet(posts: DataFrame, num: int, den: int, parts: int) -> DataFrame:
         order = np.argsort(h, kind="stable")
         h, fp, size, pos = h[order], fp[order], size[order], pos[order]
         same = h[1:] == h[:-1]
-        shared = np.zeros(len(h), bool)
+        shared = (h & U(1)).astype(bool)
         shared[1:] |= same
         shared[:-1] |= same
         h, fp, size, pos = h[shared], fp[shared], size[shared], pos[shared]
@@ -217,13 +235,13 @@ def meet(posts: DataFrame, num: int, den: int, parts: int) -> DataFrame:
             m = len(a[x])
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, np.int32)), pa.array(a[x]), pa.array(b[x]), pa.nulls(m, pa.int64()),
                                               *[pa.nulls(m, pa.binary())] * 3], names)
-        big = np.flatnonzero(count >= 3)
+        big = np.flatnonzero((count >= 3) | (h[begin] & U(1)).astype(bool))
         for s in range(0, len(big), 4096):
             rows = [(begin[k], begin[k] + count[k]) for k in big[s:s + 4096]]
             m = len(rows)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                 pa.array(np.array([h[x] for x, _ in rows], U).view(np.int64)),
+                 pa.array((np.array([h[x] for x, _ in rows], U) & U(LIST)).view(np.int64)),
                  *[pa.array([v[x:y].astype(np.int64).tobytes() for x, y in rows], pa.binary()) for v in (fp, size, pos)]], names)
     return posts.repartition(parts, "part").mapInArrow(
         run, "kind int, a long, b long, h long, fps binary, sizes binary, spots binary")
@@ -242,12 +260,28 @@ def _members(lists: DataFrame) -> DataFrame:
     return lists.select("h", "fps", "sizes", "spots").mapInArrow(rows, "h long, fp long, size long, pos long")
 
 
-def _open_lists(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """The entries of lists that span several components, with their ``root``."""
-    named = members.drop("root").join(comps.select(F.col("node").alias("fp"), "root"), "fp", "left")
+def _open_lists(members: DataFrame, comps: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
+    """The entries of lists that span several components, with their ``root`` and
+    the ``blocks`` of the list.  The strict positional filter allows a pair only if
+    its ``excess`` values sum to 0 or less: an entry above that with the list's
+    smallest can link with none in this list."""
+    named = members.drop("root", "blocks").join(comps.select(F.col("node").alias("fp"), "root"), "fp", "left")
     named = scratch(named.withColumn("root", F.coalesce("root", "fp")), "lists")
-    several = named.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("h")
-    return named.join(several, "h", "left_semi")
+    excess = (num + den) * F.col("pos") - (den - num) * F.col("size")
+    several = (named.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(excess).alias("least"), F.count(F.lit(1)).alias("m"))
+               .where("lo != hi and least <= 0").select("h", "least", F.ceil(F.col("m") / block).cast("int").alias("blocks")))
+    return named.join(several, "h").where(excess + F.col("least") <= 0).drop("least")
+
+
+def _units(open_lists: DataFrame) -> DataFrame:
+    """Lists as units of work: short ones whole, of others every pair of blocks
+    (``side`` 0: any two entries pair, else only those of different sides)."""
+    own = F.pmod(F.xxhash64(F.lit(11), "fp"), F.col("blocks")).cast("int")
+    rows = open_lists.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    lower = F.least("own", "other")
+    unit = F.when(F.col("blocks") == 1, F.col("h")).otherwise(F.xxhash64("h", lower, F.greatest("own", "other")))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") == lower, 1).otherwise(2)
+    return rows.select(unit.alias("h"), "fp", "size", "pos", "root", side.alias("side"), "sig")
 
 
 def _apart(sa: np.ndarray, sb: np.ndarray) -> np.ndarray:
@@ -270,17 +304,25 @@ def _across(open_lists: DataFrame, num: int, den: int, parts: int, nearest: bool
     links has a first common shingle: all earlier ones differ, so its list is the
     one where the strict positional filter holds; the suffix filter comes at once."""
     def run(batches):
-        import pyarrow as pa
-        cols = [[] for _ in range(6)]
+        held, n = [], 0
         for b in batches:
-            for i in range(5):
-                cols[i].append(b.column(i).to_numpy(zero_copy_only=False))
-            cols[5].append(np.frombuffer(b"".join(b.column(5).to_pylist()), np.uint8).reshape(-1, SIGNATURE))
-        if not cols[0]:
-            return
-        h, fp, size, pos, root, sig = (np.concatenate(c) for c in cols)
-        order = np.lexsort((size, h))
-        h, fp, size, pos, root, sig = h[order], fp[order], size[order], pos[order], root[order], sig[order]
+            held.append([*(b.column(i).to_numpy(zero_copy_only=False) for i in range(6)),
+                         np.frombuffer(b"".join(b.column(6).to_pylist()), np.uint8).reshape(-1, SIGNATURE)])
+            n += b.num_rows
+            if n < ROWS:
+                continue
+            cols = [np.concatenate(c) for c in zip(*held)]
+            cut = int(np.argmax(cols[0] == cols[0][-1]))      # units come one after the other: the last may go on
+            held, n = [[c[cut:].copy() for c in cols]], n - cut
+            if cut:
+                yield from pairs([c[:cut] for c in cols])
+        if n:
+            yield from pairs([np.concatenate(c) for c in zip(*held)])
+
+    def pairs(cols):
+        import pyarrow as pa
+        order = np.lexsort((cols[2], cols[0]))
+        h, fp, size, pos, root, side, sig = (c[order] for c in cols)
         coarse = sig.reshape(len(sig), 32, -1).sum(2, dtype=np.int16)
         # sizes rise within a list: the length filter ends each row's range
         end = np.searchsorted(h, h, "right")
@@ -296,7 +338,7 @@ def _across(open_lists: DataFrame, num: int, den: int, parts: int, nearest: bool
             left = np.repeat(np.arange(i, k), span[i:k])
             right = left + 1 + np.arange(len(left)) - np.repeat(done[i:k] - done[i], span[i:k])
             i = k
-            ok = root[left] != root[right]
+            ok = (root[left] != root[right]) & ((side[left] == 0) | (side[left] != side[right]))
             left, right = left[ok], right[ok]
             na, nb, ia, ib = size[left], size[right], pos[left], pos[right]
             need = -(-num * (na + nb) // (num + den))
@@ -316,7 +358,7 @@ def _across(open_lists: DataFrame, num: int, den: int, parts: int, nearest: bool
                 out = _unique_pairs(np.concatenate([out[0], fp[left]]), np.concatenate([out[1], fp[right]]))
         if len(out[0]):
             yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
-    return open_lists.select("h", "fp", "size", "pos", "root", "sig").repartition(parts, "h").mapInArrow(run, "a long, b long")
+    return _units(open_lists).repartition(parts, "h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
 
 
 def suffix_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -362,7 +404,7 @@ def verify(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> Dat
             .mapInArrow(run, "a long, b long").distinct())
 
 
-def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, most: int = MOST, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every row: classes of documents whose
     ``n``-word shingle sets link at a Jaccard similarity of ``num / den`` or more."""
     spark = docs.sparkSession
@@ -372,14 +414,14 @@ def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) ->
     nodes = scratch(rows.where("fp is not null and doc_id is not null").groupBy("fp").agg(
         F.min("doc_id").alias("doc"), F.first("size").alias("size"), F.first("sig").alias("sig")), "nodes")
     classes = spark.sparkContext.broadcast(frequency_classes(both.where("kind = 1")))     # 2**20 bytes
-    met = scratch(meet(postings(docs, classes, n, num, den, parts), num, den, parts), "met")
+    met = scratch(meet(postings(docs, classes, n, num, den, parts, most), num, den, parts), "met")
     pairs = scratch(met.where("kind = 0").select("a", "b").distinct(), "pairs")
     near = scratch(suffix_filter(pairs, nodes, num, den), "near")
     links = scratch(verify(near, docs, n, num, den), "links")
     comps = components(links)
-    lists = _open_lists(_members(met.where("kind = 1")), comps).drop("root").join(nodes.select("fp", "sig"), "fp")
+    lists = _open_lists(_members(met.where("kind = 1")), comps, num, den, block).join(nodes.select("fp", "sig"), "fp")
     for nearest in (True, False):       # likely partners first: they leave few components to compare
-        lists = _open_lists(lists, comps)
+        lists = _open_lists(lists, comps, num, den, block)
         rest = _across(lists, num, den, parts, nearest).distinct().join(pairs, ["a", "b"], "left_anti")
         near = scratch(suffix_filter(rest, nodes, num, den), "near")
         if near.isEmpty():      # no new likely pair: others may still link

@@ -80,3 +80,28 @@ def test_suffix_strings_of_a_crowded_gram_meet_those_of_other_tasks(spark, monke
         kept = "".join(c for c, x in zip(text, gone) if not x)
         want[i] = (int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest())
     assert got == want
+
+
+def test_jaccard_lists_in_pieces_and_blocks(spark):
+    r = np.random.default_rng(3)
+    page = [f"t{i}" for i in range(270)]
+    sets = [page + [f"p{g}o{k}" for k in range(30)] for g in range(40)]      # 0.82 alike: no link
+    sets += [page[:200] + [f"c{r.integers(60)}" for _ in range(20)] for _ in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(sets)], "doc_id long, text string").repartition(4)
+    sets = [set(x) for x in sets]
+    lowest = list(range(len(sets)))
+    links = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+    for small in ({}, {"most": 8, "block": 8}):
+        got = {x.doc_id: x.component_id for x in jaccard_join.link_classes(docs, 1, 85, 100, **small).collect()}
+        assert got == dict(enumerate(lowest))
+
+
+def test_jaccard_entries_too_late_in_their_sets_leave_a_list(spark):
+    none = spark.createDataFrame([], "node long, root long")
+    late = spark.createDataFrame([(1, fp, 300, 30) for fp in range(50)] + [(2, fp, 300, 5) for fp in range(20)],
+                                 "h long, fp long, size long, pos long")
+    got = jaccard_join._open_lists(late, none, 85, 100, 8).collect()
+    assert {(x.h, x.blocks) for x in got} == {(2, 3)} and len(got) == 20
