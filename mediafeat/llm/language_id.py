@@ -40,7 +40,7 @@ SLICES = 8
 
 @functools.lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x10000)])
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def _grams(texts: list[str]):
@@ -49,8 +49,7 @@ def _grams(texts: list[str]):
     bounds = np.concatenate([[0], np.cumsum(sizes * GRAMS)])
     c = np.frombuffer((" " + "  ".join(texts) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
     at = np.concatenate([[0], np.cumsum(sizes)])
-    table = _letters()
-    letter = np.where(c < 0x10000, table[np.minimum(c, 0xFFFF)], True)
+    letter = _letters()[c]
     c = np.where(letter, c, np.uint32(32)).astype(np.uint32)
     letters = np.add.reduceat(letter.astype(np.int64), at[:-1]) if len(texts) else np.zeros(0, np.int64)
     out = np.empty((len(c), GRAMS), np.int32)

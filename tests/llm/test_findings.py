@@ -8,7 +8,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 
-from mediafeat.llm import jaccard_join, suffix_dedup, toxicity
+from mediafeat.llm import jaccard_join, language_id, suffix_dedup, toxicity
 from mediafeat.llm import kernels as K
 
 
@@ -105,3 +105,8 @@ def test_jaccard_entries_too_late_in_their_sets_leave_a_list(spark):
                                  "h long, fp long, size long, pos long")
     got = jaccard_join._open_lists(late, none, 85, 100, 8).collect()
     assert {(x.h, x.blocks) for x in got} == {(2, 3)} and len(got) == 20
+
+
+def test_language_letters_beyond_the_first_plane():
+    _, _, letters = language_id._grams(["\U0001F600 12 \U0001F680!", "\U00020000\U0001F600", "ab"])
+    assert letters.tolist() == [0, 1, 2]
