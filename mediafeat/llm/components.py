@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mediafeat.llm import kernels as K
 from mediafeat.llm.common import scratch
 
 BATCH = 1 << 20      # links that a task contracts at a time
@@ -57,7 +58,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     """(node, root) of every node that has a link to another one; root is the
     smallest node of its component."""
     e = links.where(F.col(a) != F.col(b)).select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
-    e = scratch(e.mapInArrow(_contract, "u long, v long").distinct(), "links")     # u > v from here on
+    e = scratch(e.mapInArrow(K.lean(_contract), "u long, v long").distinct(), "links")     # u > v from here on
     for _ in range(max_rounds):
         # stars: a node has one link down, or only links from above
         ends = e.select(F.col("u").alias("n"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(

@@ -31,6 +31,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mediafeat.llm import kernels as K
 from mediafeat.llm.common import WORD, scratch
 from mediafeat.operators.ordering import number_rows
 
@@ -258,8 +259,8 @@ def _ends(ids: DataFrame) -> DataFrame:
             yield out([(now, h.hexdigest())])
     n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = (ids.repartitionByRange(n, "key", "conv_id").sortWithinPartitions("key", "conv_id")
-            .mapInArrow(pieces, "key string, start long, piece string"))
-    return held.repartition("key").sortWithinPartitions("key", "start").mapInArrow(digest, "key string, ends_sha256 string")
+            .mapInArrow(K.lean(pieces), "key string, start long, piece string"))
+    return held.repartition("key").sortWithinPartitions("key", "start").mapInArrow(K.lean(digest), "key string, ends_sha256 string")
 
 
 def trie(conversations: tuple[DataFrame, DataFrame], shard: int = SHARD, fan: int = FAN) -> DataFrame:
@@ -285,7 +286,7 @@ def trie(conversations: tuple[DataFrame, DataFrame], shard: int = SHARD, fan: in
     shards = int(seqs.agg(F.sum(F.size("turns") + 1)).first()[0] or 0) // shard + 1
 
     grown = seqs.select("turns", "words", "key", "n_end", "n_on", "low").repartitionByRange(shards, "turns").sortWithinPartitions("turns")
-    level = scratch(grown.mapInArrow(_grow, NODES), "shards")
+    level = scratch(grown.mapInArrow(K.lean(_grow), NODES), "shards")
     shards = (level.agg(F.max("shard")).first()[0] or 0) + 1
     final = level.where("kind = 0")
     while True:

@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mediafeat.llm import kernels as K
 from mediafeat.llm.common import scratch
 
 ANCHORS, ROWS = 256, 1024            # rows of an anchor tile and of a candidate tile
@@ -117,7 +118,7 @@ def tiles(rows: DataFrame, size: int) -> DataFrame:
                     held, n = ([(ids[size:], labels[size:], m[size:])] if n > size else []), n - size
         if n:
             yield out(*joined())
-    return rows.select("id", "label", "x").mapInArrow(run, TILE)
+    return rows.select("id", "label", "x").mapInArrow(K.lean(run), TILE)
 
 
 def _unpack(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,7 +217,7 @@ def best(anchors: DataFrame, candidates: DataFrame, groups: tuple[int, int], kee
         return t.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
     units = dealt(anchors, True).unionByName(dealt(candidates, False), allowMissingColumns=True)
     return (units.repartition(groups[0] * groups[1], "ag", "cg").sortWithinPartitions("ag", "cg", F.desc("anchor"), "tile")
-            .mapInArrow(run, "tile long, row int, slot int, anchor_id long, own long, score long, id long"))
+            .mapInArrow(K.lean(run), "tile long, row int, slot int, anchor_id long, own long, score long, id long"))
 
 
 def _first(heaps: DataFrame, keep: int) -> DataFrame:

@@ -124,7 +124,7 @@ def profile(docs: DataFrame, n: int) -> DataFrame:
             regs += _blobs(held)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.array(regs, pa.binary())],
                                              ["doc_id", "size", "fp", "regs"])
-    return text_of(docs).mapInArrow(run, "doc_id long, size long, fp long, regs binary")
+    return text_of(docs).mapInArrow(K.lean(run), "doc_id long, size long, fp long, regs binary")
 
 
 def _blobs(sets: list[np.ndarray]) -> list[bytes | None]:
@@ -173,7 +173,7 @@ def candidates(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFr
     x, y = (nodes.select(F.col("fp").alias(s), F.col("size").alias(f"n{s}"), F.col("regs").alias(f"r{s}"), F.col("doc").alias(f"doc_{s}"))
             for s in "ab")
     return (pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "ra", "rb", "doc_a", "doc_b")
-            .mapInArrow(run, "a long, b long, doc_a long, doc_b long"))
+            .mapInArrow(K.lean(run), "a long, b long, doc_a long, doc_b long"))
 
 
 def _ordered(x: str, y: str) -> list:

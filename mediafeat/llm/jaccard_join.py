@@ -91,7 +91,7 @@ def profile(docs: DataFrame, n: int) -> DataFrame:
                 [pa.array([1] * SLICES, pa.int32()), pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int64()),
                  pa.nulls(SLICES, pa.int64()), pa.array([K.pack(p) for p in parts], pa.binary()),
                  pa.array(range(SLICES), pa.int32())], ["kind", "doc_id", "size", "fp", "blob", "slice"])
-    return text_of(docs).mapInArrow(run, "kind int, doc_id long, size long, fp long, blob binary, slice int")
+    return text_of(docs).mapInArrow(K.lean(run), "kind int, doc_id long, size long, fp long, blob binary, slice int")
 
 
 def frequency_classes(counters: DataFrame) -> np.ndarray:
@@ -108,7 +108,7 @@ def frequency_classes(counters: DataFrame) -> np.ndarray:
                 [pa.array(list(sums), pa.int32()),
                  pa.array([np.floor(2 * np.log2(v.astype(float) + 1)).astype(np.uint8).tobytes() for v in sums.values()], pa.binary())],
                 ["slice", "classes"])
-    rows = counters.select("slice", "blob").repartition(SLICES, "slice").mapInArrow(total, "slice int, classes binary").collect()
+    rows = counters.select("slice", "blob").repartition(SLICES, "slice").mapInArrow(K.lean(total), "slice int, classes binary").collect()
     out = np.zeros(1 << TABLE_BITS, np.uint8)
     step = len(out) // SLICES
     for r in rows:
@@ -169,7 +169,7 @@ def postings(docs: DataFrame, classes, n: int, num: int, den: int, parts: int, m
                     hs, fps, ns, ps, held = [], [], [], [], 0
         if held:
             yield emit()
-    return text_of(docs).where("doc_id is not null").mapInArrow(run, "part int, h binary, fp binary, size binary, pos binary")
+    return text_of(docs).where("doc_id is not null").mapInArrow(K.lean(run), "part int, h binary, fp binary, size binary, pos binary")
 
 
 def _pass(na, nb, ia, ib, num, den):
@@ -244,7 +244,7 @@ def meet(posts: DataFrame, num: int, den: int, parts: int) -> DataFrame:
                  pa.array((np.array([h[x] for x, _ in rows], U) & U(LIST)).view(np.int64)),
                  *[pa.array([v[x:y].astype(np.int64).tobytes() for x, y in rows], pa.binary()) for v in (fp, size, pos)]], names)
     return posts.repartition(parts, "part").mapInArrow(
-        run, "kind int, a long, b long, h long, fps binary, sizes binary, spots binary")
+        K.lean(run), "kind int, a long, b long, h long, fps binary, sizes binary, spots binary")
 
 
 def _members(lists: DataFrame) -> DataFrame:
@@ -257,7 +257,7 @@ def _members(lists: DataFrame) -> DataFrame:
             h = np.repeat(b.column(0).to_numpy(zero_copy_only=False), n)
             for s in range(0, len(h), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(c[s:s + (1 << 16)]) for c in (h, fp, size, pos)], ["h", "fp", "size", "pos"])
-    return lists.select("h", "fps", "sizes", "spots").mapInArrow(rows, "h long, fp long, size long, pos long")
+    return lists.select("h", "fps", "sizes", "spots").mapInArrow(K.lean(rows), "h long, fp long, size long, pos long")
 
 
 def _open_lists(members: DataFrame, comps: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
@@ -358,7 +358,7 @@ def _across(open_lists: DataFrame, num: int, den: int, parts: int, nearest: bool
                 out = _unique_pairs(np.concatenate([out[0], fp[left]]), np.concatenate([out[1], fp[right]]))
         if len(out[0]):
             yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
-    return _units(open_lists).repartition(parts, "h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
+    return _units(open_lists).repartition(parts, "h").sortWithinPartitions("h").mapInArrow(K.lean(run), "a long, b long")
 
 
 def suffix_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -375,7 +375,7 @@ def suffix_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> Dat
     x = nodes.select(F.col("fp").alias("a"), F.col("size").alias("na"), F.col("sig").alias("sa"), F.col("doc").alias("doc_a"))
     y = nodes.select(F.col("fp").alias("b"), F.col("size").alias("nb"), F.col("sig").alias("sb"), F.col("doc").alias("doc_b"))
     return (pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "sa", "sb", "doc_a", "doc_b")
-            .mapInArrow(run, "a long, b long, doc_a long, doc_b long"))
+            .mapInArrow(K.lean(run), "a long, b long, doc_a long, doc_b long"))
 
 
 def verify(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -401,7 +401,7 @@ def verify(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> Dat
     x = texts.select(F.col("doc_id").alias("doc_a"), F.col("text").alias("text_a"))
     y = texts.select(F.col("doc_id").alias("doc_b"), F.col("text").alias("text_b"))
     return (pairs.join(x, "doc_a").join(y, "doc_b").select("a", "b", "text_a", "text_b")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(K.lean(run), "a long, b long").distinct())
 
 
 def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, most: int = MOST, block: int = BLOCK) -> DataFrame:

@@ -22,6 +22,30 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def lean(run):
+    """``run`` over batches, after which its worker gives freed memory back to the
+    system: a worker lives on, beside those of the next stages."""
+    @functools.wraps(run)
+    def out(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+    return out
+
+
+def _give_back() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc alone has it
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> U(30))

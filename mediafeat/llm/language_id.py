@@ -103,7 +103,7 @@ def document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([K.pack(x[0]) for x in sums.values()], pa.binary()),
                                               pa.array([x[1] for x in sums.values()], pa.int64())], ["slice", "df", "n"])
     schema = "slice int, df binary, n long"
-    rows = training.select("text").mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(total, schema).collect()
+    rows = training.select("text").mapInArrow(K.lean(count), schema).repartition(SLICES, "slice").mapInArrow(K.lean(total), schema).collect()
     df = np.zeros(DIMS, np.int64)
     for r in rows:
         df[r["slice"] * (DIMS // SLICES):(r["slice"] + 1) * (DIMS // SLICES)] = K.unpack(r["df"])
@@ -207,8 +207,8 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         scores = np.array([x @ w[c] for c, x, _ in held]).reshape(len(held), len(languages))
         heat = temperature(scores, np.array([y for *_, y in held], np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([w.astype(np.float32).tobytes()], pa.binary()), pa.array([heat])], ["w", "heat"])
-    row = (sample.select("doc_id", "text", "lang").mapInArrow(vectors, "doc_id long, lang string, col binary, tf binary, letters long")
-           .repartition(1).mapInArrow(learn, "w binary, heat double").first())     # the bounded sample
+    row = (sample.select("doc_id", "text", "lang").mapInArrow(K.lean(vectors), "doc_id long, lang string, col binary, tf binary, letters long")
+           .repartition(1).mapInArrow(K.lean(learn), "w binary, heat double").first())     # the bounded sample
     w = np.frombuffer(row.w, np.float32).reshape(DIMS + 1, len(languages))
     folded = np.ascontiguousarray((w[:DIMS] * (idf * SCALE)[:, None]).T.astype(np.float32))
     return Model(languages, folded, w[DIMS].astype(float), row.heat)
@@ -231,4 +231,4 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
             lang, p = shared.value.predict([t or "" for t in b.column(2).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(p, pa.float64())],
                                              ["doc_id", "held_out", "lang_pred", "score"])
-    return base.select("doc_id", "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return base.select("doc_id", "held_out", "text").mapInArrow(K.lean(run), "doc_id long, held_out boolean, lang_pred string, score double")

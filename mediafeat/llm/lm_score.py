@@ -139,7 +139,7 @@ def replies(asked: DataFrame, parts: int) -> DataFrame:
                  pa.array([K.pack(dc[to] if len(d) else to)], pa.binary()), pa.array([tokens if x == 0 else 0], pa.int64()),
                  pa.array([kinds if x == 0 else 0], pa.int64())], ["blk", "part", "single", "double", "tokens", "kinds"])
     return (asked.select("blk", "part", "s", "sc", "d", "dc").repartition(parts, "part")
-            .mapInArrow(answer, REPLY))
+            .mapInArrow(K.lean(answer), REPLY))
 
 
 def _bucket(c: np.ndarray) -> np.ndarray:
@@ -201,7 +201,7 @@ def histogram(blocks: DataFrame, answered: DataFrame) -> DataFrame:
         if len(k):
             yield rows(pa.RecordBatch, k, sums[k])
     return (blocks.groupBy("blk").cogroup(answered.groupBy("blk")).applyInArrow(count, schema)
-            .repartition(SLICES, "slice").mapInArrow(total, schema))
+            .repartition(SLICES, "slice").mapInArrow(K.lean(total), schema))
 
 
 def pa_ints(values):
@@ -258,7 +258,7 @@ def learned(cells: DataFrame) -> DataFrame:
                     for k, n in zip(K.unpack(x["cell"]).tolist(), K.unpack(x["n"]).tolist()):
                         found[k] = found.get(k, 0) + n
         yield pa.RecordBatch.from_arrays([pa.array([mixture(found).tobytes()], pa.binary())], ["weights"])
-    return cells.agg(F.collect_list(F.struct("cell", "n")).alias("cells")).mapInArrow(fit, "weights binary")
+    return cells.agg(F.collect_list(F.struct("cell", "n")).alias("cells")).mapInArrow(K.lean(fit), "weights binary")
 
 
 def scores(blocks: DataFrame, answered: DataFrame) -> DataFrame:

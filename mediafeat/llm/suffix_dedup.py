@@ -254,7 +254,7 @@ def sampled(base: DataFrame, length: int, gram: int, parts: int, piece: int) ->
                         yield {"key": K.mix(key), "ctx": ctx, "kid": kid[i + doc], "tag": tag[i + doc].astype(np.int64),
                                "lo": lo - b[doc] + shift, "n": n}
         yield from _emit(parts, entries(), CROWD)
-    return base.select("kid", "tag", "text").mapInArrow(run, OUT)
+    return base.select("kid", "tag", "text").mapInArrow(K.lean(run), OUT)
 
 
 def scan(runs: DataFrame, parts: int, compare: bool) -> DataFrame:
@@ -284,7 +284,7 @@ def scan(runs: DataFrame, parts: int, compare: bool) -> DataFrame:
             # the others of a crowded gram are compared string by string: so is what is left of it
             several |= np.isin(e["key"], e["key"][e["many"]])
             yield _rows(2, _take(e, several))
-    return runs.repartition(parts, "part").mapInArrow(run, MARK)
+    return runs.repartition(parts, "part").mapInArrow(K.lean(run), MARK)
 
 
 def gathered(marks: DataFrame) -> DataFrame:
@@ -318,7 +318,7 @@ def gathered(marks: DataFrame) -> DataFrame:
                 [pa.array(kid[at[s:s + 4096]]), pa.array(tag[at[s:s + 4096]].astype(np.int32)),
                  pa.array([starts[edge[x]:edge[x + 1]].tobytes() for x in k], pa.binary()),
                  pa.array([ends[edge[x]:edge[x + 1]].tobytes() for x in k], pa.binary())], ["kid", "tag", "starts", "ends"])
-    return marks.select("kid", "tag", "lo", "hi").repartition("kid", "tag").mapInArrow(run, "kid long, tag int, starts binary, ends binary")
+    return marks.select("kid", "tag", "lo", "hi").repartition("kid", "tag").mapInArrow(K.lean(run), "kid long, tag int, starts binary, ends binary")
 
 
 def compared(base: DataFrame, doubtful: DataFrame, length: int, parts: int, piece: int) -> DataFrame:
@@ -348,7 +348,7 @@ def compared(base: DataFrame, doubtful: DataFrame, length: int, parts: int, piec
                         yield {"key": h[y], "ctx": np.zeros(len(h[y]), U), "kid": kid[who[y]], "tag": tag[who[y]].astype(np.int64),
                                "lo": s[y] + shift, "n": np.ones(len(h[y]), np.int64)}
         yield from _emit(parts, entries(), None)
-    return base.join(doubtful, ["kid", "tag"]).select("kid", "tag", "text", "starts", "ends").mapInArrow(run, OUT)
+    return base.join(doubtful, ["kid", "tag"]).select("kid", "tag", "text", "starts", "ends").mapInArrow(K.lean(run), OUT)
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
@@ -402,7 +402,7 @@ def report(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) -> DataFra
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     base, marks = repeats(docs, length, piece=piece)
     return base.join(marks, ["kid", "tag"], "left").select("kid", "text", "starts", "ends").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        K.lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _whole_chars(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -443,7 +443,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_kid"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"))
     joined = rows.join(marked, ["_kid", "_t"], "left").select(F.col("_row.text").alias("_x"), "_s", "_e", "_row")
-    clean = joined.where("_s is not null").mapInArrow(run, T.StructType([T.StructField("_clean", T.StringType()), rows.schema["_row"]]))
+    clean = joined.where("_s is not null").mapInArrow(K.lean(run), T.StructType([T.StructField("_clean", T.StringType()), rows.schema["_row"]]))
     new = {"text": F.col("_clean")} | ({"n_chars": F.length("_clean").cast(docs.schema["n_chars"].dataType)} if "n_chars" in cols else {})
     return joined.where("_s is null").select("_row.*").unionByName(
         clean.select(*[new.get(c, F.col("_row").getField(c)).alias(c) for c in cols]))
