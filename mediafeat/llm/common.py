@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 #: a word: a run of characters other than the six ASCII blanks
 WORD = r"[^\x20\x09-\x0D]+"
+PART_BYTES = 8 << 20      # of input for each part that a task takes in whole
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,15 +35,39 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def scratch(df: DataFrame, name: str) -> DataFrame:
+def scratch(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     """Write ``df`` under the session's shared checkpoint folder and read it back:
-    cuts the lineage, and the rows survive the loss of executors."""
+    cuts the lineage, and the rows survive the loss of executors.
+
+    A table made of little input is written in few files: a task for each
+    ``PART_BYTES`` that the plan reads, and for each core two at least.  ``wide`` keeps
+    the partitions, for rows that carry the number of theirs."""
     from mediafeat.session import scratch_path
     path = scratch_path(df.sparkSession, f"llm-{name}")
+    if not wide:
+        df = df.coalesce(min(1 << 30, max(2 * df.sparkSession.sparkContext.defaultParallelism, _read_bytes(df) // PART_BYTES)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _read_bytes(df: DataFrame) -> int:
+    """The size of the files that a plan reads (without an estimate: very large)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def input_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of the rows' size (file sizes for a scan)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def part_count(docs: DataFrame) -> int:
+    """Parts for tables that tasks take in whole: they grow with the input."""
+    size = input_bytes(docs)
+    known = size if size < 1 << 60 else 0          # a table that no file stands behind has no estimate
+    return max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), known // PART_BYTES)
+
+
+def by_part(df: DataFrame, parts: int) -> DataFrame:
+    """A task for each ``part``, 0 to ``parts`` - 1: a hash would put several in one."""
+    return df.repartitionById(parts, "part")

@@ -286,7 +286,7 @@ def trie(conversations: tuple[DataFrame, DataFrame], shard: int = SHARD, fan: in
     shards = int(seqs.agg(F.sum(F.size("turns") + 1)).first()[0] or 0) // shard + 1
 
     grown = seqs.select("turns", "words", "key", "n_end", "n_on", "low").repartitionByRange(shards, "turns").sortWithinPartitions("turns")
-    level = scratch(grown.mapInArrow(K.lean(_grow), NODES), "shards")
+    level = scratch(grown.mapInArrow(K.lean(_grow), NODES), "shards", wide=True)
     shards = (level.agg(F.max("shard")).first()[0] or 0) + 1
     final = level.where("kind = 0")
     while True:

@@ -234,9 +234,9 @@ def mine(rows: DataFrame, every: int = 100, size: tuple[int, int] = (ANCHORS, RO
     ``NEGATIVES`` negatives."""
     rows = rows.where("id is not null and label is not null and x is not null")
     chosen = rows.where(F.col("id") % every == 0 if is_anchor is None else is_anchor)
-    candidates = scratch(tiles(rows, size[1]), "candidate-tiles")
+    candidates = scratch(tiles(rows, size[1]), "candidate-tiles", wide=True)
     n = max(1, chosen.count())
-    anchors = scratch(tiles(chosen.repartition(-(-n // (4 * size[0]))), size[0]), "anchor-tiles")
+    anchors = scratch(tiles(chosen.repartition(-(-n // (4 * size[0]))), size[0]), "anchor-tiles", wide=True)
     count = [t.agg(F.count(F.lit(1))).first()[0] for t in (anchors, candidates)]
     groups = tuple(max(1, -(-c // p)) for c, p in zip(count, per_unit))
 

@@ -10,15 +10,16 @@
    agree in one share a bucket.  At a Jaccard similarity of 0.8 a pair shares no
    bucket of 32 bands of 4 with a probability of 5e-8.
 3. *Rounds.*  Every member of a bucket is compared with the one of the smallest id.
-   Once components are known, only buckets that still span several go on: of those
-   with up to ``FEW`` members every pair across components is compared, larger
-   ones are cut by the agreement in a further band (any later one; a linking pair has
-   about 13 of them) and take the next round.  A bucket that has no bands left is cut
-   into blocks, each pair of which is compared.  No list of members is ever gathered.
+   Once components are known, only buckets that still span several go on: the members
+   outside the largest component meet all others, by blocks of ``BLOCK`` on either
+   side, a block against a block being one task's unit.  Buckets that would take more
+   than ``WORK`` comparisons are first cut by the agreement in a further band (any
+   later one; a linking pair has about 13 of them) and take the next round; those that
+   have no band left are compared as they are.  No list of members is ever gathered.
 4. *Estimate, then verification.*  The share of agreeing registers, corrected for
    the chance agreements expected of sets of these sizes, estimates J; pairs six
-   standard deviations below the threshold go.  The rest is decided once per pair on
-   the full sets of the whole texts.
+   standard deviations below the threshold go.  The rest is decided on the full sets
+   of the whole texts.
 
 Null or empty texts, and texts without words, have an empty set and link with
 nothing.  A null id takes no part in links, its component is null, and it is kept.
@@ -43,7 +44,8 @@ REGISTERS = 128
 TOP = 7                  # bits of a hash that choose the register
 MANTISSA = 10            # bits kept after the first one
 BANDS, ROWS = 32, 4
-FEW = 64                 # members of a bucket up to which its pairs are formed directly
+WORK = 1 << 22           # comparisons in a bucket from which on it is cut by a further band
+BLOCK = 512              # members of either side of a unit
 SIGMAS = 6               # standard deviations that an estimate may fall short
 
 
@@ -142,23 +144,134 @@ def band_members(nodes: DataFrame) -> DataFrame:
             .select(_band_key(F.col("regs"), F.col("band")).alias("key"), "fp", "doc", "band"))
 
 
-def _cut(heavy: DataFrame, nodes: DataFrame, few: int) -> DataFrame:
-    """Members (key, fp, doc, band, n) of large buckets by their agreement in a later
-    band; without a later band, in blocks, every two of which meet."""
-    banded = (heavy.where(F.col("band") < BANDS - 1).join(nodes.select("fp", "regs"), "fp")
-              .withColumn("band", F.explode(F.sequence(F.col("band") + 1, F.lit(BANDS - 1))))
-              .select(_band_key(F.col("regs"), F.col("band"), F.col("key")).alias("key"), "fp", "doc", "band"))
-    own, blocks = F.pmod(F.xxhash64(F.lit(13), "fp"), F.col("blocks")), F.ceil(2 * F.col("n") / few).cast("int")
-    blocked = (heavy.where(F.col("band") == BANDS - 1).withColumn("blocks", blocks).withColumn("own", own)
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-               .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "fp", "doc", F.lit(BANDS).alias("band")))
-    return banded.union(blocked)
+def _cut(heavy: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members (key, fp, doc, band) of large buckets by their agreement in a later band."""
+    return (heavy.join(nodes.select("fp", "regs"), "fp").withColumn("band", F.explode(F.sequence(F.col("band") + 1, F.lit(BANDS - 1))))
+            .select(_band_key(F.col("regs"), F.col("band"), F.col("key")).alias("key"), "fp", "doc", "band"))
+
+
+def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members of buckets in which some pair across components may not have been
+    compared, with their ``root``, whether they are ``out`` of the bucket's largest
+    component, the bucket's members ``n`` and how many of them are out, ``n_out``."""
+    named = members.join(comps.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    per = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    # of two members one is the hub: compared
+    span = (per.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("main"))
+            .where("n > 2 and main.c < n").select("key", "n", F.col("main.root").alias("main"), (F.col("n") - F.col("main.c")).alias("n_out")))
+    return named.join(span, "key").select("key", "fp", "doc", "band", "root", "n", "n_out", (F.col("root") != F.col("main")).alias("out"))
+
+
+def _units(open_: DataFrame, block: int) -> DataFrame:
+    """Every block of a bucket's outsiders (``side`` 0) with every block of its members
+    (``side`` 1): unit, side, out, fp, root, doc."""
+    outs, alls = (F.greatest(F.ceil(F.col(c) / block), F.lit(1)).cast("int") for c in ("n_out", "n"))
+
+    def dealt(rows, side, own, other):
+        at = F.pmod(F.xxhash64(F.lit(17), "fp"), own).cast("int")
+        rows = rows.withColumn("there", F.explode(F.sequence(F.lit(0), other - 1))).withColumn("here", at)
+        pair = ("here", "there") if side == 0 else ("there", "here")
+        return rows.select(F.xxhash64("key", *pair).alias("unit"), F.lit(side).alias("side"), "out", "fp", "root", "doc")
+    return dealt(open_.where("out"), 0, outs, alls).union(dealt(open_, 1, alls, outs))
+
+
+def _by_unit(batches):
+    """The rows of one unit after the other, as tables."""
+    import pyarrow as pa
+    held, now = [], None
+    for b in batches:
+        unit = b.column(0).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(unit[1:] != unit[:-1]) + 1).tolist(), len(unit)]
+        for s, e in zip(cuts, cuts[1:]):
+            if e == s:
+                continue
+            if held and unit[s] != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = unit[s]
+            held.append(b.slice(s, e - s))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _sides(t):
+    """(outsiders, members): positions in the table, fingerprints, roots, outsiders or not."""
+    side, out, fp, root = (t.column(i).to_numpy() for i in (1, 2, 3, 4))
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    return left, right, fp, root, out.astype(bool)
+
+
+def _may_pair(i, right, fp, root, out):
+    """Members that outsider ``i`` is compared with: of another component, and two
+    outsiders once."""
+    return (root[right] != root[i]) & (~out[right] | (fp[i] < fp[right]))
+
+
+def likely(units: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of ``units`` that have a partner in theirs by the estimate."""
+    floor = _floor(num, den)
+
+    def run(batches):
+        import pyarrow as pa
+        for t in _by_unit(batches):
+            left, right, fp, root, out = _sides(t)
+            size = t.column("size").to_numpy()
+            regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            keep = np.zeros(t.num_rows, bool)
+            for i in left.tolist():
+                at = right[_may_pair(i, right, fp, root, out)]
+                at = at[np.minimum(size[at], size[i]) * den >= np.maximum(size[at], size[i]) * num]
+                if len(at):
+                    near = at[estimate(regs[at], regs[i][None], size[at], np.full(len(at), size[i])) >= floor]
+                    keep[near] = True
+                    keep[i] |= len(near) > 0
+            if keep.any():
+                yield from t.select(["unit", "side", "out", "fp", "root", "doc"]).filter(pa.array(keep)).to_batches()
+    rows = units.join(nodes.select("fp", "size", "regs"), "fp").select("unit", "side", "out", "fp", "root", "doc", "size", "regs")
+    return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(
+        K.lean(run), "unit long, side int, out boolean, fp long, root long, doc long")
+
+
+def confirmed(units: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) between the outsiders and the members of units, on the full sets of
+    the whole texts."""
+    def run(batches):
+        import pyarrow as pa
+        for t in _by_unit(batches):
+            left, right, fp, root, out = _sides(t)
+            sets = [u for _, u in _sets(*K.texts(t.column("text")), n)]
+            sound = np.array([bool(len(u)) and _fingerprint(u) == f for u, f in zip(sets, fp.tolist())])      # else another row of a repeated id
+            left, right = left[sound[left]], right[sound[right]]
+            if not len(left) or not len(right):
+                continue
+            size = np.array([len(u) for u in sets])
+            place = np.unique(np.concatenate([sets[i] for i in right.tolist()]), return_inverse=True)
+            known, at = place[0], place[1]
+            begin = np.cumsum(size[right]) - size[right]
+            a, b = [], []
+            for i in left.tolist():
+                where, there = K.lookup(known, sets[i])
+                mark = np.zeros(len(known), np.int64)
+                mark[where[there]] = 1
+                both = np.add.reduceat(mark[at], begin)
+                ok = right[_may_pair(i, right, fp, root, out) & (den * both >= num * (size[right] + size[i] - both))]
+                a += [int(fp[i])] * len(ok)
+                b += fp[ok].tolist()
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    texts = text_of(docs).select(F.col("doc_id").alias("doc"), "text")
+    rows = units.join(texts, "doc").select("unit", "side", "out", "fp", "root", "text")
+    return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(K.lean(run), "a long, b long")
+
+
+def _floor(num: int, den: int) -> float:
+    t = num / den
+    return t - SIGMAS * (t * (1 - t) / REGISTERS) ** 0.5
 
 
 def candidates(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b, doc_a, doc_b) of pairs whose estimate does not rule the threshold out."""
-    t = num / den
-    floor = t - SIGMAS * (t * (1 - t) / REGISTERS) ** 0.5
+    floor = _floor(num, den)
 
     def run(batches):
         import pyarrow as pa
@@ -180,7 +293,7 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def classes(docs: DataFrame, n: int = 4, num: int = 80, den: int = 100, few: int = FEW) -> DataFrame:
+def classes(docs: DataFrame, n: int = 4, num: int = 80, den: int = 100, work: int = WORK, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row: documents whose ``n``-word
     shingle sets link at a Jaccard similarity of ``num / den`` or more."""
     rows = scratch(profile(docs, n), "registers")
@@ -189,32 +302,26 @@ def classes(docs: DataFrame, n: int = 4, num: int = 80, den: int = 100, few: int
     comps = nodes.sparkSession.createDataFrame([], "node long, root long")
     tested = nodes.sparkSession.createDataFrame([], "a long, b long")
 
-    def compare(pairs: DataFrame) -> None:
-        nonlocal comps, tested
-        near = scratch(candidates(pairs.distinct().join(tested, ["a", "b"], "left_anti"), nodes, num, den), "register-near")
-        if near.isEmpty():
-            return
-        links = verify(near, docs, n, num, den)
-        comps = scratch(components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "register-components")
-        tested = tested.union(near.select("a", "b"))
+    def linked(more: DataFrame) -> DataFrame:
+        return scratch(components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)), "register-components")
 
     members = band_members(nodes)
     while True:
         members = scratch(members, "bands")
         hubs = members.groupBy("key").agg(F.min(F.struct("doc", "fp")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        compare(members.join(hubs.select("key", F.col("hub.fp").alias("hub")), "key").where("fp <> hub").select(*_ordered("fp", "hub")))
-        named = members.join(comps.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-        span = (named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
-                .where("lo <> hi").select("key", "n"))
-        open_ = scratch(named.join(span, "key"), "open-bands")
-        final = F.col("band") == BANDS            # blocks that have no band left meet as they are
-        few_ = open_.where((F.col("n") <= few) | final).select("key", "fp", "root")
-        compare(few_.join(few_.select("key", F.col("fp").alias("other"), F.col("root").alias("beyond")), "key")
-                .where("fp < other and root <> beyond").select(*_ordered("fp", "other")))
-        heavy = open_.where((F.col("n") > few) & ~final)
+        pairs = members.join(hubs.select("key", F.col("hub.fp").alias("hub")), "key").where("fp <> hub").select(
+            F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
+        near = scratch(candidates(pairs.join(tested, ["a", "b"], "left_anti"), nodes, num, den), "register-near")
+        comps = linked(verify(near, docs, n, num, den))
+        tested = tested.union(near.select("a", "b"))
+        open_ = scratch(_open(members, comps), "open-bands")
+        direct = (F.col("n") * F.col("n_out") <= work) | (F.col("band") == BANDS - 1)
+        found = scratch(likely(_units(open_.where(direct), block), nodes, num, den), "register-units")
+        comps = linked(confirmed(found, docs, n, num, den))
+        heavy = open_.where(~direct)
         if heavy.isEmpty():
             break
-        members = _cut(heavy.drop("root"), nodes, few)
+        members = _cut(heavy, nodes)
     smallest = (nodes.select("fp", "doc").join(comps.select(F.col("node").alias("fp"), "root"), "fp")
                 .groupBy("root").agg(F.min("doc").alias("component_id")))
     named = comps.join(smallest, "root").select(F.col("node").alias("fp"), "component_id")

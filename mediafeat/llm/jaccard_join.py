@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediafeat.llm import kernels as K
-from mediafeat.llm.common import scratch, text_of
+from mediafeat.llm.common import by_part, part_count, scratch, text_of
 from mediafeat.llm.components import components
 
 U = np.uint64
@@ -243,7 +243,7 @@ def meet(posts: DataFrame, num: int, den: int, parts: int) -> DataFrame:
                 [pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
                  pa.array((np.array([h[x] for x, _ in rows], U) & U(LIST)).view(np.int64)),
                  *[pa.array([v[x:y].astype(np.int64).tobytes() for x, y in rows], pa.binary()) for v in (fp, size, pos)]], names)
-    return posts.repartition(parts, "part").mapInArrow(
+    return by_part(posts, parts).mapInArrow(
         K.lean(run), "kind int, a long, b long, h long, fps binary, sizes binary, spots binary")
 
 
@@ -408,7 +408,7 @@ def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, mos
     """doc_id, n_shingles, component_id of every row: classes of documents whose
     ``n``-word shingle sets link at a Jaccard similarity of ``num / den`` or more."""
     spark = docs.sparkSession
-    parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = part_count(docs)
     both = scratch(profile(docs, n), "profile")
     rows = both.where("kind = 0").select("doc_id", "size", "fp", F.col("blob").alias("sig"))
     nodes = scratch(rows.where("fp is not null and doc_id is not null").groupBy("fp").agg(

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediafeat.llm import kernels as K
-from mediafeat.llm.common import fold, input_bytes, text_of
+from mediafeat.llm.common import by_part, fold, input_bytes, text_of
 
 U = np.uint64
 BUCKETS = 24          # of context counts: 0, 1, 2-3, 4-7, ...
@@ -138,7 +138,7 @@ def replies(asked: DataFrame, parts: int) -> DataFrame:
                 [pa.array([blk], pa.int64()), pa.array([part], pa.int32()), pa.array([K.pack(sc[at] if len(s) else at)], pa.binary()),
                  pa.array([K.pack(dc[to] if len(d) else to)], pa.binary()), pa.array([tokens if x == 0 else 0], pa.int64()),
                  pa.array([kinds if x == 0 else 0], pa.int64())], ["blk", "part", "single", "double", "tokens", "kinds"])
-    return (asked.select("blk", "part", "s", "sc", "d", "dc").repartition(parts, "part")
+    return (by_part(asked.select("blk", "part", "s", "sc", "d", "dc"), parts)
             .mapInArrow(K.lean(answer), REPLY))
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediafeat.llm import kernels as K
-from mediafeat.llm.common import scratch
+from mediafeat.llm.common import by_part, part_count, scratch
 
 U = np.uint64
 LENGTH = 100          # bytes of a string that may not repeat
@@ -211,7 +211,7 @@ def _emit(parts: int, runs_of, crowd: int | None):
     def marks(kind, e):
         b = _rows(kind, e)
         m = b.num_rows
-        return pa.RecordBatch.from_arrays([b.column(2), pa.array((e["kid"] % parts).astype(np.int32)), *[pa.nulls(m, pa.binary())] * 6,
+        return pa.RecordBatch.from_arrays([b.column(2), pa.array((K.mix(e["kid"].view(U) + U(K.P)) % U(parts)).astype(np.int32)), *[pa.nulls(m, pa.binary())] * 6,
                                            b.column(0), b.column(1), b.column(3), b.column(4)], names)
 
     def flush(entries):
@@ -284,7 +284,7 @@ def scan(runs: DataFrame, parts: int, compare: bool) -> DataFrame:
             # the others of a crowded gram are compared string by string: so is what is left of it
             several |= np.isin(e["key"], e["key"][e["many"]])
             yield _rows(2, _take(e, several))
-    return runs.repartition(parts, "part").mapInArrow(K.lean(run), MARK)
+    return by_part(runs, parts).mapInArrow(K.lean(run), MARK)
 
 
 def gathered(marks: DataFrame) -> DataFrame:
@@ -354,8 +354,7 @@ def compared(base: DataFrame, doubtful: DataFrame, length: int, parts: int, piec
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
     """(kid, tag, text) of every document, and (kid, tag, starts, ends) of those with
     repeats: runs [start, end) of starts of strings that also start earlier."""
-    spark = docs.sparkSession
-    parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = part_count(docs)
     base = keyed(docs)
     found = scratch(scan(sampled(base, length, gram, parts, piece), parts, True), "repeats")
     again = scan(compared(base, gathered(found.where("kind = 2")), length, parts, piece), parts, False)

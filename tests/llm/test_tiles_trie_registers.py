@@ -239,26 +239,23 @@ def prose(seed=11):
     return [*enumerate(texts), (900, None), (901, ""), (902, " \t"), (903, texts[0].upper()), (904, texts[1]), (905, "w " * 40_000)]
 
 
-@pytest.mark.parametrize("few, n", [(64, 4), (3, 4), (2, 2)])
-def test_classes_are_those_of_brute_force(spark, few, n):
+@pytest.mark.parametrize("how, n", [({}, 4), ({"work": 20, "block": 3}, 4), ({"work": 1 << 22, "block": 2}, 2), ({"work": 0}, 4)])
+def test_classes_are_those_of_brute_force(spark, how, n):
     texts = prose()
     df = spark.createDataFrame([(i, t, 1, "a", 2) for i, t in texts], "doc_id long, text string, size int, fp string, band int").repartition(3)
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in H.classes(df, n, 80, 100, few=few).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in H.classes(df, n, 80, 100, **how).collect()}
     assert got == linked(texts, n, 80, 100)
 
 
-def test_buckets_without_a_band_left_meet_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(H, "BANDS", 2)
-    nodes = spark.createDataFrame([(i, b"\1\2\3\4\5\6\7\0" * 32, i) for i in range(30)], "fp long, regs binary, doc long")
-    heavy = H.band_members(nodes).withColumn("n", F.lit(30))
-    cut = H._cut(heavy, nodes, 4).collect()
-    met = defaultdict(set)
-    for r in cut:
-        if r.band == 2:
-            met[r.key].add(r.fp)
-    pairs = {p for m in met.values() for p in itertools.combinations(sorted(m), 2)}
-    assert len(pairs) == 30 * 29 // 2 and max(map(len, met.values())) < 15
-    assert {r.fp for r in cut if r.band == 1} == set(range(30))
+def test_units_bring_every_outsider_to_every_member_once(spark):
+    rows = [(1, i, i, 0, 100 if i < 20 else i, 50, 30, i >= 20) for i in range(50)]
+    open_ = spark.createDataFrame(rows, "key long, fp long, doc long, band int, root long, n long, n_out long, out boolean")
+    units = defaultdict(lambda: ([], []))
+    for r in H._units(open_, 7).collect():
+        units[r.unit][r.side].append(r.fp)
+    met = [(a, b) for left, right in units.values() for a in left for b in right]
+    assert sorted(met) == sorted((a, b) for a in range(20, 50) for b in range(50))
+    assert max(len(side) for u in units.values() for side in u) < 20
 
 
 def test_classes_without_ids_and_without_rows(spark):
