@@ -35,11 +35,80 @@ CHUNK = 4096             # weights per row when partition deltas are summed
 
 
 # ---------------------------------------------------------------- standardisation (M7)
-def feature_stats(df: DataFrame, vec_col: str) -> DataFrame:
-    """pos, mean, std (sample), n per vector position; partial aggregation per position."""
-    ex = df.select(F.posexplode(vec_col).alias("pos", "v"))
-    return ex.groupBy("pos").agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-                                 F.count("v").alias("n"))
+def _task_moments(chunk: int):
+    """Per task: count, mean and squared deviations of every vector position, in
+    rows of ``chunk`` positions."""
+    def run(batches):
+        import pyarrow as pa
+        n, mean, m2 = (np.zeros(0) for _ in range(3))
+        for b in batches:
+            col = b.column(0)
+            length = col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = col.flatten()
+            seen = ~values.is_null().to_numpy(zero_copy_only=False)
+            v = values.to_numpy(zero_copy_only=False).astype(np.float64)[seen]
+            pos = (np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length))[seen]
+            width = max(len(n), int(length.max(initial=0)))
+            n, mean, m2 = (np.pad(x, (0, width - len(x))) for x in (n, mean, m2))
+            bn = np.bincount(pos, minlength=width).astype(float)
+            with np.errstate(invalid="ignore"):
+                bmean = np.bincount(pos, v, minlength=width) / np.maximum(bn, 1)
+                bm2 = np.bincount(pos, (v - bmean[pos]) ** 2, minlength=width)
+            n, mean, m2 = merge_moments([n, bn], [mean, bmean], [m2, bm2])
+        starts = range(0, len(n), chunk)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s // chunk for s in starts], pa.int32())]
+            + [pa.array([x[s:s + chunk].tolist() for s in starts], pa.list_(pa.float64())) for x in (n, mean, m2)], ["chunk", "n", "mean", "m2"])
+    return run
+
+
+def merge_moments(n, mean, m2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Moments of a union from those of its parts, pairwise, element by element;
+    parts may be of different lengths."""
+    width = max(len(x) for x in n)
+    parts = [tuple(np.pad(np.asarray(x, float), (0, width - len(x))) for x in p) for p in zip(n, mean, m2)]
+    while len(parts) > 1:
+        merged = []
+        for (na, ma, sa), (nb, mb, sb) in zip(parts[::2], parts[1::2]):
+            both = na + nb
+            with np.errstate(invalid="ignore"):
+                d = np.where((na > 0) & (nb > 0), mb - ma, 0.0)
+                share = nb / np.maximum(both, 1)
+                mid = np.where(na > 0, ma + d * share, mb)
+            merged.append((both, mid, sa + sb + d * d * na * share))
+        parts = merged + parts[len(merged) * 2:]
+    return parts[0]
+
+
+def feature_stats(df: DataFrame, vec_col: str, chunk: int | None = None) -> DataFrame:
+    """pos, mean, std (sample), n per vector position.
+
+    Every task reduces its rows to one array of moments per ``chunk`` positions, so
+    what is shuffled grows with the tasks and the width, not with the rows; the arrays
+    merge pairwise, in two levels, so that a merging task holds about the square root
+    of their number.  Null elements are skipped; rows may differ in length."""
+    chunk = chunk or CHUNK
+    parts = df.select(F.col(vec_col).cast("array<double>").alias("v")).mapInArrow(
+        _task_moments(chunk), "chunk int, n array<double>, mean array<double>, m2 array<double>")
+
+    def merged(group, table):
+        import pyarrow as pa
+        # in a fixed order: sums of floats depend on it
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("n", "mean", "m2"))), key=repr)
+        n, mean, m2 = merge_moments(*zip(*rows))
+        return pa.table({"chunk": pa.array([group[0].as_py()], pa.int32())}
+                        | {c: pa.array([x.tolist()], pa.list_(pa.float64())) for c, x in (("n", n), ("mean", mean), ("m2", m2))})
+    kind = "chunk int, n array<double>, mean array<double>, m2 array<double>"
+    from mediafeat.operators.parallel import estimated_bytes
+    bytes_ = estimated_bytes(df)
+    tasks = df.sparkSession.sparkContext.defaultParallelism + (bytes_ // PARTITION_BYTES if bytes_ < 1 << 60 else 0)      # a table of unknown size
+    fan = max(1, math.isqrt(tasks))
+    parts = parts.withColumn("_fan", F.spark_partition_id() % fan)
+    parts = parts.groupBy("chunk", "_fan").applyInArrow(merged, kind).groupBy("chunk").applyInArrow(merged, kind)
+    rows = parts.select("chunk", F.posexplode(F.arrays_zip("n", "mean", "m2")).alias("i", "m"))
+    n = F.col("m.n")
+    return rows.select((F.col("chunk") * chunk + F.col("i")).cast("int").alias("pos"), F.when(n > 0, F.col("m.mean")).alias("mean"),
+                       F.when(n > 1, F.sqrt(F.col("m.m2") / (n - 1))).alias("std"), n.cast("long").alias("n"))
 
 
 def standardise(df: DataFrame, vec_col: str, stats: DataFrame | None = None, out_col: str | None = None) -> DataFrame:
@@ -62,6 +131,7 @@ def standardise(df: DataFrame, vec_col: str, stats: DataFrame | None = None, out
 class LinearModel:
     weights: np.ndarray                 # (k, d + 1), last column is the bias
     history: list[dict] = field(default_factory=list)
+    left_out: dict[str, int] = field(default_factory=dict)      # rows not trained on, by reason
 
     def score_expr(self, x_col: str, spark: SparkSession | None = None, inline: bool | None = None):
         """array<double>(k) of sigmoid scores (M4).
@@ -93,6 +163,41 @@ class LinearModel:
         return score(F.col(x_col))
 
 
+def input_shape(rows: DataFrame) -> tuple[int, int] | None:
+    """The most frequent (vector length, label length) among rows (x, y) without a null
+    or non-finite element; ties: the longest."""
+    best = (rows.where(~_broken()).groupBy(F.size("x").alias("d"), F.size("y").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), F.desc("d"), F.desc("k")).first())
+    return (int(best.d), int(best.k)) if best else None
+
+
+def _broken():
+    def bad(c):
+        return F.exists(c, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    return F.col("x").isNull() | F.col("y").isNull() | bad("x") | bad("y")
+
+
+def unfit_reason(d: int, k: int):
+    """Why a row (x, y) cannot train a model of ``d`` features and ``k`` outputs: null
+    if it can."""
+    return (F.when(F.col("x").isNull() | F.col("y").isNull(), F.lit("no vector or label"))
+            .when(_broken(), F.lit("null or non-finite element"))
+            .when((F.size("x") != d) | (F.size("y") != k), F.lit("other length")))
+
+
+def input_report(df: DataFrame, features_col: str, label_col: str, shape: tuple[int, int] | None = None) -> DataFrame:
+    """reason (null: usable), n: what a fit would take and leave out."""
+    rows = df.select(F.col(features_col).cast("array<double>").alias("x"), F.col(label_col).cast("array<double>").alias("y"))
+    shape = shape or input_shape(rows) or (0, 0)
+    return rows.groupBy(unfit_reason(*shape).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def require_finite(epoch: int, *values) -> None:
+    """A step that is not finite would silently end or spoil the training."""
+    if not all(np.isfinite(np.asarray(v, dtype=np.float64)).all() for v in values):
+        raise FloatingPointError(f"epoch {epoch}: the step or the loss is not finite; lower the rate or check the input")
+
+
 def _sgd_kernel(bw, shape: tuple[int, int], lr: float, batch_size: int, chunk: int):
     """Per partition: mini-batch SGD from the broadcast weights on training rows
     (emits the n-weighted delta in chunks plus a metrics row, chunk -1); on
@@ -160,13 +265,17 @@ def evaluate_linear(w: np.ndarray, df: DataFrame, features_col: str, label_col:
 def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str, epochs: int = 10,
                    batch_size: int = 32, lr: float = 0.1, n_partitions: int | None = None,
                    chunk: int = CHUNK, validation: DataFrame | None = None, patience: int | None = None,
-                   keep_best: bool = False) -> LinearModel:
+                   keep_best: bool = False, shape: tuple[int, int] | None = None) -> LinearModel:
     """Multi-label logistic model by synchronous data-parallel SGD with averaging.
 
     ``n_partitions`` (default: the cluster's parallelism, or more for larger
     inputs, so that a partition stays near ``PARTITION_BYTES``) is part of the
-    result: fix it to reproduce a model on a different cluster.  Rows with a null
-    vector or one of another length than the first row's are left out.
+    result: fix it to reproduce a model on a different cluster.
+
+    The input's ``shape`` (features, outputs) is the most frequent one of all rows
+    unless given.  Rows that don't fit it, or that have a null or non-finite element, are
+    left out of training and validation and counted in ``model.left_out``; a step or loss
+    that is not finite raises.
 
     With ``validation`` (same columns) every epoch is scored on it (``val_loss``,
     ``val_accuracy`` in the history, computed on the executors); ``patience``
@@ -176,21 +285,28 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
     spark: SparkSession = df.sparkSession
     from mediafeat.session import ship_package
     ship_package(spark)
-    from mediafeat.operators.parallel import estimated_bytes
-    n_partitions = n_partitions or max(spark.sparkContext.defaultParallelism, estimated_bytes(df) // PARTITION_BYTES + 1)
-    data = (df.select(F.col(id_col).alias("_id"), F.col(features_col).cast("array<double>").alias("x"),
-                      F.col(label_col).cast("array<double>").alias("y"))
-              .where(F.col("x").isNotNull() & F.col("y").isNotNull()).repartition(n_partitions, "_id").sortWithinPartitions("_id")
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    rows = df.select(F.col(id_col).alias("_id"), F.col(features_col).cast("array<double>").alias("x"),
+                     F.col(label_col).cast("array<double>").alias("y")).persist(StorageLevel.MEMORY_AND_DISK)
+    data = None
     try:
-        first = data.select(F.size("x").alias("d"), F.size("y").alias("k")).first()
-        if first is None:
+        shape = shape or input_shape(rows)
+        if shape is None:
+            raise ValueError("no training rows")
+        d, k = shape
+        model_left = {r.reason: r.n for r in input_report(rows, "x", "y", shape).collect()}        # a few reasons
+        used = model_left.pop(None, 0)
+        n_partitions = n_partitions or max(spark.sparkContext.defaultParallelism, used * 8 * (d + k) // PARTITION_BYTES + 1)
+        fit_rows = rows.where(unfit_reason(d, k).isNull())
+        # repeated ids are spread by their vectors
+        data = (fit_rows.repartition(n_partitions, F.xxhash64("_id", "x")).sortWithinPartitions("_id", "x", "y")
+                .persist(StorageLevel.MEMORY_AND_DISK))
+        if not data.count():                # fills the cache: the rows it came from can go
             raise ValueError("no training rows")
-        d, k = int(first["d"]), int(first["k"])
+        rows.unpersist()
         if k * (d + 1) > MAX_MODEL:
             raise ValueError("model too large for driver-side averaging")
         w = np.zeros((k, d + 1))
-        model = LinearModel(w)
+        model = LinearModel(w, left_out=model_left)
         size = k * (d + 1)
         n_chunks = -(-size // chunk)
         val = None
@@ -198,9 +314,8 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
             val = (validation.select(F.col(features_col).cast("array<double>").alias("x"),
                                      F.col(label_col).cast("array<double>").alias("y"))
                              .withColumn("_val", F.lit(True)).persist(StorageLevel.MEMORY_AND_DISK))
-        fits = (F.size("x") == d) & (F.size("y") == k)
-        train_part = data.where(fits).select("x", "y").withColumn("_val", F.lit(False))
-        val = val.where(fits) if val is not None else None
+        train_part = data.select("x", "y").withColumn("_val", F.lit(False))
+        val = val.where(unfit_reason(d, k).isNull()) if val is not None else None
         fan = max(1, math.isqrt(n_partitions))
         best_loss, best_epoch, best_w = None, 0, w
         stopped = False
@@ -227,7 +342,8 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
                 return (rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.collect_list("v").alias("vs"))
                             .select(*keys, "n", F.aggregate(
                                 "vs", F.array_repeat(F.lit(0.0), F.size(F.element_at("vs", 1))),
-                                lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("v")))
+                                # pandas turns NaN into null, and a null would be summed as 0
+                                lambda acc, x: F.zip_with(acc, x, lambda a, b: a + F.coalesce(b, F.lit(float("nan"))))).alias("v")))
             parts = parts.withColumn("_fan", F.spark_partition_id() % fan)
             summed = add(add(parts, "chunk", "_fan"), "chunk").collect()
             # sorted here, not with orderBy: a range sort would sample (= rerun) the epoch
@@ -240,6 +356,7 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
                 stopped = True  # this job's training step is discarded
                 break
             n = int(trow["n"] or 0)  # rows seen this epoch over all partitions
+            require_finite(epoch, trow["v"], *[r["v"] for r in chunks])
             if n:
                 w = w + (np.concatenate([np.asarray(r["v"]) for r in chunks]) / n).reshape(k, d + 1)
             loss, correct = trow["v"]
@@ -253,7 +370,9 @@ def fit_multilabel(df: DataFrame, features_col: str, label_col: str, id_col: str
             val.unpersist()
         return model
     finally:
-        data.unpersist()
+        rows.unpersist()
+        if data is not None:
+            data.unpersist()
 
 
 def history_frame(spark: SparkSession, model: LinearModel) -> DataFrame:

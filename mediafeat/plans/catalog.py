@@ -23,6 +23,7 @@ from mediafeat.plans.training_table import K_LABELS, T_STEPS, frame_sequences, t
 from mediafeat.functions import text as TX
 from mediafeat.operators import geo as G
 from mediafeat.operators import metrics as M
+from mediafeat.operators import network as N
 from mediafeat.operators import split as P
 from mediafeat.operators import train as TR
 from mediafeat.session import scratch_path
@@ -743,6 +744,59 @@ def q_reloaded_scores(spark, d):
                        F.round(F.array_max(model.score_expr("x", spark, inline=False)), 6).alias("broadcast"))
 
 
+def _damaged_xy(spark, d):
+    """The training rows, of which a tenth each has a null element, a NaN, a short
+    vector and no label."""
+    kind = F.col("id").cast("bigint") % 10
+    i = lambda at, v: F.transform("x", lambda e, k: F.when(k == at, v).otherwise(e))
+    x = (F.when(kind == 0, i(3, F.lit(None).cast("double"))).when(kind == 1, i(5, F.lit(float("nan"))))
+         .when(kind == 2, F.slice("x", 1, 10)).otherwise(F.col("x")))
+    return _video_xy(spark, d).select("id", x.alias("x"), F.when(kind != 3, F.col("y")).alias("y"))
+
+
+@query("fit_input_report")
+def q_fit_input_report(spark, d):
+    """Rows that a fit takes and leaves out, by reason."""
+    return TR.input_report(_damaged_xy(spark, d), "x", "y").select(F.coalesce("reason", F.lit("usable")).alias("reason"), "n")
+
+
+@query("train_step_damaged")
+def q_train_step_damaged(spark, d):
+    """One full-batch step over rows of which four tenths are damaged: the step over the
+    others."""
+    model = TR.fit_multilabel(_damaged_xy(spark, d), "x", "y", "id", epochs=1, batch_size=1 << 30, lr=STEP_RATE)
+    path = scratch_path(spark, "damaged_step")
+    TR.save_weights(spark, model, path, epoch=1)
+    w = spark.read.parquet(path).select("cls", F.posexplode("weights").alias("pos", "w"))
+    return w.select("cls", "pos", F.round("w", 6).alias("w"))
+
+
+@query("train_chunked_step")
+def q_train_chunked_step(spark, d):
+    """The step of ``train_one_step`` with the parameters held as chunk rows."""
+    model = N.fit(_video_xy(spark, d), "x", "y", "id", epochs=1, batch_size=1 << 30, lr=STEP_RATE, chunk=100)
+    return model.weights().select(F.col("out").alias("cls"), F.col("inp").alias("pos"), F.round("w", 6).alias("w"))
+
+
+def _network(spark, d):
+    return N.fit(_video_xy(spark, d), "x", "y", "id", [8], epochs=1, batch_size=1 << 30, lr=STEP_RATE)
+
+
+@query("train_network_step")
+def q_train_network_step(spark, d):
+    """One full-batch step of a network with a hidden layer on multi-hot targets."""
+    return _network(spark, d).weights().withColumn("w", F.round("w", 6))
+
+
+@query("network_scores")
+def q_network_scores(spark, d):
+    """Rows scored by that network, with its parameters broadcast and as chunk rows."""
+    model = _network(spark, d)
+    rows = _video_xy(spark, d).select("id", "x")
+    both = model.score(model.score(rows, "x", "a"), "x", "b", inline=False)
+    return both.select("id", F.round(F.array_max("a"), 6).alias("broadcast"), F.round(F.array_max("b"), 6).alias("chunked"))
+
+
 @query("train_mlp")
 def q_train_mlp(spark, d):
     """Fitted on the train rows, scored on the held-out ones."""

@@ -410,6 +410,43 @@ _W = ("w AS (SELECT c, j, -0.5::DOUBLE * avg((0.5::DOUBLE - y[c + 1]) * x[j + 1]
       f"(SELECT unnest(range({K})) AS c) a, (SELECT unnest(range(65)) AS j) b GROUP BY c, j)")
 sql("train_one_step", f"WITH {_XY}, {_W} SELECT CAST(c AS INTEGER) AS cls, CAST(j AS INTEGER) AS pos, round(w, 6) AS w FROM w")
 
+_KIND = "CAST(id AS BIGINT) % 10"
+sql("fit_input_report",
+    f"SELECT CASE WHEN {_KIND} IN (0, 1) THEN 'null or non-finite element' WHEN {_KIND} = 2 THEN 'other length' "
+    f"WHEN {_KIND} = 3 THEN 'no vector or label' ELSE 'usable' END AS reason, count(*) AS n FROM fx_video GROUP BY ALL")
+sql("train_step_damaged", f"WITH {_XY} , {_W.replace('FROM xy,', f'FROM (SELECT * FROM xy WHERE {_KIND} > 3) xy,')} "
+    "SELECT CAST(c AS INTEGER) AS cls, CAST(j AS INTEGER) AS pos, round(w, 6) AS w FROM w")
+sql("train_chunked_step", _SQL["train_one_step"])
+
+
+def _first_weights(at: str, n_in: int, n_out: int) -> str:
+    return (f"(2.0::DOUBLE * CAST('0x' || substr(md5('7:' || CAST({at} AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE - 1.0::DOUBLE) "
+            f"* sqrt(6.0::DOUBLE / {n_in + n_out})")
+
+
+_NET = (f"{_XY}, w0 AS (SELECT u, j, CASE WHEN j = 64 THEN 0.0::DOUBLE ELSE {_first_weights('u * 65 + j', 64, 8)} END AS w "
+        "FROM (SELECT unnest(range(8)) AS u) a, (SELECT unnest(range(65)) AS j) b), "
+        f"w1 AS (SELECT c, u, CASE WHEN u = 8 THEN 0.0::DOUBLE ELSE {_first_weights('520 + c * 9 + u', 8, K)} END AS w "
+        f"FROM (SELECT unnest(range({K})) AS c) a, (SELECT unnest(range(9)) AS u) b), "
+        "h AS (SELECT id, u, greatest(sum(w * x[j + 1]), 0.0::DOUBLE) AS h FROM xy, w0 GROUP BY id, u "
+        "UNION ALL SELECT id, 8, 1.0::DOUBLE FROM xy), "
+        "dl AS (SELECT id, c, 1.0::DOUBLE / (1.0::DOUBLE + exp(-sum(w * h))) - any_value(y[c + 1]) AS d "
+        "FROM h JOIN w1 USING (u) JOIN xy USING (id) GROUP BY id, c), "
+        "g1 AS (SELECT c, u, avg(d * h) AS g FROM dl JOIN h USING (id) GROUP BY c, u), "
+        "b AS (SELECT id, u, CASE WHEN any_value(h) > 0 THEN sum(d * w) ELSE 0.0::DOUBLE END AS b FROM dl JOIN w1 USING (c) JOIN h USING (id, u) "
+        "WHERE u < 8 GROUP BY id, u), "
+        "g0 AS (SELECT u, j, avg(b * x[j + 1]) AS g FROM b JOIN xy USING (id), (SELECT unnest(range(65)) AS j) k GROUP BY u, j), "
+        "n0 AS (SELECT u, j, w - 0.5::DOUBLE * g AS w FROM w0 JOIN g0 USING (u, j)), "
+        "n1 AS (SELECT c, u, w - 0.5::DOUBLE * g AS w FROM w1 JOIN g1 USING (c, u))")
+sql("train_network_step",
+    f"WITH {_NET} SELECT CAST(0 AS INTEGER) AS layer, CAST(u AS INTEGER) AS out, CAST(j AS INTEGER) AS inp, round(w, 6) AS w FROM n0 "
+    "UNION ALL SELECT 1, CAST(c AS INTEGER), CAST(u AS INTEGER), round(w, 6) FROM n1")
+sql("network_scores",
+    f"WITH {_NET}, h2 AS (SELECT id, u, greatest(sum(w * x[j + 1]), 0.0::DOUBLE) AS h FROM xy, n0 GROUP BY id, u "
+    "UNION ALL SELECT id, 8, 1.0::DOUBLE FROM xy), "
+    "p AS (SELECT id, c, 1.0::DOUBLE / (1.0::DOUBLE + exp(-sum(w * h))) AS p FROM h2 JOIN n1 USING (u) GROUP BY id, c) "
+    "SELECT id, round(max(p), 6) AS broadcast, round(max(p), 6) AS chunked FROM p GROUP BY id")
+
 _TOP = ("round(max(1.0::DOUBLE / (1.0::DOUBLE + exp(-s))), 6)")
 sql("reloaded_scores",
     f"WITH {_XY}, {_W}, s AS (SELECT id, c, sum(w * x[j + 1]) AS s FROM xy, w GROUP BY id, c) "
