@@ -312,7 +312,9 @@ def classes(docs: DataFrame, n: int = 4, num: int = 80, den: int = 100, work: in
         pairs = members.join(hubs.select("key", F.col("hub.fp").alias("hub")), "key").where("fp <> hub").select(
             F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
         near = scratch(candidates(pairs.join(tested, ["a", "b"], "left_anti"), nodes, num, den), "register-near")
-        comps = linked(verify(near, docs, n, num, den))
+        # the texts of a few documents move for each pair; those of all documents once
+        ends = near.select(F.col("doc_a").alias("doc_id")).union(near.select("doc_b")).distinct()
+        comps = linked(verify(near, scratch(text_of(docs).join(ends, "doc_id", "left_semi"), "register-texts"), n, num, den))
         tested = tested.union(near.select("a", "b"))
         open_ = scratch(_open(members, comps), "open-bands")
         direct = (F.col("n") * F.col("n_out") <= work) | (F.col("band") == BANDS - 1)
