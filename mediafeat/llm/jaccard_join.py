@@ -440,11 +440,19 @@ def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, mos
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` (all columns) that are the smallest id of their class; of
-    rows that repeat an id one stays.  Rows with a null id all stay."""
+    """The rows of ``docs`` (all columns) that are the smallest id of their class.  Rows
+    that repeat an id and a text are one document, of which one row stays; rows that
+    repeat an id with other texts are documents of their own, the first of a class by id,
+    then by a hash of the text.  Rows with a null id all stay."""
     classes = scratch(link_classes(docs, n, num, den), "classes")
-    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
     if classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+        gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    own = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))       # a repeated id names no document
+    named = docs.where("doc_id is not null").withColumn("_own", own)
+    ids = named.select("_own", F.col("doc_id").cast("long").alias("_id")).distinct()
+    found = link_classes(named.select(F.col("_own").alias("doc_id"), "text").distinct(), n, num, den)
+    found = scratch(found.select(F.col("doc_id").alias("_own"), "component_id").join(ids, "_own"), "own-classes")
+    first = found.groupBy("component_id").agg(F.min(F.struct("_id", "_own")).alias("first")).select(F.col("first._own").alias("_first"))
+    kept = named.dropDuplicates(["_own"]).join(first, F.col("_own") == F.col("_first"), "left_semi").drop("_own")
+    return kept.union(docs.where("doc_id is null"))

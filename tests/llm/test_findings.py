@@ -110,3 +110,11 @@ def test_jaccard_entries_too_late_in_their_sets_leave_a_list(spark):
 def test_language_letters_beyond_the_first_plane():
     _, _, letters = language_id._grams(["\U0001F600 12 \U0001F680!", "\U00020000\U0001F600", "ab"])
     assert letters.tolist() == [0, 1, 2]
+
+
+def test_a_repeated_id_loses_no_clean_text(spark):
+    near, far = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    other, lone = " ".join(f"c{i}" for i in range(60)), " ".join(f"d{i}" for i in range(60))
+    rows = [(1, near), (2, near + " end"), (2, far), (3, other), (3, lone), (3, lone), (4, far + " end"), (None, near)]
+    kept = jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, near), (2, far), (3, other), (3, lone), (None, near)], key=str)
