@@ -9,12 +9,12 @@ would make that task a third of the job.  Instead:
 2. for each hot group, ``blocks - 1`` cut points of the leading order key: the
    evenly spaced values of a sorted sample, chosen by a hash of the order keys
    (any orderable type; at most a few thousand values per group);
-3. every row gets a block number = cut points <= its key: value-based, so any
-   recomputation (retries, executor loss) gives the same blocks; rows with an
-   equal leading key always share a block, so the order is preserved; a block
-   still above ``hot_rows`` whose rows share ONE leading value is ordered by
-   the next key alone and is cut again on it (block = b1 * blocks + b2, still
-   ordered);
+3. every row gets a block number from the cut points below its key, rows that equal a
+   cut point a block of their own: value-based, so any recomputation (retries, executor
+   loss) gives the same blocks; rows with an equal leading key always share a block, so
+   the order is preserved.  A block still above ``hot_rows`` is cut again, on the first
+   order key that is not the same in all its rows, level by level, until none is (or
+   its rows share all keys);
 4. the statistic inside (group, block) by a window -- the shuffle is on
    (group, block), spreading a hot group over ``blocks`` tasks;
 5. combined with the same statistic over the earlier blocks of the group (a
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = None        # a group above this many rows is split; None: from executor memory
 ROW_BYTES = 512        # working-set bytes assumed per row when deriving HOT_ROWS
-BLOCKS = 64            # sub-blocks per hot group
+BLOCKS = 64            # cut points of a hot group at each level
+LEVELS = 8             # of cuts
 MAX_HOT = 10_000       # groups whose cut points are broadcast; more are joined by a shuffle (AQE splits skew)
 SAMPLE = 4096          # expected values sampled per hot group for its cut points
 BLK = "_blk"
@@ -81,25 +82,35 @@ def with_blocks(df: DataFrame, group: list[str], order: list[str], hot_rows: int
         return df.withColumn(BLK, F.lit(0)), False
 
     def block(cuts: str, key: str) -> Column:
-        return F.when(F.col(cuts).isNull() | F.col(key).isNull(), F.lit(0)).otherwise(
-            F.size(F.filter(cuts, lambda c: c <= F.col(key))))
-    lead = order[0]
-    out = null_safe_join(df, _small(_cuts(df, _small(hot, n_hot), group, lead, order, blocks, "_cuts"), n_hot), group, "left")
-    out = out.withColumn(BLK, block("_cuts", lead)).drop("_cuts")
-    if len(order) < 2:
-        return out, True
-    # a block still above hot_rows whose rows share ONE leading value is ordered
-    # by the next key alone: cut it again on that key (order stays lexicographic)
-    flat = (out.groupBy(*group, BLK).agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"),
-                                         F.count(lead).alias("_set"))
-            .where((F.col("_n") > hot_rows) & (((F.col("_lo") == F.col("_hi")) & (F.col("_set") == F.col("_n"))) | (F.col("_set") == 0)))
-            .select(*group, BLK, "_n"))
-    n_flat = flat.count()
-    if not n_flat:
-        return out, True
+        below = F.size(F.filter(cuts, lambda c: c < F.col(key))).cast("long")
+        return F.when(F.col(cuts).isNull() | F.col(key).isNull(), F.lit(0).cast("long")).otherwise(      # nulls have a block
+            1 + 2 * below + F.array_contains(cuts, F.col(key)).cast("long"))
+    cuts = _cuts(df, _small(hot, n_hot), group, order[0], order, blocks, "_cuts")
+    out = null_safe_join(df, _small(cuts, n_hot), group, "left").withColumn(BLK, block("_cuts", order[0])).drop("_cuts")
+    from mediafeat.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     keys = [*group, BLK]
-    out = null_safe_join(out, _small(_cuts(out, _small(flat, n_flat), keys, order[1], order, blocks, "_cuts2"), n_flat), keys, "left")
-    return out.withColumn(BLK, F.col(BLK) * F.lit(blocks) + block("_cuts2", order[1])).drop("_cuts2"), True
+
+    def too_large(rows: DataFrame) -> DataFrame:
+        """The blocks to cut again: their size ``_n`` and ``_key``, the first order key in
+        which their rows differ."""
+        ends = [f(k).alias(f"_{n}{i}") for i, k in enumerate(order) for n, f in (("lo", F.min), ("hi", F.max), ("set", F.count))]
+        over = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *ends).where(F.col("_n") > hot_rows)
+        differs = [(F.col(f"_set{i}") > 0) & ((F.col(f"_set{i}") < F.col("_n")) | (F.col(f"_lo{i}") < F.col(f"_hi{i}"))) for i in range(len(order))]
+        return over.select(*keys, "_n", F.coalesce(*[F.when(d, F.lit(i)) for i, d in enumerate(differs)]).alias("_key")).where("_key is not null")
+
+    for _ in range(LEVELS - 1):
+        found = {r["_key"]: r["n"] for r in too_large(out).groupBy("_key").agg(F.count(F.lit(1)).alias("n")).collect()}    # a row for each order key
+        if not found:
+            break
+        out = out.checkpoint()          # read three times for this level
+        over, cut, sub = too_large(out), out, F.lit(0).cast("long")
+        for i, n in sorted(found.items()):
+            some = over.where(F.col("_key") == i).select(*keys, "_n")
+            cut = null_safe_join(cut, _small(_cuts(out, _small(some, n), keys, order[i], order, blocks, f"_cuts{i}"), n), keys, "left")
+            sub = sub + block(f"_cuts{i}", order[i])
+        out = cut.withColumn(BLK, F.col(BLK) * F.lit(2 * blocks + 2) + sub).drop(*[f"_cuts{i}" for i in found])
+    return out, True
 
 
 _AGG = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}

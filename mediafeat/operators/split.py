@@ -136,13 +136,14 @@ INLINE_VALUES = 10_000  # value lists up to this size become a literal IN filter
 
 
 def limit_values(df: DataFrame, col: str, n: int) -> DataFrame:
-    """Keep rows of the first n distinct values of ``col`` by name.
+    """Keep rows of the first n distinct values of ``col`` by name (S13); a null is no
+    name: it uses up no place and its rows go.
 
     The first n names (a bounded list, read from the column alone) become a
     literal IN filter, so on a ``partitionBy(col)`` layout the other shards are
     pruned at file listing and never read.  Beyond ``INLINE_VALUES`` names the
     list stays distributed, in a semi-join that Spark plans by its size."""
-    first = df.select(col).distinct().orderBy(col).limit(n)
+    first = df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).limit(n)
     if n <= INLINE_VALUES:
         names = [r[0] for r in first.collect()]
         return df.where(F.col(col).isin(names))

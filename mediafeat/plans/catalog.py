@@ -332,6 +332,16 @@ def q_limit_shards(spark, d):
     return P.limit_values(sharded_layout(spark, d), "shard", 5).select("id", "shard")
 
 
+@query("limit_shards_with_nulls")
+def q_limit_shards_with_nulls(spark, d):
+    """A null is no name: it uses up no place.  By the literal list."""
+    return P.limit_values(_some_without_shard(spark, d), "shard", 5).select("id", "shard")
+
+
+def _some_without_shard(spark, d):
+    return X.fx_sharded(spark, d).withColumn("shard", F.when(F.col("id") % 7 != 0, F.col("shard")))
+
+
 @query("limit_per_shard")
 def q_limit_per_shard(spark, d):
     return P.limit_per_group(X.fx_sharded(spark, d), "shard", ["id"], 100).select("id", "shard", "rn")
@@ -626,6 +636,18 @@ TYPED_SCHEMA = TT.StructType([
     TT.StructField("parts", TT.ArrayType(TT.DoubleType())), TT.StructField("price_wide", TT.DoubleType())])
 
 
+@query("record_overwrite_append")
+def q_record_overwrite_append(spark, d):
+    """Shards written, overwritten and added to: what the manifests in force name."""
+    rows = X.fx_sharded(spark, d).select("id", "shard")
+    path = scratch_path(spark, "overwritten")
+    RC.write_records(rows, path, shards=2, partition_by="shard")
+    RC.write_records(rows.where("id % 2 = 0"), path, shards=2, partition_by="shard")
+    RC.write_records(rows.where("id % 6 = 3"), path, mode="append", shards=2, partition_by="shard")
+    back = RC.read_good(RC.read_records(spark, path, "id bigint"))
+    return back.select("id", RC.partition_value("_file", "shard").alias("shard"))
+
+
 @query("typed_roundtrip")
 def q_typed_roundtrip(spark, d):
     o = X.table(spark, d, "orders")

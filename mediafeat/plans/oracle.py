@@ -205,6 +205,10 @@ sql("exclude_shards",
     "SELECT id, shard FROM fx_sharded WHERE shard NOT IN ('train0003.rec', 'train0007.rec', 'train0011.rec')")
 sql("limit_shards",
     "SELECT id, shard FROM fx_sharded WHERE shard IN (SELECT DISTINCT shard FROM fx_sharded ORDER BY shard LIMIT 5)")
+sql("limit_shards_with_nulls",
+    "WITH s AS (SELECT id, CASE WHEN id % 7 <> 0 THEN shard END AS shard FROM fx_sharded) "
+    "SELECT id, shard FROM s WHERE shard IN (SELECT DISTINCT shard FROM s WHERE shard IS NOT NULL ORDER BY shard LIMIT 5)")
+sql("record_overwrite_append", "SELECT id, shard FROM fx_sharded WHERE id % 2 = 0 OR id % 6 = 3")
 sql("limit_per_shard",
     "SELECT id, shard, rn FROM (SELECT id, shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY id) AS INTEGER) AS rn "
     "FROM fx_sharded) WHERE rn <= 100")

@@ -8,12 +8,15 @@ silently skipped (Q11), and all verified records of the shard are kept; the rows
 not depend on how the shards are cut.
 
 Writing: a Python data source (``format('mediafeat_records')``).  Each task
-encodes its partition and writes part files of at most ``maxFileBytes`` under
-temporary names.  The driver commit renames those of the successful attempts to
-``part-<partition>-<n>-<write id>.tfrecord``, so a lost executor never leaves
-duplicates and a failed write changes nothing; what an overwrite replaces is deleted
-last, when the new files are in place; then it writes ``_SUCCESS``.  Files go through
-``pyarrow.fs`` (local, HDFS, S3 URIs).
+encodes its partition and writes part files of at most ``maxFileBytes`` under their
+final names, ``part-<partition>-<n>-<attempt>-w<write id>d<depth>.tfrecord``.  The
+commit publishes one manifest, ``_manifest/<number>-<write id>.json``, that names the
+files of the successful attempts (and, in overwrite mode, ends all that was there
+before).  Readers take such files only if a manifest in force names them, so a write or
+an overwrite is one atomic switch: whatever fails before it changes nothing, whatever
+fails after it leaves files that no reader sees and :func:`vacuum` deletes.  Files
+that other programs wrote need no manifest.  Files go through ``pyarrow.fs`` (local,
+HDFS, S3 URIs).
 
 Column mapping (explicit schema, by name):
   context / Example features:
@@ -28,6 +31,8 @@ Column mapping (explicit schema, by name):
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import uuid
 
@@ -255,8 +260,14 @@ def decode(payload: bytes, schema: T.StructType, record_type: str, sequence_cols
 
 
 def as_schema(schema) -> T.StructType:
-    """A StructType, or a DDL string such as ``"id string, labels array<bigint>"``."""
-    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    """A StructType, or a DDL string such as ``"id string, labels array<bigint>"``, with
+    every field and element nullable: a bad record has none, and any can be missing."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in schema.fields])
+
+
+def _nullable(dt: T.DataType) -> T.DataType:
+    return T.ArrayType(_nullable(dt.elementType), True) if isinstance(dt, T.ArrayType) else dt
 
 
 # ---------------------------------------------------------------- reading
@@ -274,8 +285,8 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    files = r.load(path if isinstance(path, list) else [path]).select("path", "length")      # names only: no content is read
-    ranges = files.where("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
+    files = _visible(r.load(path if isinstance(path, list) else [path]).select("path", "length"))      # names only: no content is read
+    ranges = _ranges(files, split_bytes)
     total = files.agg(F.coalesce(F.sum(F.ceil(F.col("length") / split_bytes)), F.lit(1)).alias("n"),
                       F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
     # as many tasks as ranges, but no more than the cores for little data
@@ -312,22 +323,74 @@ def _decode_ranges(ranges: DataFrame, schema: T.StructType, record_type: str, se
     return ranges.select("path", "length", "start").mapInPandas(kernel, out_schema)
 
 
+def _ranges(files: DataFrame, split_bytes: int) -> DataFrame:
+    at = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
+    return files.where("length > 0").select("path", "length", F.explode(at).alias("start"))
+
+
 def read_records_stream(spark: SparkSession, path: str, schema: T.StructType, record_type: str = "Example",
                         sequence_cols: list[str] | None = None, verify_payload: bool = True,
-                        glob: str | None = "*.tfrecord", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming form of :func:`read_records`: each new shard in ``path`` is
-    decoded once (the file source tracks committed files in the checkpoint)."""
+                        glob: str | None = "*.tfrecord", max_files_per_trigger: int | None = None,
+                        split_bytes: int = 128 << 20, batch_rows: int = 1024) -> DataFrame:
+    """Streaming form of :func:`read_records`: each new shard in ``path`` (a folder, or a
+    glob of folders) is decoded once.
+
+    Spark's file source lists names and remembers what it has committed in the
+    checkpoint; no content passes through it.  Shards are read in byte ranges, each its
+    own row of work, so a large one is many tasks and has no size limit.  Shards of
+    this library arrive by the manifests that name them: a write all at once, after its
+    commit; those of other programs when they are listed."""
     from mediafeat.session import ship_package
     ship_package(spark)
     schema = as_schema(schema)
-    r = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, "
-                                                        "length bigint, content binary"))
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = r.load(path).select("path", "content")
-    return decode_files(files, schema, record_type, sequence_cols, verify_payload)
+
+    def listed(where: str, pattern: str | None) -> DataFrame:
+        r = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+        if pattern:
+            r = r.option("pathGlobFilter", pattern)
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        return r.load(where)
+    foreign = listed(path, glob).select("path", "length").where(~F.col("path").rlike(OWN))
+    # a glob, as the folder may not be there
+    named = _manifests(listed(f"{path.rstrip('/')}/{MANIFEST[:-1]}[{MANIFEST[-1]}]", "*.json"))
+    named = named.select("root", F.explode("m.files").alias("f")).select(
+        F.concat("root", F.lit("/"), "f.path").alias("path"), F.col("f.bytes").alias("length"))
+    # a given number: by the size of their rows, ranges would be gathered in one task
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = _ranges(foreign.union(named), split_bytes).repartition(tasks, "path", "start")
+    return _decode_ranges(ranges, schema, record_type, sequence_cols, verify_payload, batch_rows, split_bytes)
+
+
+MANIFEST = "_manifest"
+OWN = r"-w[0-9a-f]{12}d[01]\.tfrecord$"       # files that count only if a manifest names them
+MANIFEST_SCHEMA = "number long, replace boolean, files array<struct<path string, bytes long>>, foreign array<string>"
+
+
+def _manifests(files: DataFrame) -> DataFrame:
+    """root, m: the manifests among binary files, by the folder that they speak of.  One
+    that cannot be read does not count."""
+    root = F.regexp_replace("path", f"/{MANIFEST}/[^/]+$", "")
+    return (files.select(root.alias("root"), F.from_json(F.col("content").cast("string"), MANIFEST_SCHEMA).alias("m"))
+            .where("m.number is not null and m.files is not null"))
+
+
+def _visible(files: DataFrame) -> DataFrame:
+    """Of listed files (path, length) those that are in force: named by a manifest that
+    no later overwrite ended, or written by another program and not overwritten."""
+    spark = files.sparkSession
+    own = F.col("path").rlike(OWN)
+    parent = F.regexp_replace("path", "/[^/]+$", "")
+    root = F.when(F.col("path").rlike(r"d1\.tfrecord$"), F.regexp_replace(parent, "/[^/]+$", "")).otherwise(parent)
+    roots = [r.root for r in files.where(own).select(root.alias("root")).distinct().collect()]       # one for each written folder
+    if not roots:
+        return files
+    found = _manifests(spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load([f"{r}/{MANIFEST}" for r in roots]))
+    last = found.groupBy("root").agg(F.max(F.when(F.col("m.replace"), F.col("m.number"))).alias("last"))
+    valid = found.join(last, "root").where("last is null or m.number >= last")
+    named = valid.select("root", F.explode("m.files").alias("f")).select(F.concat("root", F.lit("/"), "f.path").alias("path"))
+    gone = valid.select("root", F.explode("m.foreign").alias("f")).select(F.concat("root", F.lit("/"), "f").alias("path"))
+    return files.where(own).join(named, "path", "left_semi").union(files.where(~own).join(gone, "path", "left_anti"))
 
 
 def decode_files(files: DataFrame, schema: T.StructType, record_type: str = "Example",
@@ -392,15 +455,16 @@ def _register(spark: SparkSession) -> None:
             part = ctx.partitionId() if ctx else uuid.uuid4().int % 100000
             attempt = ctx.attemptNumber() if ctx else 0
             fs, root = _fs(self.path)
-            fs.create_dir(root, recursive=True)
+            fs.create_dir(f"{root}/{MANIFEST}", recursive=True)
             names = [f.name for f in self.rec_schema.fields]
+            depth = 0 if self.part_col is None else 1
             written, n = [], 0
-            cur_key, out, tmp, final, size = object(), None, None, None, 0
+            cur_key, out, rel, size = object(), None, None, 0
 
             def close():
                 if out is not None:
                     out.close()
-                    written.append((tmp, final))     # the commit gives it its name
+                    written.append((rel, size))
 
             for batch in iterator:  # Arrow record batches, sorted by the partition column
                 if batch.num_rows == 0:
@@ -415,11 +479,10 @@ def _register(spark: SparkSession) -> None:
                         end += 1
                     if key != cur_key or size >= self.max_bytes:
                         close()
-                        d = root if self.part_col is None else f"{root}/{'' if self.plain else self.part_col + '='}{partition_name(key)}"
-                        fs.create_dir(d, recursive=True)
-                        tmp = f"{d}/_tmp-{self.write_id}-{part:05d}-{attempt}-{uuid.uuid4().hex[:8]}"
-                        final = f"{d}/part-{part:05d}-{len(written):03d}-{self.write_id}.tfrecord"
-                        out, cur_key, size = fs.open_output_stream(tmp), key, 0
+                        d = "" if not depth else f"{'' if self.plain else self.part_col + '='}{partition_name(key)}/"
+                        fs.create_dir(f"{root}/{d}", recursive=True)
+                        rel = f"{d}part-{part:05d}-{len(written):03d}-{attempt}{uuid.uuid4().hex[:8]}-w{self.write_id}d{depth}.tfrecord"
+                        out, cur_key, size = fs.open_output_stream(f"{root}/{rel}"), key, 0
                     rows = zip(*[cols[c][start:end] for c in names])
                     data = frame(encode(rows, self.rec_schema, self.record_type, self.seq))
                     out.write(data)
@@ -431,20 +494,9 @@ def _register(spark: SparkSession) -> None:
 
         def commit(self, messages):
             fs, root = _fs(self.path)
-            fs.create_dir(root, recursive=True)
-            from pyarrow import fs as pafs
-            moves = [f for m in messages if m is not None for f in m.path]
-            new = {final for _, final in moves}
-            for tmp, final in moves:
-                fs.move(tmp, final)
-            for info in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
-                if info.type != pafs.FileType.File:
-                    continue
-                # what this write left behind; in overwrite mode, now that the new
-                # files are complete, also all that was there before
-                if (info.base_name.startswith(f"_tmp-{self.write_id}")
-                        or (self.write_id in info.base_name or self.overwrite) and info.path not in new):
-                    fs.delete_file(info.path)
+            publish(fs, root, self.write_id, [f for m in messages if m is not None for f in m.path], self.overwrite)
+            if self.overwrite:
+                _vacuum(fs, root)
             with fs.open_output_stream(f"{root}/_SUCCESS"):
                 pass
 
@@ -453,7 +505,7 @@ def _register(spark: SparkSession) -> None:
             fs, root = _fs(self.path)
             if fs.get_file_info(root).type == pafs.FileType.Directory:
                 for info in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
-                    if info.base_name.startswith(f"_tmp-{self.write_id}"):
+                    if f"-w{self.write_id}d" in info.base_name:
                         fs.delete_file(info.path)
 
     class RecordSource(DataSource):
@@ -467,6 +519,64 @@ def _register(spark: SparkSession) -> None:
     spark.dataSource.register(RecordSource)
 
 
+def _in_force(fs, root: str) -> list[dict]:
+    """The readable manifests of a folder, by number, with their own names."""
+    from pyarrow import fs as pafs
+    out = []
+    for info in fs.get_file_info(pafs.FileSelector(f"{root}/{MANIFEST}", allow_not_found=True)):
+        if info.base_name.endswith(".json"):
+            with fs.open_input_stream(info.path) as f:
+                try:
+                    out.append(json.loads(f.read()) | {"at": info.path})
+                except ValueError:      # cut short
+                    continue
+    return sorted(out, key=lambda m: (m["number"], m["at"]))
+
+
+def publish(fs, root: str, write_id: str, files: list[tuple[str, int]], replace: bool) -> None:
+    """The switch: one manifest appears under its name, whole."""
+    from pyarrow import fs as pafs
+    fs.create_dir(f"{root}/{MANIFEST}", recursive=True)
+    number = max([m["number"] for m in _in_force(fs, root)], default=0) + 1
+    foreign = []
+    if replace:
+        foreign = [i.path[len(root) + 1:] for i in fs.get_file_info(pafs.FileSelector(root, recursive=True))
+                   if i.type == pafs.FileType.File and not re.search(OWN, i.base_name) and not i.base_name.startswith("_")
+                   and f"/{MANIFEST}/" not in i.path]
+    body = {"number": number, "replace": replace, "files": [{"path": p, "bytes": n} for p, n in files], "foreign": foreign}
+    tmp = f"{root}/{MANIFEST}/.{write_id}"
+    with fs.open_output_stream(tmp) as f:
+        f.write(json.dumps(body).encode())
+    fs.move(tmp, f"{root}/{MANIFEST}/{number:08d}-{write_id}.json")
+
+
+def _vacuum(fs, root: str) -> int:
+    """Delete what no manifest in force names: files of failed attempts and writes, what an
+    overwrite replaced, and manifests that it ended."""
+    from pyarrow import fs as pafs
+    found = _in_force(fs, root)
+    last = max([m["number"] for m in found if m["replace"]], default=0)
+    named = {f["path"] for m in found if m["number"] >= last for f in m["files"]}
+    gone = {p for m in found if m["number"] >= last for p in m["foreign"]}
+    n = 0
+    for i in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
+        rel = i.path[len(root) + 1:]
+        if i.type == pafs.FileType.File and (rel in gone or re.search(OWN, rel) and rel not in named):
+            fs.delete_file(i.path)
+            n += 1
+    for m in found:
+        if m["number"] < last:      # after the files that it named
+            fs.delete_file(m["at"])
+    return n
+
+
+def vacuum(path: str) -> int:
+    """Delete the files under ``path`` that readers don't see; how many.  Not while a write
+    to it is under way: its files have no manifest yet."""
+    fs, root = _fs(path.rstrip("/"))
+    return _vacuum(fs, root)
+
+
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 

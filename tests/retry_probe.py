@@ -27,6 +27,7 @@ def run() -> dict:
     ship_package(spark)
 
     marker = local_path(scratch_path(spark, "retry_marker"))
+    os.makedirs(os.path.dirname(marker), exist_ok=True)      # a task may be there before the writer
 
     def flaky(it):
         from pyspark import TaskContext

@@ -49,3 +49,25 @@ def test_null_order_keys_come_first_in_a_hot_group(spark):
     ref = df.select("tie", F.row_number().over(Window.partitionBy("g").orderBy("o", "tie")).alias("rn"))
     got = number_rows(df, ["g"], ["o", "tie"], "rn", hot_rows=100, blocks=8).select("tie", "rn")
     assert got.exceptAll(ref).count() == 0 and got.count() == 2000
+
+
+def test_blocks_are_cut_until_none_is_hot(spark):
+    """Groups far above ``hot_rows`` times the blocks, with one value in half of the rows."""
+    from mediafeat.operators import ordering as O
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 10 != 0, F.lit(1)).otherwise(F.col("id") % 3).alias("g"),
+        F.when(F.col("id") % 2 == 0, F.lit(500)).when(F.col("id") % 5 != 0, F.col("id") % 1000).alias("a"),
+        (F.col("id") * 31 % 7).alias("b"), F.col("id").alias("tie"))
+    order = ["a", "b", "tie"]
+    t, hot = O.with_blocks(df, ["g"], order, hot_rows=40, blocks=4)
+    assert hot and max(r["count"] for r in t.groupBy("g", "_blk").count().collect()) <= 40
+    ref = df.select("tie", F.row_number().over(Window.partitionBy("g").orderBy(*order)).alias("rn"))
+    got = number_rows(df, ["g"], order, "rn", hot_rows=40, blocks=4).select("tie", "rn")
+    assert got.exceptAll(ref).count() == 0 and got.count() == 20_000
+
+
+def test_rows_that_share_all_keys_stay_in_one_block(spark):
+    from mediafeat.operators import ordering as O
+    df = spark.range(300).select(F.lit(1).alias("g"), F.lit(2).alias("o"))
+    t, hot = O.with_blocks(df, ["g"], ["o"], hot_rows=10, blocks=4)
+    assert hot and t.select("_blk").distinct().count() == 1

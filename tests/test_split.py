@@ -102,3 +102,11 @@ def test_limit_per_group_beyond_the_optimizers_threshold(spark):
     df = spark.range(6000).select((F.col("id") % 2).alias("g"), F.col("id").alias("o"))
     out = P.limit_per_group(df, "g", ["o"], 1500)
     assert out.count() == 3000 and out.agg(F.max("o")).first()[0] == 2999
+
+
+def test_a_null_name_takes_no_place(spark, monkeypatch):
+    df = spark.createDataFrame([(i, [None, "s0", "s1", "s2"][i % 4]) for i in range(40)], "id long, shard string")
+    for most in (10_000, 1):                    # a literal list, and a semi-join
+        monkeypatch.setattr(P, "INLINE_VALUES", most)
+        assert sorted({r["shard"] for r in P.limit_values(df, "shard", 2).collect()}) == ["s0", "s1"]
+        assert P.limit_values(df, "shard", 2).count() == 20 and P.limit_values(df, "shard", 9).count() == 30
