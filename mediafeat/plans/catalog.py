@@ -24,9 +24,12 @@ from mediafeat.functions import text as TX
 from mediafeat.operators import geo as G
 from mediafeat.operators import metrics as M
 from mediafeat.operators import network as N
+from mediafeat.operators import sparse_labels as SL
 from mediafeat.operators import split as P
 from mediafeat.operators import train as TR
 from mediafeat.session import scratch_path
+from mediafeat.sources import layout as LY
+from mediafeat.sources import record_scan as RS
 from mediafeat.sources import records as RC
 from mediafeat.sources import tables as TB
 from mediafeat.streaming.ingest import ingest_once
@@ -107,6 +110,44 @@ def q_label_slots_shared_ids(spark, d):
     return L.label_slot_join(bags, L.fit_label_vocab(X.fx_bags(spark, d), K)).select("id", ints_str("slots").alias("slots"), "n_kept")
 
 
+def _line_bags(spark, d):
+    """id, labels: the lines of each part; as many labels as there are lines."""
+    li = X.table(spark, d, "lineitem")
+    return li.groupBy(F.col("l_partkey").alias("id")).agg(F.collect_set(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("labels"))
+
+
+@query("sparse_vocab")
+def q_sparse_vocab(spark, d):
+    """All parts as labels, the most frequent first."""
+    li = X.table(spark, d, "lineitem")
+    return SL.fit_slots(li.select(F.array("l_partkey").alias("labels")), order="frequency")
+
+
+@query("sparse_encoding")
+def q_sparse_encoding(spark, d):
+    """A vocabulary of up to 200,000 labels, and bags of which some have none of them."""
+    bags = _line_bags(spark, d)
+    enc = SL.encode_sparse(bags, SL.fit_slots(bags, 200_001), 200_001)
+    return enc.select("id", F.col("labels_sparse.size").alias("width"), ints_str("labels_sparse.slots").alias("slots"),
+                      F.aggregate("labels_sparse.values", F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("n_set"))
+
+
+@query("sparse_label_pairs")
+def q_sparse_label_pairs(spark, d):
+    """Set slots in long form, for bags that fall to the other slot too."""
+    bags = X.fx_bags(spark, d)
+    enc = SL.encode_sparse(bags, SL.fit_slots(bags, K), K)
+    return SL.sparse_pairs(enc, "labels_sparse", "id").select("id", "slot", F.col("value").cast("bigint").alias("value"))
+
+
+@query("colocated_join")
+def q_colocated_join(spark, d):
+    """Frames joined to videos from bucketed tables, users with over 40 frames beside them."""
+    frames, video = X.fx_steps(spark, d).select("id", "step", "value"), X.fx_video_side(spark, d)
+    lay = LY.write_colocated(frames, video, scratch_path(spark, "colocated"), "id", buckets=16, sort=("step",), hot_rows=40)
+    return LY.join_colocated(spark, lay).select("id", "step", "value", "name")
+
+
 @query("training_table")
 def q_training_table(spark, d):
     return training_table_view(training_table(spark, d))
@@ -613,6 +654,17 @@ def q_record_split_scan(spark, d):
     return _long_form(RC.read_good(back).drop("_file"))
 
 
+@query("record_scan_chosen")
+def q_record_scan_chosen(spark, d):
+    """Good records of two of four fields: one shard by its name, all others by theirs."""
+    path = scratch_path(spark, "video_records_scan")
+    v = X.fx_video(spark, d).withColumn("shard", F.concat(F.lit("part"), (F.col("id").cast("bigint") % 8).cast("string")))
+    RC.write_records(v, path, "Example", partition_by="shard", shards=_shards(spark))
+    one, others = (RS.scan(spark, path, VIDEO_SCHEMA, "id", "labels", shards=f"*/shard=part{n}/*", records="good") for n in ("3", "[!3]"))
+    return one.withColumn("named", F.lit(1)).union(others.withColumn("named", F.lit(0))).select(
+        "id", ints_str("labels").alias("labels"), RC.partition_value("_file", "shard").alias("shard"), "named")
+
+
 TRAINING_SCHEMA = TT.StructType([
     TT.StructField("id", TT.LongType()), TT.StructField("name", TT.StringType()),
     TT.StructField("n_steps", TT.LongType()), TT.StructField("true_len", TT.IntegerType()),

@@ -479,3 +479,27 @@ sql("quarantine_records",
 sql("incremental_record_ingest", _SQL["record_example_roundtrip"])
 
 sql("record_split_scan", _SQL["record_example_roundtrip"])
+
+# ---------------------------------------------------------------- sparse labels, layout, scan
+sql("sparse_vocab",
+    "SELECT label, CAST(row_number() OVER (ORDER BY cnt DESC, label) - 1 AS BIGINT) AS idx, cnt FROM ("
+    "SELECT l_partkey AS label, count(*) AS cnt FROM lineitem GROUP BY l_partkey)")
+
+_LINES = "lines AS (SELECT DISTINCT l_partkey AS id, l_orderkey * 8 + l_linenumber AS label FROM lineitem)"
+sql("sparse_encoding",
+    f"WITH {_LINES}, vocab AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx FROM (SELECT DISTINCT label FROM lines) "
+    "QUALIFY idx < 200000), "
+    "found AS (SELECT id, coalesce(list(idx ORDER BY idx) FILTER (WHERE idx IS NOT NULL), [200000]) AS s "
+    "FROM lines LEFT JOIN vocab USING (label) GROUP BY id) "
+    f"SELECT id, CAST(200001 AS BIGINT) AS width, {d_ints('s')} AS slots, CAST(len(s) AS BIGINT) AS n_set FROM found")
+
+sql("sparse_label_pairs",
+    f"WITH vocab AS ({VOCAB_LIST.format(src='fx_bags')}), hot AS (SELECT id, {HOT} AS h FROM fx_bags, vocab), "
+    "pairs AS (SELECT id, unnest(range(len(h))) AS slot, unnest(h) AS v FROM hot) "
+    "SELECT id, slot, CAST(v AS BIGINT) AS value FROM pairs WHERE v = 1")
+
+sql("colocated_join", _SQL["frame_video_join"])
+
+sql("record_scan_chosen",
+    f"SELECT id, {d_ints('labels')} AS labels, 'part' || CAST(CAST(id AS BIGINT) % 8 AS VARCHAR) AS shard, "
+    "CAST(CAST(id AS BIGINT) % 8 = 3 AS INTEGER) AS named FROM fx_video")
