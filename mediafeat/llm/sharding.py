@@ -10,8 +10,10 @@ existing map by moving as few slots as it can.
 Law ``bytes``: shards hold nearly equal numbers of bytes.
 
 Nulls: a null text has no bytes (its record still weighs ``OVERHEAD``), a null
-id hashes like any other value.  Repeated rows share a slot, as their hash is
-equal.  An empty table gives an empty result and a map of empty slots.
+id hashes like any other value.  Rows that repeat an id and a text are numbered, and
+every one but the first is hashed with its number, so that copies spread over all slots;
+equal texts under different ids are different records.  An empty table gives an empty
+result and a map of empty slots.
 """
 
 from __future__ import annotations
@@ -25,17 +27,29 @@ from mediafeat.llm.common import scratch
 
 SLOTS = 4096      # virtual slots; fixed for the life of a data set
 OVERHEAD = 8      # bytes that a record weighs besides its text
+CHUNK = 1 << 16   # copies of one row that a task numbers at a time
 MAP_SCHEMA = "version int, vslot int, shard int, bytes long, rows long, first long"
 
 
-def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, vslot of every row: narrow, text read once."""
+def records(docs: DataFrame, slots: int = SLOTS, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, size, text_crc32, vslot of every row; the text is read once, and only its
+    hashes are grouped.
+
+    Equal rows are counted where they are read, so a row that is repeated without end
+    reaches its group as one row per task; its copies are dealt out again in chunks."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
+    kinds = docs.select(
         F.col("doc_id"),
         (F.octet_length(text) + F.lit(OVERHEAD)).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col("doc_id"), text), F.lit(slots)).cast("int").alias("vslot"))
+        F.xxhash64(F.col("doc_id"), text).alias("_h")).groupBy("doc_id", "size", "text_crc32", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    many = (kinds.where(F.col("_n") > chunk)
+            .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(chunk).cast("long"))))
+            .withColumn("_n", F.least(F.col("_n") - F.col("_from"), F.lit(chunk))).repartition("_h", "_from"))
+    copies = kinds.where(F.col("_n") <= chunk).withColumn("_from", F.lit(0).cast("long")).unionByName(many).withColumn(
+        "_j", F.explode(F.sequence(F.col("_from"), F.col("_from") + F.col("_n") - 1)))
+    spread = F.when(F.col("_j") == 0, F.col("_h")).otherwise(F.xxhash64("_h", "_j"))
+    return copies.select("doc_id", "size", "text_crc32", F.pmod(spread, F.lit(slots)).cast("int").alias("vslot"))
 
 
 def slot_bytes(recs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 
-from mediafeat.llm import jaccard_join, language_id, suffix_dedup, toxicity
+from mediafeat.llm import jaccard_join, language_id, sharding, suffix_dedup, toxicity
 from mediafeat.llm import kernels as K
 
 
@@ -118,3 +118,18 @@ def test_a_repeated_id_loses_no_clean_text(spark):
     rows = [(1, near), (2, near + " end"), (2, far), (3, other), (3, lone), (3, lone), (4, far + " end"), (None, near)]
     kept = jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, kept), key=str) == sorted([(1, near), (2, far), (3, other), (3, lone), (None, near)], key=str)
+
+
+def test_copies_of_a_row_spread_over_shards(spark):
+    """3,000 equal rows among 6,000: shards within 2 % of the mean bytes, chunks or not."""
+    from pyspark.sql import functions as F
+    docs = spark.range(6000).select(F.when(F.col("id") % 2 == 0, F.lit(8)).otherwise(F.col("id")).alias("doc_id"),
+                                    F.when(F.col("id") % 2 == 0, F.lit("the same text")).otherwise(F.concat(F.lit("text no "), F.col("id"))).alias("text"))
+    rows = sharding.shard_documents(docs, 4, 2048).collect()
+    load = [sum(r.size for r in rows if r.shard == s) for s in range(4)]
+    assert len(rows) == 6000 and max(load) - min(load) <= 0.02 * sum(load) / 4, load
+    for s in range(4):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+    plain = sorted(map(tuple, sharding.records(docs, 64).collect()))
+    assert sorted(map(tuple, sharding.records(docs, 64, chunk=7).collect())) == plain
+    assert sum(r[0] == 8 for r in plain) == 3000
