@@ -92,7 +92,7 @@ def features(docs: DataFrame, lexicon: dict[str, bool], text: str = "text") -> D
             F.size(w).alias("n"), F.size(F.filter(h, lambda x: x == 2)).alias("lex"), F.size(F.filter(h, lambda x: x == 1)).alias("mild"),
             F.size(F.filter(w, lambda x: x.isin(YOU))).alias("you"),
             F.when(F.exists(h, lambda x: x > 0), F.size(F.filter(
-                F.transform(w, lambda x, i: (F.get(h, i) > 0) & F.exists(F.slice(w, F.greatest(i - 2, F.lit(1)), F.lit(7)), lambda y: y.isin(YOU))),
+                F.transform(w, lambda x, i: (F.get(h, i) > 0) & F.exists(F.slice(w, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3)) + 4), lambda y: y.isin(YOU))),
                 lambda x: x))).otherwise(0).alias("near")))
     raw = docs.withColumn("_tox", F.struct(
         let(tokens(t), counts).alias("w"), F.length(t).alias("chars"), F.regexp_count(t, F.lit(r"\p{Lu}")).alias("upper"),

@@ -133,3 +133,19 @@ def test_copies_of_a_row_spread_over_shards(spark):
     plain = sorted(map(tuple, sharding.records(docs, 64).collect()))
     assert sorted(map(tuple, sharding.records(docs, 64, chunk=7).collect())) == plain
     assert sum(r[0] == 8 for r in plain) == 3000
+
+
+def test_a_pronoun_is_near_up_to_three_words_on_either_side(spark):
+    """At the text's start as in its middle and at its end."""
+    words = ["a", "b", "c", "d", "e", "f", "g", "h", "k", "m", "n", "o"]
+    cases = []
+    for i in range(len(words)):
+        for j in range(len(words)):
+            if i != j:
+                t = list(words)
+                t[i], t[j] = "badword", "you"
+                cases.append((i, j, " ".join(t)))
+    docs = spark.createDataFrame(cases, "i int, j int, text string")
+    at = toxicity.FEATURES.index("near_you")
+    for r in toxicity.features(docs, {"badw": True}).collect():
+        assert r.tox_x[at] == float(abs(r.i - r.j) <= 3), (r.i, r.j)
