@@ -11,8 +11,10 @@ Scale notes
 * Encoding works on distinct bags of labels, so equal rows are looked up once and a
   bag that a third of all rows carry costs one row per map task.  Rows meet their bag's
   code in one join, whose skewed side AQE may split.
-* A label in most bags is a hot key of the lookup; the vocabulary has one row per
-  label, so AQE broadcasts it by its measured size or splits the bags' side.
+* A label in most bags is a hot key of the lookup.  A vocabulary of at most
+  ``BROADCAST`` slots is broadcast; a larger one, and the table of bags, meet by merge
+  joins, whatever the planner estimates (it takes aggregates for no larger than the
+  compressed files behind them): AQE splits the skewed side.
 
 Null labels count as absent; a null or empty bag keeps its row, without slots (or with
 the "other" slot); repeated rows stay apart.
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from mediafeat.operators.labels import label_histogram
 from mediafeat.operators.ordering import number_rows
 
+BROADCAST = 100_000      # slots of a vocabulary that is broadcast
+
 
 def fit_slots(df: DataFrame, k: int | None = None, order: str = "id", labels_col: str = "labels") -> DataFrame:
     """label, idx (0-based slot, bigint), cnt of the first ``k - 1`` labels (None: all), in
@@ -59,13 +63,17 @@ def encode_sparse(df: DataFrame, vocab: DataFrame, width: int | Column, labels_c
     rows none of whose labels is in ``vocab`` (label, idx)."""
     size = (F.lit(width) if isinstance(width, int) else width).cast("bigint")
     bags = df.select(bag_of(labels_col).alias("_bag")).distinct()
-    found = (bags.select("_bag", F.explode("_bag").alias("label")).join(vocab.select("label", "idx"), "label")
+    small = isinstance(width, int) and width <= BROADCAST
+    slot = vocab.select("label", "idx").hint("broadcast" if small else "merge")
+    found = (bags.select("_bag", F.explode("_bag").alias("label")).join(slot, "label")
              .groupBy("_bag").agg(F.array_sort(F.collect_set(F.col("idx").cast("bigint"))).alias("_slots")))
-    rows = df.withColumn("_bag", bag_of(labels_col)).join(found, "_bag", "left")
+    # by a hash too: both sides are dealt for this join, so that AQE can split a bag that many rows carry
+    key = F.xxhash64("_bag").alias("_key")
+    rows = df.withColumn("_bag", bag_of(labels_col)).select("*", key).join(found.select("*", key).hint("merge"), ["_key", "_bag"], "left")
     other = F.array(size - 1) if with_other else F.array().cast("array<bigint>")
     slots = F.coalesce("_slots", other)
     return rows.withColumn("_slots", slots).withColumn(out_col, F.struct(
-        size.alias("size"), F.col("_slots").alias("slots"), F.array_repeat(F.lit(1.0), F.size("_slots")).alias("values"))).drop("_bag", "_slots")
+        size.alias("size"), F.col("_slots").alias("slots"), F.array_repeat(F.lit(1.0), F.size("_slots")).alias("values"))).drop("_key", "_bag", "_slots")
 
 
 def sparse_pairs(df: DataFrame, sparse_col: str, *keep: str) -> DataFrame:

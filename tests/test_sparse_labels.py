@@ -65,3 +65,14 @@ def test_hot_bag_and_hot_label(spark):
     assert enc.count() == n
     assert enc.where("labels_sparse.slots[0] <> 0").isEmpty()
     assert enc.where("id % 3 = 0 and labels_sparse.slots <> array(0L, 1L)").isEmpty()
+
+
+def test_large_vocabulary_is_not_broadcast_by_its_estimate(spark, tmp_path):
+    """Behind a small compressed file stand as many labels as it has rows."""
+    spark.range(300_000).select((F.col("id") % 1000).alias("id"), F.col("id").alias("label")).write.parquet(str(tmp_path / "t"))
+    bags = spark.read.parquet(str(tmp_path / "t")).groupBy("id").agg(F.collect_list("label").alias("labels"))
+    for width, joins in ((300_001, 0), (100, 1)):       # the second: a vocabulary that fits
+        enc = SL.encode_sparse(bags, SL.fit_slots(bags, width), width)
+        assert str(enc._jdf.queryExecution().executedPlan().toString()).count("BroadcastHashJoin") == joins
+    first = enc.where("id = 7").first().labels_sparse
+    assert (first["size"], first["slots"], first["values"]) == (100, [7], [1.0])
