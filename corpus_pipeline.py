@@ -1,8 +1,9 @@
 """Corpus pipeline: documents -> filtered, deduplicated, mixed and encoded.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the one before
-it kept.  All but the last return the columns of ``documents``; the last returns one
-row per document (and copy of it in the mix) with its sampled token ids.
+it kept.  All but the last return the columns of ``documents``; the last returns the
+distinct sampled segmentations of each document (and copy of it in the mix), a row for
+each, with their token ids.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: one sampled segmentation of each text."""
-    return piece_sampling.encode(docs, k=1)
+    """Operator 4: segmentations of each text, sampled without replacement."""
+    return piece_sampling.encode(docs)
 
 
 STAGES = [
