@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from mediafeat.llm import kernels as K
 from mediafeat.llm.common import scratch, text_of
 from mediafeat.llm.components import components
-from mediafeat.llm.jaccard_join import _fingerprint, _sets, verify
+from mediafeat.llm.jaccard_join import _fingerprint, _sets, among, verify
 
 U = np.uint64
 REGISTERS = 128
@@ -45,7 +45,6 @@ TOP = 7                  # bits of a hash that choose the register
 MANTISSA = 10            # bits kept after the first one
 BANDS, ROWS = 32, 4
 WORK = 1 << 22           # comparisons in a bucket from which on it is cut by a further band
-FILTER, SLICES = 23, 16  # bits of a table of document ids, and the pieces that it travels in
 BLOCK = 512              # members of either side of a unit
 SIGMAS = 6               # standard deviations that an estimate may fall short
 
@@ -265,47 +264,6 @@ def confirmed(units: DataFrame, docs: DataFrame, n: int, num: int, den: int) ->
     return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(K.lean(run), "a long, b long")
 
 
-def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, text of the documents whose id may be one of ``ids`` (doc): a bit table of
-    ids of fixed size, 2**``FILTER`` bits, spares most others the shuffles of a join."""
-    size = (1 << FILTER) // 8 // SLICES
-
-    def place(column):
-        return (K.mix(column.to_numpy(zero_copy_only=False).view(U) + U(K.P)) >> U(64 - FILTER)).astype(np.int64)
-
-    def mark(batches):
-        import pyarrow as pa
-        bits = np.zeros(1 << FILTER, bool)
-        for b in batches:
-            bits[place(b.column(0))] = True
-        if bits.any():
-            parts = np.packbits(bits).reshape(SLICES, size)
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([K.pack(p) for p in parts], pa.binary())], ["slice", "bits"])
-
-    def union(batches):
-        import pyarrow as pa
-        found: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found[k] = found.get(k, np.zeros(size, np.uint8)) | K.unpack(blob).astype(np.uint8)
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([v.tobytes() for v in found.values()], pa.binary())],
-                                             ["slice", "bits"])
-    kind = "slice int, bits binary"
-    table = np.zeros((SLICES, size), np.uint8)
-    rows = ids.select("doc").mapInArrow(K.lean(mark), kind).repartition(SLICES, "slice").mapInArrow(K.lean(union), kind).collect()
-    for r in rows:
-        table[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(table.ravel())         # 2**FILTER bits
-
-    def keep(batches):
-        import pyarrow as pa
-        bits = np.unpackbits(shared.value).astype(bool)
-        for b in batches:
-            yield b.filter(pa.array(bits[place(b.column(0))]))
-    return text_of(docs).where("doc_id is not null").mapInArrow(K.lean(keep), "doc_id long, text string")
-
-
 def _floor(num: int, den: int) -> float:
     t = num / den
     return t - SIGMAS * (t * (1 - t) / REGISTERS) ** 0.5
@@ -355,12 +313,12 @@ def classes(docs: DataFrame, n: int = 4, num: int = 80, den: int = 100, work: in
             F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
         near = scratch(candidates(pairs.join(tested, ["a", "b"], "left_anti"), nodes, num, den), "register-near")
         ends = near.select(F.col("doc_a").alias("doc")).union(near.select("doc_b"))
-        comps = linked(verify(near, scratch(_among(docs, ends), "register-texts"), n, num, den))
+        comps = linked(verify(near, scratch(among(docs, ends), "register-texts"), n, num, den))
         tested = tested.union(near.select("a", "b"))
         open_ = scratch(_open(members, comps), "open-bands")
         direct = (F.col("n") * F.col("n_out") <= work) | (F.col("band") == BANDS - 1)
         found = scratch(likely(_units(open_.where(direct), block), nodes, num, den), "register-units")
-        comps = linked(confirmed(found, _among(docs, found.select("doc")), n, num, den))
+        comps = linked(confirmed(found, among(docs, found.select("doc")), n, num, den))
         heavy = open_.where(~direct)
         if heavy.isEmpty():
             break

@@ -34,6 +34,7 @@ from mediafeat.llm.components import components
 U = np.uint64
 TABLE_BITS = 20       # hashed document-frequency counters: 2**20, whatever the input
 SLICES = 16           # the counter table travels in so many pieces
+FILTER = 23           # a table of document ids has 2**23 bits
 SIGNATURE = 256       # bins of a set's signature
 FLUSH = 1 << 21       # postings a task gathers before it emits them
 MOST = 1 << 16        # documents of a shingle from which on its list meets in several pieces
@@ -404,6 +405,53 @@ def verify(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> Dat
             .mapInArrow(K.lean(run), "a long, b long").distinct())
 
 
+def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of the documents whose id may be one of ``ids`` (doc): a bit table of
+    ids of fixed size, 2**``FILTER`` bits, spares most others the shuffles of a join."""
+    size = (1 << FILTER) // 8 // SLICES
+
+    def place(column):
+        return (K.mix(column.to_numpy(zero_copy_only=False).view(U) + U(K.P)) >> U(64 - FILTER)).astype(np.int64)
+
+    def mark(batches):
+        import pyarrow as pa
+        bits = np.zeros(1 << FILTER, bool)
+        for b in batches:
+            bits[place(b.column(0))] = True
+        if bits.any():
+            parts = np.packbits(bits).reshape(SLICES, size)
+            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([K.pack(p) for p in parts], pa.binary())], ["slice", "bits"])
+
+    def union(batches):
+        import pyarrow as pa
+        found: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found[k] = found.get(k, np.zeros(size, np.uint8)) | K.unpack(blob).astype(np.uint8)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([v.tobytes() for v in found.values()], pa.binary())],
+                                             ["slice", "bits"])
+    kind = "slice int, bits binary"
+    table = np.zeros((SLICES, size), np.uint8)
+    rows = ids.select("doc").mapInArrow(K.lean(mark), kind).repartition(SLICES, "slice").mapInArrow(K.lean(union), kind).collect()
+    for r in rows:
+        table[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(table.ravel())         # 2**FILTER bits
+
+    def keep(batches):
+        import pyarrow as pa
+        bits = np.unpackbits(shared.value).astype(bool)
+        for b in batches:
+            yield b.filter(pa.array(bits[place(b.column(0))]))
+    return text_of(docs).where("doc_id is not null").mapInArrow(K.lean(keep), "doc_id long, text string")
+
+
+def _linked(near: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The links among the pairs ``near``: of the texts only theirs are shuffled."""
+    ends = near.select(F.explode(F.array("doc_a", "doc_b")).alias("doc"))
+    return scratch(verify(near, scratch(among(docs, ends), "near-texts"), n, num, den), "links")
+
+
 def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, most: int = MOST, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every row: classes of documents whose
     ``n``-word shingle sets link at a Jaccard similarity of ``num / den`` or more."""
@@ -417,7 +465,7 @@ def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, mos
     met = scratch(meet(postings(docs, classes, n, num, den, parts, most), num, den, parts), "met")
     pairs = scratch(met.where("kind = 0").select("a", "b").distinct(), "pairs")
     near = scratch(suffix_filter(pairs, nodes, num, den), "near")
-    links = scratch(verify(near, docs, n, num, den), "links")
+    links = _linked(near, docs, n, num, den)
     comps = components(links)
     lists = _open_lists(_members(met.where("kind = 1")), comps, num, den, block).join(nodes.select("fp", "sig"), "fp")
     for nearest in (True, False):       # likely partners first: they leave few components to compare
@@ -426,7 +474,7 @@ def link_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, mos
         near = scratch(suffix_filter(rest, nodes, num, den), "near")
         if near.isEmpty():      # no new likely pair: others may still link
             continue
-        more = scratch(verify(near, docs, n, num, den), "links")
+        more = _linked(near, docs, n, num, den)
         comps = components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
         pairs = pairs.union(near.select("a", "b"))
     comps = scratch(comps, "components")
