@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mediafeat.sources.crc32c import crc32c_many, mask
+from mediafeat.sources.crc32c import crc32c_many, crc32c_rows, mask
 
 FORMAT = "mediafeat_records"
 
@@ -110,15 +110,18 @@ def message_classes():
 # ---------------------------------------------------------------- framing
 def frame(payloads: list[bytes]) -> bytes:
     """length | masked crc(length) | payload | masked crc(payload), per record."""
+    return b"".join(framed(payloads))
+
+
+def framed(payloads: list[bytes]) -> list[bytes]:
+    """The records of :func:`frame`, each by itself."""
     if not payloads:
-        return b""
-    lens = [struct.pack("<Q", len(p)) for p in payloads]
-    lcrc = mask(crc32c_many(lens))
-    dcrc = mask(crc32c_many(payloads))
-    out = []
-    for p, ln, lc, dc in zip(payloads, lens, lcrc, dcrc):
-        out += [ln, struct.pack("<I", int(lc)), p, struct.pack("<I", int(dc))]
-    return b"".join(out)
+        return []
+    head = np.zeros((len(payloads), 12), np.uint8)
+    head[:, :8] = np.array([len(p) for p in payloads], "<u8")[:, None].view(np.uint8)
+    head[:, 8:] = mask(crc32c_rows(head[:, :8])).astype("<u4")[:, None].view(np.uint8)
+    heads, tails = head.tobytes(), mask(crc32c_many(payloads)).astype("<u4").tobytes()
+    return [heads[12 * i:12 * i + 12] + p + tails[4 * i:4 * i + 4] for i, p in enumerate(payloads)]
 
 
 def unframe(buf: bytes, verify_payload: bool = True):
@@ -442,6 +445,7 @@ def _register(spark: SparkSession) -> None:
             self.seq = set(filter(None, options.get("sequenceCols", "").split(",")))
             self.part_col = options.get("partitionCol") or None
             self.plain = options.get("plainNames") == "true"
+            self.encoded = options.get("encoded") == "true"      # the last column holds framed records
             self.schema = schema
             # the partition column names a directory and is not stored in the records
             self.rec_schema = T.StructType([f for f in schema.fields if f.name != self.part_col])
@@ -450,6 +454,7 @@ def _register(spark: SparkSession) -> None:
             self.write_id = uuid.uuid4().hex[:12]    # in every file name: appends never meet, commits know their files
 
         def write(self, iterator):
+            import pyarrow as pa
             from pyspark import TaskContext
             ctx = TaskContext.get()
             part = ctx.partitionId() if ctx else uuid.uuid4().int % 100000
@@ -469,8 +474,12 @@ def _register(spark: SparkSession) -> None:
             for batch in iterator:  # Arrow record batches, sorted by the partition column
                 if batch.num_rows == 0:
                     continue
-                cols = batch.to_pydict()  # Python objects, None for nulls
-                keys = cols[self.part_col] if self.part_col else [None] * batch.num_rows
+                cols = {} if self.encoded else batch.to_pydict()  # Python objects, None for nulls
+                if self.encoded:
+                    records = batch.column(batch.num_columns - 1).cast(pa.binary())
+                    at = np.frombuffer(records.buffers()[1], np.int32)[records.offset:]
+                    raw = memoryview(records.buffers()[2] or b"")
+                keys = batch.column(self.part_col).to_pylist() if self.part_col else [None] * batch.num_rows
                 start = 0
                 while start < batch.num_rows:
                     key = keys[start]
@@ -483,8 +492,11 @@ def _register(spark: SparkSession) -> None:
                         fs.create_dir(f"{root}/{d}", recursive=True)
                         rel = f"{d}part-{part:05d}-{len(written):03d}-{attempt}{uuid.uuid4().hex[:8]}-w{self.write_id}d{depth}.tfrecord"
                         out, cur_key, size = fs.open_output_stream(f"{root}/{rel}"), key, 0
-                    rows = zip(*[cols[c][start:end] for c in names])
-                    data = frame(encode(rows, self.rec_schema, self.record_type, self.seq))
+                    if self.encoded:
+                        data = raw[at[start]:at[end]]
+                    else:
+                        rows = zip(*[cols[c][start:end] for c in names])
+                        data = frame(encode(rows, self.rec_schema, self.record_type, self.seq))
                     out.write(data)
                     size += len(data)
                     n += end - start
@@ -577,6 +589,7 @@ def vacuum(path: str) -> int:
     return _vacuum(fs, root)
 
 
+RECORD, TASK = "_framed_record", "_record_task"      # columns of encoded rows
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -597,6 +610,27 @@ def _fs(path: str):
     return pafs.FileSystem.from_uri(path.replace("%", "%25"))
 
 
+def _encoded(df: DataFrame, record_type: str, seq: set[str], partition_by: str | None, keep: list[str],
+             dealt: list) -> DataFrame:
+    """``keep`` and ``dealt`` columns and the framed record of each row, encoded where the rows lie: few
+    large shards then cost their writers no more than copying bytes."""
+    fields = T.StructType([f for f in df.schema.fields if f.name != partition_by])
+    names, df = [f.name for f in fields], df.select("*", *dealt)
+    keep = [*keep, *df.columns[len(df.columns) - len(dealt):]] if dealt else keep
+    at = [df.columns.index(c) for c in keep]
+
+    def kernel(batches):
+        import pyarrow as pa
+        for b in batches:
+            for s in range(0, b.num_rows, 512):
+                part = b.slice(s, 512)
+                cols = part.to_pydict()
+                rows = zip(*[cols[c] for c in names]) if names else [()] * part.num_rows
+                records = pa.array(framed(encode(rows, fields, record_type, seq)), pa.binary())
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in at], records], [*keep, RECORD])
+    return df.mapInArrow(kernel, T.StructType([*[df.schema[c] for c in keep], T.StructField(RECORD, T.BinaryType())]))
+
+
 def write_records(df: DataFrame, path: str, record_type: str = "Example", sequence_cols: list[str] | None = None,
                   mode: str = "overwrite", shards: int | None = None, partition_by: str | None = None,
                   sort_by: list[str] | None = None, max_file_bytes: int = 512 << 20, tasks_per_value: int = 4,
@@ -604,8 +638,8 @@ def write_records(df: DataFrame, path: str, record_type: str = "Example", sequen
     """Encode and write ``df`` as record shards.
 
     One file per partition; ``shards`` fixes the count with an explicit
-    repartition (never coalesced by AQE), otherwise the input partitioning is
-    kept.  ``partition_by`` writes one directory per value of that column
+    repartition (never coalesced by AQE) of the rows' records, which the input's
+    tasks have encoded; otherwise the input partitioning is kept.  ``partition_by`` writes one directory per value of that column
     (``<col>=<value>/part-*.tfrecord``), so a shard named in the data keeps its
     name on disk whatever task writes it; rows are sorted by it inside each
     task so only one file is open at a time; ``sort_by`` fixes the record order
@@ -617,19 +651,20 @@ def write_records(df: DataFrame, path: str, record_type: str = "Example", sequen
     from mediafeat.session import ship_package
     ship_package(df.sparkSession)
     _register(df.sparkSession)
+    keys = list(dict.fromkeys([*([partition_by] if partition_by else []), *(sort_by or [])]))
     if shards:
-        if partition_by and tasks_per_value > 1:
-            row = F.xxhash64(*[c for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)])
-            df = df.repartition(shards, F.col(partition_by), F.pmod(row, F.lit(tasks_per_value)))
-        else:
-            df = df.repartition(shards, partition_by) if partition_by else df.repartition(shards)
-    keys = ([partition_by] if partition_by else []) + list(sort_by or [])
+        spread = bool(partition_by) and tasks_per_value > 1
+        row = F.xxhash64(*[c for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)]) if spread else None
+        dealt = [F.pmod(row, F.lit(tasks_per_value)).alias(TASK)] if spread else []
+        df = _encoded(df, record_type, set(sequence_cols or []), partition_by, keys, dealt)
+        by = [*([partition_by] if partition_by else []), *([TASK] if spread else [])]
+        df = df.repartition(shards, *by).drop(TASK)
     if keys:
         df = df.sortWithinPartitions(*keys)
     (df.write.format(FORMAT).mode(mode).option("recordType", record_type)
        .option("sequenceCols", ",".join(sequence_cols or []))
        .option("partitionCol", partition_by or "").option("maxFileBytes", str(max_file_bytes))
-       .option("plainNames", str(plain_names).lower()).save(path))
+       .option("plainNames", str(plain_names).lower()).option("encoded", str(bool(shards)).lower()).save(path))
 
 
 def partition_value(path_col: str, name: str):
