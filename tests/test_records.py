@@ -337,3 +337,43 @@ def test_a_hot_partition_value_is_written_by_several_tasks(spark):
     df = spark.range(2000).select("id", F.when(F.col("id") < 1900, "hot").otherwise("cold").alias("shard"))
     RC.write_records(df, path, shards=4, partition_by="shard")
     assert len(os.listdir(local_path(f"{path}/shard=hot"))) > 1
+
+
+def test_few_shards_are_encoded_by_the_tasks_of_the_input(spark, tmp_path):
+    """The writers of few shards get framed records, in order, of any types and nulls."""
+    rows = [(i, None if i % 7 == 0 else f"s{i % 3}", [float(i), 0.5] if i % 5 else None, bytearray(b"x" * (i % 4))) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, shard string, v array<double>, raw binary").repartition(6)
+    seen = []
+    real = RC._encoded
+    RC._encoded = lambda d, *a: seen.append(d.rdd.getNumPartitions()) or real(d, *a)
+    try:
+        RC.write_records(df, str(tmp_path / "r"), shards=2, partition_by="shard", sort_by=["id"], tasks_per_value=1)
+        RC.write_records(df.drop("shard"), str(tmp_path / "flat"), shards=1)
+    finally:
+        RC._encoded = real
+    assert seen == [6, 6]
+    back = RC.read_good(RC.read_records(spark, str(tmp_path / "r"), "id long, v array<double>, raw binary"))
+    got = sorted((r.id, r.s, r.v, r.raw) for r in back.select("id", RC.partition_value("_file", "shard").alias("s"), "v", "raw").collect())
+    assert got == sorted(rows)
+    files = {}
+    for r in back.collect():
+        files.setdefault(r["_file"], []).append(r.id)
+    assert len(files) == 4 and all(v == sorted(v) for v in files.values())
+    flat = RC.read_good(RC.read_records(spark, str(tmp_path / "flat"), "id long, raw binary"))
+    assert sorted((r.id, r.raw) for r in flat.collect()) == sorted((i, b) for i, _, _, b in rows)
+
+
+def test_decode_u8_works_on_slices_of_a_batch(spark, monkeypatch):
+    """A worker holds the floats of some values of a batch at a time, or of one large value."""
+    import pyarrow as pa
+
+    from mediafeat.functions import vectors as V
+    values = [b"\x00\xff", None, b"", b"a" * 50, b"b" * 5, b"c" * 4, None]
+    monkeypatch.setattr(V, "SLICE", 10)
+    got = list(V.decode_u8.func(iter([pa.array([b"?"] + values)[1:]])))
+    assert [len(x) for x in got] == [3, 1, 3]
+    assert [x for g in got for x in g.to_pylist()] == [None if v is None else [float(c) for c in v] for v in values]
+    steps = [[b"ab", None, b""], None, [], [b"z" * 20], [None], [b"q"]]
+    got = list(V.decode_u8_steps.func(iter([pa.array([[b"?"]] + steps, pa.list_(pa.binary()))[1:]])))
+    assert len(got) == 3
+    assert [x for g in got for x in g.to_pylist()] == [None if s is None else [None if v is None else [float(c) for c in v] for v in s] for s in steps]
