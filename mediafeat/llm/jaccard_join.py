@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediafeat.llm import kernels as K
-from mediafeat.llm.common import by_part, part_count, scratch, text_of
+from mediafeat.llm.common import by_part, part_count, parted, scratch, text_of
 from mediafeat.llm.components import components
 
 U = np.uint64
@@ -495,7 +495,8 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> D
     classes = scratch(link_classes(docs, n, num, den), "classes")
     if classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+        here, others = parted(docs, "doc_id", gone, "_gone")
+        return here.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").union(others)
     own = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))       # a repeated id names no document
     named = docs.where("doc_id is not null").withColumn("_own", own)
     ids = named.select("_own", F.col("doc_id").cast("long").alias("_id")).distinct()

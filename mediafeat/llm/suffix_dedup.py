@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediafeat.llm import kernels as K
-from mediafeat.llm.common import by_part, part_count, scratch
+from mediafeat.llm.common import by_part, part_count, parted, scratch
 
 U = np.uint64
 LENGTH = 100          # bytes of a string that may not repeat
@@ -357,7 +357,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piece: int
     parts = part_count(docs)
     base = keyed(docs)
     found = scratch(scan(sampled(base, length, gram, parts, piece), parts, True), "repeats")
-    again = scan(compared(base, gathered(found.where("kind = 2")), length, parts, piece), parts, False)
+    doubtful = found.where("kind = 2")
+    here, _ = parted(base, "kid", doubtful, "kid")       # of the texts only theirs are shuffled
+    again = scan(compared(here, gathered(doubtful), length, parts, piece), parts, False)
     marks = found.where("kind = 1").union(again)
     return base, gathered(marks)
 
@@ -400,7 +402,10 @@ def report(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) -> DataFra
                                              [pa.array([], t) for t in (pa.int64(),) * 4 + (pa.string(),)],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     base, marks = repeats(docs, length, piece=piece)
-    return base.join(marks, ["kid", "tag"], "left").select("kid", "text", "starts", "ends").mapInArrow(
+    marks = scratch(marks, "repeat-marks")
+    here, others = parted(base, "kid", marks, "kid")
+    rows = here.join(marks, ["kid", "tag"], "left").unionByName(others, allowMissingColumns=True)
+    return rows.select("kid", "text", "starts", "ends").mapInArrow(
         K.lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -441,8 +446,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.col("kid").alias("_kid"), "_t", F.col("starts").alias("_s"), F.col("ends").alias("_e")), "repeat-marks")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_kid"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"))
-    joined = rows.join(marked, ["_kid", "_t"], "left").select(F.col("_row.text").alias("_x"), "_s", "_e", "_row")
+    here, others = parted(rows, "_kid", marked, "_kid")
+    joined = here.join(marked, ["_kid", "_t"], "left").select(F.col("_row.text").alias("_x"), "_s", "_e", "_row")
     clean = joined.where("_s is not null").mapInArrow(K.lean(run), T.StructType([T.StructField("_clean", T.StringType()), rows.schema["_row"]]))
     new = {"text": F.col("_clean")} | ({"n_chars": F.length("_clean").cast(docs.schema["n_chars"].dataType)} if "n_chars" in cols else {})
-    return joined.where("_s is null").select("_row.*").unionByName(
+    return others.select("_row.*").unionByName(joined.where("_s is null").select("_row.*")).unionByName(
         clean.select(*[new.get(c, F.col("_row").getField(c)).alias(c) for c in cols]))
